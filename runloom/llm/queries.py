@@ -5,8 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, substring_dedup
+from . import language, line_dedup, packing, simhash, substring_dedup, token_counts
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +26,25 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeats(docs))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    dictionaries = language.learn(docs.where(~F.col("held_out")))
+    found = language.classify(docs.select("doc_id", "text", "held_out"), dictionaries)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.digest(line_dedup.drop_lines(docs))
@@ -25,6 +52,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op4_language_id": op4_language_id,
+    "op5_packing": op5_packing,
+    "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
 }
 
