@@ -20,7 +20,8 @@ SAMPLE_ROWS = 256
 BLOCK_BYTES = 2048
 LEVEL = 5
 MIN_MATCH = 3
-#: A text shorter than this is measured over all its word suffixes too: a sum is finer than a few bytes.
+#: A text shorter than this is measured over all its word suffixes, since a sum is finer than a few bytes,
+#: each behind the dictionary's own first bytes, whose size is taken off: zstandard stores tiny inputs as they are.
 SHORT_BYTES = 256
 #: Texts whose best size is less than this share below the next one are rejected.
 LEAST_MARGIN = 0.002
@@ -77,9 +78,14 @@ def _sizes(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndarr
         _compressors[model] = made
     out = np.zeros((len(texts), len(model)), np.int64)
     for i, text in enumerate(texts):
-        blocks = [text[a : a + BLOCK_BYTES] for a in range(0, len(text), BLOCK_BYTES)]
         if len(text) < SHORT_BYTES:
-            blocks += [text[a + 1 :] for a in range(len(text) - 1) if text[a] == 0x20]
+            tails = [text, *(text[a + 1 :] for a in range(len(text) - 1) if text[a] == 0x20)]
+            for k, compressor in enumerate(_compressors[model]):
+                head = model[k][1][:SHORT_BYTES]
+                alone = len(compressor.compress(head))
+                out[i, k] = sum(len(compressor.compress(head + x)) - alone for x in tails)
+            continue
+        blocks = [text[a : a + BLOCK_BYTES] for a in range(0, len(text), BLOCK_BYTES)]
         for k, compressor in enumerate(_compressors[model]):
             out[i, k] = sum(len(compressor.compress(x)) for x in blocks)
     return out
