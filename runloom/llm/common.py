@@ -139,6 +139,24 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
+def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) pairs, node <> root, that join the same nodes as the pairs (a, b)."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = flat[: len(a)], flat[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, label[x], low)
+        np.minimum.at(new, label[y], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    at = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[at], nodes[label[at]]
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: (node, component = smallest node).
 

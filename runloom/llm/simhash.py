@@ -154,8 +154,7 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
             if rows is not None and (stop is None or stop):
                 a, b = _compare(*(x[:stop] for x in rows), distance)
                 if len(a):
-                    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, common.contract(a, b))), names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
