@@ -84,24 +84,24 @@ def starts_of(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
     return start
 
 
-class Encoder:
-    """Pre-token ids of one tokenizer file, with a bounded table from hash to ids."""
+class PieceTable:
+    """Ids of the distinct stretches of texts, in a bounded table from hash to ids.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    A tokenizer gives starts() and ids_of(); equal stretches always have equal ids.
+    """
 
-        self.library = Tokenizer.from_file(path)
-        added = self.library.get_added_tokens_decoder()
-        if any(x.lstrip or x.rstrip or x.single_word for x in added.values()):
-            raise ValueError("special tokens with options are not supported")
-        self.special = {x.content.encode(): i for i, x in added.items()}
-        self.find = re.compile(b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if added else None
-        # The model's alphabet: printable bytes stand for themselves, the others for code points from 256.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in plain]
-        self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    find: re.Pattern | None = None
+    special: dict[bytes, int] = {}
+
+    def __init__(self) -> None:
         self.clear()
 
+    def starts(self, buf: np.ndarray, first: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+    def ids_of(self, token: bytes) -> list[int]:
+        raise NotImplementedError
+
     def clear(self) -> None:
         self.hash = np.zeros(SLOTS, np.uint64)
         self.slot = np.full(SLOTS, -1, np.int32)
@@ -110,11 +110,6 @@ class Encoder:
         self.ids = np.zeros(4 * MOST_ENTRIES, np.int32)
         self.used = self.entries = 0
 
-    def _ids(self, token: bytes) -> list[int]:
-        if token in self.special:
-            return [self.special[token]]
-        return [x.id for x in self.library.model.tokenize(token.decode("latin-1").translate(self.alphabet))]
-
     def _look(self, h: np.ndarray) -> np.ndarray:
         """Entry of each hash, or -1."""
         a = (h & np.uint64(SLOTS - 1)).astype(np.int64)
@@ -155,7 +150,7 @@ class Encoder:
                     if limits[i] + m.end() < len(buf):
                         first[limits[i] + m.end()] = True
         special = np.flatnonzero(first)
-        start = starts_of(buf, first)
+        start = self.starts(buf, first)
         if self.find is not None and len(special) > len(texts):
             for i, text in enumerate(texts):
                 for m in self.find.finditer(text):  # a special string is one token
@@ -173,7 +168,7 @@ class Encoder:
                 self.clear()
                 return self.pretokens(texts)
             at = miss[where]
-            ids = [self._ids(joined[a:b]) for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            ids = [self.ids_of(joined[a:b]) for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
             made = np.array([self._add(x, y) for x, y in zip(new.tolist(), ids, strict=True)], np.int32)
             entry[miss] = made[back]
         per_text = np.diff(np.searchsorted(starts, limits))
@@ -196,6 +191,33 @@ class Encoder:
         return ids, total[ends] - total[ends - per_text]
 
 
+class Encoder(PieceTable):
+    """Pre-tokens of a byte-level BPE tokenizer file."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.library = Tokenizer.from_file(path)
+        added = self.library.get_added_tokens_decoder()
+        if any(x.lstrip or x.rstrip or x.single_word for x in added.values()):
+            raise ValueError("special tokens with options are not supported")
+        self.special = {x.content.encode(): i for i, x in added.items()}
+        self.find = re.compile(b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if added else None
+        # The model's alphabet: printable bytes stand for themselves, the others for code points from 256.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def starts(self, buf: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return starts_of(buf, first)
+
+    def ids_of(self, token: bytes) -> list[int]:
+        if token in self.special:
+            return [self.special[token]]
+        return [x.id for x in self.library.model.tokenize(token.decode("latin-1").translate(self.alphabet))]
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
     if path not in _encoders:

@@ -17,7 +17,7 @@ TABLES = 6
 BLOCKS = 2
 PROBES = 4
 #: Length of a unit vector's projection, in units in which neighbouring lattice points are the root of 2 apart, times sqrt(dimensions / 8).
-SCALE = 2.2
+SCALE = 1.1
 #: Members above which a cell's comparisons are dealt out in pairs of blocks.
 BLOCK = 4096
 MOST_BROADCAST = 50_000

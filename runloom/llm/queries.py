@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lattice, line_dedup, neighbours, packing, simhash, substring_dedup, token_counts
+from . import language, lattice, line_dedup, maxplus, neighbours, packing, simhash, substring_dedup, token_counts
 
 
 def tokenizer(name: str) -> str:
@@ -50,6 +50,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.drop_lines(docs))
 
 
+def op8_maxplus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("piece_bpe_32k.model")
+    return maxplus.digest(maxplus.encode(_read(spark, sf_dir, "documents"), path), "doc_id", path)
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
+    "op8_maxplus": op8_maxplus,
     "op9_neighbours": op9_neighbours,
     "op10_lattice_dedup": op10_lattice_dedup,
 }
