@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lattice, line_dedup, maxplus, neighbours, packing, simhash, substring_dedup, token_counts
+from . import language, lattice, line_dedup, maxplus, neighbours, packing, quotations, simhash, substring_dedup, token_counts
 
 
 def tokenizer(name: str) -> str:
@@ -26,6 +26,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeats(docs))
 
 
+def op2_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as mails that quote the turns before, and linked again."""
+    linked = quotations.link(quotations.as_mail(_read(spark, sf_dir, "conversations")))
+    return linked.select("conv_id", "turn", "parent_conv", "parent_turn", "root_conv", "root_turn", "depth", "n_quotes", "n_linked", F.md5("text").alias("own_md5"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -65,6 +71,7 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quotations": op2_quotations,
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
@@ -94,4 +101,25 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper <> doc_id) AS
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
 FROM k LEFT JOIN h USING (key) GROUP BY doc_id"""
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op7_line_dedup": OP7_SQL}
+OP2_SQL = r"""
+WITH RECURSIVE m AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, min(text) AS text FROM conversations GROUP BY ALL),
+k AS (SELECT *, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS key FROM m),
+f AS (SELECT conv_id, key, min(turn) AS first FROM k GROUP BY ALL),
+p AS (SELECT m.conv_id, m.turn, m.text, f.first AS parent, (q.key IS NOT NULL)::BIGINT + (r.key IS NOT NULL)::BIGINT AS n
+  FROM m LEFT JOIN k q ON q.conv_id = m.conv_id AND q.turn = m.turn - 1 AND q.key <> ''
+  LEFT JOIN k r ON r.conv_id = m.conv_id AND r.turn = m.turn - 2 AND r.key <> ''
+  LEFT JOIN f ON f.conv_id = m.conv_id AND f.key = q.key),
+t AS (SELECT conv_id, turn, turn AS root, CAST(0 AS BIGINT) AS depth FROM p WHERE parent IS NULL
+  UNION ALL SELECT p.conv_id, p.turn, t.root, t.depth + 1 FROM p JOIN t ON p.conv_id = t.conv_id AND p.parent = t.turn)
+SELECT p.conv_id, p.turn, CASE WHEN parent IS NOT NULL THEN p.conv_id END AS parent_conv, parent AS parent_turn,
+  p.conv_id AS root_conv, t.root AS root_turn, t.depth, n AS n_quotes, n AS n_linked, md5(text) AS own_md5
+FROM p JOIN t ON p.conv_id = t.conv_id AND p.turn = t.turn"""
+
+OP10_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM (SELECT x AS vec_id, min(y) AS c FROM r GROUP BY x) LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_quotations": OP2_SQL, "op7_line_dedup": OP7_SQL, "op10_lattice_dedup": OP10_SQL}
