@@ -1,6 +1,500 @@
-"""The registered queries over the reference's own operators."""
+"""The registered queries over the reference's own operators, each with SQL that DuckDB runs on the same tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import quality, sequence
+from .operators import alignment, demultiplex, flags, groups, indices, merging, profiles, runs, tiles
+from .plans import control_profile, filter_reads
+from .streaming import runs as stream
+from .views import duck, view
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *views: str) -> Callable:
+    """Register a query under its name, and its SQL behind the views that it uses."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = (f"WITH {duck(*views)}" + (",\n" if sql.lstrip().startswith(",") else "\n") + sql.lstrip().removeprefix(",")) if views else sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def longs(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in columns})
+
+
+
+ERR = "list_sum(list_transform(range(1, length(qual) + 1), lambda i: pow(10.0, -greatest(ascii(substr(qual, i, 1)) - 33, 2) / 10.0))) / nullif(length(seq), 0)"
+LOGLIK = "round(list_sum(list_transform(range(1, length(qual) + 1), lambda i: log10(1 - pow(10.0, -greatest(ascii(substr(qual, i, 1)) - 33, 2) / 10.0)))), 9)"
+N = {b: f"(length(seq) - length(replace(seq, '{b}', '')))" for b in "ACGTN"}
+RESOLVED = f"nullif(length(seq) - {N['N']}, 0)"
+ENTROPY = f"CASE WHEN {RESOLVED} IS NOT NULL THEN " + " + ".join(f"CASE WHEN {N[b]} > 0 THEN -({N[b]} / {RESOLVED}) * log2({N[b]} / {RESOLVED}) ELSE 0.0 END" for b in "ACGT") + " END"
+FREQUENCY = f"greatest({N['A']}, {N['C']}, {N['G']}, {N['T']}) / {RESOLVED}"
+SUM_Q = "list_sum(list_transform(range(1, length(qual) + 1), lambda i: ascii(substr(qual, i, 1)) - 33))"
+
+
+@query(
+    f"""SELECT count(*) AS n_total, count(*) FILTER (WHERE failed_qc) AS n_failed_before, CAST(0 AS BIGINT) AS n_length,
+ count(*) FILTER (WHERE coalesce(({ENTROPY}) < 1.0, true)) AS n_entropy, CAST(0 AS BIGINT) AS n_frequency, count(*) FILTER (WHERE {ERR} > 0.01) AS n_error,
+ count(*) FILTER (WHERE failed_qc OR coalesce(({ENTROPY}) < 1.0, true) OR {ERR} > 0.01) AS n_failed_qc FROM reads""",
+    "reads",
+)
+def filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_reads.filter_reads(view(spark, sf_dir, "reads"), entropy=1.0, min_length=20, max_length=40)[1]
+
+
+@query(f"SELECT name, round({ERR}, 9) AS avg_expected_error, coalesce({ERR} > 0.01, false) AS fails FROM reads", "reads")
+def expected_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = flags.flag_reads(view(spark, sf_dir, "reads"))
+    return rounded(flagged.select("name", "avg_expected_error", F.col("fails_error").alias("fails")), "avg_expected_error")
+
+
+@query(f"SELECT name, {LOGLIK} AS log10_likelihood FROM reads", "reads")
+def read_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "reads").select("name", F.round(quality.log10_likelihood(), 9).alias("log10_likelihood"))
+
+
+@query(f"SELECT name, round({ENTROPY}, 9) AS base_entropy, round({FREQUENCY}, 9) AS max_base_frequency, coalesce(({ENTROPY}) < 1.0, true) AS fails_entropy, coalesce({FREQUENCY} > 0.85, true) AS fails_frequency FROM reads", "reads")
+def complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = view(spark, sf_dir, "reads")
+    made = reads.select("name", sequence.entropy().alias("base_entropy"), sequence.max_frequency().alias("max_base_frequency"))
+    made = made.withColumns({"fails_entropy": F.coalesce(F.col("base_entropy") < 1.0, F.lit(True)), "fails_frequency": F.coalesce(F.col("max_base_frequency") > 0.85, F.lit(True))})
+    return rounded(made, "base_entropy", "max_base_frequency")
+
+
+@query(
+    f""", s AS (SELECT {LOGLIK} AS x FROM reads), c AS (SELECT x AS cutoff FROM (SELECT x, row_number() OVER (ORDER BY x) AS r, count(*) OVER () AS n FROM s) WHERE r = floor(0.05 * n) + 1)
+SELECT count(*) AS n_reads, any_value(cutoff) AS cutoff, count(*) FILTER (WHERE x < cutoff) AS n_failed FROM s, c""",
+    "reads",
+)
+def bottom_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = flags.bottom_percent(view(spark, sf_dir, "reads"), 0.05)
+    return marked.agg(F.count("*").alias("n_reads"), F.max("cutoff").alias("cutoff"), F.count_if("fails_likelihood").alias("n_failed"))
+
+
+@query("SELECT name, xi FROM reads WHERE xi IN (SELECT seq FROM index_dict)", "reads", "index_dict")
+def control_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indices.control_reads(view(spark, sf_dir, "reads"), view(spark, sf_dir, "index_dict")).select("name", "xi")
+
+
+HEADER = [f"RG{i}" for i in range(1, 7)]
+
+
+def header(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(x,) for x in HEADER], "rg string")
+
+
+HEADER_SQL = "(SELECT unnest([" + ", ".join(f"'{x}'" for x in HEADER) + "]) AS rg)"
+
+
+@query(f"SELECT coalesce(h.rg, c.rg) AS rg, coalesce(n, 0) AS n_reads FROM {HEADER_SQL} h FULL JOIN (SELECT coalesce(rg, 'unknown') AS rg, count(*) AS n FROM reads GROUP BY 1) c ON h.rg = c.rg", "reads")
+def split_by_rg_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.group_counts(view(spark, sf_dir, "reads"), header(spark))
+
+
+@query(
+    f""", s AS (SELECT rg, CASE WHEN NOT paired THEN length(seq) WHEN mapped AND proper_pair AND first_mate AND insert_size > 1 THEN insert_size END AS size FROM reads WHERE rg IS NOT NULL),
+c AS (SELECT rg, CAST(size AS BIGINT) AS size, count(*) AS n FROM s WHERE size IS NOT NULL GROUP BY ALL)
+SELECT h.rg, size, coalesce(n, 0) AS n FROM {HEADER_SQL} h LEFT JOIN c USING (rg)""",
+    "reads",
+)
+def insert_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(profiles.insert_sizes(view(spark, sf_dir, "reads"), header(spark)), "size")
+
+
+@query("SELECT count(*) FILTER (WHERE NOT paired OR first_mate) AS n_fragments, count(*) FILTER (WHERE (NOT paired OR first_mate) AND NOT is_duplicate) AS n_without_duplicates FROM reads", "reads")
+def cluster_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.cluster_count(view(spark, sf_dir, "reads"))
+
+
+@query(
+    """, f AS (SELECT lane FROM reads WHERE NOT paired OR first_mate), e AS (SELECT count(*) AS n_expected FROM f),
+d AS (SELECT 'all' AS dataset, count(*) AS n FROM f UNION ALL SELECT concat('lane', CAST(lane AS VARCHAR)), count(*) FROM f GROUP BY lane)
+SELECT dataset, n, n_expected, CASE WHEN n = n_expected THEN 'OK' ELSE 'ERROR' END AS status FROM d, e""",
+    "reads",
+)
+def tally_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = view(spark, sf_dir, "reads")
+    expected = profiles.cluster_count(reads).select(F.col("n_fragments").alias("n_expected"))
+    lanes = reads.where("NOT paired OR first_mate").groupBy(F.concat(F.lit("lane"), F.col("lane").cast("string")).alias("dataset")).agg(F.count("*").alias("n"))
+    every = profiles.cluster_count(reads).select(F.lit("all").alias("dataset"), F.col("n_fragments").alias("n"))
+    return profiles.reconcile(expected, every.unionByName(lanes))
+
+
+@query("SELECT xi AS index, count(*) AS n FROM reads GROUP BY xi", "reads")
+def index_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.index_tally(view(spark, sf_dir, "reads"))
+
+
+TALLY = "SELECT coalesce(rg, 'unknown') AS rg, CASE WHEN failed_qc THEN 'fail' ELSE 'pass' END AS status, mapped FROM reads"
+
+
+@query(f"SELECT CASE WHEN grouping(rg) = 1 THEN 'TOTAL' ELSE rg END AS rg, CASE WHEN grouping(status) = 1 THEN 'all' ELSE status END AS status, count(*) AS n, count(*) FILTER (WHERE mapped) AS n_mapped FROM ({TALLY}) GROUP BY ROLLUP (rg, status)", "reads")
+def flag_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.flag_tally(view(spark, sf_dir, "reads"))
+
+
+@query(
+    f""", g AS (SELECT rg, least(1.0, 1000.0 / n) AS fraction FROM (SELECT rg, count(*) FILTER (WHERE mapped) AS n FROM ({TALLY}) WHERE status = 'pass' AND lower(rg) NOT LIKE 'control%' GROUP BY rg) WHERE n > 200 AND rg <> 'unknown')
+SELECT name, rg FROM reads JOIN g USING (rg) WHERE mapped AND (fraction >= 1 OR substr(md5(name), 1, 6) < lower(lpad(hex(CAST(floor(fraction * 16777216) AS BIGINT)), 6, '0')))""",
+    "reads",
+)
+def subsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = view(spark, sf_dir, "reads")
+    retained = groups.retained_groups(groups.flag_tally(reads).where("status <> 'all'"), least=200, target=1000)
+    return groups.subsample(reads, retained).select("name", "rg")
+
+
+CELLS = """, s AS (SELECT CASE WHEN second_mate THEN 39 ELSE 0 END AS o, seq, qual FROM reads UNION ALL SELECT 32, xi, yi FROM reads WHERE NOT second_mate UNION ALL SELECT 71, xj, yj FROM reads WHERE NOT second_mate),
+x AS (SELECT o + i AS cycle, substr(seq, i, 1) AS base, ascii(substr(qual, i, 1)) - 33 AS q FROM (SELECT o, seq, qual, unnest(range(1, length(seq) + 1)) AS i FROM s)),
+h AS (SELECT cycle, base, q FROM x WHERE base IN ('A', 'C', 'G', 'T') AND q BETWEEN 0 AND 50)
+"""
+
+
+def _histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.quality_histogram(view(spark, sf_dir, "reads"), 32, 7, 32)
+
+
+@query(CELLS + "SELECT CAST(cycle AS BIGINT) AS cycle, base, CAST(q AS BIGINT) AS q, count(*) AS n FROM h GROUP BY ALL", "reads")
+def quality_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(_histogram(spark, sf_dir), "cycle", "q")
+
+
+@query(
+    CELLS + "SELECT CAST(cycle AS BIGINT) AS cycle, base, round(avg(q), 9) AS mean_q, CAST(min(q) AS BIGINT) AS min_q, CAST(max(q) AS BIGINT) AS max_q, "
+    + ", ".join(f"round(quantile_cont(CAST(q AS DOUBLE), {x}), 9) AS p{round(100 * x):02d}" for x in profiles.QUANTILES) + " FROM h GROUP BY cycle, base",
+    "reads",
+)
+def quality_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = longs(profiles.quality_quantiles(_histogram(spark, sf_dir)), "cycle", "min_q", "max_q")
+    return rounded(made, "mean_q", *[f"p{round(100 * x):02d}" for x in profiles.QUANTILES])
+
+
+@query(
+    f""", s AS (SELECT name, rg, pos, reverse, insert_size, {SUM_Q} AS sum_q FROM reads WHERE mapped)
+SELECT name, CAST(sum_q AS BIGINT) AS sum_q, count(*) OVER w AS n_at_place, name <> first_value(name) OVER (PARTITION BY rg, pos, reverse, insert_size ORDER BY sum_q DESC, name) AS duplicate
+FROM s WINDOW w AS (PARTITION BY rg, pos, reverse, insert_size)""",
+    "reads",
+)
+def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(profiles.mark_duplicates(view(spark, sf_dir, "reads")), "sum_q")
+
+
+POSITIONS = ", x AS (SELECT i AS cycle, substr(seq, i, 1) AS base FROM (SELECT seq, unnest(range(1, length(seq) + 1)) AS i FROM reads))\n"
+
+
+@query(POSITIONS + "SELECT cycle, " + ", ".join(f"count(*) FILTER (WHERE base = '{b}') AS n_{b.lower()}" for b in "ACGTN") + ", round(100.0 * count(*) FILTER (WHERE base IN ('G', 'C')) / nullif(count(*) FILTER (WHERE base <> 'N'), 0), 9) AS gc_pct FROM x GROUP BY cycle", "reads")
+def base_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(longs(profiles.base_content(view(spark, sf_dir, "reads")), "cycle"), "gc_pct")
+
+
+@query(f"SELECT CAST(floor(100.0 * ({N['G']} + {N['C']}) / {RESOLVED}) AS BIGINT) AS gc_pct, count(*) AS n FROM reads GROUP BY 1", "reads")
+def gc_per_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(profiles.gc_per_read(view(spark, sf_dir, "reads")), "gc_pct")
+
+
+@query(f"SELECT CAST(floor({SUM_Q} / nullif(length(qual), 0)) AS BIGINT) AS mean_q, count(*) AS n FROM reads GROUP BY 1", "reads")
+def quality_per_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(profiles.quality_per_read(view(spark, sf_dir, "reads")), "mean_q")
+
+
+@query("SELECT CAST(length(seq) AS BIGINT) AS length, count(*) AS n FROM reads GROUP BY 1", "reads")
+def length_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(profiles.length_distribution(view(spark, sf_dir, "reads")), "length")
+
+
+@query("SELECT copies, count(*) AS n_sequences FROM (SELECT count(*) AS copies FROM reads GROUP BY seq) GROUP BY copies", "reads")
+def duplication_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.duplication_levels(view(spark, sf_dir, "reads"))
+
+
+@query("SELECT kmer, count(*) AS n FROM (SELECT substr(seq, i, 5) AS kmer FROM (SELECT seq, unnest(range(1, length(seq) - 3)) AS i FROM reads)) WHERE kmer NOT LIKE '%N%' GROUP BY kmer", "reads")
+def kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.kmers(view(spark, sf_dir, "reads"))
+
+
+@query(f", e AS (SELECT {ERR} AS x FROM reads), b AS (SELECT CAST(least(49, floor(least(x, 0.01) * 5000.0)) AS BIGINT) AS bin, count(*) AS n FROM e WHERE x IS NOT NULL GROUP BY 1)\nSELECT bin, n, round(n / sum(n) OVER () / 0.0002, 9) AS density FROM b", "reads")
+def error_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    errors = view(spark, sf_dir, "reads").select(quality.expected_error().alias("x"))
+    return rounded(longs(profiles.density(errors, "x", 0.01), "bin"), "density")
+
+
+@query(
+    ", p AS (SELECT DISTINCT name, paired, seq FROM reads)\nSELECT count(*) AS n_pairs, count(*) FILTER (WHERE a.first_mate) AS n_first FROM reads a WHERE paired",
+    "reads",
+)
+def mate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each read of the view gets a mate, itself turned, so that every pair is found."""
+    reads = view(spark, sf_dir, "reads").where("paired").withColumn("name", F.concat("name", F.when(F.col("first_mate"), "f").otherwise("s")))
+    mates = reads.withColumns({"first_mate": F.col("second_mate"), "second_mate": F.col("first_mate")})
+    pairs = profiles.mate_pairs(reads.unionByName(mates)).where("equal_length")
+    return pairs.agg(F.count("*").alias("n_pairs"), F.count_if(F.col("name").endswith("f")).alias("n_first"))
+
+
+# The alignment walk in SQL, another way: strings of operations and of reference columns, indexed by counts.
+WALK = """, t AS (SELECT *, regexp_extract_all(cigar, '[0-9]+[MIDS]') AS ct, regexp_extract_all(md, '[0-9]+|\\^[A-Z]+|[A-Z]') AS mt FROM reads WHERE mapped),
+u AS (SELECT *, array_to_string(list_transform(list_filter(ct, lambda z: right(z, 1) <> 'D'), lambda z: repeat(right(z, 1), CAST(left(z, length(z) - 1) AS INT))), '') AS ops,
+ array_to_string(list_transform(mt, lambda z: CASE WHEN left(z, 1) = '^' THEN repeat('d', length(z) - 1) WHEN left(z, 1) BETWEEN '0' AND '9' THEN repeat('=', CAST(z AS INT)) ELSE z END), '') AS mdx FROM t),
+v AS (SELECT *, list_filter(range(1, length(mdx) + 1), lambda j: substr(mdx, j, 1) <> 'd') AS cols FROM u),
+w AS (SELECT name, reverse, first_mate, second_mate, paired, nm, pos, seq, qual, ops, mdx, cols, length(seq) AS read_length, unnest(range(1, length(ops) + 1)) AS i FROM v),
+y AS (SELECT *, substr(ops, i, 1) AS op, substr(seq, i, 1) AS base, ascii(substr(qual, i, 1)) - 33 AS q, length(replace(replace(substr(ops, 1, i), 'S', ''), 'I', '')) AS k FROM w),
+z AS (SELECT *, CASE WHEN op = 'M' THEN substr(mdx, cols[k], 1) END AS r, pos + CASE WHEN op = 'M' THEN cols[k] - 1 ELSE coalesce(cols[k + 1] - 1, cols[len(cols)]) END AS ref_pos FROM y),
+bases AS (SELECT *, CASE WHEN r = '=' THEN base ELSE r END AS ref, CASE WHEN op = 'M' THEN (CASE WHEN r = '=' THEN base ELSE r END) = base END AS is_match, CASE WHEN reverse THEN read_length - i + 1 ELSE i END AS cycle FROM z)
+"""
+RESOLVED_M = "op = 'M' AND ref IN ('A','C','G','T')"
+BOTH_M = RESOLVED_M + " AND base IN ('A','C','G','T')"
+TURN = lambda c: f"CASE WHEN reverse THEN translate({c}, 'ACGT', 'TGCA') ELSE {c} END"
+UNMASKED = "ref_pos NOT IN (SELECT pos FROM mask)"
+COUNTS = "count(*) FILTER (WHERE is_match) AS matches, count(*) FILTER (WHERE NOT is_match) AS mismatches"
+
+
+def _bases(spark: SparkSession, sf_dir: str, masked: bool = False) -> DataFrame:
+    return control_profile.control_bases(view(spark, sf_dir, "reads"), None, view(spark, sf_dir, "mask") if masked else None)
+
+
+@query(WALK + "SELECT op, count(*) AS n, count(*) FILTER (WHERE is_match) AS n_match, count(*) FILTER (WHERE NOT is_match) AS n_mismatch, CAST(sum(cycle) AS BIGINT) AS sum_cycle, CAST(sum(ref_pos) AS BIGINT) AS sum_pos, CAST(sum(q) AS BIGINT) AS sum_q FROM bases GROUP BY op", "reads")
+def alignment_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bases = _bases(spark, sf_dir)
+    return bases.groupBy("op").agg(F.count("*").alias("n"), F.count_if("is_match").alias("n_match"), F.count_if(~F.col("is_match")).alias("n_mismatch"), F.sum(alignment.cycle()).alias("sum_cycle"), F.sum("ref_pos").alias("sum_pos"), F.sum("q").alias("sum_q"))
+
+
+@query(WALK + f", c AS (SELECT cycle, {COUNTS} FROM bases WHERE paired AND {BOTH_M} GROUP BY cycle)\nSELECT CAST(s.cycle AS BIGINT) AS cycle, coalesce(matches, 0) AS matches, coalesce(mismatches, 0) AS mismatches, round(100.0 * mismatches / nullif(matches + mismatches, 0), 9) AS error_pct FROM (SELECT unnest(range(1, 33)) AS cycle) s LEFT JOIN c ON s.cycle = c.cycle", "reads")
+def cycle_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = alignment.cycle_error(_bases(spark, sf_dir).where("paired"), 32)
+    return rounded(longs(made, "cycle"), "error_pct")
+
+
+@query(
+    WALK + f", s AS (SELECT cycle, concat({TURN('ref')}, '>', {TURN('base')}) AS type FROM bases WHERE paired AND {BOTH_M}), n AS (SELECT cycle, count(*) AS n_bases FROM s GROUP BY cycle), k AS (SELECT unnest([{', '.join(repr(x) for x in alignment.SUBSTITUTIONS)}]) AS type)\n"
+    "SELECT CAST(n.cycle AS BIGINT) AS cycle, k.type, n.n_bases, count(s.type) AS n, round(100.0 * count(s.type) / n.n_bases, 9) AS pct FROM n CROSS JOIN k LEFT JOIN s ON s.cycle = n.cycle AND s.type = k.type GROUP BY n.cycle, k.type, n.n_bases",
+    "reads",
+)
+def substitution_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bases = _bases(spark, sf_dir).where("paired")
+    return rounded(longs(alignment.substitutions(bases, alignment.cycle()), "cycle"), "pct")
+
+
+def _dense(where: str) -> str:
+    return WALK + f", c AS (SELECT q, {COUNTS} FROM bases WHERE {RESOLVED_M} AND {UNMASKED}{where} GROUP BY q)\nSELECT a.q, coalesce(matches, 0) AS matches, coalesce(mismatches, 0) AS mismatches FROM (SELECT unnest(range(0, (SELECT max(q) + 1 FROM c))) AS q) a LEFT JOIN c ON a.q = c.q"
+
+
+@query(_dense(""), "reads", "mask")
+def obs_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True)), "q")
+
+
+@query(_dense(" AND nm <= 2"), "reads", "mask")
+def obs_pred_nm2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True), max_nm=2), "q")
+
+
+@query(WALK + f"SELECT {TURN('base')} AS base, CAST(q AS BIGINT) AS q, {COUNTS} FROM bases WHERE {RESOLVED_M} AND {UNMASKED} GROUP BY 1, 2", "reads", "mask")
+def obs_pred_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True), alignment.by_base()), "q")
+
+
+CYCLE_COUNTS = WALK + f", c AS (SELECT CAST(cycle AS BIGINT) AS cycle, CAST(q AS BIGINT) AS q, {COUNTS} FROM bases WHERE {RESOLVED_M} AND {UNMASKED} GROUP BY 1, 2)\n"
+
+
+@query(CYCLE_COUNTS + "SELECT * FROM c", "reads", "mask")
+def obs_pred_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True), alignment.by_cycle()), "cycle", "q")
+
+
+OBSERVED = "CASE WHEN mismatches > 0 THEN -10 * log10(mismatches / (mismatches + matches + 1)) END"
+
+
+@query(CYCLE_COUNTS + f", s AS (SELECT q, sum(matches) AS matches, sum(mismatches) AS mismatches FROM c GROUP BY q), o AS (SELECT q, {OBSERVED} AS observed FROM s)\nSELECT count(*) AS n_qualities, round(sqrt(avg(pow(q - observed, 2))), 9) AS rmse FROM o WHERE observed IS NOT NULL", "reads", "mask")
+def observed_quality_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(alignment.quality_rmse(alignment.observed_predicted(_bases(spark, sf_dir, True))), "rmse")
+
+
+@query(
+    CYCLE_COUNTS + f", o AS (SELECT cycle, CASE WHEN q < 6 THEN 0 WHEN q < 12 THEN 1 WHEN q < 18 THEN 2 WHEN q < 24 THEN 3 WHEN q < 30 THEN 4 WHEN q < 35 THEN 5 WHEN q < 40 THEN 6 ELSE 7 END AS bin, matches + mismatches AS m, {OBSERVED} AS observed FROM c)\n"
+    "SELECT cycle, CAST(bin AS BIGINT) AS bin, CAST(sum(m) AS BIGINT) AS n, round(sum(observed * m) / sum(m), 9) AS observed FROM o WHERE m > 200 AND observed IS NOT NULL GROUP BY cycle, bin",
+    "reads", "mask",
+)
+def cycle_quality_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = alignment.observed_predicted(_bases(spark, sf_dir, True), alignment.by_cycle())
+    return rounded(longs(alignment.cycle_quality_bins(counted), "cycle", "bin", "n"), "observed")
+
+
+@query(
+    WALK + f", e AS (SELECT '5p' AS side, cycle AS distance, ref, base, reverse FROM bases WHERE {BOTH_M} AND cycle <= 20 UNION ALL SELECT '3p', read_length - cycle + 1, ref, base, reverse FROM bases WHERE {BOTH_M} AND read_length - cycle + 1 <= 20), "
+    f"s AS (SELECT side, distance, concat({TURN('ref')}, '>', {TURN('base')}) AS type FROM e), n AS (SELECT side, distance, count(*) AS n_bases FROM s GROUP BY ALL), k AS (SELECT unnest([{', '.join(repr(x) for x in alignment.SUBSTITUTIONS)}]) AS type), c AS (SELECT side, distance, type, count(*) AS n FROM s GROUP BY ALL)\n"
+    "SELECT n.side, CAST(n.distance AS BIGINT) AS distance, k.type, coalesce(c.n, 0) AS n, n.n_bases, round(100.0 * coalesce(c.n, 0) / n.n_bases, 9) AS pct FROM n CROSS JOIN k LEFT JOIN c ON c.side = n.side AND c.distance = n.distance AND c.type = k.type",
+    "reads",
+)
+def end_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(longs(alignment.end_substitutions(_bases(spark, sf_dir)), "distance"), "pct")
+
+
+TILES = ", tiles AS (SELECT lane, tile, CAST(max(value) FILTER (WHERE code = 102) AS BIGINT) AS clusters, CAST(max(value) FILTER (WHERE code = 103) AS BIGINT) AS pf_clusters FROM tile_metrics GROUP BY lane, tile)\n"
+PF = "100.0 * pf_clusters / nullif(clusters, 0)"
+
+
+@query(TILES + "SELECT CAST(lane AS BIGINT) AS lane, count(*) AS n_tiles, " + ", ".join(f"round({f}({e}), 6) AS {p}_{c}" for c, e in (("clusters", "clusters"), ("pf_clusters", "pf_clusters"), ("pf_pct", PF)) for f, p in (("avg", "mean"), ("stddev_pop", "sd"))) + " FROM tiles GROUP BY lane", "tile_metrics")
+def lane_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = tiles.lane_stats(tiles.tile_counts(view(spark, sf_dir, "tile_metrics")))
+    return rounded(longs(made, "lane"), *[f"{p}_{c}" for c in ("clusters", "pf_clusters", "pf_pct") for p in ("mean", "sd")], digits=6)
+
+
+@query(
+    ", c AS (SELECT lane, cycle, avg(error_rate) AS m, stddev_pop(error_rate) AS s FROM error_metrics GROUP BY ALL), r AS (SELECT * FROM (VALUES (1, 1, 20), (2, 21, 32)) t(read, a, b))\n"
+    "SELECT CAST(lane AS BIGINT) AS lane, CAST(read AS BIGINT) AS read, round(avg(m), 9) AS mean_error, round(avg(s), 9) AS mean_sd FROM c JOIN r ON cycle BETWEEN a AND b GROUP BY lane, read",
+    "error_metrics",
+)
+def lane_cycle_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = spark.createDataFrame([("run", 1, 20), ("run", 2, 12)], "run string, read int, length int")
+    made = tiles.lane_read_errors(view(spark, sf_dir, "error_metrics"), tiles.read_ranges(lengths))
+    return rounded(longs(made, "lane", "read"), "mean_error", "mean_sd")
+
+
+@query("SELECT CAST(lane AS BIGINT) AS lane, round(avg(error_rate) FILTER (WHERE cycle = 1), 9) AS first_error, round(avg(error_rate) FILTER (WHERE cycle = 16), 9) AS middle_error, round(avg(error_rate) FILTER (WHERE cycle = 32), 9) AS last_error FROM error_metrics GROUP BY lane", "error_metrics")
+def key_cycle_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = tiles.key_cycles(view(spark, sf_dir, "error_metrics"), 1, 32)
+    return rounded(longs(made, "lane"), "first_error", "middle_error", "last_error")
+
+
+@query(" UNION ALL ".join(f"SELECT CAST(lane AS BIGINT) AS lane, CAST(cycle AS BIGINT) AS cycle, '{b.upper()}' AS base, round(avg(int_{b}), 9) AS mean_intensity, round(avg(fwhm_{b}), 9) AS mean_focus FROM extraction_metrics GROUP BY lane, cycle" for b in "acgt"), "extraction_metrics")
+def intensity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = tiles.intensity_profile(view(spark, sf_dir, "extraction_metrics"))
+    return rounded(longs(made, "lane", "cycle"), "mean_intensity", "mean_focus")
+
+
+@query(
+    TILES + ", f AS (SELECT lane, tile, list_sort(flatten(list(list_filter([fwhm_a, fwhm_c, fwhm_g, fwhm_t], lambda x: x IS NOT NULL)))) AS v, avg((int_a + int_c + int_g + int_t) / 4.0) FILTER (WHERE cycle = 1) AS a, avg((int_a + int_c + int_g + int_t) / 4.0) FILTER (WHERE cycle = 21) AS b FROM extraction_metrics GROUP BY lane, tile)\n"
+    f"SELECT CAST(t.lane AS BIGINT) AS lane, CAST(t.tile AS BIGINT) AS tile, CAST(clusters AS DOUBLE) AS clusters, CAST(pf_clusters AS DOUBLE) AS pf_clusters, round({PF}, 6) AS pf_pct, round(a, 6) AS first_intensity, round(b, 6) AS late_intensity, round(100.0 * b / nullif(a, 0), 6) AS kept_pct, round(v[1], 6) AS min_focus, round(v[len(v) // 2 + 1], 6) AS median_focus, round(v[len(v)], 6) AS max_focus FROM tiles t LEFT JOIN f ON t.lane = f.lane AND t.tile = f.tile",
+    "tile_metrics", "extraction_metrics",
+)
+def tile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = tiles.tile_table(view(spark, sf_dir, "extraction_metrics"), tiles.tile_counts(view(spark, sf_dir, "tile_metrics")))
+    return rounded(longs(made, "lane", "tile"), "pf_pct", "first_intensity", "late_intensity", "kept_pct", "min_focus", "median_focus", "max_focus", digits=6)
+
+
+@query(
+    TILES + ", a AS (SELECT lane, tile, CASE WHEN tile % 3 <> 0 THEN clusters END AS clusters, pf_clusters FROM tiles WHERE tile % 5 <> 0), b AS (SELECT lane, tile, clusters, -1 AS pf_clusters FROM tiles WHERE tile % 7 <> 0)\n"
+    "SELECT CAST(coalesce(a.lane, b.lane) AS BIGINT) AS lane, CAST(coalesce(a.tile, b.tile) AS BIGINT) AS tile, coalesce(a.clusters, b.clusters) AS clusters, CAST(coalesce(a.pf_clusters, b.pf_clusters) AS BIGINT) AS pf_clusters FROM a FULL JOIN b ON a.lane = b.lane AND a.tile = b.tile",
+    "tile_metrics",
+)
+def merged_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tiles.tile_counts(view(spark, sf_dir, "tile_metrics"))
+    first = counts.where("tile % 5 <> 0").withColumn("clusters", F.when(F.col("tile") % 3 != 0, F.col("clusters")))
+    second = counts.where("tile % 7 <> 0").withColumn("pf_clusters", F.lit(-1).cast("long"))
+    return longs(tiles.merge_tiles(first, second, ["clusters", "pf_clusters"]), "lane", "tile")
+
+
+@query("SELECT CAST(lane AS BIGINT) AS lane, CAST(tile AS BIGINT) AS tile, count(*) FILTER (WHERE substr(seq, 1, 2) IN ('AC', 'GT')) AS n_control, count(*) AS n_clusters, round(100.0 * count(*) FILTER (WHERE substr(seq, 1, 2) IN ('AC', 'GT')) / count(*), 9) AS control_pct FROM (SELECT lane, 1101 + pos % 14 AS tile, seq FROM reads) GROUP BY ALL", "reads")
+def bcl_control_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12, A11 on base calls: the view's reads taken apart into calls by cycle."""
+    reads = view(spark, sf_dir, "reads").select("lane", (1101 + F.col("pos") % 14).alias("tile"), F.monotonically_increasing_id().alias("cluster"), "seq")
+    calls = reads.select("lane", "tile", "cluster", F.posexplode(F.split(F.substring("seq", 1, 4), "")).alias("cycle", "base")).where("base <> ''").withColumn("cycle", F.col("cycle") + 1)
+    made = tiles.control_fraction(tiles.index_of_calls(calls, 1, 2), ["AC", "GT"])
+    return rounded(longs(made, "lane", "tile"), "control_pct")
+
+
+@query("SELECT name, concat('', substr(seq, 3, 14)) AS seq1, substr(qual, 3, 14) AS qual1, substr(seq, 17, 16) AS seq2, substr(qual, 17, 16) AS qual2 FROM reads WHERE substr(seq, 1, 2) = 'AC'", "reads")
+def control_reads_by_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fastq = view(spark, sf_dir, "reads").select(F.col("name").alias("id"), "seq", "qual")
+    return indices.control_reads_by_cycle(fastq, "AC", 1, (3, 14), (17, 16)).withColumnRenamed("id", "name")
+
+
+LOOKUP = "SELECT s.name, s.p7, s.p5, a.seq AS p7_seq, b.seq AS p5_seq FROM index_sheet s LEFT JOIN index_dict a ON a.kind = 'p7' AND a.id = s.p7 LEFT JOIN index_dict b ON b.kind = 'p5' AND b.id = s.p5"
+
+
+@query(LOOKUP, "index_sheet", "index_dict")
+def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indices.lookup(view(spark, sf_dir, "index_sheet"), view(spark, sf_dir, "index_dict"))
+
+
+@query(
+    "SELECT name, 'unknown p7' AS problem, p7 AS value FROM index_sheet WHERE p7 NOT IN (SELECT id FROM index_dict WHERE kind = 'p7') UNION ALL SELECT name, 'unknown p5', p5 FROM index_sheet WHERE p5 NOT IN (SELECT id FROM index_dict WHERE kind = 'p5') "
+    "UNION ALL SELECT name, 'illegal name', name FROM index_sheet WHERE NOT regexp_full_match(name, '[A-Za-z0-9_.-]+') UNION ALL SELECT NULL, concat('duplicate ', kind), id FROM index_dict GROUP BY kind, id HAVING count(*) > 1",
+    "index_sheet", "index_dict",
+)
+def index_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indices.invalid(view(spark, sf_dir, "index_sheet"), view(spark, sf_dir, "index_dict"))
+
+
+@query("SELECT name, p7, p5 FROM index_sheet UNION ALL SELECT concat('control', b), repeat(b, 7), NULL FROM (SELECT unnest(['A', 'C', 'G', 'T']) AS b) WHERE repeat(b, 7) NOT IN (SELECT p7 FROM index_sheet)", "index_sheet")
+def index_with_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indices.with_controls(view(spark, sf_dir, "index_sheet"), indices.control_sequences(spark, 7))
+
+
+RANK = "CASE marker WHEN 'completed' THEN 3 WHEN 'failed' THEN 2 WHEN 'progress' THEN 1 WHEN 'started' THEN 0 ELSE -1 END"
+
+
+@query(f"SELECT run_id, CAST(lane AS BIGINT) AS lane, arg_max(marker, {RANK}) AS status, count(*) AS n_markers, count(DISTINCT proc) FILTER (WHERE marker = 'completed') AS n_done FROM run_events GROUP BY run_id, lane", "run_events")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(runs.lane_status(view(spark, sf_dir, "run_events")), "lane")
+
+
+@query(
+    ", r AS (SELECT DISTINCT concat(strftime(CAST(ts AS TIMESTAMP), '%y%m%d'), '_M', CAST(lane AS VARCHAR), '_', run_id) AS run_id, CAST(ts AS DATE) AS d, lane FROM run_events), g AS (SELECT *, date_diff('day', d, DATE '2024-07-20') AS age FROM r)\n"
+    "SELECT run_id, d AS run_date, concat('M', CAST(lane AS VARCHAR)) AS instrument, substr(run_id, 8) AS experiment, age AS age_days, CASE WHEN lane = 1 THEN 'keep' WHEN age > 3650 THEN 'delete' WHEN age > 180 THEN 'drop_intensities' ELSE 'keep' END AS retention FROM g",
+    "run_events",
+)
+def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = view(spark, sf_dir, "run_events")
+    ids = events.select(F.concat(F.date_format("ts", "yyMMdd"), F.lit("_M"), F.col("lane").cast("string"), F.lit("_"), F.col("run_id")).alias("run_id")).distinct()
+    dated = ids.withColumns(runs.run_fields(F.col("run_id")))
+    allowed = dated.where("instrument = 'M1'").select("run_id")
+    return longs(runs.retention(dated, F.lit("2024-07-20").cast("date"), allow=allowed), "age_days")
+
+
+def _settled(spark: SparkSession, build: Callable[[DataFrame], DataFrame], sf_dir: str, mode: str) -> DataFrame:
+    """A stream over the events, run to its end; its state lies in the shared checkpoint folder."""
+    name = f"runloom_{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return stream.settle(build(stream.event_stream(spark, sf_dir)), name, mode, f"{base}/{name}" if base else "")
+
+
+@query("SELECT DISTINCT run_id FROM run_events WHERE marker = 'completed'", "run_events")
+def new_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _settled(spark, stream.new_runs, sf_dir, "append")
+
+
+@query("SELECT run_id, CAST(max(cycle) AS BIGINT) AS last_cycle, count(*) FILTER (WHERE marker = 'completed') AS n_done, count(*) AS n_total, round(100.0 * count(*) FILTER (WHERE marker = 'completed') / count(*), 9) AS done_pct FROM run_events GROUP BY run_id", "run_events")
+def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(longs(_settled(spark, stream.run_progress, sf_dir, "complete"), "last_cycle"), "done_pct")
+
+
+@query("SELECT run_id, arg_max(marker, CASE marker WHEN 'completed' THEN 3 WHEN 'failed' THEN 2 WHEN 'started' THEN 1 ELSE 0 END) AS state, count(*) AS n_events FROM run_events GROUP BY run_id", "run_events")
+def run_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _settled(spark, stream.run_listing, sf_dir, "complete")
+
+
+@query()
+def started_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _settled(spark, stream.started_notices, sf_dir, "append")
+
+
+@query()
+def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-1 over all reads; the sheet's p7 sequences are the samples."""
+    sheet = indices.lookup(view(spark, sf_dir, "index_sheet"), view(spark, sf_dir, "index_dict")).where("p7_seq IS NOT NULL").dropDuplicates(["p7_seq"]).withColumn("name", F.col("p7"))
+    return demultiplex.summary(demultiplex.assign(view(spark, sf_dir, "reads"), sheet.withColumn("p5_seq", F.lit(None).cast("string")), max_mismatches=1))
+
+
+@query()
+def trimmed_and_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-2 over all reads: mates cut from each read so that 24 bases of both ends overlap by 16."""
+    reads = view(spark, sf_dir, "reads").where("seq NOT LIKE '%N%'")
+    turned = lambda c: F.reverse(F.translate(F.substring(c, 9, 24), "ACGT", "TGCA"))
+    pairs = reads.select("name", F.substring("seq", 1, 24).alias("seq1"), F.substring("qual", 1, 24).alias("qual1"), turned("seq").alias("seq2"), F.reverse(F.substring("qual", 9, 24)).alias("qual2"))
+    return merging.merge_log(merging.trim_and_merge(pairs, "AGATCGGAAGAGC"))
