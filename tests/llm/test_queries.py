@@ -1,0 +1,69 @@
+"""The registered queries on the smallest tables, and the pipeline against brute force."""
+
+import os
+
+import pytest
+
+from runloom.llm import bpe, language, line_dedup, queries, simhash, substring_dedup
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_against_sql(spark, name):
+    import duckdb
+
+    c = duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    made = queries.QUERIES[name](spark, SF)
+    columns = sorted(made.columns)
+    found = c.execute(queries.ORACLE_SQL[name])
+    names = [x[0] for x in found.description]
+    assert sorted(names) == columns
+    want = sorted((repr([r[names.index(k)] for k in columns]) for r in found.fetchall()))
+    assert sorted(repr([r[k] for k in columns]) for r in made.collect()) == want
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    raw = {r["doc_id"]: r["text"] for r in docs.collect()}
+    dictionaries = language.learn(docs.where(~language.held_out()))
+    kept = {r["doc_id"] for r in language.classify(docs, dictionaries).where("NOT rejected").collect()}
+    rows = [(i, t) for i, t in raw.items() if i in kept]
+    space = " \t\n\v\f\r"
+    where = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            k = line.strip(space)
+            where.setdefault("".join(c.lower() if c.isascii() else c for c in k), set()).add(i)
+
+    def keep(i, line):
+        k = "".join(c.lower() if c.isascii() else c for c in line.strip(space))
+        return len(k) < 40 or len(where[k]) < 5 or i == max(where[k])
+
+    rows = [(i, "\n".join(x for x in (t or "").split("\n") if keep(i, x))) for i, t in rows]
+    groups = simhash.brute_force(rows)
+    rows = [(i, t) for i, t in rows if groups[i][1] == i]
+    want = substring_dedup.brute_force(rows)
+    library = bpe.encoder(queries.tokenizer("byte_bpe_50k.json")).library
+    made = p.run(spark, SF).collect()
+    assert {r["doc_id"] for r in made} == {i for i, _ in rows}
+    tokens = {r["doc_id"]: r["doc_tokens"] for r in made}
+    for i, t in rows:
+        if want[i][1] == 0:
+            assert tokens[i] == len(library.encode(t, add_special_tokens=False).ids) + 1
+    sequences = {}
+    for r in made:
+        sequences[r["sequence_id"]] = sequences.get(r["sequence_id"], 0) + r["length"]
+    assert max(sequences.values()) <= 2048 and sum(sequences.values()) == sum(tokens.values())
+    assert line_dedup.digest(line_dedup.drop_lines(docs)).count() == len(raw)
+
+
+def test_held_out_accuracy(spark):
+    made = queries.op4_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id")
+    test = made.where("held_out").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in test) >= 0.97 * len(test)
