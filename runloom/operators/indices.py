@@ -42,11 +42,11 @@ def control_sequences(spark, length: int) -> DataFrame:
 
 def control_reads(reads: DataFrame, indices: list[str] | DataFrame, strict: bool = False) -> DataFrame:
     """P10: reads whose first index is one of the list, or of the column `seq` of a table; strict: a missing index raises."""
-    if strict:
-        reads = reads.where(F.when(F.col("xi").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.lit("a read has no index")).cast("boolean")))
+    # One expression for test and match: a filter of its own would be skipped for rows that cannot match.
+    index = F.coalesce("xi", F.raise_error(F.lit("a read has no index")).cast("string")) if strict else F.col("xi")
     if isinstance(indices, DataFrame):
-        return reads.join(indices.select(F.col("seq").alias("__seq")), F.col("xi") == F.col("__seq"), "left_semi")
-    return reads.where(F.col("xi").isin(indices))
+        return reads.join(indices.select(F.col("seq").alias("__seq")), index == F.col("__seq"), "left_semi")
+    return reads.where(index.isin(indices))
 
 
 def control_reads_by_cycle(fastq: DataFrame, index: str, index_start: int, read1: tuple[int, int], read2: tuple[int, int] | None = None) -> DataFrame:
