@@ -50,27 +50,36 @@ def filter_report(flagged: DataFrame) -> DataFrame:
     return flagged.agg(F.count("*").alias("n_total"), *[n(c) for c in ("failed_before", "fails_length", "fails_entropy", "fails_frequency", "fails_error", "failed_qc")])
 
 
+#: Values that are sorted on the driver at most.
+MOST_SORTED = 50_000
+
+
 def kth_smallest(values: DataFrame, column: str, k: int) -> float | None:
     """The k-th smallest value (from 0), exactly and without a global sort.
 
-    An approximate quantile brackets it; only the values inside the bracket, one row each
-    with its count, are ranked.
+    Approximate quantiles bracket it, and again inside the bracket, until a single value or at
+    most MOST_SORTED rows are left; each round is an aggregate and narrows some hundredfold.
     """
-    n, = values.agg(F.count(column)).first()
-    if not n:
-        return None
-    k = min(max(k, 0), n - 1)
-    slack = 1e-3
-    low, high = values.agg(F.percentile_approx(column, [max(0.0, k / n - slack), min(1.0, (k + 1) / n + slack)], 10_000)).first()[0]
-    below = values.agg(F.count_if(F.col(column) < low)).first()[0]
-    if below > k:
-        low, below = float("-inf"), 0
-    inside = values.where((F.col(column) >= low) & (F.col(column) <= high)).groupBy(column).count()
-    for value, count in inside.orderBy(column).toLocalIterator():
-        below += count
-        if below > k:
-            return value
-    return values.agg(F.max(column)).first()[0]
+    x = F.col(column)
+    inside, below, slack = values.where(x.isNotNull()), 0, 1e-3
+    k = max(k, 0)
+    while True:
+        n, least, most = inside.agg(F.count("*"), F.min(x), F.max(x)).first()
+        if not n:
+            return None
+        at = min(k - below, n - 1)
+        if least == most:
+            return least
+        if n <= MOST_SORTED:
+            return inside.orderBy(x).select(column).collect()[at][0]
+        low, high = inside.agg(F.percentile_approx(x, [max(0.0, at / n - slack), min(1.0, (at + 1) / n + slack)], 10_000)).first()[0]
+        under, upto = inside.agg(F.count_if(x < low), F.count_if(x <= high)).first()
+        if under <= at < upto and upto - under < n:
+            inside, below = inside.where((x >= low) & (x <= high)), below + under
+        else:
+            slack *= 10  # the bracket missed, or narrowed nothing
+            if slack > 1:
+                return inside.orderBy(x).select(column).limit(at + 1).agg(F.max(x)).first()[0]
 
 
 def bottom_percent(reads: DataFrame, percent: float, metric: Column | None = None) -> DataFrame:

@@ -37,7 +37,9 @@ def test_flags(spark):
             flags.flag_reads(df, **bad)
 
 
-def test_kth_smallest(spark):
+@pytest.mark.parametrize("most", [50_000, 20])
+def test_kth_smallest(spark, monkeypatch, most):
+    monkeypatch.setattr(flags, "MOST_SORTED", most)
     r = random.Random(1)
     values = [r.randrange(50) / 7 for _ in range(3000)] + [None]
     df = spark.createDataFrame([(v,) for v in values], "x double")
