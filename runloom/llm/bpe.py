@@ -18,8 +18,8 @@ LETTER, DIGIT, OTHER, SPACE = range(4)
 #: White_Space of Unicode.
 WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Slots of the table, a power of two, and entries after which it is emptied.
-SLOTS = 1 << 22
-MOST_ENTRIES = 1_500_000
+SLOTS = 1 << 21
+MOST_ENTRIES = 900_000
 
 _classes: np.ndarray | None = None
 _encoders: dict[str, Encoder] = {}

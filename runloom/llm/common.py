@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,15 @@ def slices(lengths: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
+def parts(batches, text: int, most: int = 1 << 20):
+    """The batches cut into parts of about `most` bytes of the text column, so that little is unpacked at a time."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, b in slices(lengths, most):
+            yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
+
+
 def to_bytes(column) -> list[bytes]:
     """UTF-8 of a string column; null becomes empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -85,7 +95,7 @@ def to_bytes(column) -> list[bytes]:
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64 for i below n (kept, and grown by doubling)."""
+    """base**i and its inverse modulo 2**64 for i below n (kept, and grown in steps)."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
         size = max(n, 1 << 16, 0 if have is None else min(2 * len(have[0]), 4 << 20))

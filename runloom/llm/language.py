@@ -108,7 +108,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     place = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.parts(batches, place):
             raw = batch.column(place).to_pylist()
             ok = np.array([x is not None and bool(names) and any(map(str.isalpha, x)) for x in raw], dtype=bool)
             sizes = _sizes([plain(x) if good else b"" for x, good in zip(raw, ok.tolist(), strict=True)], model)

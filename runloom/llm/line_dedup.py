@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 
 from . import common, packed
 
-SLICE_BYTES = 1 << 20
-CHUNK_BYTES = 8 << 20
-BUCKET_KEYS = 2_000_000
+SLICE_BYTES = 1 << 19
+CHUNK_BYTES = 4 << 20
+BUCKET_KEYS = 1_000_000
 #: Bits of each of a bucket's two filters, and hash functions.  Fixed: buckets have a bounded
 #: number of keys (about BUCKET_KEYS), so this is 16 bits a key or more.
-BLOOM_BITS = 1 << 25
+BLOOM_BITS = 1 << 24
 BLOOM_HASHES = 4
 #: Stands for a null id: such documents are one document, and never the one that keeps a line.
 NO_ID = -(1 << 63)

@@ -23,23 +23,21 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, size: int, en
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder(path)
-        for batch in batches:
-            texts = common.to_bytes(batch.column(1))
-            for a, b in common.slices(np.array([len(x) for x in texts], dtype=np.int64), SLICE_BYTES):
-                ids, n = encoder.encode(texts[a:b])
-                limits = np.cumsum(n + 1)
-                all_ids = np.insert(ids, np.cumsum(n), end_id).astype("<u4")
-                count = -(-(n + 1) // size)
-                doc = np.repeat(np.arange(b - a), count)
-                start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * size
-                length = np.minimum(size, (n + 1)[doc] - start)
-                at = (limits - n - 1)[doc] + start
-                raw = all_ids.tobytes()
-                crc = [zlib.crc32(raw[4 * x : 4 * (x + y)]) for x, y in zip(at.tolist(), length.tolist(), strict=True)]
-                out = [batch.column(0).slice(a, b - a).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array((n + 1)[doc])]
-                if with_ids:
-                    out.append(pa.ListArray.from_arrays(np.append(at, len(all_ids)).astype(np.int32), all_ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(out, names=schema.names)
+        for part in common.parts(batches, 1, SLICE_BYTES):
+            ids, n = encoder.encode(common.to_bytes(part.column(1)))
+            limits = np.cumsum(n + 1)
+            all_ids = np.insert(ids, np.cumsum(n), end_id).astype("<u4")
+            count = -(-(n + 1) // size)
+            doc = np.repeat(np.arange(len(n)), count)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * size
+            length = np.minimum(size, (n + 1)[doc] - start)
+            at = (limits - n - 1)[doc] + start
+            raw = all_ids.tobytes()
+            crc = [zlib.crc32(raw[4 * x : 4 * (x + y)]) for x, y in zip(at.tolist(), length.tolist(), strict=True)]
+            out = [part.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array((n + 1)[doc])]
+            if with_ids:
+                out.append(pa.ListArray.from_arrays(np.append(at, len(all_ids)).astype(np.int32), all_ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(cut, schema)
 

@@ -46,9 +46,9 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int = 4) ->
     schema = T.StructType([docs.schema[id_col], T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = np.array([fingerprint(x, words) for x in common.to_bytes(batch.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=schema.names)
+        for part in common.parts(batches, 1, SLICE_BYTES):
+            fp = np.array([fingerprint(x, words) for x in common.to_bytes(part.column(1))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 

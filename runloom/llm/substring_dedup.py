@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from . import common, packed
 
 #: Text of a chunk that is hashed at a time, and of a chunk.
-SLICE_BYTES = 1 << 20
-CHUNK_BYTES = 8 << 20
-BUCKET_KEYS = 3_000_000
+SLICE_BYTES = 1 << 19
+CHUNK_BYTES = 4 << 20
+BUCKET_KEYS = 2_000_000
 REST_BITS = np.uint64(16)
 
 

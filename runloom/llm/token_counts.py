@@ -23,11 +23,9 @@ def _whole(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder(path)
-        for batch in batches:
-            texts = common.to_bytes(batch.column(1))
-            n = np.array([len(x) for x in texts], dtype=np.int64)
-            for a, b in common.slices(n, SLICE_BYTES):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n[a:b]), pa.array(encoder.counts(texts[a:b]))], names=schema.names)
+        for part in common.parts(batches, 1, SLICE_BYTES):
+            texts = common.to_bytes(part.column(1))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(encoder.counts(texts))], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(count, schema)
 
