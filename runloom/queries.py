@@ -235,7 +235,7 @@ def error_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    ", p AS (SELECT DISTINCT name, paired, seq FROM reads)\nSELECT count(*) AS n_pairs, count(*) FILTER (WHERE a.first_mate) AS n_first FROM reads a WHERE paired",
+    ", c AS (SELECT name, first_mate, count(*) AS n FROM reads WHERE paired GROUP BY ALL)\nSELECT CAST(sum(n * n) AS BIGINT) AS n_pairs, CAST(sum(n * n) FILTER (WHERE first_mate) AS BIGINT) AS n_first FROM c",
     "reads",
 )
 def mate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
