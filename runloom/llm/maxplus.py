@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +40,18 @@ class Model(bpe.PieceTable):
         self.of = {self.pieces[i]: (i, float(self.scores[i])) for i in plain}
         self.bytes = {int(p[1:-1], 16): i for i, p in enumerate(self.pieces) if library.is_byte(i)}
         self.longest = max(map(len, self.of))
-        #: Every start of a piece, so that a search ends early.
-        self.stems = {p[:n] for p in self.of for n in range(1, len(p) + 1)}
+        #: Characters to deeper levels; "" to the (id, score) of a piece that ends there.
+        self.trie: dict = {}
+        for p, hit in self.of.items():
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = hit
+        low = min(self.bytes.values(), default=0)
+        plain_bytes = [bytes([i - low]) if i in set(self.bytes.values()) else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
+        self.width = np.array(list(map(len, plain_bytes)), dtype=np.int64)
+        self.place = np.cumsum(self.width) - self.width
+        self.data = np.frombuffer(b"".join(plain_bytes), np.uint8)
         self.unknown = float(min(self.scores[plain])) - UNKNOWN_PENALTY
         if any(MARK in p.lstrip(MARK) for p in self.of):
             raise ValueError("pieces that reach from one word into the next are not supported")
@@ -56,31 +67,33 @@ class Model(bpe.PieceTable):
         text = token.decode().replace(" ", MARK)
         return self.path(text, self.forward(text, 0, len(text)), 0, len(text))
 
-    def edges(self, text: str, at: int) -> list[tuple[int, int, float]]:
-        """(length, id, score) of the pieces at a place; id -1 stands for an unknown character."""
-        out = []
-        for n in range(1, min(self.longest, len(text) - at) + 1):
-            part = text[at : at + n]
-            if part not in self.stems:
-                break
-            if part in self.of:
-                out.append((n, *self.of[part]))
-        if not out or out[0][0] > 1:
-            out.append((1, -1, self.unknown))
-        return out
-
     def forward(self, text: str, start: int, end: int) -> tuple[list[float], list[int], list[int]]:
-        """Best score, piece and its start for every place from start; pieces begin before `end`, ties go to the longest last piece."""
-        size = min(len(text), end + self.longest) + 1
-        best, back, by = [LOWEST] * size, [-1] * size, [-1] * size
+        """Best score, piece (-1: an unknown character) and its start for every place from start.
+
+        Pieces begin before `end`; ties go to the longest last piece.
+        """
+        limit = min(len(text), end + self.longest)
+        best, back, by = [LOWEST] * (limit + 1), [-1] * (limit + 1), [-1] * (limit + 1)
         best[start] = 0.0
+        trie, unknown = self.trie, self.unknown
         for i in range(start, end):
             here = best[i]
             if here == LOWEST:
                 continue
-            for n, piece, score in self.edges(text, i):
-                if i + n < size and here + score > best[i + n]:
-                    best[i + n], back[i + n], by[i + n] = here + score, i, piece
+            node, j, alone = trie, i, True
+            while j < limit:
+                node = node.get(text[j])
+                if node is None:
+                    break
+                j += 1
+                hit = node.get("")
+                if hit is not None:
+                    if j == i + 1:
+                        alone = False
+                    if here + hit[1] > best[j]:
+                        best[j], back[j], by[j] = here + hit[1], i, hit[0]
+            if alone and here + unknown > best[i + 1]:
+                best[i + 1], back[i + 1], by[i + 1] = here + unknown, i, -1
         return best, back, by
 
     def path(self, text: str, run: tuple, start: int, end: int) -> list[int]:
@@ -101,11 +114,13 @@ class Model(bpe.PieceTable):
         byte = (value >= 0) & (value < 256)
         return float(self.scores[ids[~byte]].sum() + self.unknown * np.count_nonzero(byte & ((value & 0xC0) != 0x80)))
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids, without the space in front."""
-        low = min(self.bytes.values()) if self.bytes else -1
-        data = b"".join(bytes([i - low]) if 0 <= i - low < 256 and self.bytes else self.pieces[i].encode() for i in ids)
-        return data.decode(errors="replace").replace(MARK, " ")[1:]
+    def decode(self, ids: np.ndarray, n: np.ndarray) -> list[str]:
+        """The texts of id arrays that stand one behind another, n of each, without the space in front."""
+        width = self.width[ids]
+        total = np.concatenate([[0], np.cumsum(width)])
+        data = self.data[np.repeat(self.place[ids] - total[:-1], width) + np.arange(total[-1])].tobytes()
+        ends = np.cumsum(n)
+        return [data[total[e - k] + 1 : total[e]].decode(errors="replace") if k else "" for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
 
     # A chunk covers [0, end) of its text, behind which up to longest - 1 characters follow.
     # State s at a limit: the piece that crosses it ends s characters behind it.
@@ -120,33 +135,29 @@ class Model(bpe.PieceTable):
             last -= 1
         return at[0], last
 
-    def transfer(self, text: str, end: int) -> np.ndarray:
-        """The chunk's matrix: best score from each state at its start to each at its end."""
+    def transfer(self, text: str, end: int, middle: float | None) -> np.ndarray:
+        """The chunk's matrix: best score from each state at its start to each at its end.
+
+        middle: the score of the units between its fixed places; None if it has none.
+        """
         states = self.longest
         first, last = self.fixed(text, end)
-        out = np.full((states, states), LOWEST)
         head = [self.forward(text, s, first)[0] if s <= first else None for s in range(states)]
-        if first == end:
+        if middle is None:
+            out = np.full((states, states), LOWEST)
             for s, best in enumerate(head):
                 if best is not None:
                     for e in range(min(states, len(best) - end)):
                         out[s, e] = best[end + e]
             return out
-        middle = self.total(self.encode([text[first:last].replace(MARK, " ").encode()])[0]) if last > first else 0.0
         tail = self.forward(text, last, end)[0]
         ends = np.array([tail[end + e] if end + e < len(tail) else LOWEST for e in range(states)])
         starts = np.array([best[first] for best in head])
         return starts[:, None] + middle + ends[None, :]
 
-    def backtrace(self, text: str, end: int, enter: int, leave: int) -> list[int]:
-        """Ids of the pieces that start in the chunk, between known states."""
-        if enter >= end + leave:
-            return []
-        first, last = self.fixed(text, end)
-        if first == end:
-            return self.path(text, self.forward(text, enter, end), enter, end + leave)
-        middle = self.encode([text[first:last].replace(MARK, " ").encode()])[0].tolist() if last > first else []
-        return [*self.path(text, self.forward(text, enter, first), enter, first), *middle, *self.path(text, self.forward(text, last, end), last, end + leave)]
+    def walk(self, text: str, start: int, end: int, last: int) -> list[int]:
+        """Ids of the best path from start to last, whose pieces begin before end."""
+        return self.path(text, self.forward(text, start, end), start, last) if last > start else []
 
 
 def model(path: str) -> Model:
@@ -178,13 +189,11 @@ def _whole(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in batches:
-            texts = common.to_bytes(batch.column(1))
-            for a, b in common.slices(np.array([len(x) for x in texts], dtype=np.int64), SLICE_BYTES):
-                ids, n = m.encode([b" " + x if x else b"" for x in texts[a:b]])
-                ends = np.cumsum(n)
-                score = [m.total(ids[e - k : e]) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), ids.astype(np.int32)), pa.array(score, pa.float64())], names=schema.names)
+        for part in common.parts(batches, 1, SLICE_BYTES):
+            ids, n = m.encode([b" " + x if x else b"" for x in common.to_bytes(part.column(1))])
+            ends = np.cumsum(n)
+            score = [m.total(ids[e - k : e]) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), ids.astype(np.int32)), pa.array(score, pa.float64())], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
@@ -222,13 +231,20 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     end = len(text) if k == len(starts) - 1 else s + chunk
                     yield pa.RecordBatch.from_arrays([pa.array([uid]), pa.array([k]), pa.array([k == len(starts) - 1]), pa.array([end - s]), pa.array([text[s : end + over]])], names=["uid", "k", "last", "size", "part"])
 
-    chunks = common.table(giant.select("uid", text_col).dropDuplicates(["uid"]).mapInArrow(cut, "uid string, k long, last boolean, size long, part string").repartition(n, "uid", "k"))
+    chunks = giant.select("uid", text_col).dropDuplicates(["uid"]).mapInArrow(cut, "uid string, k long, last boolean, size long, part string").repartition(n, "uid", "k")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # With the matrix go the ids of the middle, which no state changes, and the two ends' texts.
         m = model(path)
-        for batch in batches:
-            found = [m.transfer(t, size).tobytes() for t, size in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], names=["uid", "k", "matrix"])
+        for part in common.parts(batches, 4, SLICE_BYTES):
+            texts, sizes = part.column(4).to_pylist(), part.column(3).to_pylist()
+            limits = [m.fixed(t, size) for t, size in zip(texts, sizes, strict=True)]
+            ids, n = m.encode([t[a:b].replace(MARK, " ").encode() for t, (a, b) in zip(texts, limits, strict=True)])
+            ends = np.cumsum(n)
+            middles = [None if a == size else m.total(ids[e - k : e]) for (a, _), size, e, k in zip(limits, sizes, ends.tolist(), n.tolist(), strict=True)]
+            found = [m.transfer(t, size, middle).tobytes() for t, size, middle in zip(texts, sizes, middles, strict=True)]
+            inside = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), ids.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(found, pa.binary()), inside, pa.array([t[:a] for t, (a, _) in zip(texts, limits, strict=True)]), pa.array([t[b:] for t, (_, b) in zip(texts, limits, strict=True)]), pa.array([size - b for size, (_, b) in zip(sizes, limits, strict=True)], pa.int64())], names=["uid", "k", "matrix", "inside", "head", "tail", "rest"])
 
     def load(t: pa.Table) -> list[np.ndarray]:
         flat = [np.frombuffer(x, np.float64) for x in t["matrix"].to_pylist()]
@@ -251,26 +267,43 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         states = _states(load(t), limits["enter"][0].as_py(), limits["leave"][0].as_py())
         return pa.table({"uid": t["uid"], "k": t["k"], "enter": pa.array(states[:-1], pa.int64()), "leave": pa.array(states[1:], pa.int64())})
 
-    made = common.table(chunks.mapInArrow(matrices, "uid string, k long, matrix binary").withColumn("g", F.floor(F.col("k") / GROUP_CHUNKS)))
-    groups = made.groupBy("uid", "g").applyInArrow(product, "uid string, g long, matrix binary")
+    made = common.table(chunks.mapInArrow(matrices, "uid string, k long, matrix binary, inside array<int>, head string, tail string, rest long").withColumn("g", F.floor(F.col("k") / GROUP_CHUNKS)))
+    scores = made.select("uid", "k", "g", "matrix")
+    groups = scores.groupBy("uid", "g").applyInArrow(product, "uid string, g long, matrix binary")
     limits = groups.groupBy("uid").applyInArrow(over_groups, "uid string, g long, enter long, leave long")
-    states = made.groupBy("uid", "g").cogroup(limits.groupBy("uid", "g")).applyInArrow(over_chunks, "uid string, k long, enter long, leave long")
+    states = scores.groupBy("uid", "g").cogroup(limits.groupBy("uid", "g")).applyInArrow(over_chunks, "uid string, k long, enter long, leave long")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in batches:
-            part, size, enter, leave = (batch.column(c).to_pylist() for c in ("part", "size", "enter", "leave"))
-            ids = [m.backtrace(*x) for x in zip(part, size, enter, leave, strict=True)]
-            score = [m.total(np.array(x, dtype=np.int64)) for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("k"), pa.array(ids, pa.list_(pa.int32())), pa.array(score, pa.float64())], names=["uid", "k", "ids", "score"])
-
-    traced = chunks.join(states, ["uid", "k"]).select("uid", "k", "size", "part", "enter", "leave").mapInArrow(trace, "uid string, k long, ids array<int>, score double")
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64)
+                head, tail, rest, enter, leave = (part.column(c).to_pylist() for c in ("head", "tail", "rest", "enter", "leave"))
+                ids = []
+                for x, h, t, n, s, e in zip(part.column("inside"), head, tail, rest, enter, leave, strict=True):
+                    if not n:  # no fixed place: the head is the chunk, the tail what follows
+                        own = m.walk(h + t, s, len(h), len(h) + e)
+                    else:
+                        own = [*m.walk(h, s, len(h), len(h)), *x.values.to_pylist(), *m.walk(t, 0, n, n + e)]
+                    ids.append(np.array(own, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([part.column("uid"), part.column("k"), pa.array(ids, pa.list_(pa.int32())), pa.array([m.total(x) for x in ids], pa.float64())], names=["uid", "k", "ids", "score"])
+
+    traced = made.drop("matrix", "g").join(states, ["uid", "k"]).select("uid", "k", "inside", "head", "tail", "rest", "enter", "leave").mapInArrow(trace, "uid string, k long, ids array<int>, score double")
     # A text's pieces are one value of the result, so they meet in one row.
     whole = traced.groupBy("uid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"), F.sum("score").alias("score"))
     large = giant.select(id_col, "uid").join(whole, "uid").select(id_col, "ids", "score")
     return small.unionByName(large)
 
 
+def _by_ids(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(part of a batch, its ids, ids of each row), about 100,000 ids at a time."""
+    for batch in batches:
+        n = pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, b in common.slices(n, 100_000):
+            part = batch.slice(a, b - a)
+            yield part, part.column(place).flatten().to_numpy(zero_copy_only=False).astype(np.int64), n[a:b]
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", to: str = "text") -> DataFrame:
     """The texts of id arrays, in a column added (or replaced); null and empty arrays give empty texts."""
     rows = encoded.drop(to)
@@ -279,8 +312,8 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", to: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([m.decode(x) if x else "" for x in batch.column(place).to_pylist()], pa.string())], names=schema.names)
+        for part, ids, n in _by_ids(batches, place):
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(m.decode(ids, n), pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -290,10 +323,11 @@ def digest(encoded: DataFrame, id_col: str, path: str) -> DataFrame:
     schema = T.StructType([encoded.schema[id_col], *T.StructType.fromDDL("n_pieces long, score double, ids_crc32 long, text_crc32 long").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
-            crc = [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
-            back = [zlib.crc32(x.encode()) for x in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, ids), pa.int64()), batch.column(2), pa.array(crc, pa.int64()), pa.array(back, pa.int64())], names=schema.names)
+        m = model(path)
+        for part, ids, n in _by_ids(batches, 1):
+            raw, ends = ids.astype("<u4").tobytes(), np.cumsum(n).tolist()
+            crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for e, k in zip(ends, n.tolist(), strict=True)]
+            back = [zlib.crc32(x.encode()) for x in m.decode(ids, n)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), part.column(2), pa.array(crc, pa.int64()), pa.array(back, pa.int64())], names=schema.names)
 
-    return decode(encoded.select(id_col, "ids", "score"), path).mapInArrow(run, schema)
+    return encoded.select(id_col, "ids", "score").mapInArrow(run, schema)
