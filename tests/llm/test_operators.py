@@ -1,5 +1,6 @@
 """Each operator against brute force, on awkward rows and on empty tables."""
 
+import functools
 import random
 import zlib
 
@@ -311,3 +312,55 @@ def test_quotations(spark):
     assert quotations.link(df.limit(0)).count() == 0
     thread = [(r["conv_id"], r["turn"]) for r in quotations.link(df).where("root_conv = 1 AND root_turn = 0").collect()]
     assert all(thread.index(parent[k]) < thread.index(k) for k in thread if parent[k][0] is not None)
+
+
+def unigram_library(path):
+    """The library with the file's model type set to unigram: field 3 of the trainer's field 2."""
+    import sentencepiece
+
+    data = bytearray(open(path, "rb").read())
+
+    def number(i):
+        n = shift = 0
+        while True:
+            n, shift, i = n | (data[i] & 127) << shift, shift + 7, i + 1
+            if data[i - 1] < 128:
+                return n, i
+
+    def fields(i, end):
+        while i < end:
+            tag, i = number(i)
+            start = i
+            if tag & 7 == 0:
+                _, i = number(i)
+            elif tag & 7 == 2:
+                n, start = number(i)
+                i = start + n
+            else:
+                i += 4 if tag & 7 == 5 else 8
+            yield tag >> 3, start, i
+
+    for f, a, b in fields(0, len(data)):
+        if f == 2:
+            at = next(x for g, x, _ in fields(a, b) if g == 3)
+            data[at] = 1
+    return sentencepiece.SentencePieceProcessor(model_proto=bytes(data))
+
+
+def test_maxplus_is_the_best_path(spark):
+    """Against all segmentations of a word, and the head of the library's n-best list (its plain encode can score lower)."""
+    path = tokenizer("piece_bpe_32k.model")
+    library, m, r = unigram_library(path), maxplus.model(path), random.Random(4)
+    parts = "the ing tion er an éa ou ver schl os ción x q zz un".split()
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(1, 6))) for _ in range(500)]
+
+    @functools.cache
+    def best(t):
+        ends = range(1, min(len(t), m.longest) + 1)
+        return max((m.of[t[:n]][1] if t[:n] in m.of else m.unknown if n == 1 else -np.inf) + best(t[n:]) for n in ends) if t else 0.0
+
+    made = {x["doc_id"]: x for x in maxplus.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect()}
+    for i, t in enumerate(texts):
+        assert made[i]["score"] == m.total(np.array(made[i]["ids"])) == best(maxplus.MARK + t), t
+        assert made[i]["score"] == m.total(np.array(library.nbest_encode_as_ids(t, 2)[0])), t
+        assert made[i]["score"] >= m.total(np.array(library.encode(t))), t
