@@ -110,13 +110,16 @@ def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     links = passages.groupBy("conv", "turn").agg(F.min_by("to", F.when((F.col("level") == 1) & F.col("to").isNotNull(), F.col("no"))).alias("parent"), F.count("*").alias("n_quotes"), F.count("to").alias("n_linked"))
     tree = rows.select("conv", "turn").join(links.select("conv", "turn", "parent"), ["conv", "turn"], "left")
     me = F.struct("conv", "turn")
-    up = common.checkpoint(tree.select(me.alias("id"), F.coalesce("parent", me).alias("top"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")))
+    root = F.col("parent").isNull()
+    up = common.checkpoint(tree.select(me.alias("id"), F.coalesce("parent", me).alias("top"), F.when(root, 0).otherwise(1).cast("long").alias("depth"), root.alias("done")))
+    # Each round doubles the way that `top` reaches; only those not yet at a root take part.
     for _ in range(most_rounds):
-        over = up.select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"))
-        new = common.checkpoint(up.join(over, "top").select("id", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")))
-        up = new.drop("moved")
-        if new.where("moved").isEmpty():
+        going = up.where("NOT done")
+        if going.isEmpty():
             break
+        over = up.select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"), F.col("done").alias("ends"))
+        moved = going.join(over, "top").select("id", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
+        up = common.checkpoint(up.where("done").unionByName(moved))
     else:
         raise RuntimeError("replies nest deeper than 2 to the power of the rounds allowed")
     places = up.select("id.conv", "id.turn", F.col("top.conv").alias("root_conv"), F.col("top.turn").alias("root_turn"), "depth")
