@@ -86,6 +86,9 @@ def bottom_percent(reads: DataFrame, percent: float, metric: Column | None = Non
     """Fail reads whose likelihood lies below the element int(percent * n) of the sorted ones (log10, 9 digits)."""
     check_cutoffs(percent=percent)
     scored = reads.withColumn("log10_likelihood", F.round(quality.log10_likelihood() if metric is None else metric, 9))
-    n = scored.agg(F.count("log10_likelihood")).first()[0]
-    cutoff = kth_smallest(scored, "log10_likelihood", int(percent * n))
+    # The selection reads one column several times; kept meanwhile, and made anew should an executor be lost.
+    values = scored.select("log10_likelihood").persist()
+    n = values.agg(F.count("log10_likelihood")).first()[0]
+    cutoff = kth_smallest(values, "log10_likelihood", int(percent * n))
+    values.unpersist()
     return scored.withColumn("cutoff", F.lit(cutoff).cast("double")).withColumn("fails_likelihood", F.coalesce(F.col("log10_likelihood") < F.col("cutoff"), F.lit(False)))
