@@ -62,8 +62,8 @@ def encode(x: np.ndarray, books: np.ndarray, beams: int = BEAMS) -> np.ndarray:
 
 
 def index(rows: DataFrame, books: np.ndarray, id_col: str, vector_col: str) -> DataFrame:
-    """Every row with its codes and the squared norm of what they stand for."""
-    schema = f"{id_col} long, {vector_col} array<{rows.schema[vector_col].dataType.elementType.simpleString()}>, codes binary, norm double"
+    """Every row (ids, vector) with its codes and the squared norm of what they stand for."""
+    schema = f"{id_col} array<long>, {vector_col} array<{rows.schema[vector_col].dataType.elementType.simpleString()}>, codes binary, norm double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,17 +73,29 @@ def index(rows: DataFrame, books: np.ndarray, id_col: str, vector_col: str) -> D
                 sums = books[np.arange(len(books)), codes].sum(1, dtype=np.float64)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array(np.square(sums).sum(1))], names=[id_col, vector_col, "codes", "norm"])
 
-    return rows.select(F.col(id_col).cast("long").alias(id_col), vector_col).mapInArrow(run, schema)
+    return rows.select(id_col, vector_col).mapInArrow(run, schema)
+
+
+def merged(good: DataFrame, id_col: str, vector_col: str, k: int) -> DataFrame:
+    """(ids, vector): each distinct vector once, with the k + 1 smallest ids that have it.
+
+    A query's own id takes one of them at most, so no other copy can be among its k nearest.  The
+    limit is applied before the shuffle too: a vector with any number of copies is no hot key.
+    """
+    order = Window.partitionBy(vector_col).orderBy(id_col)
+    few = good.select(F.col(id_col).cast("long").alias(id_col), vector_col).withColumn("__nth", F.dense_rank().over(order)).where(F.col("__nth") <= k + 1)
+    listed = few.withColumn("__copy", F.row_number().over(order)).withColumn("__ids", F.collect_list(id_col).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return listed.where("__copy = 1").select(F.col("__ids").alias(id_col), vector_col)
 
 
 def search(docs: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10) -> DataFrame:
     """The k nearest rows of each query row by Euclidean distance.
 
-    All usable rows are encoded by beam search over residual codebooks of full
-    dimension and dealt into blocks; the queries go to every block, in blocks of their own. In a
-    block a query's look-up tables score all rows (stored norm less twice the inner
-    product), the best RERANK_SHARE are measured exactly, in double precision, and the k
-    nearest leave the block; the best k over all blocks are the result.
+    Equal vectors are merged first, under their k + 1 smallest ids.  The distinct ones are encoded by beam
+    search over residual codebooks of full dimension and dealt into blocks; the queries go to every block,
+    in blocks of their own. In a block a query's look-up tables score all rows (stored norm less twice the inner
+    product), the best RERANK_SHARE and all that tie with the last of them are measured exactly, in double
+    precision, and the k nearest ids leave the block; the best k over all blocks are the result.
 
     Returns query_id, rank, vec_id, score.  Null, zero and non-finite vectors, vectors of another
     length than most, and rows without id take no part.  Ties go to the smaller id; rows with the query's id are
@@ -96,29 +108,41 @@ def search(docs: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     if sizes is None:
         return spark.createDataFrame([], result)
     good = good.where(F.size(vector_col) == sizes["size"])
-    books = train(good, id_col, vector_col, sizes["n"])
-    parts = max(-(-sizes["n"] // BLOCK_ROWS), common.partitions(spark))
+    distinct = common.table(merged(good, id_col, vector_col, k))
+    n_distinct = distinct.count()
+    books = train(distinct, id_col, vector_col, n_distinct)
+    parts = max(-(-n_distinct // BLOCK_ROWS), common.partitions(spark))
     blocks = max(1, -(-sizes["q"] // BLOCK_QUERIES))
-    rows = index(good, books, id_col, vector_col).withColumn("part", F.pmod(F.xxhash64(id_col), F.lit(parts))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = index(distinct, books, id_col, vector_col).withColumn("part", F.pmod(F.xxhash64(id_col), F.lit(parts))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = good.where("__query").select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).alias("query"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
     def score(key, t, asked_here):
         found: list[list] = [[], [], []]
         if t.num_rows and asked_here.num_rows:
-            x, ids = vectors.matrix(t[vector_col]), t[id_col].to_numpy()
+            x, lists = vectors.matrix(t[vector_col]), t[id_col].combine_chunks()
+            ids, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            limits = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            owner = np.repeat(np.arange(len(x)), sizes)
             codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(len(x), -1).T.astype(np.int64)
             norm = t["norm"].to_numpy()
             shortlist = max(RERANK_LEAST, int(np.ceil(RERANK_SHARE * len(x))))
             for q, vector in zip(asked_here["query_id"].to_pylist(), vectors.matrix(asked_here["query"]), strict=True):
                 tables = books @ vector.astype(np.float32)
                 rough = norm - 2 * sum(table[code] for table, code in zip(tables, codes, strict=True))
-                rough[ids == q] = np.inf
-                at = np.argpartition(rough, shortlist)[:shortlist] if len(x) > shortlist else np.arange(len(x))
-                at = at[ids[at] != q]
+                # Vectors that only the query's own id has.
+                own, times = np.unique(owner[ids == q], return_counts=True)
+                rough[own[times == sizes[own]]] = np.inf
+                at = np.flatnonzero((rough <= np.partition(rough, shortlist - 1)[shortlist - 1] if len(x) > shortlist else True) & (rough < np.inf))
                 exact = np.sqrt(np.square(x[at] - vector).sum(1))
-                best = np.lexsort((ids[at], exact))[:k]
+                if len(at) > k:
+                    near = exact <= np.partition(exact, k - 1)[k - 1]
+                    at, exact = at[near], exact[near]
+                listed = np.concatenate([ids[limits[i] : limits[i + 1]] for i in at.tolist()]) if len(at) else ids[:0]
+                exact = np.repeat(exact, sizes[at])
+                exact, listed = exact[listed != q], listed[listed != q]
+                best = np.lexsort((listed, exact))[:k]
                 found[0] += [q] * len(best)
-                found[1].append(ids[at[best]])
+                found[1].append(listed[best])
                 found[2].append(exact[best])
         join = lambda v, kind: pa.array(np.concatenate(v) if v else [], kind)
         return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": join(found[1], pa.int64()), "score": join(found[2], pa.float64())})

@@ -218,6 +218,29 @@ def test_neighbours(spark):
     assert hit >= 0.9 * 10 * len(made)
 
 
+def test_neighbours_ties_go_to_the_smaller_id(spark, monkeypatch):
+    """A third of the rows are copies of one vector, in blocks that are not measured in full."""
+    monkeypatch.setattr(neighbours, "RERANK_LEAST", 16)
+    x = embeddings(3000, 16, 11).astype(np.float32)
+    x[np.random.default_rng(3).permutation(3000)[:1000]] = x[7]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    made = {}
+    for r in neighbours.search(df, df["vec_id"] % 20 == 0).collect():
+        made.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(made) == list(range(0, 3000, 20))
+    hit = 0
+    for q, found in made.items():
+        d = np.sqrt(np.square(x.astype(np.float64) - x[q]).sum(1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(len(x)), d))[:10].tolist()
+        found = [v for _, v in sorted(found)]
+        assert len(found) == 10
+        if d[best[-1]] == 0:
+            assert found == best
+        hit += len(set(found) & set(best))
+    assert hit >= 0.9 * 10 * len(made)
+
+
 def test_neighbours_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     assert neighbours.search(spark.createDataFrame([], schema), F.col("vec_id") % 100 == 0).count() == 0
