@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -135,12 +136,20 @@ class PieceTable:
         return k
 
     def pretokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start byte of every pre-token in the joined texts, its entry, pre-tokens of each text)."""
+        """(start byte of every pre-token in the joined texts, its entry, pre-tokens of each text).
+
+        The texts may not have more distinct pre-tokens than the table holds; encode and counts may get any.
+        """
+        starts, h, per_text, joined = self.split(texts)
+        return starts, self.entries_of(joined, starts, h), per_text
+
+    def split(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+        """(start byte of every pre-token in the joined texts, its hash, pre-tokens of each text, the joined texts)."""
         joined = b"".join(texts)
         buf = np.frombuffer(joined, np.uint8)
         limits = np.cumsum([0, *map(len, texts)])
         if not len(buf):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(len(texts), np.int64), joined
         first = np.zeros(len(buf), bool)
         first[limits[limits < len(buf)]] = True
         if self.find is not None and any(x in joined for x in self.special):
@@ -156,8 +165,11 @@ class PieceTable:
                 for m in self.find.finditer(text):  # a special string is one token
                     start[limits[i] + m.start() + 1 : limits[i] + m.end()] = False
         starts = np.flatnonzero(start)
-        ends = np.append(starts[1:], len(buf))
-        h = common.span_hashes(buf, starts, ends, common.BASES[0])
+        h = common.span_hashes(buf, starts, np.append(starts[1:], len(buf)), common.BASES[0])
+        return starts, h, np.diff(np.searchsorted(starts, limits)), joined
+
+    def entries_of(self, joined: bytes, starts: np.ndarray, h: np.ndarray, end: int | None = None) -> np.ndarray:
+        """The entry of each pre-token; those not in the table are encoded, after it is emptied if it has no room for them."""
         entry = self._look(h)
         miss = np.flatnonzero(entry < 0)
         if len(miss):
@@ -166,29 +178,50 @@ class PieceTable:
                 if len(new) > MOST_ENTRIES:
                     raise ValueError("a slice has more distinct pre-tokens than the table holds")
                 self.clear()
-                return self.pretokens(texts)
+                return self.entries_of(joined, starts, h, end)
             at = miss[where]
+            ends = np.append(starts[1:], len(joined) if end is None else end)
             ids = [self.ids_of(joined[a:b]) for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
             made = np.array([self._add(x, y) for x, y in zip(new.tolist(), ids, strict=True)], np.int32)
             entry[miss] = made[back]
-        per_text = np.diff(np.searchsorted(starts, limits))
-        return starts, entry, per_text
+        return entry
+
+    def ranges(self, texts: list[bytes]) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+        """(pre-tokens of each text, entries of consecutive ranges of all pre-tokens); a range's entries hold until the next is drawn.
+
+        A range has at most MOST_ENTRIES pre-tokens, so that the table is only a cache whatever the texts are.
+        """
+        starts, h, per_text, joined = self.split(texts)
+
+        def run() -> Iterator[np.ndarray]:
+            for a in range(0, len(starts), MOST_ENTRIES):
+                b = min(a + MOST_ENTRIES, len(starts))
+                yield self.entries_of(joined, starts[a:b], h[a:b], int(starts[b]) if b < len(starts) else len(joined))
+
+        return per_text, run()
 
     def counts(self, texts: list[bytes]) -> np.ndarray:
         """Tokens of each text."""
-        _, entry, per_text = self.pretokens(texts)
-        total = np.concatenate([[0], np.cumsum(self.n[entry], dtype=np.int64)])
-        ends = np.cumsum(per_text)
-        return total[ends] - total[ends - per_text]
+        per_text, ranges = self.ranges(texts)
+        n = np.concatenate([np.zeros(0, np.int32), *[self.n[entry] for entry in ranges]])
+        return self._per_text(n, per_text)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, tokens of each)."""
-        _, entry, per_text = self.pretokens(texts)
-        n = self.n[entry].astype(np.int64)
-        total = np.concatenate([[0], np.cumsum(n)])
+        per_text, ranges = self.ranges(texts)
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for entry in ranges:
+            n = self.n[entry].astype(np.int64)
+            total = np.concatenate([[0], np.cumsum(n)])
+            ids.append(self.ids[np.repeat(self.at[entry] - total[:-1], n) + np.arange(total[-1])])
+            counts.append(self.n[entry])
+        return np.concatenate(ids), self._per_text(np.concatenate(counts), per_text)
+
+    @staticmethod
+    def _per_text(n: np.ndarray, per_text: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
         ends = np.cumsum(per_text)
-        ids = self.ids[np.repeat(self.at[entry] - total[:-1], n) + np.arange(total[-1])]
-        return ids, total[ends] - total[ends - per_text]
+        return total[ends] - total[ends - per_text]
 
 
 class Encoder(PieceTable):

@@ -218,6 +218,18 @@ def test_neighbours(spark):
     assert hit >= 0.9 * 10 * len(made)
 
 
+def test_bpe_text_with_more_pretokens_than_the_table(monkeypatch):
+    """One text alone overflows the table, between others, with special tokens at the ends of ranges."""
+    monkeypatch.setattr(bpe, "MOST_ENTRIES", 50)
+    encoder = bpe.Encoder(tokenizer("byte_bpe_50k.json"))
+    long = " ".join(f"id{i} {i * 7919} <|endoftext|>Ünï{i}\n" for i in range(700))
+    texts = ["", "a few words", long, "a few other words", long + " " + words(6, 300), ""]
+    ids, n = encoder.encode([t.encode() for t in texts])
+    want = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert n.tolist() == [len(x) for x in want] == encoder.counts([t.encode() for t in texts]).tolist()
+    assert ids.tolist() == [x for w in want for x in w]
+
+
 def test_neighbours_ties_go_to_the_smaller_id(spark, monkeypatch):
     """A third of the rows are copies of one vector, in blocks that are not measured in full."""
     monkeypatch.setattr(neighbours, "RERANK_LEAST", 16)
