@@ -481,7 +481,7 @@ def run_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def started_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled(spark, stream.started_notices, sf_dir, "append")
+    return _settled(spark, stream.started_notices, sf_dir, "complete")
 
 
 @query()
