@@ -1,7 +1,9 @@
 """C-2: key removal, chimera flag, adapter trimming and merging of overlapping mates.
 
 No golden output exists; the rule is our own: the insert length at which read 1 and the
-reverse complement of read 2 agree on most bases less twice the disagreements.
+reverse complement of read 2 agree on most bases less twice the disagreements.  Where either
+read has an N a position counts neither as agreement nor as disagreement, nor towards the least overlap; in
+a merged read any base wins over an N, whatever the qualities.  In adapters an N of the read disagrees.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COMPLEMENT = str.maketrans("ACGTN", "TGCAN")
+UNKNOWN = ord("N")
 MERGED = "name string, status string, seq string, qual string, seq2 string, qual2 string, insert_length int"
 
 
@@ -29,10 +32,14 @@ def insert_length(seq1: str, turned2: str, least: int, most_mismatch: float) ->
         # Read 1 covers [0, n1) of the insert, read 2 ends at its end.
         start = length - len(b)
         low, high = max(0, start), min(len(a), length)
-        n = high - low
+        if high - low < least:
+            continue
+        x, y = a[low:high], b[low - start : high - start]
+        known = (x != UNKNOWN) & (y != UNKNOWN)
+        n = int(np.count_nonzero(known))
         if n < least:
             continue
-        wrong = int(np.count_nonzero(a[low:high] != b[low - start : high - start]))
+        wrong = int(np.count_nonzero(known & (x != y)))
         score = n - 3 * wrong
         if wrong <= most_mismatch * n and score > best:
             best, found = score, length
@@ -50,7 +57,10 @@ def merge_pair(seq1: str, qual1: str, seq2: str, qual2: str, least: int, most_mi
     for i in range(length):
         one = (qual1[i], seq1[i]) if i < len(seq1) else None
         two = (back[i - start], turned[i - start]) if 0 <= i - start < len(turned) else None
-        q, b = max(x for x in (one, two) if x) if not (one and two) or one[1] != two[1] else (max(one[0], two[0]), one[1])
+        if one and two and (one[1] == "N") != (two[1] == "N"):
+            q, b = two if one[1] == "N" else one
+        else:
+            q, b = max(x for x in (one, two) if x) if not (one and two) or one[1] != two[1] else (max(one[0], two[0]), one[1])
         seq.append(b)
         qual.append(q)
     return "".join(seq), "".join(qual), length
