@@ -192,6 +192,31 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         .sortWithinPartitions("cell", "i", "j")
     )
 
+    def compare(t: pa.Table, cell: np.ndarray, i: np.ndarray, j: np.ndarray, cells: Cells) -> Iterator[pa.RecordBatch]:
+        """Numbers of links and edges among the rows of whole runs, of vectors of one length."""
+        run = np.cumsum(np.concatenate([[0], (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        own, node, copies, mine = (t[c].to_numpy() for c in ("own", "node", "copies", "mine"))
+        x = _unit(vectors.matrix(t["v"]))
+        edges: list[tuple[np.ndarray, np.ndarray]] = []
+        links: list[tuple[np.ndarray, np.ndarray]] = []
+        for a, b in _pairs(run, own, x, least):
+            # In a pair of different blocks only pairs across them belong here.
+            across = (i[a] == j[a]) | (mine[a] != mine[b])
+            a, b = a[across], b[across]
+            if not len(a):
+                continue
+            used, back = np.unique(np.concatenate([a, b]), return_inverse=True)
+            where = cells.of(x[used]) ^ x.shape[1]
+            here = _first_meeting(where[back[: len(a)]], where[back[len(a) :]]) == cell[a]
+            a, b = a[here], b[here]
+            links += [(node[a], copies[b]), (node[b], copies[a])]
+            edges.append((node[a], node[b]))
+        if links:
+            ids, back = np.unique(np.concatenate([x for x, _ in links]), return_inverse=True)
+            sums = np.bincount(back, weights=np.concatenate([y for _, y in links])).astype(np.int64)
+            p, q = common.contract(np.concatenate([x for x, _ in edges]), np.concatenate([y for _, y in edges]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids, p])), pa.array(np.concatenate([np.full(len(ids), -1), q])), pa.array(np.concatenate([sums, np.zeros(len(p), np.int64)]))], names=["a", "b", "links"])
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: dict[int, Cells] = {}
         kept: pa.Table | None = None
@@ -209,29 +234,12 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 continue
             t = t.slice(0, stop).combine_chunks()
             cell, i, j = cell[:stop], i[:stop], j[:stop]
-            run = np.cumsum(np.concatenate([[0], (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-            own, node, copies, mine = (t[c].to_numpy() for c in ("own", "node", "copies", "mine"))
-            x = _unit(vectors.matrix(t["v"]))
-            cells = kinds.setdefault(x.shape[1], Cells(x.shape[1]))
-            edges: list[tuple[np.ndarray, np.ndarray]] = []
-            links: list[tuple[np.ndarray, np.ndarray]] = []
-            for a, b in _pairs(run, own, x, least):
-                # In a pair of different blocks only pairs across them belong here.
-                across = (i[a] == j[a]) | (mine[a] != mine[b])
-                a, b = a[across], b[across]
-                if not len(a):
-                    continue
-                used, back = np.unique(np.concatenate([a, b]), return_inverse=True)
-                where = cells.of(x[used]) ^ x.shape[1]
-                here = _first_meeting(where[back[: len(a)]], where[back[len(a) :]]) == cell[a]
-                a, b = a[here], b[here]
-                links += [(node[a], copies[b]), (node[b], copies[a])]
-                edges.append((node[a], node[b]))
-            if links:
-                ids, back = np.unique(np.concatenate([x for x, _ in links]), return_inverse=True)
-                sums = np.bincount(back, weights=np.concatenate([y for _, y in links])).astype(np.int64)
-                p, q = common.contract(np.concatenate([x for x, _ in edges]), np.concatenate([y for _, y in edges]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids, p])), pa.array(np.concatenate([np.full(len(ids), -1), q])), pa.array(np.concatenate([sums, np.zeros(len(p), np.int64)]))], names=["a", "b", "links"])
+            # A batch has vectors of several lengths; only those of one length are compared.
+            lengths = t["v"].combine_chunks().value_lengths().to_numpy()
+            for dim in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == dim)
+                part = t if len(at) == t.num_rows else t.take(pa.array(at))
+                yield from compare(part, cell[at], i[at], j[at], kinds.setdefault(dim, Cells(dim)))
 
     # Rows with b = -1 are numbers of links of a, the others edges.
     found = common.table(dealt.mapInArrow(verify, "a long, b long, links long"))

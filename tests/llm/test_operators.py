@@ -261,6 +261,16 @@ def test_neighbours_few_and_none(spark):
     assert made == [(0, 1, 100, 0.0), (0, 2, 5, 5.0**0.5), (100, 1, 0, 0.0), (100, 2, 5, 5.0**0.5)]
 
 
+def test_lattice_with_vectors_of_several_lengths(spark):
+    """Each length gives what it gives alone; 24 and 16 divide in sum, 7 does not."""
+    kinds = {24: embeddings(120, 24, 5), 16: embeddings(120, 16, 6), 7: embeddings(61, 7, 8)}
+    schema = "vec_id long, embedding array<double>"
+    data = {dim: [(1000 * dim + i, v.tolist()) for i, v in enumerate(x)] for dim, x in kinds.items()}
+    want = sorted(tuple(r) for rows in data.values() for r in lattice.near_duplicates(spark.createDataFrame(rows, schema)).collect())
+    made = lattice.near_duplicates(spark.createDataFrame([x for rows in data.values() for x in rows], schema)).collect()
+    assert sorted(map(tuple, made)) == want and sum(r["n_links"] for r in made) > 0
+
+
 @pytest.mark.parametrize("block", [4096, 8])
 def test_lattice(spark, monkeypatch, block):
     monkeypatch.setattr(lattice, "BLOCK", block)
