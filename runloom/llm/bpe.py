@@ -86,7 +86,7 @@ def starts_of(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class PieceTable:
-    """Ids of the distinct stretches of texts, in a bounded table from hash to ids.
+    """Ids of the distinct stretches of texts, in a bounded table from a 64-bit hash to ids.
 
     A tokenizer gives starts() and ids_of(); equal stretches always have equal ids.
     """
@@ -135,13 +135,10 @@ class PieceTable:
                 break
         return k
 
-    def pretokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start byte of every pre-token in the joined texts, its entry, pre-tokens of each text).
-
-        The texts may not have more distinct pre-tokens than the table holds; encode and counts may get any.
-        """
-        starts, h, per_text, joined = self.split(texts)
-        return starts, self.entries_of(joined, starts, h), per_text
+    def sizes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(start byte of every pre-token in the joined texts, its tokens)."""
+        starts, _, ranges = self.ranges(texts)
+        return starts, np.concatenate([np.zeros(0, np.int32), *[self.n[entry] for entry in ranges]]).astype(np.int64)
 
     def split(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
         """(start byte of every pre-token in the joined texts, its hash, pre-tokens of each text, the joined texts)."""
@@ -165,7 +162,7 @@ class PieceTable:
                 for m in self.find.finditer(text):  # a special string is one token
                     start[limits[i] + m.start() + 1 : limits[i] + m.end()] = False
         starts = np.flatnonzero(start)
-        h = common.span_hashes(buf, starts, np.append(starts[1:], len(buf)), common.BASES[0])
+        h = common.span_hashes(buf, starts, np.append(starts[1:], len(buf)), common.SEEDS[0])
         return starts, h, np.diff(np.searchsorted(starts, limits)), joined
 
     def entries_of(self, joined: bytes, starts: np.ndarray, h: np.ndarray, end: int | None = None) -> np.ndarray:
@@ -175,8 +172,6 @@ class PieceTable:
         if len(miss):
             new, where, back = np.unique(h[miss], return_index=True, return_inverse=True)
             if self.entries + len(new) > MOST_ENTRIES:
-                if len(new) > MOST_ENTRIES:
-                    raise ValueError("a slice has more distinct pre-tokens than the table holds")
                 self.clear()
                 return self.entries_of(joined, starts, h, end)
             at = miss[where]
@@ -186,10 +181,10 @@ class PieceTable:
             entry[miss] = made[back]
         return entry
 
-    def ranges(self, texts: list[bytes]) -> tuple[np.ndarray, Iterator[np.ndarray]]:
-        """(pre-tokens of each text, entries of consecutive ranges of all pre-tokens); a range's entries hold until the next is drawn.
+    def ranges(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]:
+        """(start byte of every pre-token in the joined texts, pre-tokens of each text, entries of consecutive ranges of all pre-tokens).
 
-        A range has at most MOST_ENTRIES pre-tokens, so that the table is only a cache whatever the texts are.
+        A range's entries hold until the next is drawn.  A range has at most MOST_ENTRIES pre-tokens, so that the table is only a cache whatever the texts are.
         """
         starts, h, per_text, joined = self.split(texts)
 
@@ -198,17 +193,17 @@ class PieceTable:
                 b = min(a + MOST_ENTRIES, len(starts))
                 yield self.entries_of(joined, starts[a:b], h[a:b], int(starts[b]) if b < len(starts) else len(joined))
 
-        return per_text, run()
+        return starts, per_text, run()
 
     def counts(self, texts: list[bytes]) -> np.ndarray:
         """Tokens of each text."""
-        per_text, ranges = self.ranges(texts)
+        _, per_text, ranges = self.ranges(texts)
         n = np.concatenate([np.zeros(0, np.int32), *[self.n[entry] for entry in ranges]])
         return self._per_text(n, per_text)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, tokens of each)."""
-        per_text, ranges = self.ranges(texts)
+        _, per_text, ranges = self.ranges(texts)
         ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
         for entry in ranges:
             n = self.n[entry].astype(np.int64)

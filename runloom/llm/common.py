@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,22 +19,24 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-#: Odd multipliers of the polynomial hashes; the second is independent of the first.
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-WINDOW_BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-MASK64 = (1 << 64) - 1
-
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Odd multipliers and starting values of the hashes; those of different seeds are independent.
+SEEDS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+WINDOW_SEEDS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+#: Spans of more bytes than this are hashed one by one.
+LONG_SPAN = 64
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    A temporary folder is used only where that is unset (local tests).
+    A temporary folder is used where that is unset and all work is done on this machine (local tests);
+    on a cluster that raises, since the executors could not see such a folder.
     """
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not known:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set; it must name a folder that the executors share")
         known = tempfile.mkdtemp(prefix="runloom-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(known)
@@ -56,6 +59,13 @@ def table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """The name, with as many underscores behind it as keep it apart from those taken."""
+    while name.lower() in (x.lower() for x in taken):
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -94,23 +104,8 @@ def to_bytes(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()]
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64 for i below n (kept, and grown in steps)."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16, 0 if have is None else min(2 * len(have[0]), 4 << 20))
-        inverse = pow(base, -1, 1 << 64)
-        made = []
-        for b in (base, inverse):
-            steps = np.full(size, np.uint64(b), dtype=np.uint64)
-            steps[0] = 1
-            made.append(np.cumprod(steps, dtype=np.uint64))
-        have = _powers[base] = (made[0], made[1])
-    return have[0][:n], have[1][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
+    """A 64-bit finaliser, a bijection."""
     x = x ^ (x >> np.uint64(30))
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
@@ -119,26 +114,61 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """A 64-bit hash of every byte span [start, end) by prefix sums of one polynomial."""
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span [start, end).
+
+    Eight bytes at a time go through the finaliser, over all spans at once; spans of more than
+    LONG_SPAN bytes are hashed by XXH3.  Spans of the same length up to 8 bytes never collide.
+    """
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    up, down = powers(base, len(buf))
-    sums = np.empty(len(buf) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[np.minimum(starts, len(buf) - 1)])
+        return np.zeros(0, np.uint64)
+    size = ends - starts
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(buf) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    mask = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    start = mix(np.arange(LONG_SPAN + 2, dtype=np.uint64) * np.uint64(WINDOW_SEEDS[0]) + np.uint64(seed))
+    out = mix(start[np.minimum(size, LONG_SPAN + 1)] ^ ((eight[starts] & mask[np.minimum(size, 8)]) * np.uint64(seed)))
+    at = np.flatnonzero((size > 8) & (size <= LONG_SPAN))
+    for k in range(8, LONG_SPAN, 8):
+        if not len(at):
+            break
+        left = size[at] - k
+        out[at] = mix(out[at] ^ ((eight[starts[at] + k] & mask[np.minimum(left, 8)]) * np.uint64(seed)))
+        at = at[left > 8]
+    long = np.flatnonzero(size > LONG_SPAN)
+    if len(long):
+        data = memoryview(np.ascontiguousarray(buf))
+        digest = xxhash.xxh3_64_intdigest
+        out[long] = np.array([digest(data[a:b], seed) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)], np.uint64)
+    return out
 
 
-def window_hashes(items: np.ndarray, n: int, base: int) -> np.ndarray:
-    """A hash of every n consecutive items (len(items) - n + 1 of them)."""
-    if len(items) < n:
+def window_hashes(items: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """A hash of every n consecutive items (len(items) - n + 1 of them).
+
+    Hashes of 1, 2, 4, ... items are joined in pairs through the finaliser; a window is joined from
+    those of the powers of two that make up n.
+    """
+    size = len(items) - n + 1
+    if size < 1:
         return np.zeros(0, dtype=np.uint64)
-    up, down = powers(base, len(items))
-    sums = np.empty(len(items) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum(items * up, out=sums[1:])
-    return mix((sums[n:] - sums[:-n]) * down[: len(items) - n + 1])
+
+    def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        b = b * np.uint64(seed)
+        b ^= b >> np.uint64(32)
+        b += a
+        return mix(b)
+
+    out, done, power, width = None, 0, items, 1
+    while True:
+        if n & width:
+            part = power[done : done + size]
+            out = part if out is None else join(out, part)
+            done += width
+        if done == n:
+            return out.copy() if out is items else out
+        power = join(power[:-width], power[width:])
+        width *= 2
 
 
 def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

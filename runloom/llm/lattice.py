@@ -56,7 +56,7 @@ def _hash(points: np.ndarray) -> np.ndarray:
     """A hash of lattice points, given as rows."""
     h = np.zeros(len(points), np.uint64)
     for column in (2 * points).astype(np.int64).T:
-        h = common.mix(h ^ (column.astype(np.uint64) + np.uint64(common.BASES[0])))
+        h = common.mix(h ^ (column.astype(np.uint64) + np.uint64(common.SEEDS[0])))
     return h
 
 
@@ -89,7 +89,7 @@ class Cells:
                 own.append(_hash(point))
                 cost.append(-np.take_along_axis(inner, best, 1))
                 near.append(np.stack([_hash(point + self.roots[best[:, p]]) for p in range(self.probes)], 1))
-            whole = lambda parts: common.mix(sum((h * np.uint64(m)) for h, m in zip(parts, (*common.WINDOW_BASES, *common.BASES), strict=False)))
+            whole = lambda parts: common.mix(sum((h * np.uint64(m)) for h, m in zip(parts, (*common.WINDOW_SEEDS, *common.SEEDS), strict=False)))
             tag = lambda h, t=t: ((h >> np.uint64(8)) | (np.uint64(t) << np.uint64(56))).view(np.int64)
             out[:, t, 0] = tag(whole(own))
             cheapest = np.argsort(np.concatenate(cost, 1), axis=1, kind="stable")[:, : self.probes]

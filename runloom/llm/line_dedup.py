@@ -42,7 +42,7 @@ class _Lines:
             points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
             ok = points[stop] - points[first] >= least
             h = np.zeros(len(starts), np.uint64)
-            h[ok] = common.span_hashes(buf, first[ok], stop[ok], common.BASES[0])
+            h[ok] = common.span_hashes(buf, first[ok], stop[ok], common.SEEDS[0])
             doc.append(d + a)
             hashes.append(h)
             long.append(ok)
@@ -59,8 +59,8 @@ class _Lines:
         raise IndexError(line)
 
 
-def _per_key(c: _Lines, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted unique hashes of the long lines, with a line, the number of documents and the largest id of each."""
+def _per_key(c: _Lines, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted unique hashes of the long lines: of each a line, its documents with ids, 1 if one has none, the largest id."""
     at = np.flatnonzero(c.long)
     h, d = c.hashes[at], ids[c.doc[at]]
     order = np.lexsort((d, h))
@@ -70,12 +70,15 @@ def _per_key(c: _Lines, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     fresh = new.copy()
     fresh[1:] |= d[1:] != d[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(h)) - 1 if len(first) else first
-    return h[first], at[first], np.add.reduceat(fresh.astype(np.int64), first) if len(first) else first, d[last] if len(first) else first
+    if not len(first):
+        return h, first, first, first, first
+    last = np.append(first[1:], len(h)) - 1
+    none = (d[first] == NO_ID).astype(np.int64)
+    return h[first], at[first], np.add.reduceat(fresh.astype(np.int64), first) - none, none, d[last]
 
 
 def _places(keys: np.ndarray) -> np.ndarray:
-    a, b = common.mix(keys), common.mix(keys ^ np.uint64(common.BASES[1])) | np.uint64(1)
+    a, b = common.mix(keys), common.mix(keys ^ np.uint64(common.SEEDS[1])) | np.uint64(1)
     return np.stack([(a + np.uint64(i) * b) & np.uint64(BLOOM_BITS - 1) for i in range(BLOOM_HASHES)]).astype(np.int64)
 
 
@@ -105,11 +108,13 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Returns the input columns with text replaced by the kept lines, n_lines and
     n_dropped.  Null and empty texts are one empty line and stay as they are.  Rows with
-    the same id are one document.  Null ids count as one document, which never keeps
-    a repeated line.  Input columns named like an output are replaced.
+    the same id are one document, and work on them meets in one task.  Null ids count as one document, which never
+    keeps a repeated line; such rows are dealt out by their texts.  A text of any length is worked on whole, in one
+    task.  Within a chunk lines are told apart by a 64-bit hash.  Input columns named like an output are replaced.
     """
     rows = docs.drop("n_lines", "n_dropped")
-    dealt, bits = packed.deal(rows, id_col, text_col, CHUNK_BYTES, 0.02, BUCKET_KEYS)
+    by = [F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col))]
+    dealt, chunk, bits = packed.deal(rows, by, text_col, CHUNK_BYTES, 0.02, BUCKET_KEYS)
 
     def ids_of(t: pa.Table) -> np.ndarray:
         return np.array([NO_ID if x is None else x for x in t[id_col].to_pylist()], dtype=np.int64)
@@ -120,17 +125,17 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return keys[first], (np.add.reduceat(n, first) > 1).astype(np.uint8) if len(first) else n.astype(np.uint8)
 
     def scan(key, t):
-        h, _, n, _ = _per_key(_Lines(common.to_bytes(t[text_col]), least_chars), ids_of(t))
-        keys, flags = collapse(h, n)
+        h, _, n, none, _ = _per_key(_Lines(common.to_bytes(t[text_col]), least_chars), ids_of(t))
+        keys, flags = collapse(h, n + none)
         return pa.Table.from_batches([packed.send(1, key[0].as_py(), keys, bits, flags)], schema=packed.SENT_ARROW)
 
     def suspects(key, t, told):
         c = _Lines(common.to_bytes(t[text_col]), least_chars)
-        h, at, n, most = _per_key(c, ids_of(t))
+        h, at, n, none, most = _per_key(c, ids_of(t))
         keys, _ = collapse(h, n)
         good = np.flatnonzero(packed.member(keys[packed.said(told, 1, keys, bits)], packed.to_key(h)))
         lines = [c.key(int(i)) for i in at[good]]
-        return pa.table({"chunk": np.full(len(good), key[0].as_py(), np.int64), "h": h[good].view(np.int64), "line": pa.array(lines, pa.binary()), "n": n[good], "most": most[good]})
+        return pa.table({"chunk": np.full(len(good), key[0].as_py(), np.int64), "h": h[good].view(np.int64), "line": pa.array(lines, pa.binary()), "n": n[good], "none": none[good], "most": most[good]})
 
     def cut(key, t, hot):
         texts, ids = common.to_bytes(t[text_col]), ids_of(t)
@@ -148,14 +153,14 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for i in np.flatnonzero(lost).tolist():
             stay = ~gone[ends[i] - c.n_lines[i] : ends[i]]
             kept[i] = b"\n".join(x for x, keep in zip(texts[i].split(b"\n"), stay.tolist(), strict=True) if keep).decode()
-        out = t.drop_columns(["__chunk"])
+        out = t.drop_columns([chunk])
         out = out.set_column(out.column_names.index(text_col), text_col, pa.array(kept, t[text_col].type))
         return out.append_column("n_lines", pa.array(c.n_lines)).append_column("n_dropped", pa.array(lost))
 
-    by_chunk = dealt.groupBy("__chunk")
+    by_chunk = dealt.groupBy(chunk)
     told = packed.answers(by_chunk.applyInArrow(scan, packed.SENT), _twice_seen)
-    found = common.table(by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(suspects, "chunk long, h long, line binary, n long, most long"))
-    repeated = found.groupBy("line").agg(F.sum("n").alias("n"), F.max("most").alias("keeper")).where(F.col("n") >= least_docs)
+    found = common.table(by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(suspects, "chunk long, h long, line binary, n long, none long, most long"))
+    repeated = found.groupBy("line").agg((F.sum("n") + F.max("none")).alias("n"), F.max("most").alias("keeper")).where(F.col("n") >= least_docs)
     hot = found.select("chunk", "h", "line").join(repeated, "line").select("chunk", "h", F.col("keeper").alias("most"))
     schema = T.StructType(rows.schema.fields + T.StructType.fromDDL("n_lines long, n_dropped long").fields)
     return by_chunk.cogroup(hot.groupBy("chunk")).applyInArrow(cut, schema)

@@ -1,6 +1,6 @@
 """Exchange of packed hash sets: which of a chunk's hashes does the rest of the corpus share?
 
-Documents are dealt into chunks of some megabytes by a hash of their id.  A chunk
+Documents are dealt into chunks of some megabytes by a hash.  A chunk
 sends its sorted unique keys, cut into ranges ("buckets") of the hash space, as one
 binary row per bucket; a bucket's task merges what all chunks sent and answers each
 row with a bitmap over its keys.  A row thus carries thousands of keys at 4 to 6
@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -28,14 +28,18 @@ ANSWER = "phase int, bucket int, chunk long, bits binary"
 ANSWER_ARROW = pa.schema([("phase", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("bits", pa.binary())])
 
 
-def deal(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, keys_per_byte: float, bucket_keys: int) -> tuple[DataFrame, int]:
-    """(docs with a chunk number, dealt out by it; log2 of the number of buckets)."""
+def deal(docs: DataFrame, by: list[Column], text_col: str, chunk_bytes: int, keys_per_byte: float, bucket_keys: int) -> tuple[DataFrame, str, int]:
+    """(docs with a chunk number, dealt out by it; the name of its column; log2 of the number of buckets).
+
+    Rows with equal values of `by` meet in one chunk.
+    """
     spark = docs.sparkSession
     size = common.text_bytes(docs, text_col)
     chunks = max(-(-size // chunk_bytes), 3 * common.partitions(spark))
     bits = int(max(4, np.ceil(np.log2(max(1, size * keys_per_byte / bucket_keys)))))
-    dealt = docs.withColumn("__chunk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(chunks)))
-    return dealt.repartition(common.partitions(spark), "__chunk"), bits
+    chunk = common.fresh("__chunk", docs.columns)
+    dealt = docs.withColumn(chunk, F.pmod(F.xxhash64(*by), F.lit(chunks)))
+    return dealt.repartition(common.partitions(spark), chunk), chunk, bits
 
 
 def planes(values: np.ndarray) -> bytes:

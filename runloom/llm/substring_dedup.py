@@ -20,19 +20,19 @@ REST_BITS = np.uint64(16)
 
 
 class _Chunk:
-    """Words of a chunk's texts: their hashes (a row of `words` per base) and document limits."""
+    """Words of a chunk's texts: their hashes (a row of them per seed) and document limits."""
 
-    def __init__(self, texts: list[bytes], bases: int):
+    def __init__(self, texts: list[bytes], seeds: int):
         lengths = np.array([len(x) for x in texts], dtype=np.int64)
-        hashes: list[list[np.ndarray]] = [[] for _ in range(bases)]
+        hashes: list[list[np.ndarray]] = [[] for _ in range(seeds)]
         counts = []
         for a, b in common.slices(lengths, SLICE_BYTES):
             buf = np.frombuffer(b"\n".join(texts[a:b]), dtype=np.uint8)
             starts, ends = common.word_spans(buf)
             limits = np.cumsum(lengths[a:b] + 1)
             counts.append(np.diff(np.searchsorted(starts, limits), prepend=0))
-            for k in range(bases):
-                hashes[k].append(common.span_hashes(buf, starts, ends, common.BASES[k]))
+            for k in range(seeds):
+                hashes[k].append(common.span_hashes(buf, starts, ends, common.SEEDS[k]))
         self.hashes = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in hashes]
         self.n_words = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         self.ends = np.cumsum(self.n_words)
@@ -57,7 +57,7 @@ def _probes(c: _Chunk, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     Flag 1: the key occurs more than once in this chunk.  Flag 2: it is a reference block.
     """
     ok = c.inside(block)
-    keys = packed.to_key(common.window_hashes(c.hashes[0], block, common.WINDOW_BASES[0]))
+    keys = packed.to_key(common.window_hashes(c.hashes[0], block, common.WINDOW_SEEDS[0]))
     unique, counts = np.unique(keys[ok], return_counts=True)
     flags = (counts > 1).astype(np.uint8)
     blocks = np.unique(keys[ok & (c.offsets()[: len(keys)] % block == 0)])
@@ -80,8 +80,8 @@ def _candidates(c: _Chunk, at: np.ndarray, window: int) -> tuple[np.ndarray, np.
     if not len(at):
         none = np.zeros(0, np.uint64)
         return np.zeros(0, np.int64), none, none
-    keys = packed.to_key(common.window_hashes(c.hashes[0], window, common.WINDOW_BASES[0])[at])
-    rest = common.window_hashes(c.hashes[1], window, common.WINDOW_BASES[1])[at] >> REST_BITS
+    keys = packed.to_key(common.window_hashes(c.hashes[0], window, common.WINDOW_SEEDS[0])[at])
+    rest = common.window_hashes(c.hashes[1], window, common.WINDOW_SEEDS[1])[at] >> REST_BITS
     order = np.lexsort((rest, keys))
     return order, keys[order], rest[order]
 
@@ -136,20 +136,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     (window + 1) // 2 words at multiples of that length are the index; every rolling
     window of that length probes it, so a repeat of `window` words always holds a whole
     block of its other copy.  A hit is extended to the windows that hold it; those
-    whose full word sequences (96 hash bits) occur again are the repeats, and runs of them the
-    maximal exact repeats.  All passes read the same dealt-out documents, exchanging
+    whose full word sequences occur again are the repeats, and runs of them the
+    maximal exact repeats.  Sequences are told apart by 96 bits, 48 of each of two 64-bit hashes that share
+    neither words' nor windows' values.  All passes read the same dealt-out documents, exchanging
     only packed hashes and bitmaps (see packed.py).
 
     Returns the input columns with text replaced by the kept words (joined by one
     space), and n_words, n_removed, spans (start word and length of each removed
     stretch).  Where nothing is removed the text stays as it is; null text stays null with 0 words;
-    repeated rows are each other's copies and both lose their windows.  Input columns
+    repeated rows are each other's copies and both lose their windows.  Rows with null or repeated ids are
+    documents like any other.  A text of any length is worked on whole, in one task.  Input columns
     named like an output are replaced.
     """
     block = (window + 1) // 2
     made = ["n_words", "n_removed", "spans"]
     rows = docs.drop(*made)
-    dealt, bits = packed.deal(rows, id_col, text_col, CHUNK_BYTES, 0.2, BUCKET_KEYS)
+    dealt, chunk, bits = packed.deal(rows, [F.col(id_col), F.col(text_col)], text_col, CHUNK_BYTES, 0.2, BUCKET_KEYS)
 
     def probe(key, t):
         c = _Chunk(common.to_bytes(t[text_col]), 1)
@@ -194,11 +196,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             kept.append(b" ".join(words[~mine].tolist()).decode())
             step = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]])))
             spans.append([{"start": a, "length": b - a} for a, b in step.reshape(-1, 2).tolist()])
-        out = t.drop_columns(["__chunk"])
+        out = t.drop_columns([chunk])
         out = out.set_column(out.column_names.index(text_col), text_col, pa.array(kept, t[text_col].type))
         return out.append_column("n_words", pa.array(c.n_words)).append_column("n_removed", pa.array(lost)).append_column("spans", pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))))
 
-    by_chunk = lambda df: df.groupBy("__chunk")
+    by_chunk = lambda df: df.groupBy(chunk)
     told_1 = packed.answers(by_chunk(dealt).applyInArrow(probe, packed.SENT), _judge_blocks)
     sent_2 = by_chunk(dealt).cogroup(told_1.groupBy("chunk")).applyInArrow(extend, packed.SENT)
     told_2 = packed.answers(sent_2, _judge_windows)

@@ -67,10 +67,10 @@ def _encoded(chunks: DataFrame, id_col: str, path: str, overlap: int) -> DataFra
         for batch in batches:
             out: list[list] = [[], [], []]
             for at, data, last in zip(batch.column("at").to_pylist(), batch.column("data").to_pylist(), batch.column("last").to_pylist(), strict=True):
-                starts, entry, _ = encoder.pretokens([data])
-                before = np.cumsum(encoder.n[entry], dtype=np.int64)
+                starts, n = encoder.sizes([data])
+                before = np.cumsum(n)
                 out[0].append(int(before[-1]) if len(before) else 0)
-                before -= encoder.n[entry]
+                before -= n
                 head = starts < overlap
                 tail = (starts >= len(data) - overlap - 4) & (starts <= len(data) - MARGIN) & (not last)
                 for k, which in ((1, head), (2, tail)):
