@@ -13,16 +13,15 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Bytes of a language's dictionary, and labelled rows per language from which it is cut: the bound of the sample.
+#: Bytes of a language's dictionary, and how many times as many are drawn from the labelled texts: the bound of the sample.
 DICTIONARY_BYTES = 64 << 10
-SAMPLE_ROWS = 256
+DRAWN = 1.5
+#: Characters of a block that is drawn.
+DRAWN_CHARS = 1024
 #: Bytes that are compressed at a time; a text's size is the sum over all its blocks.
 BLOCK_BYTES = 2048
 LEVEL = 5
 MIN_MATCH = 3
-#: A text shorter than this is measured over all its word suffixes, since a sum is finer than a few bytes,
-#: each behind the dictionary's own first bytes, whose size is taken off: zstandard stores tiny inputs as they are.
-SHORT_BYTES = 256
 #: Texts whose best size is less than this share below the next one are rejected.
 LEAST_MARGIN = 0.002
 UNKNOWN = "und"
@@ -38,56 +37,50 @@ def plain(text: str) -> bytes:
     return NOT_LETTERS.sub(" ", text).lower().encode()
 
 
-def learn(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+def learn(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A raw-content dictionary for every language of the labelled rows.
 
-    From each language about `sample_rows` rows are taken by a hash of id and text, so the sample is the
-    same at every run; of each an equal share of `size` bytes enters the dictionary.  The bound
-    is sample_rows * size / sample_rows bytes a language, however large the table.
+    Every labelled text is cut, whole, into blocks of DRAWN_CHARS characters.  Of a language's blocks a share is
+    drawn, by a hash of text and place, so that about DRAWN * `size` characters come together, however large
+    the table; equal texts count once.  The drawn blocks, in the order of their hashes, make the dictionary
+    of `size` bytes.  One dictionary is kept for each label, and only labels, sums and drawn blocks reach the driver.
+    Rows without text or label teach nothing; without any other rows nothing is learned.
     """
-    good = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) > 0))
-    counts = {r[lang_col]: r["count"] for r in good.groupBy(lang_col).count().collect()}
-    if not counts:
+    good = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) > 0)).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    sized = common.table(good.groupBy("lang", "h").agg(F.max(F.length("text")).alias("n")))
+    totals = {r["lang"]: r["n"] for r in sized.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    if not totals:
         return {}
-    share = max(64, 4 * size // sample_rows)
-    draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30))
-    limit = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 30, int((1 << 30) * 1.5 * sample_rows / n) + 1))])
-    taken = good.where(draw < F.element_at(limit, F.col(lang_col))).select(F.col(lang_col).alias("lang"), draw.alias("draw"), F.substring(text_col, 1, share).alias("text"))
-    parts: dict[str, list] = {k: [] for k in counts}
-    for r in taken.collect():
+    limit = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1 << 30, int((1 << 30) * DRAWN * size / n) + 1))])
+    places = sized.select("lang", "h", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / DRAWN_CHARS).cast("int"))).alias("k"))
+    drawn = places.withColumn("draw", F.pmod(F.xxhash64("h", "k"), F.lit(1 << 30))).where(F.col("draw") < F.element_at(limit, F.col("lang")))
+    blocks = good.join(F.broadcast(drawn), ["lang", "h"]).select("lang", "h", "k", "draw", F.substring("text", F.col("k") * DRAWN_CHARS + 1, F.lit(DRAWN_CHARS)).alias("text"))
+    parts: dict[str, list] = {k: [] for k in totals}
+    for r in blocks.dropDuplicates(["lang", "h", "k"]).collect():
         parts[r["lang"]].append((r["draw"], r["text"]))
-    out = {}
-    for k, v in parts.items():
-        joined = b" ".join(plain(x) for _, x in sorted(v)[:sample_rows])
-        out[k] = joined[-size:]
-    return out
+    return {k: b" ".join(plain(x) for _, x in sorted(v))[:size] for k, v in parts.items()}
 
 
-def _sizes(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
-    """Compressed bytes of each text under each language, over whole texts."""
+def compressor(content: bytes):
+    """A zstandard compressor with a raw-content dictionary."""
     import zstandard
 
+    parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, min_match=MIN_MATCH, write_checksum=0, write_content_size=0, write_dict_id=0)
+    dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    dictionary.precompute_compress(compression_params=parameters)
+    return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters)
+
+
+def _sizes(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
+    """Compressed bytes of each text under each language, over whole texts."""
     if model not in _compressors:
         _compressors.clear()
-        parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, min_match=MIN_MATCH, write_checksum=0, write_content_size=0, write_dict_id=0)
-        made = []
-        for _, content in model:
-            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            dictionary.precompute_compress(compression_params=parameters)
-            made.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters))
-        _compressors[model] = made
+        _compressors[model] = [compressor(content) for _, content in model]
     out = np.zeros((len(texts), len(model)), np.int64)
     for i, text in enumerate(texts):
-        if len(text) < SHORT_BYTES:
-            tails = [text, *(text[a + 1 :] for a in range(len(text) - 1) if text[a] == 0x20)]
-            for k, compressor in enumerate(_compressors[model]):
-                head = model[k][1][:SHORT_BYTES]
-                alone = len(compressor.compress(head))
-                out[i, k] = sum(len(compressor.compress(head + x)) - alone for x in tails)
-            continue
         blocks = [text[a : a + BLOCK_BYTES] for a in range(0, len(text), BLOCK_BYTES)]
-        for k, compressor in enumerate(_compressors[model]):
-            out[i, k] = sum(len(compressor.compress(x)) for x in blocks)
+        for k, language in enumerate(_compressors[model]):
+            out[i, k] = sum(len(language.compress(b"%b %b" % (x, x))) for x in blocks)
     return out
 
 
@@ -95,11 +88,13 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     """The language whose dictionary compresses the whole text best.
 
     Whole texts are lower-cased, reduced to letters and compressed in blocks, each against a fresh dictionary, so that a long text does
-    not become its own dictionary.  margin: share by which the best size is below the next one.
+    not become its own dictionary.  Blocks of any length are measured alike: each stands twice, since zstandard stores
+    tiny inputs as they are, and the second time costs next to nothing.  margin: share by which the best size is below the next one.
     Adds lang_pred (`und` if text is null or has no letter, or nothing was learned), score
     (0 to 1: the margin scaled so that 1 is 20 % or more; 0 for `und`) and rejected (`und`, or a margin under
-    `least_margin`).  Equal sizes: the alphabetically first language.  All input columns
-    stay, but for such of the names added.  Rows are judged each for itself.
+    `least_margin`).  Equal sizes: the alphabetically first language.  If nothing was learned every row is `und` and
+    rejected.  All input columns stay, but for such of the names added.  Rows are judged each for itself, repeated
+    ones too; a text of any length is measured whole, in one task.
     """
     rows = docs.drop("lang_pred", "score", "rejected")
     model = tuple(sorted(dictionaries.items()))
