@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,9 @@ from . import common
 
 SLICE_BYTES = 1 << 20
 BITS = 64
-#: Members of a signature above which its comparisons are dealt out in pairs of blocks.
+#: Members of a signature above which it is cut finer.
 BLOCK = 4096
-#: Rows (of 12 bytes) up to which the list of such signatures is broadcast.
+#: Rows (of 8 bytes) up to which the list of such signatures is broadcast.
 MOST_BROADCAST = 50_000
 
 
@@ -53,22 +53,40 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int = 4) ->
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def segments(distance: int) -> list[tuple[int, int]]:
+def segments(distance: int, bits: int = BITS) -> list[tuple[int, int]]:
     """(low bit, width) of distance // 2 + 1 segments: of these one holds at most one of the differing bits."""
     n = distance // 2 + 1
-    cuts = [BITS * i // n for i in range(n + 1)]
+    cuts = [bits * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _variants(value: Column, distance: int, bits: int) -> list[tuple[int, int, Column]]:
+    """(low bit, width, signature) for every segment and wildcard bit: the segment with that bit deleted, tagged by the bit's place."""
+    cut = segments(distance, bits)
+    width = max(w for _, w in cut)
+    out = []
+    for low, w in cut:
+        segment = F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << w) - 1))
+        for i in range(w):
+            out.append((low, w, segment.bitwiseAND(F.lit(((1 << w) - 1) & ~(1 << i))).bitwiseOR(F.lit((low + i) << width))))
+    return out
+
+
 def signatures(fps: DataFrame, distance: int) -> DataFrame:
-    """One row per fingerprint and wildcard bit: its segment with that bit deleted, tagged by the bit's place."""
-    width = max(w for _, w in segments(distance))
-    variants = []
+    """(key, fp, node): one row per fingerprint and signature."""
+    return fps.select(F.explode(F.array(*[x for _, _, x in _variants(F.col("fp"), distance, BITS)])).alias("key"), "fp", "node")
+
+
+def finer_signatures(crowded: DataFrame, distance: int) -> DataFrame:
+    """(key, fp, node): each row of a signature under every signature, made in the same way, of the bits outside its segment."""
+    tag = F.shiftright("key", max(w for _, w in segments(distance)))
+    made = None
     for low, w in segments(distance):
-        segment = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << w) - 1))
-        for i in range(w):
-            variants.append(segment.bitwiseAND(F.lit(((1 << w) - 1) & ~(1 << i))).bitwiseOR(F.lit((low + i) << width)))
-    return fps.select(F.explode(F.array(*variants)).alias("sig"), "fp", "node")
+        rest = F.col("fp").bitwiseAND(F.lit((1 << low) - 1)).bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", low + w), low)) if low + w < BITS else F.col("fp").bitwiseAND(F.lit((1 << low) - 1))
+        wider = [F.shiftleft("key", 24).bitwiseOR(x) for _, _, x in _variants(rest, distance, BITS - w)]
+        part = crowded.where((tag >= low) & (tag < low + w)).select(F.explode(F.array(*wider)).alias("key"), "fp", "node")
+        made = part if made is None else made.unionByName(part)
+    return made
 
 
 def _links(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,53 +130,82 @@ def _compare(key: np.ndarray, fp: np.ndarray, node: np.ndarray, distance: int) -
     return np.concatenate(a), np.concatenate(b)
 
 
-def links(fps: DataFrame, distance: int) -> DataFrame:
-    """(a, b): links that join every pair of distinct fingerprints within `distance` bits, maybe over others.
+def _compared(rows: DataFrame, distance: int, most: int | None) -> DataFrame:
+    """(a, b): a forest of the links among rows (key, fp, node) of equal key; for a key of more than `most` rows (key, null).
 
-    fps: (fp, node), fingerprints distinct.  Rows are dealt and sorted by signature and
-    compared as runs stream by.  A signature with more than BLOCK members is cut into blocks
-    by a hash of the fingerprint, and every pair of blocks is a run of its own.
+    Rows are dealt and sorted by key and compared as runs stream by; of a key with too many nothing is kept.
     """
-    spark = fps.sparkSession
-    made = signatures(fps, distance)
-    large = common.checkpoint(
-        made.groupBy("sig").count().where(F.col("count") > BLOCK).select(F.col("sig").alias("hot"), F.ceil(F.col("count") / (BLOCK // 2)).cast("int").alias("blocks"))
-    )
-    n_large = large.count()
-    if n_large == 0:
-        marked = made.withColumn("blocks", F.lit(None).cast("int"))
-    else:
-        side = F.broadcast(large) if n_large <= MOST_BROADCAST else large
-        marked = made.join(side, F.col("sig") == F.col("hot"), "left")
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    other = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
-    none = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    runs = marked.select("sig", "fp", "node", F.explode(F.when(F.col("blocks").isNull(), none).otherwise(other)).alias("pair")).select("sig", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "fp", "node")
-    dealt = runs.repartition(common.partitions(spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    dealt = rows.repartition(common.partitions(rows.sparkSession), "key").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] | None = None
+        kept = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+        crowded: int | None = None  # the key whose rows are passed over
         for batch in _with_end(batches):
             if batch is None:
-                rows, stop = kept, None
+                rows, kept = kept, None
             else:
-                sig, i, j, fp, node = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
-                key = (sig.astype(np.uint64) << np.uint64(32)) ^ common.mix((i.astype(np.uint64) << np.uint64(32)) | j.astype(np.uint64))
-                rows = [key, fp.view(np.uint64), node]
-                if kept is not None:
-                    rows = [np.concatenate([x, y]) for x, y in zip(kept, rows, strict=True)]
+                rows = [np.concatenate([x, y.to_numpy().view(x.dtype)]) for x, y in zip(kept, batch.columns, strict=True)]
+                if crowded is not None:
+                    rows = [x[np.searchsorted(rows[0], crowded, side="right") :] for x in rows]
                 # The last run may go on in the next batch.
-                tail = np.flatnonzero(rows[0] != rows[0][-1])
-                stop = int(tail[-1]) + 1 if len(tail) else 0
-                kept = [x[stop:] for x in rows]
-            if rows is not None and (stop is None or stop):
-                a, b = _compare(*(x[:stop] for x in rows), distance)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, common.contract(a, b))), names=["a", "b"])
+                stop = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
+                rows, kept = [x[:stop] for x in rows], [x[stop:] for x in rows]
+            over = []
+            if most is not None:
+                keys, n = np.unique(rows[0], return_counts=True)
+                over += keys[n > most].tolist()
+                if over:
+                    fine = ~np.isin(rows[0], over)
+                    rows = [x[fine] for x in rows]
+                if kept is not None and len(kept[0]) > most:
+                    crowded = int(kept[0][0])
+                    over.append(crowded)
+                    kept = [x[:0] for x in kept]
+            a, b = common.contract(*_compare(*rows, distance)) if len(rows[0]) else (rows[0], rows[2])
+            if len(a) or over:
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(a, np.array(over, np.int64))), pa.array([*b.tolist(), *[None] * len(over)], pa.int64())], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _crowd(rows: DataFrame, found: DataFrame) -> DataFrame | None:
+    """The rows of the keys that were passed over; None if there are none."""
+    keys = found.where("b IS NULL").select(F.col("a").alias("key"))
+    n = keys.count()
+    if not n:
+        return None
+    return rows.join(F.broadcast(keys) if n <= MOST_BROADCAST else keys, "key", "left_semi")
+
+
+def links(fps: DataFrame, distance: int) -> DataFrame:
+    """(a, b): links that join every pair of distinct fingerprints within `distance` bits, maybe over others.
+
+    fps: (fp, node), fingerprints distinct.  Fingerprints of one signature are compared.  A signature with more
+    than BLOCK members is cut finer, by signatures of the bits outside its segment; if such a one still has more,
+    its members are cut into blocks by a hash of the fingerprint, and every pair of blocks is compared for itself.
+    """
+    if distance < 2:
+        raise ValueError("a distance of 2 bits or more")
+    fps = fps.repartition(common.partitions(fps.sparkSession), "fp")
+    rows = signatures(fps, distance)
+    found = common.table(_compared(rows, distance, BLOCK))
+    made = found
+    crowd = _crowd(rows, found)
+    if crowd is not None:
+        rows = finer_signatures(crowd, distance)
+        found = common.table(_compared(rows, distance, BLOCK))
+        made = made.unionByName(found)
+        crowd = _crowd(rows, found)
+    if crowd is not None:
+        crowd = common.table(crowd)
+        sized = crowd.groupBy("key").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("int").alias("blocks"))
+        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+        pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.xxhash64("key", F.least(own, j), F.greatest(own, j)))
+        blocks = crowd.join(sized, "key").select(F.explode(pairs).alias("key"), "fp", "node")
+        made = made.unionByName(_compared(blocks, distance, None))
+    return made.where("b IS NOT NULL")
+
+
 def _with_end(batches):
     yield from (x for x in batches if x.num_rows)
     yield None
@@ -175,8 +222,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by equality.
 
     Returns id, fingerprint (16 hex digits), component_id (smallest id reachable), one row for each
-    input row.  Null, empty and blank texts have fingerprint 0 and link like any other.
-    A row with a null id gets its fingerprint and the component of that fingerprint's
+    input row.  Null, empty and blank texts have fingerprint 0 and link like any other; a text of any length is
+    hashed whole, in one task.  A row with a null id gets its fingerprint and the component of that fingerprint's
     other documents, or null.  Other input columns are not returned.
     """
     prints = common.table(fingerprints(docs, id_col, text_col, words))
@@ -189,12 +236,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
     """The input rows of one document per component: the smallest id (all rows that have it but one go).
 
+    Of rows with the same id the one with the smallest text stays (null before others; the other columns decide ties).
     Rows with a null id have no group and all stay.
     """
     groups = near_duplicates(docs, id_col, text_col, distance)
-    stay = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
-    chosen = docs.join(stay, F.col(id_col) == F.col("__id"), "left_semi")
-    return chosen.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    mine, n = common.fresh("__id", docs.columns), common.fresh("__n", docs.columns)
+    stay = groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias(mine)).agg(F.count("*").alias(n))
+    chosen = docs.join(stay, F.col(id_col) == F.col(mine)).drop(mine)
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    order = F.struct(F.col(text_col).isNotNull(), F.col(text_col), F.to_json(whole))
+    one = chosen.where(F.col(n) > 1).groupBy(F.col(id_col).alias(mine)).agg(F.min_by(whole, order).alias(n)).select(f"{n}.*")
+    return chosen.where(F.col(n) == 1).drop(n).unionByName(one).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def brute_force(rows: list[tuple[int, str | None]], distance: int = 4) -> dict[int, tuple[str, int]]:
