@@ -14,10 +14,10 @@ def usable(vector: str) -> Column:
     return F.col(vector).isNotNull() & F.coalesce(F.forall(vector, fine) & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
-    """Rows of equal length as float64."""
+def matrix(column: pa.Array | pa.ChunkedArray, scale: float = 1.0) -> np.ndarray:
+    """Rows of equal length as float64, divided by scale."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not len(column):
-        return np.zeros((0, dim or 0))
-    return np.asarray(column.flatten()).astype(np.float64).reshape(len(column), -1)
+        return np.zeros((0, 0))
+    return np.asarray(column.flatten()).astype(np.float64).reshape(len(column), -1) / scale
