@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +23,7 @@ LEAST_LINE = 16
 def key(text: str) -> str | None:
     """A digest of a passage without differences of case and white space; None if nothing is left."""
     plain = " ".join(text.lower().split())
-    return hashlib.blake2b(plain.encode(), digest_size=16).hexdigest() if plain else None
+    return xxhash.xxh3_128_hexdigest(plain.encode()) if plain else None
 
 
 def parse(text: str) -> tuple[str, list[tuple[int, str]]]:
@@ -33,11 +33,11 @@ def parse(text: str) -> tuple[str, list[tuple[int, str]]]:
     """
     lines = []
     for line in text.split("\n"):
-        m = MARKS.match(line)
+        m = MARKS.match(line) if ">" in line else None
         lines.append((m.group().count(">"), line[m.end() :]) if m else (0, line))
     runs: list[tuple[int, list[str]]] = []
     for i, (level, line) in enumerate(lines):
-        if INTRODUCES.search(line) and i + 1 < len(lines) and lines[i + 1][0] > level:
+        if i + 1 < len(lines) and lines[i + 1][0] > level and INTRODUCES.search(line):
             continue
         if runs and runs[-1][0] == level:
             runs[-1][1].append(line)
@@ -136,7 +136,7 @@ def as_mail(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     """Each turn as a mail that quotes the turn before it, and the one before that one level deeper."""
     base = conversations.select(conv_col, turn_col, text_col)
     before = lambda n: base.select(conv_col, (F.col(turn_col) + n).alias(turn_col), F.col(text_col).alias(f"before_{n}"))
-    quoted = lambda c, mark: F.concat(F.lit(f"\n{mark} "), F.regexp_replace(c, "\n", f"\n{mark} "))
+    quoted = lambda c, mark: F.concat(F.lit(f"\n{mark} "), F.replace(F.col(c), F.lit("\n"), F.lit(f"\n{mark} ")))
     joined = base.join(before(1), [conv_col, turn_col], "left").join(before(2), [conv_col, turn_col], "left")
     tail = F.concat(F.lit("\nThe other side wrote:"), quoted("before_1", ">"), F.coalesce(F.concat(F.lit("\n> One wrote:"), quoted("before_2", "> >")), F.lit("")))
     return joined.select(conv_col, turn_col, F.concat(text_col, F.coalesce(tail, F.lit(""))).alias(text_col))
