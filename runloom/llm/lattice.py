@@ -7,6 +7,7 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,7 +135,24 @@ def _pairs(cell: np.ndarray, own: np.ndarray, x: np.ndarray, least: float) -> It
                 a, b = slice(i, min(i + 1024, s + n)), slice(j, min(j + 1024, s + n))
                 u, v = np.nonzero(((x[a] @ x[b].T) >= least) & (own[a, None] | own[None, b]))
                 u, v = u + i, v + j
-                yield u[u < v], v[u < v]
+                for k in range(0, len(u), 200_000):
+                    p, q = u[k : k + 200_000], v[k : k + 200_000]
+                    yield p[p < q], q[p < q]
+
+
+def _gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 100_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs in portions of at least `most`, but for the last."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+    for a, b in pairs:
+        if len(a):
+            held.append((a, b))
+            n += len(a)
+        if n >= most:
+            yield np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])
+            held, n = [], 0
+    if held:
+        yield np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9) -> DataFrame:
@@ -150,13 +168,14 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     Returns id, n_links (other rows linked directly), component_id (smallest id reachable),
     kept (id = component_id), one row per input row.  Null, zero and non-finite vectors, and rows without id, link
-    with nothing; vectors link only with those of their length.  Other input columns are not returned.
+    with nothing; vectors link only with those of their length.  Rows of one id are vectors of their own that share it.
+    Other input columns are not returned.
     """
     spark = rows.sparkSession
     base = rows.select(F.col(id_col).cast("long").alias(id_col), vector_col)
     good = base.where(F.col(id_col).isNotNull() & vectors.usable(vector_col))
     distinct = common.table(good.groupBy(vector_col).agg(F.min(id_col).alias("node"), F.count("*").alias("copies")))
-    element = rows.schema[vector_col].dataType.elementType.simpleString()
+    kind = np.dtype("<f4" if rows.schema[vector_col].dataType.elementType.simpleString() == "float" else "<f8")
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: dict[int, Cells] = {}
@@ -169,80 +188,95 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
                     cells = kinds.setdefault(dim, Cells(dim)).of(_unit(vectors.matrix(part.column(0)))) ^ dim
                     flat = cells.reshape(len(cells), -1)
                     # A cell entered twice by one vector counts once, as its own if it is.
-                    row, column = np.nonzero(np.array([np.isin(np.arange(flat.shape[1]), np.unique(v, return_index=True)[1]) for v in flat]))
+                    order = np.argsort(flat, axis=1, kind="stable")
+                    first = np.ones(flat.shape, bool)
+                    sorted_cells = np.take_along_axis(flat, order, 1)
+                    first[:, 1:] = sorted_cells[:, 1:] != sorted_cells[:, :-1]
+                    chosen = np.zeros(flat.shape, bool)
+                    np.put_along_axis(chosen, order, first, 1)
+                    row, column = np.nonzero(chosen)
                     take = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(flat[row, column]), pa.array(column % (1 + PROBES) == 0), part.column(1).take(take), part.column(2).take(take), part.column(0).take(take)], names=["cell", "own", "node", "copies", "v"])
+                    flat_bytes = vectors.matrix(part.column(0)).astype(kind).tobytes()
+                    v = pa.array([flat_bytes[k : k + dim * kind.itemsize] for k in range(0, len(flat_bytes), dim * kind.itemsize)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(flat[row, column]), pa.array(column % (1 + PROBES) == 0), part.column(1).take(take), part.column(2).take(take), v.take(take)], names=["cell", "own", "node", "copies", "v"])
 
-    entered = distinct.select(vector_col, "node", "copies").mapInArrow(enter, f"cell long, own boolean, node long, copies long, v array<{element}>")
-    entered = common.table(entered)
-    large = common.checkpoint(entered.groupBy("cell").count().where(F.col("count") > BLOCK).select(F.col("cell").alias("hot"), F.ceil(F.col("count") / (BLOCK // 2)).cast("int").alias("blocks")))
-    n_large = large.count()
-    none = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    if n_large:
-        marked = entered.join(F.broadcast(large) if n_large <= MOST_BROADCAST else large, F.col("cell") == F.col("hot"), "left")
-        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j")))
-        pair = F.when(F.col("blocks").isNull(), none).otherwise(others)
-    else:
-        marked, mine, pair = entered, F.lit(0), none
-    dealt = (
-        marked.select("cell", "own", "node", "copies", "v", mine.alias("mine"), F.explode(pair).alias("p"))
-        .select("cell", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "own", "node", "copies", F.coalesce("mine", F.lit(0)).alias("mine"), "v")
-        .repartition(common.partitions(spark), "cell", "i", "j")
-        .sortWithinPartitions("cell", "i", "j")
-    )
+    entered = distinct.repartition(common.partitions(spark), "node").select(vector_col, "node", "copies").mapInArrow(enter, "cell long, own boolean, node long, copies long, v binary")
 
     def compare(t: pa.Table, cell: np.ndarray, i: np.ndarray, j: np.ndarray, cells: Cells) -> Iterator[pa.RecordBatch]:
         """Numbers of links and edges among the rows of whole runs, of vectors of one length."""
         run = np.cumsum(np.concatenate([[0], (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        own, node, copies, mine = (t[c].to_numpy() for c in ("own", "node", "copies", "mine"))
-        x = _unit(vectors.matrix(t["v"]))
-        edges: list[tuple[np.ndarray, np.ndarray]] = []
-        links: list[tuple[np.ndarray, np.ndarray]] = []
-        for a, b in _pairs(run, own, x, least):
+        own, copies, mine = (t[c].to_numpy() for c in ("own", "copies", "mine"))
+        nodes, local = np.unique(t["node"].to_numpy(), return_inverse=True)
+        x = _unit(np.frombuffer(b"".join(t["v"].to_pylist()), kind).reshape(t.num_rows, -1).astype(np.float64))
+        sums, forest = np.zeros(len(nodes), np.int64), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for a, b in _gathered(_pairs(run, own, x, least)):
             # In a pair of different blocks only pairs across them belong here.
             across = (i[a] == j[a]) | (mine[a] != mine[b])
             a, b = a[across], b[across]
-            if not len(a):
-                continue
             used, back = np.unique(np.concatenate([a, b]), return_inverse=True)
             where = cells.of(x[used]) ^ x.shape[1]
             here = _first_meeting(where[back[: len(a)]], where[back[len(a) :]]) == cell[a]
             a, b = a[here], b[here]
-            links += [(node[a], copies[b]), (node[b], copies[a])]
-            edges.append((node[a], node[b]))
-        if links:
-            ids, back = np.unique(np.concatenate([x for x, _ in links]), return_inverse=True)
-            sums = np.bincount(back, weights=np.concatenate([y for _, y in links])).astype(np.int64)
-            p, q = common.contract(np.concatenate([x for x, _ in edges]), np.concatenate([y for _, y in edges]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids, p])), pa.array(np.concatenate([np.full(len(ids), -1), q])), pa.array(np.concatenate([sums, np.zeros(len(p), np.int64)]))], names=["a", "b", "links"])
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            np.add.at(sums, local[a], copies[b])
+            np.add.at(sums, local[b], copies[a])
+            forest = common.contract(np.concatenate([forest[0], local[a]]), np.concatenate([forest[1], local[b]]))
+        linked = np.flatnonzero(sums)
+        if len(linked):
+            p, q = nodes[forest[0]], nodes[forest[1]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([nodes[linked], p])), pa.array(np.concatenate([np.full(len(linked), -1), q])), pa.array(np.concatenate([sums[linked], np.zeros(len(p), np.int64)]))], names=["a", "b", "links"])
+
+    def verify(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[pa.RecordBatch]:
         kinds: dict[int, Cells] = {}
         kept: pa.Table | None = None
+        crowded: int | None = None  # the cell whose rows are passed over
         for batch in _with_end(batches):
             t = kept if batch is None else pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
             if t is None or not t.num_rows:
                 continue
             cell, i, j = (t[c].to_numpy() for c in ("cell", "i", "j"))
-            stop = len(cell)
-            if batch is not None:
-                going = (cell == cell[-1]) & (i == i[-1]) & (j == j[-1])
-                stop = len(cell) - int(going.sum())
-                kept = t.slice(stop).combine_chunks()
-            if not stop:
+            stay = np.ones(len(cell), bool)
+            if crowded is not None:
+                stay = cell != crowded
+            going = np.zeros(len(cell), bool) if batch is None else (cell == cell[-1]) & (i == i[-1]) & (j == j[-1]) & stay
+            if most is not None:
+                cells, n = np.unique(cell[stay], return_counts=True)
+                over = cells[n > most]
+                if len(over):
+                    stay &= ~np.isin(cell, over)
+                    yield pa.RecordBatch.from_arrays([pa.array(over), pa.array(over), pa.array(np.full(len(over), -1))], names=["a", "b", "links"])
+                if len(over) and cell[-1] in over:
+                    crowded = int(cell[-1])
+            kept = t.filter(pa.array(going & stay)).combine_chunks()
+            now = np.flatnonzero(stay & ~going)
+            if not len(now):
                 continue
-            t = t.slice(0, stop).combine_chunks()
-            cell, i, j = cell[:stop], i[:stop], j[:stop]
+            t = t.take(pa.array(now)).combine_chunks()
+            cell, i, j = cell[now], i[now], j[now]
             # A batch has vectors of several lengths; only those of one length are compared.
-            lengths = t["v"].combine_chunks().value_lengths().to_numpy()
+            lengths = pc.binary_length(t["v"]).to_numpy() // kind.itemsize
             for dim in np.unique(lengths).tolist():
                 at = np.flatnonzero(lengths == dim)
                 part = t if len(at) == t.num_rows else t.take(pa.array(at))
                 yield from compare(part, cell[at], i[at], j[at], kinds.setdefault(dim, Cells(dim)))
 
-    # Rows with b = -1 are numbers of links of a, the others edges.
-    found = common.table(dealt.mapInArrow(verify, "a long, b long, links long"))
+    def compared(rows: DataFrame, most: int | None) -> DataFrame:
+        """Cells' rows meet, sorted, and are compared as runs stream by; of a cell with more than `most` only its number comes out."""
+        dealt = rows.repartition(common.partitions(spark), "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+        return common.table(dealt.mapInArrow(lambda batches: verify(batches, most), "a long, b long, links long"))
+
+    zero = F.lit(0)
+    found = compared(entered.select("cell", zero.alias("i"), zero.alias("j"), "own", "node", "copies", zero.alias("mine"), "v"), BLOCK)
+    large = found.where("links < 0").select(F.col("a").alias("cell"))
+    n_large = large.count()
+    if n_large:
+        # Crowded cells are cut into blocks, and every pair of blocks is compared for itself.
+        crowd = entered.join(F.broadcast(large) if n_large <= MOST_BROADCAST else large, "cell", "left_semi")
+        blocks = common.checkpoint(crowd.groupBy("cell").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("int").alias("blocks")))
+        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        marked = crowd.join(F.broadcast(blocks) if n_large <= MOST_BROADCAST else blocks, "cell").withColumn("mine", mine)
+        pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("mine", k).alias("i"), F.greatest("mine", k).alias("j")))
+        found = found.unionByName(compared(marked.withColumn("p", F.explode(pairs)).select("cell", "p.i", "p.j", "own", "node", "copies", "mine", "v"), None))
+    # Rows with links above 0 are numbers of links of a, those with 0 edges.
     joined = common.components(found.where("links = 0"))
     counts = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     classes = distinct.join(counts, "node", "left").join(joined, "node", "left").select(vector_col, F.coalesce("component", "node").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
