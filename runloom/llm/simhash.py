@@ -241,12 +241,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", di
     """
     groups = near_duplicates(docs, id_col, text_col, distance)
     mine, n = common.fresh("__id", docs.columns), common.fresh("__n", docs.columns)
-    stay = groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias(mine)).agg(F.count("*").alias(n))
+    stay = common.table(groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias(mine)).agg(F.count("*").alias(n)))
     chosen = docs.join(stay, F.col(id_col) == F.col(mine)).drop(mine)
-    whole = F.struct(*[F.col(c) for c in docs.columns])
-    order = F.struct(F.col(text_col).isNotNull(), F.col(text_col), F.to_json(whole))
-    one = chosen.where(F.col(n) > 1).groupBy(F.col(id_col).alias(mine)).agg(F.min_by(whole, order).alias(n)).select(f"{n}.*")
-    return chosen.where(F.col(n) == 1).drop(n).unionByName(one).unionByName(docs.where(F.col(id_col).isNull()))
+    kept = chosen.where(F.col(n) == 1).drop(n)
+    if not stay.where(F.col(n) > 1).isEmpty():
+        whole = F.struct(*[F.col(c) for c in docs.columns])
+        order = F.struct(F.col(text_col).isNotNull(), F.col(text_col), F.to_json(whole))
+        kept = kept.unionByName(chosen.where(F.col(n) > 1).groupBy(F.col(id_col).alias(mine)).agg(F.min_by(whole, order).alias(n)).select(f"{n}.*"))
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def brute_force(rows: list[tuple[int, str | None]], distance: int = 4) -> dict[int, tuple[str, int]]:

@@ -409,3 +409,166 @@ def test_maxplus_is_the_best_path(spark):
         assert made[i]["score"] == m.total(np.array(made[i]["ids"])) == best(maxplus.MARK + t), t
         assert made[i]["score"] == m.total(np.array(library.nbest_encode_as_ids(t, 2)[0])), t
         assert made[i]["score"] >= m.total(np.array(library.encode(t))), t
+
+
+def thue_morse(n, a, b):
+    """The Thue-Morse word of n letters over a and b, and its complement: equal under polynomials modulo powers of two."""
+    at = [0]
+    while len(at) < n:
+        at += [1 - i for i in at]
+    return "".join((a, b)[i] for i in at), "".join((b, a)[i] for i in at)
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_hashes_tell_thue_morse_words_apart(spark, n):
+    p, q = thue_morse(n, "a", "b")
+    buf = np.frombuffer((p + q).encode(), np.uint8)
+    items = np.array([7 if c == "a" else 9 for c in p + q], np.uint64)
+    for seed in (*common.SEEDS, *common.WINDOW_SEEDS):
+        x, y = common.span_hashes(buf, np.array([0, n]), np.array([n, 2 * n]), seed)
+        assert x != y
+        w = common.window_hashes(items, n, seed)
+        assert w[0] != w[n]
+    same = words(20, 34)
+    docs = [(0, f"{same} {p}"), (1, f"{same} {q}"), *[(2 + i, "head\n" + (p if i % 2 else q)) for i in range(8)]]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    assert {r[0]: tuple(r)[1:] for r in substring_dedup.digest(substring_dedup.remove_repeats(df)).collect()} == substring_dedup.brute_force(docs)
+    assert {r[0]: tuple(r)[1:] for r in line_dedup.digest(line_dedup.drop_lines(df)).collect()} == line_dedup.brute_force(docs)
+    path = tokenizer("byte_bpe_50k.json")
+    library = bpe.encoder(path).library
+    made = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, path).collect()}
+    assert made == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in docs}
+    check_packing(packing.pack(df, path).collect(), docs, 2048)
+    pieces = tokenizer("piece_bpe_32k.model")
+    encoded = maxplus.encode(df, pieces)
+    assert {r["doc_id"]: r["text"] for r in maxplus.decode(encoded, pieces).collect()} == dict(docs)
+
+
+def test_hashes_are_functions_of_the_bytes():
+    r = np.random.default_rng(0)
+    text = bytes(r.integers(97, 100, 20_000, dtype=np.uint8))
+    starts = r.integers(0, 19_800, 8000)
+    ends = starts + r.integers(0, 150, 8000)
+    seen = {}
+    for a, b, h in zip(starts, ends, common.span_hashes(np.frombuffer(text, np.uint8), starts, ends, common.SEEDS[0]).tolist(), strict=True):
+        assert seen.setdefault(text[a:b], h) == h
+    assert len(set(seen.values())) == len(seen)
+    items = r.integers(0, 3, 3000).astype(np.uint64)
+    for n in (1, 2, 3, 18, 35, 64, 70):
+        seen = {}
+        hashes = common.window_hashes(items, n, common.WINDOW_SEEDS[0]).tolist()
+        assert len(hashes) == 3001 - n
+        for i, h in enumerate(hashes):
+            assert seen.setdefault(tuple(items[i : i + n].tolist()), h) == h
+        assert len(set(seen.values())) == len(seen)
+    assert len(common.window_hashes(items[:5], 6, 1)) == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    """Columns named like those that the operators add inside, or return."""
+    names = ["__chunk", "__chunk_", "chunk", "h", "line", "lang_pred", "score", "rejected", "__id", "__n", "spans", "n_lines"]
+    df = spark.createDataFrame([(i, t, *([f"v{i}"] * len(names))) for i, t in rows()[:12]], "doc_id long, text string, " + ", ".join(f"`{x}` string" for x in names))
+    for made, own in ((substring_dedup.remove_repeats(df), {"spans"}), (line_dedup.drop_lines(df), {"n_lines"}), (language.classify(df, {"a": b"some text of words"}), {"lang_pred", "score", "rejected"}), (simhash.keep_one(df), set())):
+        assert set(df.columns) <= set(made.columns)
+        for r in made.collect():
+            assert all(r[x] == f"v{r['doc_id']}" for x in names if x not in own)
+
+
+def test_keep_one_of_rows_with_one_id(spark):
+    df = spark.createDataFrame([(1, "b c d e f", "x"), (1, "a c d e f", "y"), (1, "a c d e f", "x"), (2, "q", "z"), (None, "q", "n"), (None, "q", "n")], "doc_id long, text string, source string")
+    for _ in range(2):
+        made = sorted(map(tuple, simhash.keep_one(df.repartition(3)).where("doc_id IS NOT NULL").collect()))
+        groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).where("doc_id IS NOT NULL").collect()}
+        assert made == sorted(x for x in [(1, "a c d e f", "x"), (2, "q", "z")] if groups[x[0]] == x[0])
+    assert simhash.keep_one(df).where("doc_id IS NULL").count() == 2
+
+
+def test_language_against_plain_compression(spark):
+    """Every text for itself, by a compressor of its own."""
+    import zstandard
+
+    r = random.Random(8)
+    pools = {"aa": "lorem ipsum dolor sit amet consetetur".split(), "bb": "the quick brown fox jumps over it".split()}
+    texts = [(i, " ".join(r.choices(pools[k], k=r.randrange(1, 700))), k) for i, k in enumerate(sorted(pools) * 30)]
+    odd = [(100, None, "aa"), (101, "", "bb"), (102, "12 -- 3", None), (103, "ipsum", None), (104, "ÄÖ fox 7", "bb"), (105, "fox", None)]
+    df = spark.createDataFrame(texts + odd, "doc_id long, text string, lang string")
+    dictionaries = language.learn(df.where("doc_id < 40 OR doc_id > 99"), size=2000)
+    assert set(dictionaries) == {"aa", "bb"} and all(0 < len(x) <= 2000 for x in dictionaries.values())
+    made = {x["doc_id"]: x for x in language.classify(df, dictionaries).collect()}
+    for i, text, _ in texts + odd:
+        plain = "".join(c if c.isalpha() else " " for c in text or "")
+        if not plain.strip():
+            assert (made[i]["lang_pred"], made[i]["score"], made[i]["rejected"]) == ("und", 0.0, True)
+            continue
+        while "  " in plain:
+            plain = plain.replace("  ", " ")
+        data = plain.lower().encode()
+        size = {k: sum(len(language.compressor(d).compress(data[a : a + 2048] + b" " + data[a : a + 2048])) for a in range(0, len(data), 2048)) for k, d in dictionaries.items()}
+        best, other = sorted(size, key=lambda k: (size[k], k))
+        margin = 1 - size[best] / size[other]
+        assert made[i]["lang_pred"] == best and abs(made[i]["score"] - min(1, 5 * margin)) < 1e-12 and made[i]["rejected"] == (margin < language.LEAST_MARGIN)
+        assert len(zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionaries[best], dict_type=zstandard.DICT_TYPE_RAWCONTENT)).decompress(language.compressor(dictionaries[best]).compress(data), max_output_size=len(data) + 1)) == len(data)
+
+
+def test_language_learns_from_blocks_of_whole_texts(spark):
+    """A long text is drawn from all over; copies count once; the id has no say."""
+    text = " ".join(f"{a}{b}" for a in "abcdefghij" * 300 for b in ("one", "two", "six", "ten"))
+    df = spark.createDataFrame([(i, text, "aa") for i in range(50)], "doc_id long, text string, lang string")
+    one = language.learn(df, size=3000)
+    assert one == language.learn(df.where("doc_id = 7"), size=3000) == language.learn(df.withColumn("doc_id", -df["doc_id"]), size=3000)
+    assert 1000 < len(one["aa"]) <= 3000 and language.learn(df.where("doc_id < 0")) == {}
+    assert language.learn(df.withColumn("lang", F.lit(None).cast("string"))) == {}
+
+
+def test_token_counts_of_texts_longer_than_a_chunk(spark):
+    """Chunks of the real size, a text without any boundary, and more distinct pre-tokens than the table takes at a time."""
+    path = tokenizer("byte_bpe_50k.json")
+    texts = [words(31, 40_000, 30_000), "x" * 70_000, ("word " * 9000) + "é" * 40_000, " " * 50_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = bpe.encoder(path).library
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, path).collect()} == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_packing_leaves_little_room(spark):
+    """Never more than one sequence in fifty over what the tokens need, on lengths of many kinds."""
+    r = random.Random(12)
+    for size, lengths in ((2048, [r.randrange(1, 2049) for _ in range(3000)]), (2048, [int(r.paretovariate(1.1)) % 2048 + 1 for _ in range(5000)]), (64, [1] * 500 + [63] * 500)):
+        counts = {}
+        for n in lengths:
+            counts[n] = counts.get(n, 0) + 1
+        sequences = sum(packs for packs, _ in packing.shortest_pack_first(counts, size))
+        assert sequences <= 1.02 * (sum(lengths) / size) + 1
+    docs = [(i, words(i, r.randrange(1, 600))) for i in range(400)]
+    made = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), tokenizer("byte_bpe_50k.json")).collect()
+    n = check_packing(made, docs, 2048)
+    assert n <= 1.02 * sum(x["length"] for x in made) / 2048 + 1
+
+
+def test_neighbours_of_several_lengths_and_large_numbers(spark):
+    """Each length gives what it gives alone; components beyond single precision; equal rows count once."""
+    schema = "vec_id long, embedding array<double>"
+    kinds = [(0, np.random.default_rng(1).standard_normal((300, 8))), (1000, np.random.default_rng(2).standard_normal((40, 5)) * 1e120)]
+    data = [(base + i, v.tolist()) for base, x in kinds for i, v in enumerate(x)]
+    df = spark.createDataFrame(data + data[:30], schema)
+    made = {}
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0).collect():
+        made.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for base, x in kinds:
+        for q in range(0, len(x), 20):
+            d = np.sqrt(np.square(x - x[q]).sum(1))
+            d[q] = np.inf
+            best = np.lexsort((np.arange(len(x)), d))[:10]
+            found = sorted(made[base + q])
+            assert len(set(v for _, v, _ in found)) == len(found) == 10
+            assert len({v - base for _, v, _ in found} & set(best.tolist())) >= 9
+            assert all(s == d[v - base] for _, v, s in found)
+
+
+def test_dense_cell_of_vectors(spark):
+    """Thousands of different vectors around one: all are linked, few rows come out."""
+    r = np.random.default_rng(4)
+    x = r.standard_normal(64) + 0.1 * r.standard_normal((1500, 64))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    made = lattice.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    assert sum(m["n_links"] for m in made) >= 0.99 * (near.sum() - len(x)) and all(m["component_id"] == 0 for m in made)
