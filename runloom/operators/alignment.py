@@ -17,17 +17,17 @@ def cigar_operations(cigar: str = "cigar") -> Column:
 
 
 def _segments(cigar: str) -> Column:
-    """(op, first read base, first M column, length) of the CIGAR's M, I and S stretches, from 0."""
-    tokens = F.regexp_extract_all(cigar, F.lit("([0-9]+[MIS=X])"))
+    """parts: (op, first read base, first M column, length) of the CIGAR's M, I, S and D stretches, from 0; r and m: their sums.  = and X are M."""
+    ops = F.filter(F.split(F.translate(cigar, "=X", "MM"), "[0-9]+"), lambda x: x != "")
+    sizes = F.transform(F.filter(F.split(cigar, "[A-Z=]"), lambda x: x != ""), lambda x: x.try_cast("int"))
     start = F.struct(F.expr("cast(array() as array<struct<op:string,r:int,m:int,n:int>>)").alias("parts"), F.lit(0).alias("r"), F.lit(0).alias("m"))
 
     def step(s: Column, t: Column) -> Column:
-        n = F.regexp_extract(t, "^([0-9]+)", 1).cast("int")
-        op = F.translate(F.right(t, F.lit(1)), "=X", "MM")
+        op, n = t["op"], F.coalesce(t["n"], F.lit(0))
         part = F.struct(op.alias("op"), s["r"].alias("r"), s["m"].alias("m"), n.alias("n"))
-        return F.struct(F.concat(s["parts"], F.array(part)).alias("parts"), (s["r"] + n).alias("r"), (s["m"] + F.when(op == "M", n).otherwise(0)).alias("m"))
+        return F.struct(F.when(op.isin("M", "I", "S", "D"), F.concat(s["parts"], F.array(part))).otherwise(s["parts"]).alias("parts"), (s["r"] + F.when(op.isin("M", "I", "S"), n).otherwise(0)).alias("r"), (s["m"] + F.when(op == "M", n).otherwise(0)).alias("m"))
 
-    return F.aggregate(tokens, start, step, lambda s: s["parts"])
+    return F.aggregate(F.zip_with(ops, sizes, lambda x, n: F.struct(x.alias("op"), n.alias("n"))), start, step)
 
 
 def _md_tokens(md: str) -> Column:
@@ -58,31 +58,45 @@ def _deletions(md: str) -> Column:
     return F.when(F.col(md).contains("^"), F.aggregate(_md_tokens(md), start, step, lambda s: s["parts"])).otherwise(none)
 
 
-def explode_alignment(reads: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
-    """One row per base of each mapped read: i (from 0), op, base, q, ref, ref_pos, is_match.
+def stretches(reads: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """P15, by stretch: one row per M, I or S stretch of each mapped read, with the read's own slices.
 
-    op M takes its reference base from MD; inserted and clipped bases hold the position and have
-    no reference base.  CIGAR and MD are parsed once a read, by stretch; a base then costs a few
-    substrings in generated code.  With strict, a CIGAR or MD that does not fit the read raises;
-    else such reads are left out.
+    op, r (its first base, from 0), n, read_length, start (reference position of its first base), and the slices
+    bases, quals and cols (for M: = or the reference base).  A deletion lies between stretches, so that
+    a stretch has one offset.  A read whose CIGAR and MD do not fit it or each other raises with strict; else it is left out.
     """
     keep = keep if keep is not None else ["name", "reverse", "first_mate", "second_mate", "paired", "nm"]
-    walked = reads.where("mapped AND cigar IS NOT NULL AND md IS NOT NULL").select(*keep, "seq", "qual", "pos", _segments("cigar").alias("segs"), md_columns("md").alias("cols"), _deletions("md").alias("dels"))
-    length = F.aggregate("segs", F.lit(0), lambda s, p: s + p["n"])
-    aligned = F.aggregate("segs", F.lit(0), lambda s, p: s + F.when(p["op"] == "M", p["n"]).otherwise(0))
-    fits = (length == F.length("seq")) & (aligned == F.length("cols")) & (F.length("seq") == F.length("qual"))
+    # A generator of one row: what it makes is parsed once, however often it is used below.
+    parsed = F.inline(F.array(F.struct(_segments("cigar").alias("walk"), md_columns("md").alias("cols"), _deletions("md").alias("dels"))))
+    walked = reads.where("mapped").select(*keep, "seq", "qual", "pos", parsed).where("walk IS NOT NULL AND cols IS NOT NULL")
+    inside = F.exists("dels", lambda d: F.exists("walk.parts", lambda p: (p["op"] == "M") & (d["at"] > p["m"]) & (d["at"] < p["m"] + p["n"])))
+    fits = (F.col("walk.r") == F.length("seq")) & (F.col("walk.m") == F.length("cols")) & (F.length("seq") == F.length("qual")) & ((F.size("dels") == 0) | ~inside)
     if strict:
         walked = walked.where(F.when(fits, F.lit(True)).otherwise(F.raise_error(F.lit("alignment does not fit the read")).cast("boolean")))
     else:
         walked = walked.where(fits)
-    stretches = walked.select(*keep, "seq", "qual", "pos", "cols", "dels", F.inline("segs")).where("n > 0")
-    rows = stretches.select(*keep, "seq", "qual", "pos", "cols", "dels", "op", "r", "m", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
-    column = F.col("m") + F.when(F.col("op") == "M", F.col("j")).otherwise(0)
-    rows = rows.select(*keep, "seq", "qual", "pos", "cols", "dels", "op", (F.col("r") + F.col("j")).alias("i"), column.alias("c"))
-    gone = F.when(F.size("dels") == 0, 0).otherwise(F.aggregate("dels", F.lit(0), lambda s, d: s + F.when(d["at"] <= F.col("c"), d["n"]).otherwise(0)))
-    base = F.substring(F.col("seq"), F.col("i") + 1, F.lit(1))
-    ref = F.when(F.col("op") == "M", F.substring(F.col("cols"), F.col("c") + 1, F.lit(1)))
-    made = rows.select(*keep, "i", "op", F.length("seq").alias("read_length"), base.alias("base"), (F.ascii(F.substring(F.col("qual"), F.col("i") + 1, F.lit(1))) - 33).alias("q"), F.when(ref == "=", base).otherwise(ref).alias("ref"), (F.col("pos") + F.col("c") + gone).alias("ref_pos"))
+    parts = walked.select(*keep, "seq", "qual", "pos", "cols", "dels", F.inline("walk.parts")).where("n > 0 AND op <> 'D'")
+    gone = F.when(F.size("dels") == 0, 0).otherwise(F.aggregate("dels", F.lit(0), lambda s, d: s + F.when(d["at"] <= F.col("m"), d["n"]).otherwise(0)))
+    first = F.col("r") + 1
+    return parts.select(
+        *keep, "op", "r", "n", F.length("seq").alias("read_length"), (F.col("pos") + F.col("m") + gone).alias("start"),
+        F.substring("seq", first, F.col("n")).alias("bases"), F.substring("qual", first, F.col("n")).alias("quals"), F.when(F.col("op") == "M", F.substring("cols", F.col("m") + 1, F.col("n"))).alias("cols"),
+    )
+
+
+def explode_alignment(reads: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """One row per base of each mapped read: i (from 0), op, base, q, ref, ref_pos, is_match.
+
+    op M takes its reference base from MD; inserted and clipped bases hold the position and have
+    no reference base.  CIGAR and MD are parsed once a read, and each stretch carries only its own
+    slices into the rows of its bases.
+    """
+    keep = keep if keep is not None else ["name", "reverse", "first_mate", "second_mate", "paired", "nm"]
+    rows = stretches(reads, keep, strict).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    place = F.col("j") + 1
+    base = F.substring("bases", place, F.lit(1))
+    ref = F.substring("cols", place, F.lit(1))
+    made = rows.select(*keep, (F.col("r") + F.col("j")).alias("i"), "op", "read_length", base.alias("base"), (F.ascii(F.substring("quals", place, F.lit(1))) - 33).alias("q"), F.when(ref == "=", base).otherwise(ref).alias("ref"), (F.col("start") + F.when(F.col("op") == "M", F.col("j")).otherwise(0)).alias("ref_pos"))
     return made.withColumn("is_match", F.when(F.col("op") == "M", F.col("ref") == F.col("base")))
 
 
@@ -92,9 +106,15 @@ def cycle(first_read_cycles: int | None = None) -> Column:
     return c if first_read_cycles is None else c + F.when(F.col("second_mate"), F.lit(first_read_cycles)).otherwise(0)
 
 
+#: Rows of a mask (of 4 bytes) up to which it is broadcast; a larger one is joined by shuffling the bases.
+MOST_MASKED = 1_000_000
+
+
 def masked(bases: DataFrame, mask: DataFrame) -> DataFrame:
     """Without the bases at masked reference positions."""
-    return bases.join(mask.select(F.col("pos").alias("__pos")), F.col("ref_pos") == F.col("__pos"), "left_anti")
+    positions = mask.select(F.col("pos").alias("__pos")).distinct()
+    small = positions.limit(MOST_MASKED + 1).count() <= MOST_MASKED
+    return bases.join(F.broadcast(positions) if small else positions, F.col("ref_pos") == F.col("__pos"), "left_anti")
 
 
 def _read_strand(base: str) -> Column:
@@ -110,14 +130,21 @@ def cycle_error(bases: DataFrame, n_cycles: int, first_read_cycles: int | None =
     return out.withColumn("error_pct", sequence.ratio_percent(F.col("mismatches"), F.col("matches")))
 
 
-def substitutions(bases: DataFrame, by: Column, name: str = "cycle") -> DataFrame:
-    """A3, C-7: the 12 kinds of substitution, on the read's strand: count and % of all resolved bases of the cycle."""
+def _kinds(bases: DataFrame, *by: Column) -> DataFrame:
+    """Resolved bases and the 12 kinds of substitution, on the read's strand, counted by some keys."""
     used = bases.where(F.col("op") == "M").where(F.col("ref").isin(sequence.BASES) & F.col("base").isin(sequence.BASES))
     kind = F.concat(_read_strand("ref"), F.lit(">"), _read_strand("base"))
+    return used.groupBy(*by).agg(F.count("*").alias("n_bases"), *[F.count_if(kind == k).alias(k) for k in SUBSTITUTIONS])
+
+
+def _listed(wide: DataFrame, keys: list[str]) -> DataFrame:
+    return wide.unpivot([*keys, "n_bases"], SUBSTITUTIONS, "type", "n").withColumn("pct", sequence.ratio_percent(F.col("n"), F.col("n_bases") - F.col("n")))
+
+
+def substitutions(bases: DataFrame, by: Column, name: str = "cycle") -> DataFrame:
+    """A3: the 12 kinds of substitution, on the read's strand: count and % of all resolved bases of the cycle."""
     # One aggregation: a handful of counters per cycle, then unpivoted.
-    counters = [F.count_if(kind == k).alias(k) for k in SUBSTITUTIONS]
-    wide = used.groupBy(by.alias(name)).agg(F.count("*").alias("n_bases"), *counters)
-    return wide.unpivot([name, "n_bases"], SUBSTITUTIONS, "type", "n").withColumn("pct", sequence.ratio_percent(F.col("n"), F.col("n_bases") - F.col("n")))
+    return _listed(_kinds(bases, by.alias(name)), [name])
 
 
 def observed_predicted(bases: DataFrame, by: list[Column] | None = None, max_nm: int | None = None) -> DataFrame:
@@ -172,10 +199,13 @@ def cycle_quality_bins(counted: DataFrame, least: int = 200) -> DataFrame:
 
 
 def end_substitutions(bases: DataFrame, ends: int = 20) -> DataFrame:
-    """C-7: substitutions by distance from either end of the read (5' on the read's strand)."""
+    """C-7: substitutions by distance from either end of the read (5' on the read's strand).
+
+    Bases are counted by place and read length, and only these counts are then given to both ends.
+    """
     five = F.when(F.col("reverse"), F.col("read_length") - F.col("i")).otherwise(F.col("i") + 1)
-    three = F.col("read_length") - five + 1
-    sides = F.array(F.struct(F.lit("5p").alias("side"), five.alias("distance")), F.struct(F.lit("3p").alias("side"), three.alias("distance")))
-    near = bases.where((five <= ends) | (three <= ends)).withColumn("at", F.explode(F.filter(sides, lambda s: s["distance"] <= ends)))
-    made = substitutions(near, F.col("at"), "at")
-    return made.select("at.side", "at.distance", "type", "n", "n_bases", "pct")
+    near = (five <= ends) | (F.col("read_length") - five + 1 <= ends)
+    counted = _kinds(bases.where(near), five.alias("five"), F.col("read_length"))
+    sides = F.array(F.struct(F.lit("5p").alias("side"), F.col("five").alias("distance")), F.struct(F.lit("3p").alias("side"), (F.col("read_length") - F.col("five") + 1).alias("distance")))
+    at = counted.select(F.inline(F.filter(sides, lambda s: s["distance"] <= ends)), "n_bases", *[F.col(f"`{k}`") for k in SUBSTITUTIONS])
+    return _listed(at.groupBy("side", "distance").agg(*[F.sum(f"`{k}`").alias(k) for k in ("n_bases", *SUBSTITUTIONS)]), ["side", "distance"]).select("side", "distance", "type", "n", "n_bases", "pct")
