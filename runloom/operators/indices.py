@@ -30,6 +30,15 @@ def invalid(sheet: DataFrame, dictionary: DataFrame) -> DataFrame:
     return out
 
 
+def sheet_problems(lines: DataFrame, double: bool) -> DataFrame:
+    """J2 on the lines of a sheet as entered (line from 0, value): (line, problem): wrong numbers of fields, wrong header."""
+    fields = F.split("value", "\t")
+    n = 3 if double else 2
+    heads = ["#index", "p7", "p5"][:n]
+    found = [F.when(F.size(fields) != n, F.lit(f"not {n} fields")), *[F.when((F.col("line") == 0) & F.coalesce(F.get(fields, F.lit(i)) != h, F.lit(True)), F.lit(f"header field {i + 1} is not {h}")) for i, h in enumerate(heads)]]
+    return lines.select("line", F.explode(F.array_compact(F.array(*found))).alias("problem"))
+
+
 def with_controls(sheet: DataFrame, controls: DataFrame) -> DataFrame:
     """The sheet and those control rows (name, p7, p5) whose p7 it lacks."""
     return sheet.select("name", "p7", "p5").unionByName(controls.join(sheet.select("p7"), "p7", "left_anti").select("name", "p7", "p5"))

@@ -84,10 +84,11 @@ def unpaired_mates(reads: DataFrame) -> DataFrame:
 def mark_duplicates(reads: DataFrame) -> DataFrame:
     """C-3: of mapped reads at one place all but the one with the highest quality sum (ties: name) are duplicates.
 
+    A place is the read group, reference (where there is one), position, strand and insert size.
     The best read of a place is a minimum over structs, which combines before the shuffle; a deep
     pile-up is never sorted in one task.
     """
-    place = ["rg", "pos", "reverse", "insert_size"]
+    place = [c for c in ("rg", "ref", "pos", "reverse", "insert_size") if c != "ref" or "ref" in reads.columns]
     total = F.aggregate(quality.phred("qual", None), F.lit(0), lambda s, q: s + q)
     scored = reads.where("mapped").withColumn("sum_q", total)
     best = scored.groupBy(*place).agg(F.min(F.struct(-F.col("sum_q"), F.col("name"))).alias("best"), F.count("*").alias("n_at_place"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions import quality, sequence
 from .operators import alignment, demultiplex, flags, groups, indices, merging, profiles, runs, tiles
 from .plans import control_profile, filter_reads
+from .sources import shared
 from .streaming import runs as stream
 from .views import duck, view
 
@@ -114,7 +114,7 @@ SELECT h.rg, size, coalesce(n, 0) AS n FROM {HEADER_SQL} h LEFT JOIN c USING (rg
     "reads",
 )
 def insert_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(profiles.insert_sizes(view(spark, sf_dir, "reads"), header(spark)), "size")
+    return longs(profiles.insert_sizes(view(spark, sf_dir, "reads"), header(spark)), "size").orderBy("rg", "size")
 
 
 @query("SELECT count(*) FILTER (WHERE NOT paired OR first_mate) AS n_fragments, count(*) FILTER (WHERE (NOT paired OR first_mate) AND NOT is_duplicate) AS n_without_duplicates FROM reads", "reads")
@@ -276,7 +276,7 @@ def alignment_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(WALK + f", c AS (SELECT cycle, {COUNTS} FROM bases WHERE paired AND {BOTH_M} GROUP BY cycle)\nSELECT CAST(s.cycle AS BIGINT) AS cycle, coalesce(matches, 0) AS matches, coalesce(mismatches, 0) AS mismatches, round(100.0 * mismatches / nullif(matches + mismatches, 0), 9) AS error_pct FROM (SELECT unnest(range(1, 33)) AS cycle) s LEFT JOIN c ON s.cycle = c.cycle", "reads")
 def cycle_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = alignment.cycle_error(_bases(spark, sf_dir).where("paired"), 32)
-    return rounded(longs(made, "cycle"), "error_pct")
+    return rounded(longs(made, "cycle"), "error_pct").orderBy("cycle")
 
 
 @query(
@@ -295,7 +295,7 @@ def _dense(where: str) -> str:
 
 @query(_dense(""), "reads", "mask")
 def obs_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True)), "q")
+    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True)), "q").orderBy("q")
 
 
 @query(_dense(" AND nm <= 2"), "reads", "mask")
@@ -458,10 +458,8 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _settled(spark: SparkSession, build: Callable[[DataFrame], DataFrame], sf_dir: str, mode: str) -> DataFrame:
-    """A stream over the events, run to its end; its state lies in the shared checkpoint folder."""
-    name = f"runloom_{uuid.uuid4().hex}"
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return stream.settle(build(stream.event_stream(spark, sf_dir)), name, mode, f"{base}/{name}" if base else "")
+    """A stream over the events, run to its end; its state and its rows lie in the shared checkpoint folder."""
+    return stream.settle(build(stream.event_stream(spark, sf_dir)), mode, shared.folder(spark, "stream"))
 
 
 @query("SELECT DISTINCT run_id FROM run_events WHERE marker = 'completed'", "run_events")
@@ -479,16 +477,32 @@ def run_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _settled(spark, stream.run_listing, sf_dir, "complete")
 
 
-@query()
+@query(
+    ", e AS (SELECT DISTINCT run_id, ts, marker FROM run_events WHERE marker IN ('started', 'completed')), g AS (SELECT run_id, marker, count(*) FILTER (WHERE marker = 'completed') OVER (PARTITION BY run_id ORDER BY ts, marker ROWS UNBOUNDED PRECEDING) AS g FROM e)\n"
+    "SELECT run_id, count(DISTINCT g) AS n_notices FROM g WHERE marker = 'started' GROUP BY run_id",
+    "run_events",
+)
 def started_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _settled(spark, stream.started_notices, sf_dir, "complete")
 
 
-@query()
+SCORE = lambda read, q, s: f"list_sum(list_transform(range(1, 8), lambda i: CASE WHEN substr({read}, i, 1) = substr({s}, i, 1) THEN log10(1 - least(0.75, pow(10.0, -greatest(ascii(substr({q}, i, 1)) - 33, 2) / 10.0))) ELSE log10(least(0.75, pow(10.0, -greatest(ascii(substr({q}, i, 1)) - 33, 2) / 10.0)) / 3) END))"
+
+
+@query(
+    f""", s AS (SELECT DISTINCT concat(p7, '+', coalesce(p5, '')) AS sample, p7_seq AS s7, p5_seq AS s5 FROM ({LOOKUP}) WHERE p7_seq IS NOT NULL), k AS (SELECT DISTINCT xi, yi, xj, yj FROM reads),
+c AS (SELECT *, round({SCORE('xi', 'yi', 's7')} + CASE WHEN s5 IS NULL THEN 0 ELSE {SCORE('xj', 'yj', 's5')} END, 9) AS score FROM k JOIN s ON hamming(xi, s7) + CASE WHEN s5 IS NULL THEN 0 ELSE hamming(xj, s5) END <= 1),
+r AS (SELECT *, row_number() OVER (w ORDER BY score DESC, sample DESC) AS place, sum(pow(10.0, score)) OVER w AS total, lead(score) OVER (w ORDER BY score DESC, sample DESC) AS second FROM c WINDOW w AS (PARTITION BY xi, yi, xj, yj)),
+b AS (SELECT *, CASE WHEN second IS NULL THEN 80.0 ELSE -10 * log10(greatest(1e-12, 1 - pow(10.0, score) / total)) END AS quality FROM r WHERE place = 1)
+SELECT coalesce(sample, 'unknown') AS sample, CASE WHEN sample IS NULL THEN 'unknown' WHEN score - second < 1 THEN 'conflict' WHEN quality < 10 THEN 'poor' ELSE 'assigned' END AS assignment, count(*) AS n
+FROM reads LEFT JOIN b USING (xi, yi, xj, yj) GROUP BY 1, 2""",
+    "reads", "index_sheet", "index_dict",
+)
 def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C-1 over all reads; the sheet's p7 sequences are the samples."""
-    sheet = indices.lookup(view(spark, sf_dir, "index_sheet"), view(spark, sf_dir, "index_dict")).where("p7_seq IS NOT NULL").dropDuplicates(["p7_seq"]).withColumn("name", F.col("p7"))
-    return demultiplex.summary(demultiplex.assign(view(spark, sf_dir, "reads"), sheet.withColumn("p5_seq", F.lit(None).cast("string")), max_mismatches=1))
+    """C-1 over all reads; the sheet's pairs of ids are the samples, of which some have no second index."""
+    sheet = indices.lookup(view(spark, sf_dir, "index_sheet"), view(spark, sf_dir, "index_dict")).where("p7_seq IS NOT NULL")
+    samples = sheet.select(F.concat("p7", F.lit("+"), F.coalesce("p5", F.lit(""))).alias("name"), "p7_seq", "p5_seq").distinct()
+    return demultiplex.summary(demultiplex.assign(view(spark, sf_dir, "reads"), samples, max_mismatches=1))
 
 
 @query()
@@ -498,3 +512,6 @@ def trimmed_and_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     turned = lambda c: F.reverse(F.translate(F.substring(c, 9, 24), "ACGT", "TGCA"))
     pairs = reads.select("name", F.substring("seq", 1, 24).alias("seq1"), F.substring("qual", 1, 24).alias("qual1"), turned("seq").alias("seq2"), F.reverse(F.substring("qual", 9, 24)).alias("qual2"))
     return merging.merge_log(merging.trim_and_merge(pairs, "AGATCGGAAGAGC"))
+
+
+from . import file_queries  # noqa: E402, F401  (registers its queries)

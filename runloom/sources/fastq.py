@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """S3: reads of four lines each; a first line without @ raises.
+    """S3: reads of four lines each; a first line without @, or a file whose lines are no multiple of four, raises.
 
-    A file is read by one task, as records are only told by counting lines; a run's files
-    are read in parallel.
+    Files of any size are read in splits.  A line's number is its place in its split behind the lines of the
+    file's splits before it, which are counted first; lines that are empty count (a read can be empty).
     """
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.filter(F.split("value", "\r?\n"), lambda x: x != "").alias("lines"))
-    n = F.floor(F.size("lines") / 4).cast("int")
-    place = lambda i, k: F.get("lines", i * 4 + k)
-    records = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(place(i, 0).alias("id"), place(i, 1).alias("seq"), place(i, 3).alias("qual")))
-    rows = whole.where(n > 0).select(F.inline(records))
-    checked = F.when(F.col("id").startswith("@"), F.substring("id", 2, 1_000_000)).otherwise(F.raise_error(F.concat(F.lit("not a FASTQ definition line: "), F.coalesce("id", F.lit("")))))
-    return rows.select(checked.alias("id"), "seq", "qual")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.rtrim(F.col("value"), F.lit("\r")).alias("value"))
+    whole = Window.partitionBy("file")
+    counts = lines.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = counts.select("file", "block", F.coalesce(F.sum("n").over(whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("total"))
+    numbered = lines.join(before, ["file", "block"]).withColumn("line", F.col("before") + F.row_number().over(Window.partitionBy("file", "block").orderBy("at")) - 1)
+    part = lambda k, name: F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(name)
+    records = numbered.groupBy("file", F.floor(F.col("line") / 4).alias("record"), "total").agg(part(0, "id"), part(1, "seq"), part(3, "qual"))
+    wrong = F.when(F.col("total") % 4 != 0, F.concat(F.lit("lines are no multiple of four in "), "file")).when(~F.col("id").startswith("@"), F.concat(F.lit("not a FASTQ definition line: "), "id"))
+    checked = F.when(wrong.isNull(), F.substring("id", 2, 1_000_000)).otherwise(F.raise_error(wrong))
+    return records.select(checked.alias("id"), "seq", "qual")
 
 
 def write_fastq(reads: DataFrame, path: str, suffix: str = "") -> None:

@@ -42,3 +42,16 @@ def references(spark: SparkSession, path: str) -> DataFrame:
 def write_reads(flagged: DataFrame, path: str) -> None:
     """K1, K5: all reads with their marks and metrics; none is dropped."""
     flagged.write.parquet(path)
+
+
+def write_sam(reads: DataFrame, path: str, groups: DataFrame) -> None:
+    """Reads of the schema above as SAM text, with the header lines of their groups (rg) in a file of their own."""
+    bit = lambda name: F.when(~F.col("mapped") if name == "unmapped" else F.col(name), FLAGS[name]).otherwise(0)
+    flag = sum((bit(k) for k in FLAGS), F.lit(0))
+    tag = lambda name, kind: F.concat(F.lit(f"{name}:{kind}:"), F.col(name.lower()).cast("string"))
+    or_star = lambda c: F.coalesce(F.col(c), F.lit("*"))
+    ref = or_star("ref") if "ref" in reads.columns else F.lit("ref")
+    fields = ["name", flag.cast("string"), ref, (F.col("pos") + 1).cast("string"), F.lit("60"), or_star("cigar"), F.lit("*"), F.lit("0"), F.col("insert_size").cast("string"), or_star("seq"), or_star("qual")]
+    tags = [tag(*x) for x in (("RG", "Z"), ("XI", "Z"), ("YI", "Z"), ("XJ", "Z"), ("YJ", "Z"), ("NM", "i"), ("MD", "Z"))]
+    groups.select(F.concat(F.lit("@RG\tID:"), "rg", F.lit("\tSM:x")).alias("value")).write.mode("append").text(path)
+    reads.select(F.concat_ws("\t", *fields, *tags).alias("value")).write.mode("append").text(path)

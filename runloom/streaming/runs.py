@@ -49,11 +49,23 @@ def windowed_counts(events: DataFrame, window: str = "15 minutes", delay: str =
     return events.withWatermark("ts", delay).groupBy(F.window("ts", window), "marker").agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "marker", "n")
 
 
-def settle(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Run a stream over all that is there into a memory table and give that as a DataFrame."""
+def settle(stream: DataFrame, mode: str, folder: str) -> DataFrame:
+    """Run a stream over all that is there; its rows are written as Parquet below the folder, by trigger, and read from there.
+
+    In append mode the rows of all triggers are the result, in complete mode those of the last.  A trigger that
+    is run again overwrites its own rows.
+    """
     spark = stream.sparkSession
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    done: list[int] = []
+
+    def write(rows: DataFrame, trigger: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/out/trigger={trigger}")
+        done.append(trigger)
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return spark.table(name)
+    kept = sorted(set(done)) if mode == "append" else done[-1:]
+    reader = spark.read.schema(stream.schema)
+    return reader.parquet(*[f"{folder}/out/trigger={k}" for k in kept]) if kept else spark.createDataFrame([], stream.schema)

@@ -26,7 +26,7 @@ def test_notices_in_order_across_frames_and_files(spark, tmp_path):
             (folder / "in").mkdir(parents=True)
             write(folder / "in", [events[k::n_files] for k in range(n_files)])
             stream = runs.started_notices(runs.event_stream(spark, str(folder / "in"), "*.parquet"))
-            made = runs.settle(stream, f"t_notices_{n_files}", "complete", str(folder / "state"))
+            made = runs.settle(stream, "complete", str(folder / "made"))
             assert sorted((x["run_id"], x["n_notices"]) for x in made.collect()) == sorted(want.items())
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)

@@ -114,3 +114,34 @@ def test_tables(spark, tmp_path):
     assert [tuple(x) for x in row["indicesseq"]] == [("name", "p7", "p5"), ("S", "ACGT", "TTTT"), ("T", None, None)] and row["lanes"] == [1, 2]
     tables.write_status(spark.createDataFrame([("a", "OK")], "dataset string, status string"), str(tmp_path / "status"))
     assert spark.read.json(str(tmp_path / "status")).first()["status"] == "OK"
+
+
+def test_fastq_over_splits(spark, tmp_path):
+    """Splits of a few bytes, an empty read, a line of white space at the end of one, and a rest that is no record."""
+    reads = [(f"r{i}", "" if i == 7 else "ACGT" * (i % 5 + 1), "" if i == 7 else "IIII" * (i % 5 + 1)) for i in range(40)]
+    (tmp_path / "in").mkdir()
+    for k in range(2):
+        (tmp_path / "in" / f"{k}.fq").write_text("".join(f"@{i}\n{s}\n+\n{q}\r\n" for i, s, q in reads[k::2]))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        assert sorted(tuple(r) for r in fastq.read_fastq(spark, str(tmp_path / "in")).collect()) == sorted(reads)
+        (tmp_path / "bad.fq").write_text("@a\nAC\n+\nII\n@b\nAC\n")
+        with pytest.raises(Exception, match="multiple of four"):
+            fastq.read_fastq(spark, str(tmp_path / "bad.fq")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_duplicates_of_several_references(spark):
+    from runloom.operators import profiles
+
+    rows = [(n, True, "IIII", "RG1", ref, 10, False, 50) for n, ref in (("a", "chr1"), ("b", "chr2"), ("c", "chr1"))]
+    df = spark.createDataFrame(rows, "name string, mapped boolean, qual string, rg string, ref string, pos int, reverse boolean, insert_size int")
+    assert {r["name"]: (r["n_at_place"], r["duplicate"]) for r in profiles.mark_duplicates(df).collect()} == {"a": (2, False), "b": (1, False), "c": (2, True)}
+
+
+def test_sheet_problems(spark):
+    lines = spark.createDataFrame([(0, "#index\tp7\tp5"), (1, "a\tb\tc"), (2, "a\tb")], "line long, value string")
+    assert [tuple(r) for r in indices.sheet_problems(lines, True).collect()] == [(2, "not 3 fields")]
+    assert sorted(tuple(r) for r in indices.sheet_problems(lines, False).collect()) == [(0, "not 2 fields"), (1, "not 2 fields")]

@@ -26,5 +26,5 @@ def test_new_runs_over_several_unordered_batches(spark, tmp_path):
     """40 files (three triggers) over 400 days, newest first; run 7 completes again and again."""
     (tmp_path / "in").mkdir()
     folder = write(tmp_path / "in", [[(24 * 10 * (40 - k), k + 100, "purchase"), (24 * 10 * (40 - k), 7, "purchase"), (0, k + 500, "view")] for k in range(40)])
-    made = runs.settle(runs.new_runs(runs.event_stream(spark, folder, "*.parquet")), "t_new_runs", "append", str(tmp_path / "state"))
+    made = runs.settle(runs.new_runs(runs.event_stream(spark, folder, "*.parquet")), "append", str(tmp_path / "made"))
     assert sorted(r["run_id"] for r in made.collect()) == sorted([f"RUN{k + 100}" for k in range(40)] + ["RUN7"])
