@@ -32,6 +32,38 @@ def _mismatches(read: str, sample: str) -> Column:
     return F.coalesce(F.when(n > 0, far), F.lit(0))
 
 
+def _blocks(first: Column, second: Column, n: int) -> Column:
+    """Both index parts behind each other, cut into n stretches."""
+    text = F.concat(first, second)
+    cut = lambda k: F.floor(F.length(text) * k / n).cast("int")
+    return F.array(*[F.substring(text, cut(k) + 1, cut(k + 1) - cut(k)) for k in range(n)])
+
+
+def candidates(readings: DataFrame, samples: DataFrame, most: int) -> DataFrame:
+    """Pairs of distinct readings (xi, yi, xj, yj) and samples (sample, s7, s5) with at most `most` mismatches over the bases both have.
+
+    With so few mismatches one of most + 1 stretches of the indices is equal: an equality join on place and
+    contents of the stretches, in which a pair counts at its first equal one.
+    """
+    sizes = samples.select(F.length("s7").alias("l7"), F.coalesce(F.length("s5"), F.lit(0)).alias("l5"))
+    lengths = [(r["l7"], r["l5"]) for r in sizes.distinct().collect()]
+    if not lengths:
+        return readings.join(samples, F.lit(False))
+    part = lambda c, n: F.coalesce(F.substring(F.col(c), F.lit(1), n), F.lit(""))
+    had = lambda c, n: F.least(F.coalesce(F.length(c), F.lit(0)), F.col(n))
+    each = readings.select("*", F.inline(F.array(*[F.struct(F.lit(a).alias("l7"), F.lit(b).alias("l5")) for a, b in lengths]))).withColumns({"n7": had("xi", "l7"), "n5": had("xj", "l5")})
+    asked = each.withColumn("read_blocks", _blocks(part("xi", F.col("n7")), part("xj", F.col("n5")), most + 1))
+    shapes = ["l7", "l5", "n7", "n5"]
+    known = samples.withColumns({"l7": F.length("s7"), "l5": F.coalesce(F.length("s5"), F.lit(0))}).join(F.broadcast(each.select(*shapes).distinct()), ["l7", "l5"])
+    known = known.withColumn("sample_blocks", _blocks(part("s7", F.col("n7")), part("s5", F.col("n5")), most + 1))
+    left = asked.select("*", F.posexplode("read_blocks").alias("at", "block"))
+    right = known.select("*", F.posexplode("sample_blocks").alias("at", "block"))
+    met = left.join(F.broadcast(right), [*shapes, "at", "block"])
+    earlier = F.forall(F.slice(F.arrays_zip("read_blocks", "sample_blocks"), F.lit(1), F.col("at")), lambda x: x["read_blocks"] != x["sample_blocks"])
+    far = _mismatches("xi", "s7") + F.when(F.col("s5").isNull(), 0).otherwise(_mismatches("xj", "s5"))
+    return met.where(earlier & (far <= most)).select(*readings.columns, *samples.columns)
+
+
 def assign(reads: DataFrame, sheet: DataFrame, max_mismatches: int = 2, least_quality: float = 10.0, least_ratio: float = 1.0, fail: bool = True) -> DataFrame:
     """Reads with sample, second_sample, quality, ratio and status (assigned, conflict, poor, unknown).
 
@@ -44,7 +76,7 @@ def assign(reads: DataFrame, sheet: DataFrame, max_mismatches: int = 2, least_qu
     samples = sheet.select(F.col("name").alias("sample"), F.col("p7_seq").alias("s7"), F.col("p5_seq").alias("s5")).where("s7 IS NOT NULL")
     keys = ["xi", "yi", "xj", "yj"]
     distinct = reads.select(*keys).distinct()
-    pairs = distinct.join(F.broadcast(samples), _mismatches("xi", "s7") + F.when(F.col("s5").isNull(), 0).otherwise(_mismatches("xj", "s5")) <= max_mismatches)
+    pairs = candidates(distinct, samples, max_mismatches)
     score = _score("xi", "yi", "s7") + F.when(F.col("s5").isNull(), 0.0).otherwise(_score("xj", "yj", "s5"))
     ranked = pairs.withColumn("score", F.round(score, 9)).groupBy(*keys).agg(F.slice(F.sort_array(F.collect_list(F.struct(F.col("score"), F.col("sample"))), asc=False), 1, 2).alias("top"), F.sum(F.pow(F.lit(10.0), "score")).alias("total"))
     best, second = F.get("top", F.lit(0)), F.get("top", F.lit(1))

@@ -175,3 +175,21 @@ def test_tiles_and_runs(spark):
     assert made["nonsense"]["run_date"] is None and made["nonsense"]["retention"] == "keep"
     events = spark.createDataFrame([("r", 1, "started", 0), ("r", 1, "completed", 1), ("r", 1, "progress", 0), ("r", 2, "started", 0)], "run_id string, lane int, marker string, proc int")
     assert {r["lane"]: (r["status"], r["n_done"]) for r in runs.lane_status(events).collect()} == {1: ("completed", 1), 2: ("started", 0)}
+
+
+def test_index_candidates_are_all_pairs_within_the_distance(spark):
+    import random
+
+    from runloom.operators import demultiplex
+
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    samples = [(f"s{i}", word(r.choice([6, 7])), None if i % 4 == 0 else word(7)) for i in range(20)]
+    near = lambda s: "".join(r.choice("ACGTN") if r.random() < 0.15 else c for c in s)
+    reads = [(near(a)[: r.choice([5, 7, 7])], "IIIIIII", near(b or word(7)), "IIIIIII") for _, a, b in samples * 8] + [(None, None, samples[1][2], "IIIIIII"), ("", "", None, None), ("ACGTACGTAC", "I" * 10, "ACGT", "IIII")]
+    reads = sorted(set(reads), key=repr)
+    far = lambda x, y: sum(a != b for a, b in zip(x or "", y or "", strict=False))
+    for most in (0, 1, 2):
+        made = demultiplex.candidates(spark.createDataFrame(reads, "xi string, yi string, xj string, yj string"), spark.createDataFrame(samples, "sample string, s7 string, s5 string"), most)
+        want = [(*x, *s) for x in reads for s in samples if far(x[0], s[1]) + (0 if s[2] is None else far(x[2], s[2])) <= most]
+        assert sorted(map(tuple, made.collect()), key=repr) == sorted(want, key=repr)
