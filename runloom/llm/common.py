@@ -200,33 +200,32 @@ def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: (node, component = smallest node).
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014) as joins
-    and minimum aggregates; each round's edges are checkpointed, nothing is
-    collected but their count and checksum.  Null ends and loops are ignored.
+    Alternating large-star and small-star rounds (Kiveris et al., 2014).  Which nodes have to be moved, and to
+    what, is aggregated first, with partial aggregates, and checkpointed as a table of its own; the edges are
+    joined to that.  So a finished star, whose root has all the edges, moves nothing, and a node with very many
+    edges leaves a plain join whose large partitions Spark can split.  Only whether anything moves
+    reaches the driver.  Null ends and loops are ignored.
     """
-    links = (
+    links = checkpoint(
         edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .where("u <> v")
         .distinct()
     )
-    links = checkpoint(links)
-    before = None
     for _ in range(most_rounds):
+        # Large star: the edges of a node with a smaller neighbour go to the smallest one.
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(lower, "u")
-            .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-            .distinct()
-        )
-        links = checkpoint(small)
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        moved = checkpoint(both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most")).where("m < u AND most > u").select(F.col("u").alias("v"), "m"))
+        settled = moved.isEmpty()
+        if not settled:
+            links = checkpoint(links.join(moved, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct())
+        # Small star: the smaller neighbours of a node go to the smallest one of them.
+        lower = checkpoint(links.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most")).where("m < most").select("u", "m"))
+        if not lower.isEmpty():
+            stays = F.col("m").isNull() | (F.col("v") == F.col("m"))
+            links = checkpoint(links.join(lower, "u", "left").select(F.when(stays, F.col("u")).otherwise(F.col("v")).alias("u"), F.coalesce("m", "v").alias("v")).distinct())
+        elif settled:
             break
-        before = now
     else:
         raise RuntimeError(f"components: not settled after {most_rounds} rounds")
     roots = links.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
