@@ -61,6 +61,17 @@ def _hash(points: np.ndarray) -> np.ndarray:
     return h
 
 
+def _largest(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(columns, values) of the n largest of every row, largest first; x is overwritten."""
+    rows = np.arange(len(x))
+    best, value = np.empty((len(x), n), np.int64), np.empty((len(x), n))
+    for k in range(n):
+        best[:, k] = x.argmax(1)
+        value[:, k] = x[rows, best[:, k]]
+        x[rows, best[:, k]] = -np.inf
+    return best, value
+
+
 class Cells:
     """The cells of unit vectors of one dimension."""
 
@@ -85,10 +96,9 @@ class Cells:
             for b in range(self.blocks):
                 part = y[:, 8 * b : 8 * b + 8]
                 point = nearest(part)
-                inner = (part - point) @ self.roots.T
-                best = np.argpartition(-inner, self.probes, axis=1)[:, : self.probes]
+                best, near_by = _largest((part - point) @ self.roots.T, self.probes)
                 own.append(_hash(point))
-                cost.append(-np.take_along_axis(inner, best, 1))
+                cost.append(-near_by)
                 near.append(np.stack([_hash(point + self.roots[best[:, p]]) for p in range(self.probes)], 1))
             whole = lambda parts: common.mix(sum((h * np.uint64(m)) for h, m in zip(parts, (*common.WINDOW_SEEDS, *common.SEEDS), strict=False)))
             tag = lambda h, t=t: ((h >> np.uint64(8)) | (np.uint64(t) << np.uint64(56))).view(np.int64)
