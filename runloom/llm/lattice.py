@@ -118,11 +118,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def _first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest cell in which two vectors meet: own cell of one, own or probed of the other."""
     out = np.empty(len(a), np.int64)
+    none = np.iinfo(np.int64).max
     for s in range(0, len(a), 20_000):
-        x, y = a[s : s + 20_000, :, :, None], b[s : s + 20_000, :, None, :]
-        same = x == y
-        same[:, :, 1:, 1:] = False
-        out[s : s + 20_000] = np.where(same, np.broadcast_to(x, same.shape), np.iinfo(np.int64).max).min((1, 2, 3))
+        x, y = a[s : s + 20_000], b[s : s + 20_000]
+        # A table's cells differ from those of the others, so only cells of one table are compared.
+        left = np.where(x == y[:, :, :1], x, none).min((1, 2))
+        out[s : s + 20_000] = np.minimum(left, np.where(y == x[:, :, :1], y, none).min((1, 2)))
     return out
 
 
