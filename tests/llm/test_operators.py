@@ -572,3 +572,23 @@ def test_dense_cell_of_vectors(spark):
     near = u @ u.T >= 0.9
     made = lattice.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
     assert sum(m["n_links"] for m in made) >= 0.99 * (near.sum() - len(x)) and all(m["component_id"] == 0 for m in made)
+
+
+def test_largest_of_rows_with_ties():
+    r = np.random.default_rng(3)
+    for x in (r.standard_normal((50, 240)), r.integers(0, 4, (50, 240)).astype(float), np.zeros((3, 5)), np.zeros((0, 240))):
+        at, value = lattice._largest(x.copy(), 4)
+        assert (value == -np.sort(-x, axis=1)[:, :4]).all()
+        assert (np.take_along_axis(x, at, 1) == value).all() and all(len(set(row)) == 4 for row in at.tolist())
+
+
+def test_first_meeting_against_all_cells():
+    """The smallest cell that both have, one of them as its own."""
+    r = np.random.default_rng(4)
+    cells = lattice.Cells(64)
+    a = lattice._unit(r.standard_normal((300, 64)))
+    x, y = cells.of(a), cells.of(lattice._unit(a + 0.06 * r.standard_normal(a.shape)))
+    for p, q, met in zip(x, y, lattice._first_meeting(x, y).tolist(), strict=True):
+        own_p, own_q = set(p[:, 0].tolist()), set(q[:, 0].tolist())
+        shared = {c for c in p.ravel().tolist() if c in set(q.ravel().tolist()) and (c in own_p or c in own_q)}
+        assert met == min(shared, default=np.iinfo(np.int64).max)
