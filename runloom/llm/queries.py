@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lattice, line_dedup, maxplus, neighbours, packing, quotations, simhash, substring_dedup, token_counts
+from . import conversation_repair, language, lattice, line_dedup, maxplus, neighbours, packing, quotations, simhash, substring_dedup, token_counts
 
 
 def tokenizer(name: str) -> str:
@@ -69,6 +69,11 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(_read(spark, sf_dir, "conversations"))
+    return conversation_repair.digest(conversation_repair.repair(damaged))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quotations": op2_quotations,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_maxplus": op8_maxplus,
     "op9_neighbours": op9_neighbours,
     "op10_lattice_dedup": op10_lattice_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 OP1_SQL = r"""
@@ -122,4 +128,5 @@ r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.b FROM
 SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
 FROM (SELECT x AS vec_id, min(y) AS c FROM r GROUP BY x) LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id)"""
 
+
 ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_quotations": OP2_SQL, "op7_line_dedup": OP7_SQL, "op10_lattice_dedup": OP10_SQL}
