@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, language, lattice, line_dedup, maxplus, neighbours, packing, quotations, simhash, substring_dedup, token_counts
+from . import conversation_repair, language, lattice, license_scan, line_dedup, maxplus, neighbours, packing, quotations, simhash, substring_dedup, token_counts
 
 
 def tokenizer(name: str) -> str:
@@ -69,6 +69,10 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = conversation_repair.damage(_read(spark, sf_dir, "conversations"))
     return conversation_repair.digest(conversation_repair.repair(damaged))
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_maxplus": op8_maxplus,
     "op9_neighbours": op9_neighbours,
     "op10_lattice_dedup": op10_lattice_dedup,
+    "op12_license_scan": op12_license_scan,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -129,4 +134,54 @@ SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
 FROM (SELECT x AS vec_id, min(y) AS c FROM r GROUP BY x) LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id)"""
 
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_quotations": OP2_SQL, "op7_line_dedup": OP7_SQL, "op10_lattice_dedup": OP10_SQL}
+#: Of a phrase's edits + 1 pieces a place of it holds one unchanged, so blocks of words without any are left out.
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT * FROM (VALUES BASE_NOTICES) t(label, phrase)),
+f AS (SELECT *, len(string_split(phrase, ' ')) AS size FROM (VALUES FUZZY_NOTICES) t(label, phrase, most)),
+g AS (SELECT doc_id, start, w[start + 1 : start + 48] AS w FROM (SELECT doc_id, w, unnest(range(0, len(w), 32)) AS start FROM d) WHERE regexp_matches(array_to_string(w[start + 1 : start + 48], ' '), 'PIECES')),
+p AS (SELECT doc_id, start, w, unnest(range(1, least(len(w), 32) + 1)) AS i FROM g),
+x AS (SELECT doc_id, start + i - 1 AS i, label FROM p JOIN b ON array_to_string(w[i : i + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
+y AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM x GROUP BY doc_id),
+r AS (SELECT doc_id, k, array_to_string(w[i : i + k - 1], ' ') AS run FROM (SELECT doc_id, w, i, unnest(range(1, least(17, len(w) - i + 1) + 1)) AS k FROM p)),
+c AS (SELECT doc_id, label, phrase, most, run FROM r JOIN (SELECT *, unnest(range(greatest(1, size - most), size + most + 1)) AS k FROM f) USING (k) WHERE abs(strlen(run) - length(phrase)) <= most),
+z AS (SELECT doc_id, label, (length(phrase) - levenshtein(run, phrase)) / length(phrase) AS score FROM c WHERE levenshtein(run, phrase) <= most),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM (SELECT doc_id, label, score FROM z UNION ALL SELECT doc_id, label, 1.0 FROM x) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN y USING (doc_id) LEFT JOIN l USING (doc_id)""".replace("BASE_NOTICES", ", ".join(f"('{n.label}', '{n.phrase}')" for n in license_scan.BASE)).replace(
+    "FUZZY_NOTICES", ", ".join(f"('{n.label}', '{n.phrase}', {n.edits})" for n in license_scan.FUZZY)
+).replace("PIECES", "|".join(sorted({x for n in license_scan.BASE + license_scan.FUZZY for _, x in license_scan.seeds(n)})))
+
+#: Forward over the rows: the cheapest edits, ASCII-least first, into each of the four states; the repaired rows follow from the edits.
+OP13_SQL = r"""
+WITH RECURSIVE d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+k AS (SELECT *, xor(4294967295, list_reduce(list_transform(range(1, length(key) + 1), lambda i: ord(key[i])::BIGINT),
+    lambda x, b: list_reduce(range(8), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)), xor(x, b)), 4294967295::BIGINT)) % 20 AS k FROM d),
+r AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS solid FROM r),
+f AS (SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS before, 'u' = role[1] AS u, 'a' = role[1] AS a, 's' = role[1] AS s FROM o),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE before || role[1] NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+t(conv_id, i, x0, x1, x2, x3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, {'c': 0::BIGINT, 'e': ''}, NULL::STRUCT(c BIGINT, e VARCHAR), NULL::STRUCT(c BIGINT, e VARCHAR), NULL::STRUCT(c BIGINT, e VARCHAR) FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {'c': w0.c + 2, 'e': w0.e || 'D'},
+    list_min(list_filter([{'c': w1.c + 2, 'e': w1.e || 'D'}, CASE WHEN stays AND s THEN {'c': w0.c + extra, 'e': w0.e || 'K'} END], lambda y: y.c IS NOT NULL)),
+    list_min(list_filter([{'c': w2.c + 2, 'e': w2.e || 'D'}, CASE WHEN stays THEN {'c': m.c + extra + 1, 'e': m.e || 'R'} END, CASE WHEN stays AND u THEN {'c': m.c + extra, 'e': m.e || 'K'} END], lambda y: y.c IS NOT NULL)),
+    list_min(list_filter([{'c': w3.c + 2, 'e': w3.e || 'D'}, CASE WHEN stays THEN {'c': w2.c + extra + 1, 'e': w2.e || 'R'} END, CASE WHEN stays AND a THEN {'c': w2.c + extra, 'e': w2.e || 'K'} END], lambda y: y.c IS NOT NULL))
+  FROM (SELECT *, list_min(list_filter([w0, w1, w3], lambda y: y.c IS NOT NULL)) AS m FROM (
+    SELECT t.conv_id, t.i + 1 AS i, f.u, f.a, f.s, f.fault IN ('', 'truncated') AS stays, CASE f.fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra, x0 AS w0, x1 AS w1,
+      list_min(list_filter([x2, {'c': x0.c + 5, 'e': x0.e || 'I'}, {'c': x1.c + 5, 'e': x1.e || 'I'}, {'c': x3.c + 5, 'e': x3.e || 'I'}], lambda y: y.c IS NOT NULL)) AS w2,
+      list_min(list_filter([x3, {'c': x2.c + 5, 'e': x2.e || 'I'}, {'c': x0.c + 10, 'e': x0.e || 'II'}, {'c': x1.c + 10, 'e': x1.e || 'II'}], lambda y: y.c IS NOT NULL)) AS w3
+    FROM t JOIN f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.i = t.i + 1))),
+b AS (SELECT conv_id, list_min(list_filter([x0, x3, {'c': x2.c + 5, 'e': x2.e || 'I'}, {'c': x0.c + 10, 'e': x0.e || 'II'}, {'c': x1.c + 10, 'e': x1.e || 'II'}], lambda y: y.c IS NOT NULL)) AS z
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM t) WHERE back = 1),
+e AS (SELECT *, sum((edit <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY j) AS i FROM (SELECT conv_id, z.e[j] AS edit, j FROM (SELECT conv_id, z, unnest(range(1, length(z.e) + 1)) AS j FROM b))),
+h AS (SELECT e.conv_id, j, edit, f.role, CASE WHEN edit = 'I' THEN '' ELSE f.text END AS text, row_number() OVER (PARTITION BY e.conv_id ORDER BY j) AS o, first_value(edit = 'K' AND f.s) OVER (PARTITION BY e.conv_id ORDER BY j) AS led
+  FROM e LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i AND edit <> 'I' WHERE edit <> 'D'),
+q AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (o - led::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS repaired FROM h GROUP BY conv_id)
+SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, z.c AS cost, z.e AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM b LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_quotations": OP2_SQL, "op7_line_dedup": OP7_SQL, "op10_lattice_dedup": OP10_SQL, "op12_license_scan": OP12_SQL, "op13_conversation_repair": OP13_SQL}
