@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, language, lattice, license_scan, line_dedup, maxplus, neighbours, packing, quotations, simhash, substring_dedup, token_counts
+from . import conversation_repair, language, lattice, license_scan, line_dedup, maxplus, neighbours, packing, phrases, quotations, simhash, substring_dedup, token_counts
 
 
 def tokenizer(name: str) -> str:
@@ -69,6 +69,10 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_read(spark, sf_dir, "documents"))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan(_read(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_maxplus": op8_maxplus,
     "op9_neighbours": op9_neighbours,
     "op10_lattice_dedup": op10_lattice_dedup,
+    "op11_collocations": op11_collocations,
     "op12_license_scan": op12_license_scan,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -134,6 +139,20 @@ SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
 FROM (SELECT x AS vec_id, min(y) AS c FROM r GROUP BY x) LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id)"""
 
 
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(x, '[\x20\x09]+'), lambda y: y <> '') AS w FROM p),
+t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, p, count(*) AS f FROM (SELECT lang, w[i : i + m - 1] AS p FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 6) x(m))) GROUP BY ALL HAVING count(*) >= 100),
+i AS (SELECT lang, q[i : i + m - 1] AS p, f FROM (SELECT lang, p AS q, f, m, unnest(range(1, len(p) - m + 2)) AS i FROM f, range(2, 5) x(m) WHERE len(p) > m)),
+c AS (SELECT lang, p, max(f) AS longer FROM i GROUP BY ALL),
+k AS (SELECT f.lang, f.p, f.f AS a, unnest(range(1, len(f.p))) AS k FROM f LEFT JOIN c USING (lang, p) WHERE len(f.p) > 1 AND (longer IS NULL OR 100 * longer < 100 * f.f)),
+s AS (SELECT k.lang, k.p, a, l.f AS l, r.f AS r, n, k, (1000 * a::HUGEINT * n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.p = k.p[1 : k] JOIN f r ON r.lang = k.lang AND r.p = k.p[k + 1 :] JOIN t ON t.lang = k.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS cut FROM s),
+o AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score, k, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM b WHERE cut = 1)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score, k FROM o WHERE rank <= 2000"""
+
 #: Of a phrase's edits + 1 pieces a place of it holds one unchanged, so blocks of words without any are left out.
 OP12_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
@@ -184,4 +203,4 @@ q AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (o - led::I
 SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, z.c AS cost, z.e AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
 FROM b LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM b.conv_id"""
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_quotations": OP2_SQL, "op7_line_dedup": OP7_SQL, "op10_lattice_dedup": OP10_SQL, "op12_license_scan": OP12_SQL, "op13_conversation_repair": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_quotations": OP2_SQL, "op7_line_dedup": OP7_SQL, "op10_lattice_dedup": OP10_SQL, "op11_collocations": OP11_SQL, "op12_license_scan": OP12_SQL, "op13_conversation_repair": OP13_SQL}
