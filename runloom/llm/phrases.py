@@ -17,7 +17,7 @@ from . import common
 #: Texts are encoded in blocks of about so many bytes, cut only between pieces.
 BLOCK_BYTES = 4 << 20
 #: Most candidates of a trie, and most hashed pairs, that are broadcast at a time; more go in further passes.
-TRIE_PHRASES = 500_000
+TRIE_PHRASES = 250_000
 PAIR_HASHES = 4_000_000
 #: A task collects so many hashed pairs before it sends them.
 HELD_PAIRS = 1_500_000
@@ -37,59 +37,66 @@ _ENCODED_ARROW = pa.schema([("lang", pa.string()), ("n_words", pa.int64()), ("wo
 class Trie:
     """A double array over phrases of 64-bit word hashes.
 
-    A state is a slot; a word's code leads from state s to slot base[s] + code, if check of that slot is s.
+    A state is a slot; a word's code leads from state s to slot base[s] + code, if check of that slot is s (a base can be below 0, and
+    slots count from the end then, where no child of s is).
     Slot 0 is the root; phrase[s] is the number of the phrase that ends in s, or -1.  All phrases have the same number of words.
     """
 
-    def __init__(self, phrases: list[list[int]]):
-        self.phrases = np.array(phrases, np.int64)
-        children: list[dict[int, int]] = [{}]
-        ends = []
-        letters = np.unique(self.phrases)
-        code = {w: i + 1 for i, w in enumerate(letters.tolist())}
-        for p in phrases:
-            node = 0
-            for w in p:
-                step = children[node]
-                node = step.setdefault(code[w], len(children))
-                if node == len(children):
-                    children.append({})
-            ends.append(node)
-        width, slots = len(letters) + 1, len(children) + len(letters) + 2
-        self.letters, self.base = letters, np.zeros(2 * slots + width, np.int64)
-        self.check, self.phrase = np.full(2 * slots + width, -1, np.int64), np.full(2 * slots + width, -1, np.int64)
-        free = np.ones(2 * slots + width, bool)
+    def __init__(self, phrases: np.ndarray):
+        self.letters = np.unique(phrases)
+        coded = np.searchsorted(self.letters, phrases) + 1
+        order = np.lexsort(coded.T[::-1])
+        self.phrases, coded = phrases[order], coded[order]
+        width, n = len(self.letters) + 1, len(coded)
+        self.base, self.check, free = np.zeros(width, np.int64), np.full(width, -1, np.int64), np.ones(width, bool)
         free[0] = False
-        slot_of, todo = np.zeros(len(children), np.int64), [0]
-        low = 1
-        for node in todo:
-            step = children[node]
-            if not step:
-                continue
-            codes = np.fromiter(step, np.int64, len(step))
-            while not free[low]:
-                low += 1
-            at = low
-            # The first free slot that can take the smallest code, such that all others are free as well.
-            first = codes.min()
-            while True:
-                if at >= first and free[at - first + codes].all():
-                    break
-                at += 1 + int(np.argmax(free[at + 1 :]))
-                if at - first + codes.max() + 1 >= len(free):
-                    grown = len(free)
-                    free = np.concatenate([free, np.ones(grown, bool)])
-                    self.base, self.check, self.phrase = (np.concatenate([x, np.full(grown, v, np.int64)]) for x, v in ((self.base, 0), (self.check, -1), (self.phrase, -1)))
-            self.base[slot_of[node]] = at - first
-            slots_taken = at - first + codes
-            free[slots_taken] = False
-            self.check[slots_taken] = slot_of[node]
-            for c, s in zip(step.values(), slots_taken.tolist(), strict=True):
-                slot_of[c] = s
-                todo.append(c)
-        self.phrase[slot_of[ends]] = np.arange(len(phrases))
+        node, slots, new = np.zeros(n, np.int64), np.zeros(1, np.int64), np.zeros(n, bool)
+        for column in coded.T:
+            # The nodes of this level: where sorted phrases differ in their first words.
+            new[:1] = True
+            new[1:] |= column[1:] != column[:-1]
+            first = np.flatnonzero(new)
+            parent, code = node[first], column[first]
+            node = np.cumsum(new) - 1
+            size = np.bincount(parent, minlength=len(slots))
+            at = np.concatenate([[0], np.cumsum(size)])
+            made = np.zeros(len(first), np.int64)
+            # Those with the most children first, while there is room; those with about as many go on from where the last one found room.
+            several = np.flatnonzero(size > 1)
+            hints: Counter = Counter()
+            for p in several[np.argsort(-size[several], kind="stable")].tolist():
+                codes = code[at[p] : at[p + 1]] - code[at[p]]
+                kind = len(codes).bit_length()
+                here, missed = hints[kind], 0
+                free = self._room(free, here + width)
+                # Steps grow with the misses: some slots stay empty, but the search stays short.
+                while not free[here + codes].all():
+                    missed += 1
+                    here += 1 + missed * missed // 16
+                    free = self._room(free, here + width)
+                hints[kind] = here
+                made[at[p] : at[p + 1]] = here + codes
+                free[here + codes] = False
+            # An only child can have any slot.
+            alone = at[:-1][size == 1]
+            free = self._room(free, len(free) + len(alone))
+            made[alone] = np.flatnonzero(free)[: len(alone)]
+            free[made[alone]] = False
+            self.check[made] = slots[parent]
+            self.base[slots[parent]] = made - code
+            slots = made
         used = int(np.flatnonzero(~free).max()) + width + 1
-        self.base, self.check, self.phrase = (np.concatenate([x[:used], np.full(max(0, used - len(x)), v, np.int64)]) for x, v in ((self.base, 0), (self.check, -1), (self.phrase, -1)))
+        self._room(free, used)
+        self.base, self.check, self.phrase = self.base[:used].astype(np.int32), self.check[:used].astype(np.int32), np.full(used, -1, np.int32)
+        self.phrase[slots] = np.arange(n)
+
+    def _room(self, free: np.ndarray, size: int) -> np.ndarray:
+        more = size - len(free)
+        if more > 0:
+            more += size
+            self.base, self.check = np.concatenate([self.base, np.zeros(more, np.int64)]), np.concatenate([self.check, np.full(more, -1, np.int64)])
+            free = np.concatenate([free, np.ones(more, bool)])
+        return free
 
     def letter_codes(self, hashes: np.ndarray) -> np.ndarray:
         """The trie's code of each word hash; 0 for words that it does not hold."""
@@ -274,6 +281,10 @@ def _slices(df: DataFrame, most: int) -> Iterator[pa.Table]:
         yield (df if n == 1 else df.where(F.pmod(F.xxhash64(*df.columns), F.lit(n)) == i)).toArrow()
 
 
+def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy().reshape(-1, size)
+
+
 def _lists(rows: np.ndarray) -> pa.ListArray:
     size = rows.shape[1] if rows.ndim > 1 else 0
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(size)), pa.array(rows.ravel(), pa.int64()))
@@ -296,7 +307,7 @@ def _count(encoded: DataFrame, candidates: DataFrame, size: int, least: int) ->
     """(phrase, f) of the candidates that occur `least` times or more: a trie for each slice of them, one pass for each trie."""
     spark, counted = encoded.sparkSession, None
     for table in _slices(candidates, TRIE_PHRASES):
-        told = spark.sparkContext.broadcast(Trie(table["phrase"].to_pylist()))
+        told = spark.sparkContext.broadcast(Trie(_matrix(table["phrase"], size)))
 
         def run(batches, told=told):
             trie = told.value
@@ -346,7 +357,7 @@ def _longer(encoded: DataFrame, frequent: DataFrame, size: int) -> DataFrame:
         return _longer_of_many(encoded, frequent, tables, size)
     found = spark.createDataFrame([], "phrase array<long>")
     for table in tables:
-        told = spark.sparkContext.broadcast(Trie(table["phrase"].to_pylist()))
+        told = spark.sparkContext.broadcast(Trie(_matrix(table["phrase"], size)))
 
         def keep(h, codes, told=told):
             trie = told.value
@@ -366,7 +377,7 @@ def _longer_of_many(encoded: DataFrame, frequent: DataFrame, tables: Iterator[pa
     """The same with several tries: phrases one word longer that begin with a frequent one of each trie in turn, then those that end with one."""
     spark, begun = encoded.sparkSession, None
     for table in tables:
-        told = spark.sparkContext.broadcast(Trie(table["phrase"].to_pylist()))
+        told = spark.sparkContext.broadcast(Trie(_matrix(table["phrase"], size)))
 
         def keep(h, codes, told=told):
             trie = told.value
