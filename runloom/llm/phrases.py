@@ -16,15 +16,15 @@ from . import common
 
 #: Texts are encoded in blocks of about so many bytes, cut only between pieces.
 BLOCK_BYTES = 4 << 20
-#: Most candidates of a trie, and most hashed pairs, that are broadcast at a time; more go in further passes.
+#: Most candidates of a trie, and most hashes, that are broadcast at a time; more go in further passes.
 TRIE_PHRASES = 250_000
-PAIR_HASHES = 4_000_000
-#: A task collects so many hashed pairs before it sends them.
-HELD_PAIRS = 1_500_000
-#: Hashed pairs of a range, on average.
-RANGE_PAIRS = 4_000_000
-#: Pairs are hashed to so many bits for the upper bounds.
-PAIR_BITS = 48
+LIKELY_HASHES = 4_000_000
+#: A task collects so many hashes before it sends them.
+HELD_HASHES = 1_500_000
+#: Words of a range of hashes, on average.
+RANGE_HASHES = 4_000_000
+#: Phrases are hashed to so many bits for the upper bounds.
+HASH_BITS = 48
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -199,29 +199,28 @@ def _rows(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield h, np.frombuffer(data, np.uint16 if len(h) < 65535 else np.uint32).astype(np.int64)
 
 
-def _pair_keys(h: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places of pairs, hashes of PAIR_BITS)."""
-    at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
+def _keys(h: np.ndarray, codes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of HASH_BITS of the phrases of `size` words at some places."""
     u = h.view(np.uint64)
-    a, b = u[codes[at] - 1], u[codes[at + 1] - 1]
-    return at, common.mix(a + common.mix(b ^ np.uint64(common.WINDOW_SEEDS[1]))) >> np.uint64(64 - PAIR_BITS)
+    out = u[codes[at] - 1]
+    for j in range(1, size):
+        out = common.mix(out + common.mix(u[codes[at + j] - 1] ^ np.uint64(common.WINDOW_SEEDS[1])))
+    return out >> np.uint64(64 - HASH_BITS)
 
 
-def _likely_pairs(encoded: DataFrame, least: int) -> DataFrame:
-    """Hashes of PAIR_BITS whose counts over all texts reach `least`: no frequent pair is missing, as equal hashes only add up.
+def _adjacent(h: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
 
-    Tasks send sorted hashes with counts, packed, one row for each range of hashes.
-    """
-    spark = encoded.sparkSession
-    n = encoded.agg(F.sum("n_words")).first()[0] or 0
-    bits = int(max(4, np.ceil(np.log2(max(1, n / RANGE_PAIRS)))))
 
-    def send(batches):
+def _sent(encoded: DataFrame, places, size: int, least: int, bits: int) -> DataFrame:
+    """Hashes of the phrases of `size` words at the places, with counts: sorted and packed, one row for each range of hashes that a task has."""
+
+    def run(batches):
         keys, counts, held = [], [], 0
 
         def flush():
             k, n = _summed(keys, counts)
-            cuts = np.searchsorted(k, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(PAIR_BITS - bits))
+            cuts = np.searchsorted(k, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(HASH_BITS - bits))
             used = np.flatnonzero(np.diff(cuts))
             size = [(int(cuts[i]), int(cuts[i + 1])) for i in used.tolist()]
             for i in range(0, len(size), 256):
@@ -229,22 +228,28 @@ def _likely_pairs(encoded: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(used[i : i + 256], pa.int64()), pa.array([_pack(k[a:b], n[a:b]) for a, b in some], pa.binary())], names=["bucket", "packed"])
 
         for h, codes in _rows(batches):
-            k, c = np.unique(_pair_keys(h, codes)[1], return_counts=True)
+            k, c = np.unique(_keys(h, codes, places(h, codes), size), return_counts=True)
             keys.append(k)
             counts.append(np.minimum(c, least).astype(np.int64))
             held += len(k)
-            if held > HELD_PAIRS:
+            if held > HELD_HASHES:
                 yield from flush()
                 keys, counts, held = [], [], 0
         if held:
             yield from flush()
 
+    return encoded.select("hashes", "codes").mapInArrow(run, "bucket long, packed binary")
+
+
+def _likely(sent: DataFrame, least: int) -> DataFrame:
+    """Hashes whose counts over all texts reach `least`: none of a frequent phrase is missing, as equal hashes only add up."""
+
     def judge(key, t):
         keys, counts = zip(*(_unpack(x) for x in t["packed"].to_pylist()), strict=True)
         k, n = _summed(list(keys), list(counts))
-        return pa.table({"pair": k[n >= least].astype(np.int64)})
+        return pa.table({"hash": k[n >= least].astype(np.int64)})
 
-    return encoded.select("hashes", "codes").mapInArrow(send, "bucket long, packed binary").groupBy("bucket").applyInArrow(judge, "pair long")
+    return sent.groupBy("bucket").applyInArrow(judge, "hash long")
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -290,17 +295,26 @@ def _lists(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(size)), pa.array(rows.ravel(), pa.int64()))
 
 
-def _observed(encoded: DataFrame, keep, size: int) -> DataFrame:
-    """Distinct phrases of `size` words at the places that keep(h, codes) names, each at most once from a block."""
+def _observed(encoded: DataFrame, places, size: int, likely: DataFrame) -> DataFrame:
+    """Distinct phrases of `size` words at the places whose hashes are likely; a pass for each slice of the hashes."""
+    out = None
+    for table in _slices(likely, LIKELY_HASHES):
+        told = encoded.sparkSession.sparkContext.broadcast(np.sort(table["hash"].to_numpy().astype(np.uint64)))
 
-    def run(batches):
-        for h, codes in _rows(batches):
-            at = keep(h, codes)
-            if len(at):
-                grams = np.unique(np.stack([codes[at + j] for j in range(size)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([_lists(h[grams - 1])], names=["phrase"])
-
-    return encoded.select("hashes", "codes").mapInArrow(run, "phrase array<long>")
+        def run(batches, told=told):
+            good = told.value
+            for h, codes in _rows(batches):
+                at = places(h, codes)
+                keys = _keys(h, codes, at, size)
+                at = at[good[np.minimum(np.searchsorted(good, keys), len(good) - 1)] == keys]
+                if len(at):
+                    grams = np.unique(np.stack([codes[at + j] for j in range(size)], 1), axis=0)
+                    yield pa.RecordBatch.from_arrays([_lists(h[grams - 1])], names=["phrase"])
+
+        part = common.table(encoded.select("hashes", "codes").mapInArrow(run, "phrase array<long>").distinct())
+        told.destroy()
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else encoded.sparkSession.createDataFrame([], "phrase array<long>")
 
 
 def _count(encoded: DataFrame, candidates: DataFrame, size: int, least: int) -> DataFrame:
@@ -327,70 +341,51 @@ def _count(encoded: DataFrame, candidates: DataFrame, size: int, least: int) ->
     return counted if counted is not None else spark.createDataFrame([], "phrase array<long>, f long")
 
 
-def _pairs(encoded: DataFrame, least: int) -> DataFrame:
-    """Candidates of two words: pairs whose hashes occur often enough."""
-    likely, found = common.table(_likely_pairs(encoded, least)), None
-    for table in _slices(likely, PAIR_HASHES):
-        told = encoded.sparkSession.sparkContext.broadcast(np.sort(table["pair"].to_numpy().astype(np.uint64)))
-
-        def keep(h, codes, told=told):
-            at, keys = _pair_keys(h, codes)
-            good = told.value
-            place = np.minimum(np.searchsorted(good, keys), len(good) - 1)
-            return at[good[place] == keys]
-
-        part = common.table(_observed(encoded, keep, 2).distinct())
-        told.destroy()
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else encoded.sparkSession.createDataFrame([], "phrase array<long>")
+def _pairs(encoded: DataFrame, least: int, bits: int) -> DataFrame:
+    """Candidates of two words."""
+    return _observed(encoded, _adjacent, 2, common.table(_likely(_sent(encoded, _adjacent, 2, least, bits), least)))
 
 
-def _longer(encoded: DataFrame, frequent: DataFrame, size: int) -> DataFrame:
-    """Candidates one word longer than the frequent phrases of `size` words: both their parts of that size are frequent.
+def _longer(encoded: DataFrame, frequent: DataFrame, size: int, least: int, bits: int) -> DataFrame:
+    """Candidates one word longer than the frequent phrases of `size` words: both their parts of that size are frequent, and their hashes occur often enough.
 
-    Where the frequent ones fill several tries, each gives the places that it knows, by block and position, and the
-    phrases whose second part is in another trie follow from a join of these two parts.
+    Where the frequent ones fill several tries, each gives the places that begin with one of its phrases, so that every
+    place is given once; the second part is then looked up by a join.
     """
-    spark = encoded.sparkSession
-    tables = _slices(frequent.select("phrase"), TRIE_PHRASES)
-    if frequent.count() > TRIE_PHRASES:
-        return _longer_of_many(encoded, frequent, tables, size)
-    found = spark.createDataFrame([], "phrase array<long>")
-    for table in tables:
-        told = spark.sparkContext.broadcast(Trie(_matrix(table["phrase"], size)))
-
-        def keep(h, codes, told=told):
-            trie = told.value
-            letters = np.concatenate([[0], trie.letter_codes(h)])[codes]
-            for at, state in trie.run(letters, size):
-                pass
-            known = np.zeros(len(codes) + 1, bool)
-            known[at[trie.phrase[state] >= 0]] = True
+    spark, whole = encoded.sparkSession, frequent.count() <= TRIE_PHRASES
+    empty = spark.createDataFrame([], "phrase array<long>")
+    told = [spark.sparkContext.broadcast(Trie(_matrix(t["phrase"], size))) for t in _slices(frequent.select("phrase"), TRIE_PHRASES)] if whole else []
+    if whole and not told:
+        return empty
+
+    def places(h, codes, told):
+        trie = told.value
+        letters = np.concatenate([[0], trie.letter_codes(h)])[codes]
+        for at, state in trie.run(letters, size):
+            pass
+        known = np.zeros(len(codes) + 1, bool)
+        known[at[trie.phrase[state] >= 0]] = True
+        if whole:
             return np.flatnonzero(known[:-1] & known[1:])
-
-        found = common.table(_observed(encoded, keep, size + 1).distinct())
-        told.destroy()
-    return found
-
-
-def _longer_of_many(encoded: DataFrame, frequent: DataFrame, tables: Iterator[pa.Table], size: int) -> DataFrame:
-    """The same with several tries: phrases one word longer that begin with a frequent one of each trie in turn, then those that end with one."""
-    spark, begun = encoded.sparkSession, None
-    for table in tables:
-        told = spark.sparkContext.broadcast(Trie(_matrix(table["phrase"], size)))
-
-        def keep(h, codes, told=told):
-            trie = told.value
-            letters = np.concatenate([[0], trie.letter_codes(h)])[codes]
-            for at, state in trie.run(letters, size):
-                pass
-            at = at[trie.phrase[state] >= 0]
-            at = at[at + size < len(codes)]
-            return at[codes[at + size] > 0]
-
-        part = common.table(_observed(encoded, keep, size + 1).distinct())
-        told.destroy()
-        begun = part if begun is None else begun.unionByName(part)
+        at = np.flatnonzero(known[: len(codes) - size])
+        return at[codes[at + size] > 0]
+
+    if whole:
+        here = functools.partial(places, told=told[0])
+        found = _observed(encoded, here, size + 1, common.table(_likely(_sent(encoded, here, size + 1, least, bits), least)))
+        told[0].destroy()
+        return found
+    sent = None
+    for table in _slices(frequent.select("phrase"), TRIE_PHRASES):
+        trie = spark.sparkContext.broadcast(Trie(_matrix(table["phrase"], size)))
+        part = common.table(_sent(encoded, functools.partial(places, told=trie), size + 1, least, bits))
+        trie.destroy()
+        sent = part if sent is None else sent.unionByName(part)
+    likely, begun = common.table(_likely(sent, least)), empty
+    for table in _slices(frequent.select("phrase"), TRIE_PHRASES):
+        trie = spark.sparkContext.broadcast(Trie(_matrix(table["phrase"], size)))
+        begun = begun.unionByName(_observed(encoded, functools.partial(places, told=trie), size + 1, likely))
+        trie.destroy()
     return common.table(begun.withColumn("rest", F.slice("phrase", 2, size)).join(frequent.select(F.col("phrase").alias("rest")), "rest", "left_semi").select("phrase"))
 
 
@@ -402,10 +397,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     language, the score is the least floor(1000 a n / (l r)) over the cuts, the smallest k among equals.  Phrases inside a longer one
     that has `percent` of their occurrences or more are left out; the first `top` by score, a and phrase (UTF-8 order) stay.
 
-    Blocks of texts are encoded once.  Words are counted by a shuffle.  Then, for 2 words, hashes of pairs are summed, packed, to upper
-    bounds; the pairs that these allow (and for more words those phrases in the texts whose two parts with a word less are both frequent) are the
+    Blocks of texts are encoded once.  Words are counted by a shuffle.  Then, for 2, 3, ... words, hashes of the phrases whose two parts with a word
+    less are both frequent (of all pairs, at first) are summed, packed, to upper bounds; the phrases that these allow are the
     candidates, held by double-array tries.  A pass advances all positions of a block through the trie at once, level by level, and counts
-    the accepting states; the sums of the tasks are exact.  Tries and pair sets are cut to a bounded size; more candidates
+    the accepting states; the sums of the tasks are exact.  Tries and sets of hashes are cut to a bounded size; more candidates
     take more passes.
 
     Null texts are empty, a null language is `und`; repeated rows count again; other columns are not read.  No texts, or no phrase that is
@@ -425,9 +420,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     else:
         raise RuntimeError("words with equal hashes under every seed")
     words = common.table(each.select("hashes", "lang", F.col("words").alias("word")).join(often, "hashes", "left_semi").distinct())
+    n = encoded.agg(F.sum("n_words")).first()[0] or 0
+    bits = int(max(4, np.ceil(np.log2(max(1, n / RANGE_HASHES)))))
     frequent = {1: often.select(F.array("hashes").alias("phrase"), "f")}
     for size in range(2, most_words + 1):
-        candidates = _pairs(encoded, least) if size == 2 else _longer(encoded, frequent[size - 1], size - 1)
+        candidates = _pairs(encoded, least, bits) if size == 2 else _longer(encoded, frequent[size - 1], size - 1, least, bits)
         frequent[size] = _count(encoded, candidates, size, least)
     phrases = functools.reduce(DataFrame.unionByName, (frequent[k] for k in range(2, most_words + 1)))
     everything = phrases.unionByName(frequent[1])
