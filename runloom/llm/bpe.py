@@ -27,12 +27,28 @@ _encoders: dict[str, Encoder] = {}
 
 
 def classes() -> np.ndarray:
-    """The class of every code point."""
+    """The class of every code point, as the library sees it.
+
+    Python's own Unicode table can be older or newer than the library's.  Its classes are the guess: a run of code points of one class has to
+    be one pre-token with a known character of that class; where it is not, each of its code points is asked for.
+    """
     global _classes
     if _classes is None:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        split = ByteLevel(add_prefix_space=False, use_regex=True)
         kind = {"L": LETTER, "N": DIGIT}
-        _classes = np.array([kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)], dtype=np.uint8)
-        _classes[WHITE] = SPACE
+        table = np.array([kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)], dtype=np.uint8)
+        table[WHITE] = SPACE
+        known = {LETTER: "a", DIGIT: "1", OTHER: "!"}
+        cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(table)) + 1, np.arange(0, 0x110000, 512), [0xD800, 0xE000, 0x110000]])).tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if table[a] == SPACE or 0xD800 <= a < 0xE000:
+                continue
+            if len(split.pre_tokenize_str(known[table[a]] + "".join(map(chr, range(a, b))))) > 1:
+                for c in range(a, b):
+                    table[c] = next((k for k, x in known.items() if len(split.pre_tokenize_str(x + chr(c))) == 1), SPACE)
+        _classes = table
     return _classes
 
 

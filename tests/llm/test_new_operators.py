@@ -6,7 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from runloom.llm import conversation_repair, license_scan, phrases
+from runloom.llm import bpe, conversation_repair, license_scan, maxplus, phrases
+from runloom.llm.queries import tokenizer
 
 
 @pytest.fixture
@@ -189,3 +190,30 @@ def test_very_long_texts_are_repaired(spark, monkeypatch):
     rows = [(1, 0, "user", "q " * 600_000 + "?"), (1, 1, "assistant", "a " * 600_000)]
     made = conversation_repair.digest(conversation_repair.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
     assert (made["audit"], made["cost"], made["truncated"]) == ("DD", 4, 1)
+
+
+def test_every_code_point():
+    """Ids equal the library's for texts of all code points, beside letters, digits, marks and spaces."""
+    encoder, points = bpe.encoder(tokenizer("byte_bpe_50k.json")), [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["a".join(map(chr, points[i : i + 16])) + " 1" + "".join(map(chr, points[i + 16 : i + 32])) + "! " for i in range(0, len(points), 32)]
+    for a in range(0, len(texts), 4000):
+        part = texts[a : a + 4000]
+        ids, n = encoder.encode([t.encode() for t in part])
+        ends = np.cumsum(n)
+        for t, e, k in zip(part, ends.tolist(), n.tolist(), strict=True):
+            assert list(ids[e - k : e]) == encoder.library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
+def test_ids_do_not_depend_on_chunks(spark):
+    """Operator 8 on texts full of ties, and on given ones: one rule for whole and cut texts."""
+    rng, path = random.Random(1), tokenizer("piece_bpe_32k.model")
+    rows = [(i, "".join(rng.choice(["a", "aa", "ab", "aba", " ", "  ", "aaaa", "the"]) for _ in range(500))) for i in range(20)]
+    rows += [(100 + i, "a" * rng.randint(300, 500) + "ba" * 200) for i in range(5)] + [(200, "no" * 20 + " " * 90 + "é" * 80), (201, None), (202, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id + 1000 AS doc_id", "text").where("length(text) < 8000")).repartition(4)
+    whole = {r["doc_id"]: r["ids"] for r in maxplus.encode(docs, path, chunk=1 << 20).collect()}
+    m = maxplus.model(path)
+    for i, t in rows:
+        text = (" " + t).replace(" ", maxplus.MARK) if t else ""
+        assert whole[i] == m.path(text, m.forward(text, 0, len(text)), 0, len(text))
+    for chunk in (37, 300, 16 << 10):
+        assert {r["doc_id"]: r["ids"] for r in maxplus.encode(docs, path, chunk=chunk).collect()} == whole
