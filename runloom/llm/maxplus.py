@@ -67,14 +67,18 @@ class Model(bpe.PieceTable):
         text = token.decode().replace(" ", MARK)
         return self.path(text, self.forward(text, 0, len(text)), 0, len(text))
 
-    def forward(self, text: str, start: int, end: int) -> tuple[list[float], list[int], list[int]]:
-        """Best score, piece (-1: an unknown character) and its start for every place from start.
+    def forward(self, text: str, start: int, end: int, enter: list[float] | None = None) -> tuple[list[float], list[int], list[int]]:
+        """Best score, start of the last piece (-1: none here) and piece (-1: an unknown character) for every place from start.
 
-        Pieces begin before `end`; ties go to the longest last piece.
+        Pieces begin before `end`; of equal scores the longest last piece is taken.  enter: the scores with which the
+        first places are reached by a piece that began before the text; that is longer than any that begins in it.
         """
         limit = min(len(text), end + self.longest)
         best, back, by = [LOWEST] * (limit + 1), [-1] * (limit + 1), [-1] * (limit + 1)
         best[start] = 0.0
+        if enter is not None:
+            n = min(len(enter), limit + 1)
+            best[:n] = enter[:n]
         trie, unknown = self.trie, self.unknown
         for i in range(start, end):
             here = best[i]
@@ -100,7 +104,7 @@ class Model(bpe.PieceTable):
         """Ids of the best path from start to end; bytes for unknown characters."""
         _, back, by = run
         out: list[list[int]] = []
-        while end > start:
+        while end > start and back[end] >= 0:
             out.append([by[end]] if by[end] >= 0 else [self.bytes[b] for b in text[back[end] : end].encode()] if self.bytes else [0])
             end = back[end]
         return [x for part in reversed(out) for x in part]
@@ -155,9 +159,22 @@ class Model(bpe.PieceTable):
         starts = np.array([best[first] for best in head])
         return starts[:, None] + middle + ends[None, :]
 
-    def walk(self, text: str, start: int, end: int, last: int) -> list[int]:
-        """Ids of the best path from start to last, whose pieces begin before end."""
-        return self.path(text, self.forward(text, start, end), start, last) if last > start else []
+    def entered(self, head: str, tail: str, rest: int, enter: list[float]) -> list[int]:
+        """The state at its start that the best path through a chunk has, for each state at its end (-1: not reached)."""
+        text, end = (head, len(head)) if rest else (head + tail, len(head))
+        _, back, _ = run = self.forward(text, 0, end, enter)
+        ends = [end] * self.longest if rest else [end + e for e in range(self.longest)]
+
+        def origin(at: int) -> int:
+            while at < len(back) and back[at] >= 0:
+                at = back[at]
+            return at if at < min(len(enter), len(back)) and run[0][at] > LOWEST else -1
+
+        return [origin(e) for e in ends]
+
+    def walk(self, text: str, enter: list[float], end: int, last: int) -> list[int]:
+        """Ids of the best path to last, whose pieces begin before end, from the state where it enters."""
+        return self.path(text, self.forward(text, 0, end, enter), 0, last)
 
 
 def model(path: str) -> Model:
@@ -172,16 +189,13 @@ def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(1)
 
 
-def _states(matrices: list[np.ndarray], enter: int, leave: int) -> list[int]:
-    """The states between consecutive matrices on a best way from enter to leave (ties: the smallest state)."""
-    ahead = [np.full(len(matrices[0]), LOWEST)]
-    ahead[0][enter] = 0.0
+def _ahead(matrices: list[np.ndarray], enter: np.ndarray) -> list[list[float]]:
+    """The best scores of each state in front of every matrix."""
+    out = []
     for m in matrices:
-        ahead.append((ahead[-1][:, None] + m).max(0))
-    out = [leave]
-    for k in range(len(matrices) - 1, 0, -1):
-        out.append(int((ahead[k] + matrices[k][:, out[-1]]).argmax()))
-    return [enter, *reversed(out)]
+        out.append(enter.tolist())
+        enter = (enter[:, None] + m).max(0)
+    return out
 
 
 def _whole(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
@@ -206,11 +220,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     and becomes its UTF-8 bytes' pieces.  Texts of more than `chunk` characters are cut into
     chunks that are worked on apart: each gives its matrix of best scores from every state at its start
     (how far a crossing piece reaches in) to every state at its end; products of max-plus
-    matrices, which are associative, are taken over groups of GROUP_CHUNKS and then over a text's groups, the best states go
-    down the same way, and every chunk traces its own part between its states.
+    matrices, which are associative, are taken over groups of GROUP_CHUNKS and then over a text's groups, the best scores of the states in front
+    of each chunk go down the same way; with these a chunk tells which state each of its last states comes from, and, that chain
+    followed, every chunk traces its own part.
 
     Null and empty texts have no pieces.  One row for each input row; equal rows are allowed.
-    Of segmentations with equal sums one is returned, in short texts the one with the longest last pieces.
+    Of segmentations with equal sums the one with the longest last piece is returned, among these the one with the longest piece before
+    it, and so on; cut texts follow the same rule, so the ids do not depend on `chunk` (as long as sums of scores are exact; those of whole numbers are).
     Other input columns are not returned.
     """
     rows = docs.select(id_col, text_col)
@@ -259,22 +275,42 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def over_groups(key, t):
         t = t.sort_by("g")
-        states = _states(load(t), 0, 0)
-        return pa.table({"uid": t["uid"], "g": t["g"], "enter": pa.array(states[:-1], pa.int64()), "leave": pa.array(states[1:], pa.int64())})
+        found = load(t)
+        start = np.full(len(found[0]), LOWEST)
+        start[0] = 0.0
+        return pa.table({"uid": t["uid"], "g": t["g"], "enter": pa.array(_ahead(found, start), pa.list_(pa.float64()))})
 
-    def over_chunks(key, t, limits):
+    def over_chunks(key, t, before):
         t = t.sort_by("k")
-        states = _states(load(t), limits["enter"][0].as_py(), limits["leave"][0].as_py())
-        return pa.table({"uid": t["uid"], "k": t["k"], "enter": pa.array(states[:-1], pa.int64()), "leave": pa.array(states[1:], pa.int64())})
+        return pa.table({"uid": t["uid"], "k": t["k"], "enter": pa.array(_ahead(load(t), np.array(before["enter"][0].as_py())), pa.list_(pa.float64()))})
 
     made = common.table(chunks.mapInArrow(matrices, "uid string, k long, matrix binary, inside array<int>, head string, tail string, rest long").withColumn("g", F.floor(F.col("k") / GROUP_CHUNKS)))
     scores = made.select("uid", "k", "g", "matrix")
     groups = scores.groupBy("uid", "g").applyInArrow(product, "uid string, g long, matrix binary")
-    limits = groups.groupBy("uid").applyInArrow(over_groups, "uid string, g long, enter long, leave long")
-    states = scores.groupBy("uid", "g").cogroup(limits.groupBy("uid", "g")).applyInArrow(over_chunks, "uid string, k long, enter long, leave long")
+    before = groups.groupBy("uid").applyInArrow(over_groups, "uid string, g long, enter array<double>")
+    enters = scores.groupBy("uid", "g").cogroup(before.groupBy("uid", "g")).applyInArrow(over_chunks, "uid string, k long, enter array<double>")
+    entered = common.table(made.drop("matrix", "g").join(enters, ["uid", "k"]))
+
+    def leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model(path)
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("head", "tail", "rest", "enter")), strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("k"), pa.array([m.entered(*x) for x in rows], pa.list_(pa.int64()))], names=["uid", "k", "from"])
+
+    def chain(key, t):
+        # 8 bytes for a state, of some for each chunk: a thousandth of the text.
+        t = t.sort_by("k")
+        leave, out = 0, []
+        for come in reversed(t["from"].to_pylist()):
+            out.append(leave)
+            leave = come[leave]
+        return pa.table({"uid": t["uid"], "k": t["k"], "leave": pa.array(out[::-1], pa.int64())})
+
+    leaves = entered.select("uid", "k", "head", "tail", "rest", "enter").mapInArrow(leads, "uid string, k long, from array<long>").groupBy("uid").applyInArrow(chain, "uid string, k long, leave long")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
+        alone = [0.0]
         for batch in batches:
             for a in range(0, batch.num_rows, 64):
                 part = batch.slice(a, 64)
@@ -284,11 +320,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     if not n:  # no fixed place: the head is the chunk, the tail what follows
                         own = m.walk(h + t, s, len(h), len(h) + e)
                     else:
-                        own = [*m.walk(h, s, len(h), len(h)), *x.values.to_pylist(), *m.walk(t, 0, n, n + e)]
+                        own = [*m.walk(h, s, len(h), len(h)), *x.values.to_pylist(), *m.walk(t, alone, n, n + e)]
                     ids.append(np.array(own, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("uid"), part.column("k"), pa.array(ids, pa.list_(pa.int32())), pa.array([m.total(x) for x in ids], pa.float64())], names=["uid", "k", "ids", "score"])
 
-    traced = made.drop("matrix", "g").join(states, ["uid", "k"]).select("uid", "k", "inside", "head", "tail", "rest", "enter", "leave").mapInArrow(trace, "uid string, k long, ids array<int>, score double")
+    traced = entered.join(leaves, ["uid", "k"]).select("uid", "k", "inside", "head", "tail", "rest", "enter", "leave").mapInArrow(trace, "uid string, k long, ids array<int>, score double")
     # A text's pieces are one value of the result, so they meet in one row.
     whole = traced.groupBy("uid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"), F.sum("score").alias("score"))
     large = giant.select(id_col, "uid").join(whole, "uid").select(id_col, "ids", "score")
