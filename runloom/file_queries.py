@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import alignment, flags, groups, indices, profiles, runs
-from .queries import BOTH_M, COUNTS, WALK, _bases, longs, query, rounded
+from .queries import BOTH_M, COUNTS, WALK, _counters, longs, query, rounded
 from .sources import fastq, instrument, sam, shared, tables
 from .views import view
 
-READ_FIELDS = ["name", "paired", "proper_pair", "mapped", "reverse", "first_mate", "second_mate", "failed_qc", "is_duplicate", "pos", "cigar", "insert_size", "seq", "qual", "rg", "xi", "yi", "xj", "yj", "nm", "md"]
+READ_FIELDS = ["name", "paired", "proper_pair", "mapped", "reverse", "first_mate", "second_mate", "failed_qc", "is_duplicate", "ref", "pos", "cigar", "insert_size", "seq", "qual", "rg", "xi", "yi", "xj", "yj", "nm", "md"]
 
 
 @query("SELECT " + ", ".join(f"CAST({c} AS BIGINT) AS {c}" if c in ("pos", "insert_size", "nm") else c for c in READ_FIELDS) + " FROM reads", "reads")
@@ -225,7 +225,7 @@ def cigar_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(WALK + f", o AS (SELECT *, cycle + CASE WHEN second_mate THEN 32 ELSE 0 END AS c FROM bases), c AS (SELECT c, {COUNTS} FROM o WHERE paired AND {BOTH_M} GROUP BY c)\nSELECT CAST(s.c AS BIGINT) AS cycle, coalesce(matches, 0) AS matches, coalesce(mismatches, 0) AS mismatches, round(100.0 * mismatches / nullif(matches + mismatches, 0), 9) AS error_pct FROM (SELECT unnest(range(1, 65)) AS c) s LEFT JOIN c ON c.c = s.c", "reads")
 def cycle_error_of_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second mates behind the first ones' 32 cycles."""
-    made = alignment.cycle_error(_bases(spark, sf_dir).where("paired"), 64, first_read_cycles=32)
+    made = alignment.cycle_error(_counters(spark, sf_dir, first_read_cycles=32).where("paired"), 64)
     return rounded(longs(made, "cycle"), "error_pct").orderBy("cycle")
 
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+from operator import and_
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import sequence
+from . import walk
 
 SUBSTITUTIONS = [f"{a}>{b}" for a in sequence.BASES for b in sequence.BASES if a != b]
 
@@ -16,20 +23,6 @@ def cigar_operations(cigar: str = "cigar") -> Column:
     return F.array_join(F.transform(tokens, lambda t: F.repeat(F.right(t, F.lit(1)), F.regexp_extract(t, "^([0-9]+)", 1).cast("int"))), "")
 
 
-def _segments(cigar: str) -> Column:
-    """parts: (op, first read base, first M column, length) of the CIGAR's M, I, S and D stretches, from 0; r and m: their sums.  = and X are M."""
-    ops = F.filter(F.split(F.translate(cigar, "=X", "MM"), "[0-9]+"), lambda x: x != "")
-    sizes = F.transform(F.filter(F.split(cigar, "[A-Z=]"), lambda x: x != ""), lambda x: x.try_cast("int"))
-    start = F.struct(F.expr("cast(array() as array<struct<op:string,r:int,m:int,n:int>>)").alias("parts"), F.lit(0).alias("r"), F.lit(0).alias("m"))
-
-    def step(s: Column, t: Column) -> Column:
-        op, n = t["op"], F.coalesce(t["n"], F.lit(0))
-        part = F.struct(op.alias("op"), s["r"].alias("r"), s["m"].alias("m"), n.alias("n"))
-        return F.struct(F.when(op.isin("M", "I", "S", "D"), F.concat(s["parts"], F.array(part))).otherwise(s["parts"]).alias("parts"), (s["r"] + F.when(op.isin("M", "I", "S"), n).otherwise(0)).alias("r"), (s["m"] + F.when(op == "M", n).otherwise(0)).alias("m"))
-
-    return F.aggregate(F.zip_with(ops, sizes, lambda x, n: F.struct(x.alias("op"), n.alias("n"))), start, step)
-
-
 def _md_tokens(md: str) -> Column:
     return F.regexp_extract_all(md, F.lit("([0-9]+|\\^[A-Z]+|[A-Z])"))
 
@@ -44,60 +37,132 @@ def md_columns(md: str = "md") -> Column:
     return F.array_join(F.transform(kept, lambda t: F.when(t.rlike("^[0-9]"), F.repeat(F.lit("="), _number(t))).otherwise(t)), "")
 
 
-def _deletions(md: str) -> Column:
-    """(column before which it lies, length) of the deleted stretches."""
-    start = F.struct(F.expr("cast(array() as array<struct<at:int,n:int>>)").alias("parts"), F.lit(0).alias("c"))
-
-    def step(s: Column, t: Column) -> Column:
-        gone = t.startswith("^")
-        part = F.struct(s["c"].alias("at"), (F.length(t) - 1).alias("n"))
-        width = F.when(gone, 0).when(t.rlike("^[0-9]"), _number(t)).otherwise(1)
-        return F.struct(F.when(gone, F.concat(s["parts"], F.array(part))).otherwise(s["parts"]).alias("parts"), (s["c"] + width).alias("c"))
-
-    none = F.expr("cast(array() as array<struct<at:int,n:int>>)")
-    return F.when(F.col(md).contains("^"), F.aggregate(_md_tokens(md), start, step, lambda s: s["parts"])).otherwise(none)
+#: What the walk reads.
+WALKED = ["seq", "qual", "pos", "cigar", "md"]
+_MISFIT = "alignment does not fit the read"
 
 
-def stretches(reads: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
-    """P15, by stretch: one row per M, I or S stretch of each mapped read, with the read's own slices.
+def explode_alignment(reads: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """One row per base of each mapped read: i (from 0), op, read_length, base, q, ref, ref_pos, is_match.
 
-    op, r (its first base, from 0), n, read_length, start (reference position of its first base), and the slices
-    bases, quals and cols (for M: = or the reference base).  A deletion lies between stretches, so that
-    a stretch has one offset.  A read whose CIGAR and MD do not fit it or each other raises with strict; else it is left out.
+    op M takes its reference base from MD; inserted and clipped bases hold the position and have
+    no reference base.  CIGAR and MD of all reads of an Arrow batch are tokenised and walked together; the work is linear in their lengths.
+    A read whose CIGAR and MD do not fit it or each other raises with strict; else it is left out.
     """
     keep = keep if keep is not None else ["name", "reverse", "first_mate", "second_mate", "paired", "nm"]
-    # A generator of one row: what it makes is parsed once, however often it is used below.
-    parsed = F.inline(F.array(F.struct(_segments("cigar").alias("walk"), md_columns("md").alias("cols"), _deletions("md").alias("dels"))))
-    walked = reads.where("mapped").select(*keep, "seq", "qual", "pos", parsed).where("walk IS NOT NULL AND cols IS NOT NULL")
-    inside = F.exists("dels", lambda d: F.exists("walk.parts", lambda p: (p["op"] == "M") & (d["at"] > p["m"]) & (d["at"] < p["m"] + p["n"])))
-    fits = (F.col("walk.r") == F.length("seq")) & (F.col("walk.m") == F.length("cols")) & (F.length("seq") == F.length("qual")) & ((F.size("dels") == 0) | ~inside)
-    if strict:
-        walked = walked.where(F.when(fits, F.lit(True)).otherwise(F.raise_error(F.lit("alignment does not fit the read")).cast("boolean")))
-    else:
-        walked = walked.where(fits)
-    parts = walked.select(*keep, "seq", "qual", "pos", "cols", "dels", F.inline("walk.parts")).where("n > 0 AND op <> 'D'")
-    gone = F.when(F.size("dels") == 0, 0).otherwise(F.aggregate("dels", F.lit(0), lambda s, d: s + F.when(d["at"] <= F.col("m"), d["n"]).otherwise(0)))
-    first = F.col("r") + 1
-    return parts.select(
-        *keep, "op", "r", "n", F.length("seq").alias("read_length"), (F.col("pos") + F.col("m") + gone).alias("start"),
-        F.substring("seq", first, F.col("n")).alias("bases"), F.substring("qual", first, F.col("n")).alias("quals"), F.when(F.col("op") == "M", F.substring("cols", F.col("m") + 1, F.col("n"))).alias("cols"),
-    )
+    used = reads.where("mapped").select(*dict.fromkeys([*keep, *WALKED]))
+    schema = T.StructType([*(used.schema[c] for c in keep), *T.StructType.fromDDL("i int, op string, read_length int, base string, q int, ref string, ref_pos int, is_match boolean").fields])
 
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                b, fits = walk.walk(part)
+                if strict and not fits.all():
+                    raise ValueError(_MISFIT)
+                rows, match = pa.array(b.row), b.op == ord("M")
+                made = [pa.array(b.i, pa.int32()), walk.characters(b.op), pa.array(b.length, pa.int32()), walk.characters(b.base), pa.array(b.q, pa.int32()), walk.characters(b.ref, match), pa.array(b.ref_pos, pa.int32()), pa.array(b.ref == b.base, pa.bool_(), mask=~match)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(rows) for c in keep), *made], names=schema.names)
 
-def explode_alignment(reads: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
-    """One row per base of each mapped read: i (from 0), op, base, q, ref, ref_pos, is_match.
+    return used.mapInArrow(run, schema)
 
-    op M takes its reference base from MD; inserted and clipped bases hold the position and have
-    no reference base.  CIGAR and MD are parsed once a read, and each stretch carries only its own
-    slices into the rows of its bases.
+
+COUNTERS = "cycle int, read_length int, base string, ref string, q int, few_edits boolean, paired boolean, masked boolean, n long"
+
+
+def base_counters(reads: DataFrame, mask: DataFrame | None = None, max_nm: int = 2, first_read_cycles: int | None = None, by_length: bool = False) -> DataFrame:
+    """P15, P16 and the counting of A2-A7 in one scan: how many aligned (M) bases have each cycle, called base, reference base and quality.
+
+    base and ref are on the read's strand; few_edits: NM of max_nm or less (a missing NM is more); masked: J3, the position is in the mask.
+    read_length is 0 unless asked for.  A task walks its batches and sends its sums; keys can come from several tasks, and every table of this module sums them.
+    A mask of up to MOST_MASKED positions goes to the tasks; with a larger one the exploded bases are joined to it.
     """
-    keep = keep if keep is not None else ["name", "reverse", "first_mate", "second_mate", "paired", "nm"]
-    rows = stretches(reads, keep, strict).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
-    place = F.col("j") + 1
-    base = F.substring("bases", place, F.lit(1))
-    ref = F.substring("cols", place, F.lit(1))
-    made = rows.select(*keep, (F.col("r") + F.col("j")).alias("i"), "op", "read_length", base.alias("base"), (F.ascii(F.substring("quals", place, F.lit(1))) - 33).alias("q"), F.when(ref == "=", base).otherwise(ref).alias("ref"), (F.col("start") + F.when(F.col("op") == "M", F.col("j")).otherwise(0)).alias("ref_pos"))
-    return made.withColumn("is_match", F.when(F.col("op") == "M", F.col("ref") == F.col("base")))
+    places = None if mask is None else mask.select(F.col("pos").cast("long").alias("__pos")).where("__pos IS NOT NULL").distinct()
+    if places is not None and places.limit(MOST_MASKED + 1).count() > MOST_MASKED:
+        return _joined_counters(reads, places, max_nm, first_read_cycles, by_length)
+    spark = reads.sparkSession
+    told = None if places is None else spark.sparkContext.broadcast(np.sort(places.toArrow()["__pos"].to_numpy()))
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
+    used = reads.where("mapped").select(*WALKED, flag("reverse"), flag("second_mate"), flag("paired"), F.coalesce(F.col("nm") <= max_nm, F.lit(False)).alias("few"))
+
+    def run(batches):
+        masked_at = None if told is None else told.value
+        sums: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                b, _ = walk.walk(part)
+                m = b.op == ord("M")
+                row, i, length = b.row[m], b.i[m], b.length[m]
+                column = lambda c, part=part, row=row: part.column(c).to_numpy(zero_copy_only=False)[row]
+                back = column("reverse")
+                place = np.where(back, length - i, i + 1)
+                if first_read_cycles is not None:
+                    place = place + first_read_cycles * column("second_mate")
+                hidden = np.zeros(len(row), bool)
+                if masked_at is not None and len(masked_at):
+                    where = np.minimum(np.searchsorted(masked_at, b.ref_pos[m]), len(masked_at) - 1)
+                    hidden = masked_at[where] == b.ref_pos[m]
+                strand = lambda x, back=back: np.where(back, walk.COMPLEMENT[x], x)
+                flags = column("few") + 2 * column("paired") + 4 * hidden
+                low = ((strand(b.base[m]).astype(np.int64) << 19) | (strand(b.ref[m]).astype(np.int64) << 11) | ((b.q[m].astype(np.int64) + 33) << 3) | flags)
+                # The place and the length have 18 bits each; longer reads count by their numbers in a table.
+                key = np.stack([place, length if by_length else np.zeros_like(length)], 1)
+                distinct, number = np.unique(key[:, 0] << np.int64(32) | key[:, 1], return_inverse=True)
+                found, n = np.unique(number.astype(np.int64) << 27 | low, return_counts=True)
+                sums.append((np.stack([distinct[found >> 27], found & ((1 << 27) - 1)], 1), n))
+            if sum(len(n) for _, n in sums) > 500_000:
+                sums = [_merged(sums)]
+        if sums:
+            keys, n = _merged(sums)
+            place, low = keys[:, 0], keys[:, 1]
+            character = lambda shift: walk.characters(((low >> shift) & 255).astype(np.uint8))
+            bit = lambda k: pa.array((low >> k & 1).astype(bool))
+            made = [pa.array(place >> 32, pa.int32()), pa.array(place & 0xFFFFFFFF, pa.int32()), character(19), character(11), pa.array((low >> 3 & 255) - 33, pa.int32()), bit(0), bit(1), bit(2), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, names=[c.split()[0] for c in COUNTERS.split(", ")])
+
+    return used.mapInArrow(run, COUNTERS)
+
+
+def _merged(sums: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, inverse = np.unique(np.concatenate([k for k, _ in sums]), axis=0, return_inverse=True)
+    return keys, np.bincount(inverse.ravel(), np.concatenate([n for _, n in sums])).astype(np.int64)
+
+
+def _joined_counters(reads: DataFrame, places: DataFrame, max_nm: int, first_read_cycles: int | None, by_length: bool) -> DataFrame:
+    bases = explode_alignment(reads).where("op = 'M'")
+    bases = bases.join(places.withColumn("masked", F.lit(True)), F.col("ref_pos") == F.col("__pos"), "left")
+    keys = [cycle(first_read_cycles).alias("cycle"), (F.col("read_length") if by_length else F.lit(0)).alias("read_length"), _read_strand("base").alias("base"), _read_strand("ref").alias("ref"), "q"]
+    flags = [F.coalesce(F.col("nm") <= max_nm, F.lit(False)).alias("few_edits"), F.coalesce("paired", F.lit(False)).alias("paired"), F.coalesce("masked", F.lit(False)).alias("masked")]
+    return bases.groupBy(*keys, *flags).agg(F.count("*").alias("n"))
+
+
+#: The grouping sets of profiles(): which table a row belongs to, by the keys it has.
+TABLES = {"cycle": "A2", "cycle, base, ref": "A3", "q": "A4", "base, q": "A5", "cycle, q": "A6"}
+
+
+def profiles(counters: DataFrame) -> DataFrame:
+    """A2-A6 by one aggregation with grouping sets over the counters: one row for each table, its keys (others null) and class.
+
+    table (A2-A6), cycle, base, ref, q; matches, mismatches; few_matches and few_mismatches: of reads with few edits.
+    A2 and A3 count pairs of resolved bases of all positions, A4-A6 resolved reference bases (an N read base is a mismatch) of
+    positions that are not masked.  A3's matches and mismatches are those of the one pair base, ref.
+    """
+    resolved = lambda c: F.col(c).isin(sequence.BASES)
+    same = F.col("base") == F.col("ref")
+    both, one = resolved("base") & resolved("ref"), resolved("ref") & ~F.col("masked")
+    pick = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
+    by_set = [pick(k & w & f) for k in (both, one) for f in (F.lit(True), F.col("few_edits")) for w in (same, ~same)]
+    names = [f"{k}{c}" for k in ("both_", "one_") for c in ("matches", "mismatches", "few_matches", "few_mismatches")]
+    columns = [F.col(c) for c in ("cycle", "base", "ref", "q")]
+    sets = [[F.col(c.strip()) for c in k.split(",")] for k in TABLES]
+    made = counters.groupingSets(sets, *columns).agg(F.grouping_id(*columns).alias("gid"), *[x.alias(n) for x, n in zip(by_set, names, strict=True)])
+    gid = {t: sum(8 >> i for i, c in enumerate(("cycle", "base", "ref", "q")) if c not in [x.strip() for x in k.split(",")]) for k, t in TABLES.items()}
+    table = F.coalesce(*[F.when(F.col("gid") == g, F.lit(t)) for t, g in gid.items()])
+    pairs = F.col("table").isin("A2", "A3")
+    made = made.withColumn("table", table)
+    out = made.select("table", "cycle", "base", "ref", "q", *[F.when(pairs, F.col(f"both_{c}")).otherwise(F.col(f"one_{c}")).alias(c) for c in ("matches", "mismatches", "few_matches", "few_mismatches")])
+    return out.where("matches + mismatches > 0")
 
 
 def cycle(first_read_cycles: int | None = None) -> Column:
@@ -121,42 +186,62 @@ def _read_strand(base: str) -> Column:
     return F.when(F.col("reverse"), sequence.complement(F.col(base))).otherwise(F.col(base))
 
 
-def cycle_error(bases: DataFrame, n_cycles: int, first_read_cycles: int | None = None) -> DataFrame:
-    """A2: matches, mismatches and error % of each cycle; only resolved bases, every cycle listed."""
-    used = bases.where(F.col("op") == "M").where(F.col("ref").isin(sequence.BASES) & F.col("base").isin(sequence.BASES))
-    counted = used.groupBy(cycle(first_read_cycles).alias("cycle")).agg(F.count_if("is_match").alias("matches"), F.count_if(~F.col("is_match")).alias("mismatches"))
-    cycles = bases.sparkSession.range(1, n_cycles + 1).select(F.col("id").cast("int").alias("cycle"))
+def _aligned(rows: DataFrame, max_nm: int | None = None, first_read_cycles: int | None = None) -> DataFrame:
+    """Aligned bases with base and ref on the read's strand, cycle, and n: how many a row stands for (counters as they are, exploded bases one each)."""
+    if "is_match" not in rows.columns:
+        return rows if max_nm is None else rows.where("few_edits")
+    used = rows.where("op = 'M'") if max_nm is None else rows.where("op = 'M'").where(F.col("nm") <= max_nm)
+    return used.withColumns({"cycle": cycle(first_read_cycles), "base": _read_strand("base"), "ref": _read_strand("ref"), "n": F.lit(1).cast("long")})
+
+
+def _sum(condition: Column) -> Column:
+    return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
+
+def _same() -> Column:
+    return F.col("base") == F.col("ref")
+
+
+def _resolved(*columns: str) -> Column:
+    return functools.reduce(and_, (F.col(c).isin(sequence.BASES) for c in columns))
+
+
+def cycle_error(rows: DataFrame, n_cycles: int, first_read_cycles: int | None = None) -> DataFrame:
+    """A2: matches, mismatches and error % of each cycle; only resolved bases, every cycle listed.  rows: exploded bases or base_counters()."""
+    used = _aligned(rows, None, first_read_cycles).where(_resolved("ref", "base"))
+    counted = used.groupBy("cycle").agg(_sum(_same()).alias("matches"), _sum(~_same()).alias("mismatches"))
+    cycles = rows.sparkSession.range(1, n_cycles + 1).select(F.col("id").cast("int").alias("cycle"))
     out = cycles.join(counted, "cycle", "left").na.fill(0, ["matches", "mismatches"])
     return out.withColumn("error_pct", sequence.ratio_percent(F.col("mismatches"), F.col("matches")))
 
 
-def _kinds(bases: DataFrame, *by: Column) -> DataFrame:
+def _kinds(rows: DataFrame, *by: Column) -> DataFrame:
     """Resolved bases and the 12 kinds of substitution, on the read's strand, counted by some keys."""
-    used = bases.where(F.col("op") == "M").where(F.col("ref").isin(sequence.BASES) & F.col("base").isin(sequence.BASES))
-    kind = F.concat(_read_strand("ref"), F.lit(">"), _read_strand("base"))
-    return used.groupBy(*by).agg(F.count("*").alias("n_bases"), *[F.count_if(kind == k).alias(k) for k in SUBSTITUTIONS])
+    kind = F.concat("ref", F.lit(">"), "base")
+    return _aligned(rows).where(_resolved("ref", "base")).groupBy(*by).agg(F.sum("n").alias("n_bases"), *[_sum(kind == k).alias(k) for k in SUBSTITUTIONS])
 
 
 def _listed(wide: DataFrame, keys: list[str]) -> DataFrame:
     return wide.unpivot([*keys, "n_bases"], SUBSTITUTIONS, "type", "n").withColumn("pct", sequence.ratio_percent(F.col("n"), F.col("n_bases") - F.col("n")))
 
 
-def substitutions(bases: DataFrame, by: Column, name: str = "cycle") -> DataFrame:
+def substitutions(rows: DataFrame, by: Column | None = None, name: str = "cycle") -> DataFrame:
     """A3: the 12 kinds of substitution, on the read's strand: count and % of all resolved bases of the cycle."""
     # One aggregation: a handful of counters per cycle, then unpivoted.
-    return _listed(_kinds(bases, by.alias(name)), [name])
+    return _listed(_kinds(rows, (F.col(name) if by is None else by).alias(name)), [name])
 
 
-def observed_predicted(bases: DataFrame, by: list[Column] | None = None, max_nm: int | None = None) -> DataFrame:
+def observed_predicted(rows: DataFrame, by: list[Column] | None = None, max_nm: int | None = None) -> DataFrame:
     """Matches and mismatches by quality, and further columns; rows for every quality up to the largest seen.
 
-    Only the reference base must be resolved, so an N read base is a mismatch here.
+    Only the reference base must be resolved, so an N read base is a mismatch here.  Counters have one limit of NM, that of
+    base_counters(); any max_nm here means it.  Their masked bases are left out.
     """
-    used = bases.where((F.col("op") == "M") & F.col("ref").isin(sequence.BASES))
-    if max_nm is not None:
-        used = used.where(F.col("nm") <= max_nm)
+    used = _aligned(rows, max_nm).where(_resolved("ref"))
+    if "masked" in used.columns:
+        used = used.where("NOT masked")
     keys = by or []
-    counted = used.groupBy(*keys, "q").agg(F.count_if("is_match").alias("matches"), F.count_if(~F.col("is_match")).alias("mismatches"))
+    counted = used.groupBy(*keys, "q").agg(_sum(_same()).alias("matches"), _sum(~_same()).alias("mismatches"))
     if keys:
         return counted
     top = counted.agg(F.max("q").alias("top"))
@@ -166,12 +251,12 @@ def observed_predicted(bases: DataFrame, by: list[Column] | None = None, max_nm:
 
 def by_base() -> list[Column]:
     """A5: the called base, on the read's strand."""
-    return [_read_strand("base").alias("base")]
+    return [F.col("base")]
 
 
-def by_cycle(first_read_cycles: int | None = None) -> list[Column]:
+def by_cycle() -> list[Column]:
     """A6."""
-    return [cycle(first_read_cycles).alias("cycle")]
+    return [F.col("cycle")]
 
 
 def observed_quality() -> Column:
@@ -198,14 +283,15 @@ def cycle_quality_bins(counted: DataFrame, least: int = 200) -> DataFrame:
     return cells.groupBy("cycle", "bin").agg(F.sum("n").alias("n"), (F.sum(F.col("observed") * F.col("n")) / F.sum("n")).alias("observed"))
 
 
-def end_substitutions(bases: DataFrame, ends: int = 20) -> DataFrame:
-    """C-7: substitutions by distance from either end of the read (5' on the read's strand).
+def end_substitutions(rows: DataFrame, ends: int = 20) -> DataFrame:
+    """C-7: substitutions by distance from either end of the read (5' on the read's strand), of bases or of counters by length.
 
     Bases are counted by place and read length, and only these counts are then given to both ends.
     """
-    five = F.when(F.col("reverse"), F.col("read_length") - F.col("i")).otherwise(F.col("i") + 1)
+    rows = _aligned(rows)
+    five = F.col("cycle")
     near = (five <= ends) | (F.col("read_length") - five + 1 <= ends)
-    counted = _kinds(bases.where(near), five.alias("five"), F.col("read_length"))
+    counted = _kinds(rows.where(near).drop("is_match"), five.alias("five"), F.col("read_length"))
     sides = F.array(F.struct(F.lit("5p").alias("side"), F.col("five").alias("distance")), F.struct(F.lit("3p").alias("side"), (F.col("read_length") - F.col("five") + 1).alias("distance")))
     at = counted.select(F.inline(F.filter(sides, lambda s: s["distance"] <= ends)), "n_bases", *[F.col(f"`{k}`") for k in SUBSTITUTIONS])
     return _listed(at.groupBy("side", "distance").agg(*[F.sum(f"`{k}`").alias(k) for k in ("n_bases", *SUBSTITUTIONS)]), ["side", "distance"]).select("side", "distance", "type", "n", "n_bases", "pct")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +95,7 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     total = F.aggregate(quality.phred("qual", None), F.lit(0), lambda s, q: s + q)
     scored = reads.where("mapped").withColumn("sum_q", total)
     best = scored.groupBy(*place).agg(F.min(F.struct(-F.col("sum_q"), F.col("name"))).alias("best"), F.count("*").alias("n_at_place"))
-    same = [scored[c].eqNullSafe(best[c]) for c in place]
-    joined = scored.join(best, same[0] & same[1] & same[2] & same[3])
+    joined = scored.join(best, functools.reduce(and_, (scored[c].eqNullSafe(best[c]) for c in place)))
     return joined.select(scored["name"], scored["sum_q"], best["n_at_place"], (scored["name"] != best["best"]["name"]).alias("duplicate"))
 
 

@@ -15,7 +15,7 @@ def run_fields(run_id: Column) -> dict[str, Column]:
     return {
         "run_date": F.try_to_timestamp(F.when(run_id.rlike("^[0-9]{6}_"), F.substring(run_id, 1, 6)), F.lit("yyMMdd")).cast("date"),
         "instrument": F.get(parts, F.lit(1)),
-        "experiment": F.when(F.size(parts) > 1, F.array_join(F.slice(parts, 2, 1000), "_")),
+        "experiment": F.when(F.size(parts) > 1, F.array_join(F.slice(parts, F.lit(2), F.size(parts)), "_")),
     }
 
 

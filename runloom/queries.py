@@ -186,9 +186,9 @@ def quality_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f""", s AS (SELECT name, rg, pos, reverse, insert_size, {SUM_Q} AS sum_q FROM reads WHERE mapped)
-SELECT name, CAST(sum_q AS BIGINT) AS sum_q, count(*) OVER w AS n_at_place, name <> first_value(name) OVER (PARTITION BY rg, pos, reverse, insert_size ORDER BY sum_q DESC, name) AS duplicate
-FROM s WINDOW w AS (PARTITION BY rg, pos, reverse, insert_size)""",
+    f""", s AS (SELECT name, rg, ref, pos, reverse, insert_size, {SUM_Q} AS sum_q FROM reads WHERE mapped)
+SELECT name, CAST(sum_q AS BIGINT) AS sum_q, count(*) OVER w AS n_at_place, name <> first_value(name) OVER (PARTITION BY rg, ref, pos, reverse, insert_size ORDER BY sum_q DESC, name) AS duplicate
+FROM s WINDOW w AS (PARTITION BY rg, ref, pos, reverse, insert_size)""",
     "reads",
 )
 def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +267,10 @@ def _bases(spark: SparkSession, sf_dir: str, masked: bool = False) -> DataFrame:
     return control_profile.control_bases(view(spark, sf_dir, "reads"), None, view(spark, sf_dir, "mask") if masked else None)
 
 
+def _counters(spark: SparkSession, sf_dir: str, masked: bool = False, **options) -> DataFrame:
+    return control_profile.control_counters(view(spark, sf_dir, "reads"), None, view(spark, sf_dir, "mask") if masked else None, **options)
+
+
 @query(WALK + "SELECT op, count(*) AS n, count(*) FILTER (WHERE is_match) AS n_match, count(*) FILTER (WHERE NOT is_match) AS n_mismatch, CAST(sum(cycle) AS BIGINT) AS sum_cycle, CAST(sum(ref_pos) AS BIGINT) AS sum_pos, CAST(sum(q) AS BIGINT) AS sum_q FROM bases GROUP BY op", "reads")
 def alignment_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     bases = _bases(spark, sf_dir)
@@ -275,7 +279,7 @@ def alignment_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(WALK + f", c AS (SELECT cycle, {COUNTS} FROM bases WHERE paired AND {BOTH_M} GROUP BY cycle)\nSELECT CAST(s.cycle AS BIGINT) AS cycle, coalesce(matches, 0) AS matches, coalesce(mismatches, 0) AS mismatches, round(100.0 * mismatches / nullif(matches + mismatches, 0), 9) AS error_pct FROM (SELECT unnest(range(1, 33)) AS cycle) s LEFT JOIN c ON s.cycle = c.cycle", "reads")
 def cycle_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = alignment.cycle_error(_bases(spark, sf_dir).where("paired"), 32)
+    made = alignment.cycle_error(_counters(spark, sf_dir).where("paired"), 32)
     return rounded(longs(made, "cycle"), "error_pct").orderBy("cycle")
 
 
@@ -285,8 +289,22 @@ def cycle_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     "reads",
 )
 def substitution_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bases = _bases(spark, sf_dir).where("paired")
-    return rounded(longs(alignment.substitutions(bases, alignment.cycle()), "cycle"), "pct")
+    return rounded(longs(alignment.substitutions(_counters(spark, sf_dir).where("paired")), "cycle"), "pct")
+
+
+PAIRED_SETS = "GROUPING SETS ((cycle), (cycle, base, ref))"
+CLASSES = "count(*) FILTER (WHERE base = ref) AS matches, count(*) FILTER (WHERE base <> ref) AS mismatches, count(*) FILTER (WHERE base = ref AND nm <= 2) AS few_matches, count(*) FILTER (WHERE base <> ref AND nm <= 2) AS few_mismatches"
+
+
+@query(
+    WALK + f", r AS (SELECT cycle, q, nm, {TURN('base')} AS base, {TURN('ref')} AS ref, {UNMASKED} AS free FROM bases WHERE {RESOLVED_M})\n"
+    f"SELECT CASE WHEN base IS NULL THEN 'A2' ELSE 'A3' END AS \"table\", CAST(cycle AS BIGINT) AS cycle, base, ref, CAST(NULL AS BIGINT) AS q, {CLASSES} FROM r WHERE base IN ('A','C','G','T') GROUP BY {PAIRED_SETS}\n"
+    f"UNION ALL SELECT CASE WHEN base IS NOT NULL THEN 'A5' WHEN cycle IS NOT NULL THEN 'A6' ELSE 'A4' END, CAST(cycle AS BIGINT), base, NULL, CAST(q AS BIGINT), {CLASSES} FROM r WHERE free GROUP BY GROUPING SETS ((q), (base, q), (cycle, q))",
+    "reads", "mask",
+)
+def control_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2-A6, both classes of NM, from one scan."""
+    return longs(control_profile.control_tables(view(spark, sf_dir, "reads"), None, view(spark, sf_dir, "mask")), "cycle", "q")
 
 
 def _dense(where: str) -> str:
@@ -295,17 +313,17 @@ def _dense(where: str) -> str:
 
 @query(_dense(""), "reads", "mask")
 def obs_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True)), "q").orderBy("q")
+    return longs(alignment.observed_predicted(_counters(spark, sf_dir, True)), "q").orderBy("q")
 
 
 @query(_dense(" AND nm <= 2"), "reads", "mask")
 def obs_pred_nm2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True), max_nm=2), "q")
+    return longs(alignment.observed_predicted(_counters(spark, sf_dir, True), max_nm=2), "q")
 
 
 @query(WALK + f"SELECT {TURN('base')} AS base, CAST(q AS BIGINT) AS q, {COUNTS} FROM bases WHERE {RESOLVED_M} AND {UNMASKED} GROUP BY 1, 2", "reads", "mask")
 def obs_pred_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True), alignment.by_base()), "q")
+    return longs(alignment.observed_predicted(_counters(spark, sf_dir, True), alignment.by_base()), "q")
 
 
 CYCLE_COUNTS = WALK + f", c AS (SELECT CAST(cycle AS BIGINT) AS cycle, CAST(q AS BIGINT) AS q, {COUNTS} FROM bases WHERE {RESOLVED_M} AND {UNMASKED} GROUP BY 1, 2)\n"
@@ -313,7 +331,7 @@ CYCLE_COUNTS = WALK + f", c AS (SELECT CAST(cycle AS BIGINT) AS cycle, CAST(q AS
 
 @query(CYCLE_COUNTS + "SELECT * FROM c", "reads", "mask")
 def obs_pred_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(alignment.observed_predicted(_bases(spark, sf_dir, True), alignment.by_cycle()), "cycle", "q")
+    return longs(alignment.observed_predicted(_counters(spark, sf_dir, True), alignment.by_cycle()), "cycle", "q")
 
 
 OBSERVED = "CASE WHEN mismatches > 0 THEN -10 * log10(mismatches / (mismatches + matches + 1)) END"
@@ -321,7 +339,7 @@ OBSERVED = "CASE WHEN mismatches > 0 THEN -10 * log10(mismatches / (mismatches +
 
 @query(CYCLE_COUNTS + f", s AS (SELECT q, sum(matches) AS matches, sum(mismatches) AS mismatches FROM c GROUP BY q), o AS (SELECT q, {OBSERVED} AS observed FROM s)\nSELECT count(*) AS n_qualities, round(sqrt(avg(pow(q - observed, 2))), 9) AS rmse FROM o WHERE observed IS NOT NULL", "reads", "mask")
 def observed_quality_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(alignment.quality_rmse(alignment.observed_predicted(_bases(spark, sf_dir, True))), "rmse")
+    return rounded(alignment.quality_rmse(alignment.observed_predicted(_counters(spark, sf_dir, True))), "rmse")
 
 
 @query(
@@ -330,7 +348,7 @@ def observed_quality_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     "reads", "mask",
 )
 def cycle_quality_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = alignment.observed_predicted(_bases(spark, sf_dir, True), alignment.by_cycle())
+    counted = alignment.observed_predicted(_counters(spark, sf_dir, True), alignment.by_cycle())
     return rounded(longs(alignment.cycle_quality_bins(counted), "cycle", "bin", "n"), "observed")
 
 
@@ -341,7 +359,7 @@ def cycle_quality_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     "reads",
 )
 def end_substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(longs(alignment.end_substitutions(_bases(spark, sf_dir)), "distance"), "pct")
+    return rounded(longs(alignment.end_substitutions(_counters(spark, sf_dir, by_length=True)), "distance"), "pct")
 
 
 TILES = ", tiles AS (SELECT lane, tile, CAST(max(value) FILTER (WHERE code = 102) AS BIGINT) AS clusters, CAST(max(value) FILTER (WHERE code = 103) AS BIGINT) AS pf_clusters FROM tile_metrics GROUP BY lane, tile)\n"
@@ -457,9 +475,9 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(runs.retention(dated, F.lit("2024-07-20").cast("date"), allow=allowed), "age_days")
 
 
-def _settled(spark: SparkSession, build: Callable[[DataFrame], DataFrame], sf_dir: str, mode: str) -> DataFrame:
+def _settled(spark: SparkSession, build: Callable[[DataFrame], DataFrame], sf_dir: str, mode: str, keys: list[str] | None = None) -> DataFrame:
     """A stream over the events, run to its end; its state and its rows lie in the shared checkpoint folder."""
-    return stream.settle(build(stream.event_stream(spark, sf_dir)), mode, shared.folder(spark, "stream"))
+    return stream.settle(build(stream.event_stream(spark, sf_dir)), mode, shared.folder(spark, "stream"), keys)
 
 
 @query("SELECT DISTINCT run_id FROM run_events WHERE marker = 'completed'", "run_events")
@@ -469,12 +487,12 @@ def new_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT run_id, CAST(max(cycle) AS BIGINT) AS last_cycle, count(*) FILTER (WHERE marker = 'completed') AS n_done, count(*) AS n_total, round(100.0 * count(*) FILTER (WHERE marker = 'completed') / count(*), 9) AS done_pct FROM run_events GROUP BY run_id", "run_events")
 def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(longs(_settled(spark, stream.run_progress, sf_dir, "complete"), "last_cycle"), "done_pct")
+    return rounded(longs(_settled(spark, stream.run_progress, sf_dir, "update", ["run_id"]), "last_cycle"), "done_pct")
 
 
 @query("SELECT run_id, arg_max(marker, CASE marker WHEN 'completed' THEN 3 WHEN 'failed' THEN 2 WHEN 'started' THEN 1 ELSE 0 END) AS state, count(*) AS n_events FROM run_events GROUP BY run_id", "run_events")
 def run_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled(spark, stream.run_listing, sf_dir, "complete")
+    return _settled(spark, stream.run_listing, sf_dir, "update", ["run_id"])
 
 
 @query(
@@ -483,7 +501,41 @@ def run_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     "run_events",
 )
 def started_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled(spark, stream.started_notices, sf_dir, "complete")
+    return stream.all_notices(_settled(spark, stream.due_notices, sf_dir, "update", ["run_id", "since"]))
+
+
+@query(
+    ", t AS (SELECT run_id, CASE WHEN count(*) % 5 = 0 THEN 0 ELSE count(*) END AS total FROM run_events GROUP BY run_id), d AS (SELECT run_id, count(*) AS n_done FROM run_events WHERE marker = 'progress' GROUP BY run_id)\n"
+    "SELECT run_id, n_done, total, CASE WHEN total > 0 THEN round(100.0 * n_done / total, 9) END AS done_pct FROM d JOIN t USING (run_id)",
+    "run_events",
+)
+def fragment_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's progress markers as fragments done, of a total that is all of its markers (0 for every fifth number)."""
+    n = F.count("*")
+    totals = view(spark, sf_dir, "run_events").groupBy("run_id").agg(F.when(n % 5 == 0, 0).otherwise(n).alias("total"))
+    counts = lambda events: events.where("marker = 'progress'").select("run_id", F.lit(1).cast("long").alias("fragments"))
+    made = _settled(spark, lambda events: stream.fragment_progress(counts(events), totals), sf_dir, "update", ["run_id"])
+    return rounded(made, "done_pct")
+
+
+@query(
+    ", e AS (SELECT CAST(ts AS TIMESTAMP) AS ts, marker, user_id, event_id FROM (SELECT CASE event_type WHEN 'signup' THEN 'started' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'progress' END AS marker, ts, user_id, event_id FROM events)), m AS (SELECT max(ts) AS top FROM e),\n"
+    "a AS (SELECT ts, marker FROM e UNION ALL SELECT ts, marker FROM e, m WHERE event_id % 3 = 0 AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' > date_trunc('millisecond', top) - INTERVAL '5 days')\n"
+    "SELECT CAST(epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS start_us, marker, count(*) AS n FROM a GROUP BY ALL",
+    "run_events",
+)
+def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markers by hour with a delay of five days.  A third of the events come a second time after all others, so most of these are late by more
+    than the delay and dropped, and those of the last five days count; an event of a year later then closes the windows."""
+    folder = shared.folder(spark, "late")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select([c.split()[0] for c in stream.EVENTS.split(", ")])
+    closing = events.agg(*[F.max(c).alias(c) for c in events.columns]).withColumn("ts", F.col("ts") + F.expr("INTERVAL 365 DAYS"))
+    made = None
+    for rows in (events, events.where("event_id % 3 = 0"), closing):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        hours = stream.windowed_counts(stream.event_stream(spark, f"{folder}/in", "*.parquet", None), "1 hour", "5 days")
+        made = stream.settle(hours, "append", f"{folder}/made")
+    return made.select(F.unix_micros("start").alias("start_us"), "marker", "n")
 
 
 SCORE = lambda read, q, s: f"list_sum(list_transform(range(1, 8), lambda i: CASE WHEN substr({read}, i, 1) = substr({s}, i, 1) THEN log10(1 - least(0.75, pow(10.0, -greatest(ascii(substr({q}, i, 1)) - 33, 2) / 10.0))) ELSE log10(least(0.75, pow(10.0, -greatest(ascii(substr({q}, i, 1)) - 33, 2) / 10.0)) / 3) END))"

@@ -20,7 +20,7 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     part = lambda k, name: F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(name)
     records = numbered.groupBy("file", F.floor(F.col("line") / 4).alias("record"), "total").agg(part(0, "id"), part(1, "seq"), part(3, "qual"))
     wrong = F.when(F.col("total") % 4 != 0, F.concat(F.lit("lines are no multiple of four in "), "file")).when(~F.col("id").startswith("@"), F.concat(F.lit("not a FASTQ definition line: "), "id"))
-    checked = F.when(wrong.isNull(), F.substring("id", 2, 1_000_000)).otherwise(F.raise_error(wrong))
+    checked = F.when(wrong.isNull(), F.substr("id", F.lit(2))).otherwise(F.raise_error(wrong))
     return records.select(checked.alias("id"), "seq", "qual")
 
 

@@ -19,7 +19,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     parts = spark.read.text(path).where(~F.col("value").startswith("@") & (F.col("value") != "")).select(F.split("value", "\t").alias("f"))
     field = lambda i: F.get("f", F.lit(i))
     value = lambda i: F.nullif(field(i), F.lit("*"))
-    tags = F.map_from_entries(F.transform(F.filter(F.slice("f", 12, 10_000), lambda t: t.rlike("^..:.:")), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 1_000_000))))
+    tags = F.map_from_entries(F.transform(F.filter("f", lambda t, i: (i >= 11) & t.rlike("^..:.:")), lambda t: F.struct(F.substring(t, 1, 2), F.substr(t, F.lit(6)))))
     out = parts.select(field(0).alias("name"), field(1).cast("int").alias("flag"), value(2).alias("ref"), (field(3).cast("int") - 1).alias("pos"), value(5).alias("cigar"), field(8).cast("int").alias("insert_size"), value(9).alias("seq"), value(10).alias("qual"), tags.alias("tags"))
     bit = lambda name: F.col("flag").bitwiseAND(F.lit(FLAGS[name])) != 0
     out = out.withColumns({k: bit(k) for k in FLAGS if k != "unmapped"}).withColumn("mapped", ~bit("unmapped"))

@@ -14,7 +14,7 @@ b AS (SELECT *, translate(md5(name),'0123456789abcdef','ACGTACGTACGTACGT') AS se
 c AS (SELECT *, CASE WHEN m = 0 THEN concat('NNNN', substr(seq0,5)) WHEN m = 1 THEN repeat('N',32) WHEN m = 2 THEN concat(repeat('A',28),substr(seq0,29)) ELSE seq0 END AS seq FROM b)
 SELECT name, seq, qual,
  m NOT IN (3,4) AS mapped, m % 2 = 0 AS reverse, ln % 2 = 1 AS first_mate, ln % 2 = 0 AS second_mate, m < 14 AS paired, m < 13 AS proper_pair, (m = 5) AS is_duplicate, (m = 6) AS failed_qc,
- cast(pk * 10 as int) AS pos,
+ concat('chr', cast(1 + sk % 3 as {S})) AS ref, cast(pk * 10 as int) AS pos,
  CASE m % 4 WHEN 0 THEN '32M' WHEN 1 THEN '4S28M' WHEN 2 THEN '10M2I20M' ELSE '16M3D16M' END AS cigar,
  CASE m % 4 WHEN 0 THEN concat(cast(p-1 as {S}), translate(substr(seq,p,1),'ACGTN','CGTAA'), cast(32-p as {S}))
             WHEN 1 THEN '28' WHEN 2 THEN '30' ELSE '16^ACG16' END AS md,
