@@ -23,6 +23,8 @@ LIKELY_HASHES = 4_000_000
 HELD_HASHES = 1_500_000
 #: Words of a range of hashes, on average.
 RANGE_HASHES = 4_000_000
+#: Candidates whose counts a task sends as one row.
+COUNT_RANGE = 4096
 #: Phrases are hashed to so many bits for the upper bounds.
 HASH_BITS = 48
 
@@ -333,9 +335,16 @@ def _count(encoded: DataFrame, candidates: DataFrame, size: int, least: int) ->
                 ends = trie.phrase[state]
                 total += np.bincount(ends[ends >= 0], minlength=len(total))
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([_lists(trie.phrases[at]), pa.array(total[at])], names=["phrase", "n"])
+            buckets, first = np.unique(at // COUNT_RANGE, return_index=True)
+            packed = [_pack(x.astype(np.uint64), total[x]) for x in np.split(at, first[1:])] if len(at) else []
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(packed, pa.binary())], names=["bucket", "packed"])
 
-        part = common.table(encoded.select("hashes", "codes").mapInArrow(run, "phrase array<long>, n long").groupBy("phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+        def add(key, t, told=told):
+            number, f = _summed(*map(list, zip(*(_unpack(x) for x in t["packed"].to_pylist()), strict=True)))
+            number, f = number[f >= least].astype(np.int64), f[f >= least]
+            return pa.table({"phrase": _lists(told.value.phrases[number]), "f": pa.array(f, pa.int64())})
+
+        part = common.table(encoded.select("hashes", "codes").mapInArrow(run, "bucket long, packed binary").groupBy("bucket").applyInArrow(add, "phrase array<long>, f long"))
         told.destroy()
         counted = part if counted is None else counted.unionByName(part)
     return counted if counted is not None else spark.createDataFrame([], "phrase array<long>, f long")
