@@ -319,6 +319,15 @@ def _observed(encoded: DataFrame, places, size: int, likely: DataFrame) -> DataF
     return out if out is not None else encoded.sparkSession.createDataFrame([], "phrase array<long>")
 
 
+def _adder(told, least: int):
+    def add(key, t):
+        number, f = _summed(*map(list, zip(*(_unpack(x) for x in t["packed"].to_pylist()), strict=True)))
+        number, f = number[f >= least].astype(np.int64), f[f >= least]
+        return pa.table({"phrase": _lists(told.value.phrases[number]), "f": pa.array(f, pa.int64())})
+
+    return add
+
+
 def _count(encoded: DataFrame, candidates: DataFrame, size: int, least: int) -> DataFrame:
     """(phrase, f) of the candidates that occur `least` times or more: a trie for each slice of them, one pass for each trie."""
     spark, counted = encoded.sparkSession, None
@@ -339,12 +348,7 @@ def _count(encoded: DataFrame, candidates: DataFrame, size: int, least: int) ->
             packed = [_pack(x.astype(np.uint64), total[x]) for x in np.split(at, first[1:])] if len(at) else []
             yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(packed, pa.binary())], names=["bucket", "packed"])
 
-        def add(key, t, told=told):
-            number, f = _summed(*map(list, zip(*(_unpack(x) for x in t["packed"].to_pylist()), strict=True)))
-            number, f = number[f >= least].astype(np.int64), f[f >= least]
-            return pa.table({"phrase": _lists(told.value.phrases[number]), "f": pa.array(f, pa.int64())})
-
-        part = common.table(encoded.select("hashes", "codes").mapInArrow(run, "bucket long, packed binary").groupBy("bucket").applyInArrow(add, "phrase array<long>, f long"))
+        part = common.table(encoded.select("hashes", "codes").mapInArrow(run, "bucket long, packed binary").groupBy("bucket").applyInArrow(_adder(told, least), "phrase array<long>, f long"))
         told.destroy()
         counted = part if counted is None else counted.unionByName(part)
     return counted if counted is not None else spark.createDataFrame([], "phrase array<long>, f long")
