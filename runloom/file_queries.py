@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import alignment, flags, groups, indices, profiles, runs
-from .queries import BOTH_M, COUNTS, WALK, _counters, longs, query, rounded
+from .plans import filter_reads
+from .queries import BOTH_M, COUNTS, REPORT_SQL, WALK, _counters, longs, query, rounded
 from .sources import fastq, instrument, sam, shared, tables
 from .views import view
 
@@ -139,7 +140,7 @@ def tile_values_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tiles' clusters as a lane summary."""
     path = shared.folder(spark, "xml")
     rows = view(spark, sf_dir, "tile_metrics").where("code = 102")
-    rows.select(F.concat_ws("_", F.col("lane").cast("string"), F.col("tile").cast("string")).alias("_Key"), F.col("value").alias("_Value")).write.format("xml").option("rowTag", "TL").option("rootTag", "Summary").save(path)
+    rows.select(F.concat_ws("_", F.col("lane").cast("string"), F.col("tile").cast("string")).alias("_Key"), F.col("value").alias("_Val")).write.format("xml").option("rowTag", "TL").option("rootTag", "Summary").save(path)
     return rounded(longs(instrument.read_tile_errors_xml(spark, path), "lane", "tile"), "value", digits=3)
 
 
@@ -148,12 +149,53 @@ def tile_table_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intensities as a tabular dump, lanes and colours from 0, missing ones nan."""
     path = shared.folder(spark, "dump")
     rows = view(spark, sf_dir, "extraction_metrics")
-    cells = rows.select((F.col("lane") - 1).alias("lane"), "tile", "cycle", F.inline(F.array(*[F.struct(F.lit(str(k)).alias("colour"), F.col(f"int_{b}").alias("value")) for k, b in enumerate("acgt")])))
-    heads = rows.select(F.concat(F.lit("# tile "), F.col("tile").cast("string")).alias("value")).distinct().unionByName(rows.select(F.lit("Lane\tTile\tCycle\tColour\tIntensity").alias("value")).distinct())
-    heads.unionByName(cells.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in ("lane", "tile", "cycle", "colour")], F.coalesce(F.col("value").cast("string"), F.lit("nan"))).alias("value"))).write.text(path)
+    _write_dump(_cells(rows, "int", 0), path, "Intensity", -1)
     return longs(instrument.read_tile_table(spark, path, "intensity"), "lane", "tile", "cycle")
 
 
+def _cells(rows: DataFrame, kind: str, first: int) -> DataFrame:
+    return rows.select("lane", "tile", "cycle", F.inline(F.array(*[F.struct(F.lit(str(k + first)).alias("colour"), F.col(f"{kind}_{b}").cast("double").alias("value")) for k, b in enumerate("acgt")])))
+
+
+def _write_dump(cells: DataFrame, path: str, title: str, shift: int) -> None:
+    """A dump for each lane, each behind lines that are no rows and the header."""
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in ("colour", "cycle")], (F.col("lane") + shift).cast("string"), F.col("tile").cast("string"), F.coalesce(F.col("value").cast("string"), F.lit("nan")))
+    body = cells.select("lane", F.lit(1).alias("part"), line.alias("value"))
+    head = cells.select("lane").distinct().select("lane", F.lit(0).alias("part"), F.concat(F.lit(f"# made\n9\t9\t9\t9\t9\nColor\tCycle\tLane\tTile\t{title}")).alias("value"))
+    # A lane's tables have as many rows as it has tiles, cycles and colours.
+    head.unionByName(body).repartition("lane").sortWithinPartitions("lane", "part").select("lane", "value").write.partitionBy("lane").text(path)
+
+
+@query(" UNION ALL ".join(f"SELECT CAST(lane AS BIGINT) AS lane, CAST(tile AS BIGINT) AS tile, CAST(cycle AS BIGINT) AS cycle, '{b.upper()}' AS base, round(fwhm_{b}, 9) AS value FROM extraction_metrics" for b in "acgt"), "extraction_metrics")
+def focus_table_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Focus as a tabular dump, lanes and colours from 1."""
+    path = shared.folder(spark, "dump")
+    _write_dump(_cells(view(spark, sf_dir, "extraction_metrics"), "fwhm", 1), path, "Focus", 0)
+    return rounded(longs(instrument.read_tile_table(spark, path, "focus"), "lane", "tile", "cycle"), "value")
+
+
+@query("SELECT CAST(lane AS BIGINT) AS lane, CAST(tile AS BIGINT) AS tile, value AS clusters FROM tile_metrics WHERE code = 102", "tile_metrics")
+def cluster_table_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters as a tabular dump, lanes from 0."""
+    path = shared.folder(spark, "dump")
+    rows = view(spark, sf_dir, "tile_metrics").where("code = 102")
+    body = rows.select("lane", F.lit(1).alias("part"), F.concat_ws("\t", (F.col("lane") - 1).cast("string"), F.col("tile").cast("string"), F.col("value").cast("string")).alias("value"))
+    head = rows.select("lane").distinct().select("lane", F.lit(0).alias("part"), F.lit("Lane\tTile\tCluster").alias("value"))
+    head.unionByName(body).repartition("lane").sortWithinPartitions("lane", "part").select("lane", "value").write.partitionBy("lane").text(path)
+    return longs(instrument.read_cluster_table(spark, path), "lane", "tile")
+
+
+@query("SELECT CAST(lane AS BIGINT) AS lane, CAST(0.5 AS DOUBLE) AS density_ratio, round(avg(clusters), 3) AS raw, round(avg(pf_clusters), 3) AS pf FROM (SELECT lane, tile, max(value) FILTER (WHERE code = 102) AS clusters, max(value) FILTER (WHERE code = 103) AS pf_clusters FROM tile_metrics GROUP BY ALL) GROUP BY lane", "tile_metrics")
+def lane_summary_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lane summary with the lanes' mean clusters; its other values are missing."""
+    path = shared.folder(spark, "xml")
+    made = view(spark, sf_dir, "tile_metrics").groupBy("lane").agg(F.avg(F.when(F.col("code") == 102, F.col("value"))).alias("_ClustersRaw"), F.avg(F.when(F.col("code") == 103, F.col("value"))).alias("_ClustersPF"))
+    lanes = made.agg(F.collect_list(F.struct(F.col("lane").alias("_key"), "_ClustersRaw", "_ClustersPF")).alias("Lane"))
+    lanes.select(F.lit(0.5).alias("_densityRatio"), "Lane").write.format("xml").option("rowTag", "Summary").option("rootTag", "Summaries").save(path)
+    rows = instrument.read_lane_summary(spark, path).select("lane", "density_ratio", F.col("ClustersRaw").alias("raw"), F.col("ClustersPF").alias("pf"))
+    return rounded(longs(rows, "lane"), "raw", "pf", digits=3)
+
+
 @query("SELECT p7 AS index1, p5 AS index2, name FROM index_sheet", "index_sheet")
 def index_sheet_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sheet as a tab-separated file with a comment line."""
@@ -195,6 +237,12 @@ def status_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("name string, status string").json(path)
 
 
+@query(REPORT_SQL, "reads")
+def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1, A1: the report that the job gives that writes the flagged reads."""
+    return filter_reads.write_flagged(view(spark, sf_dir, "reads"), shared.folder(spark, "flagged"), entropy=1.0, min_length=20, max_length=40)
+
+
 @query("SELECT rg, name, failed_qc FROM (SELECT coalesce(rg, 'unknown') AS rg, name, failed_qc FROM reads)", "reads")
 def split_by_rg_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1, K2: reads with their marks, one folder per read group, and read back."""
@@ -266,6 +314,33 @@ def insert_size_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profiles.kernel_density(sizes, "size", "n", [float(g) for g in range(20, 90, 5)], 2.0), "density")
 
 
+@query(
+    ", r AS (SELECT DISTINCT run_id, proc + 1 AS proc, CAST(substr(run_id, 4) AS BIGINT) AS u FROM run_events), i AS (SELECT name, p7, p5 FROM index_sheet WHERE name NOT LIKE 'control%'), d AS (SELECT kind, id, min(seq) AS seq FROM index_dict GROUP BY ALL)\n"
+    "SELECT run_id AS runid, CASE WHEN u % 4 <> 0 THEN CAST(proc AS BIGINT) END AS processing, CASE WHEN u % 4 <> 0 THEN concat('ACGT', CAST(proc AS VARCHAR)) ELSE 'plain' END AS adapter1, 'TTTT' AS adapter2, CASE WHEN u % 4 <> 0 THEN proc = 1 END AS mergeoverlap, name, a.seq AS p7_seq, b.seq AS p5_seq\n"
+    "FROM (SELECT * FROM r WHERE u % 4 <> 0 UNION ALL SELECT DISTINCT run_id, NULL, u FROM r WHERE u % 4 = 0) r JOIN i ON i.p7 = concat('I', CAST((u % 40) * 2 AS VARCHAR)) LEFT JOIN d a ON a.kind = 'p7' AND a.id = i.p7 LEFT JOIN d b ON b.kind = 'p5' AND b.id = i.p5",
+    "run_events", "index_sheet", "index_dict",
+)
+def run_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request document of every run, most with numbered processings, read as one row for each, with its indices as sequences."""
+    path, u = shared.folder(spark, "requests"), F.substr("run_id", F.lit(4)).cast("long")
+    procs = view(spark, sf_dir, "run_events").select("run_id", (F.col("proc") + 1).alias("proc")).distinct().groupBy("run_id").agg(F.array_sort(F.collect_list("proc")).alias("procs"))
+    sheet = view(spark, sf_dir, "index_sheet").where("name NOT LIKE 'control%'").groupBy("p7").agg(F.collect_list(F.struct("name", "p7", "p5")).alias("rows"))
+    runs_of = procs.join(sheet, F.concat(F.lit("I"), (u % 40 * 2).cast("string")) == F.col("p7"))
+    head = F.struct(F.lit("#index").alias("name"), F.lit("p7").alias("p7"), F.lit("p5").alias("p5"))
+    entry = lambda key, value: F.struct(key.alias("key"), value.alias("value"))
+    numbered = F.flatten(F.transform("procs", lambda n: F.array(entry(F.concat(F.lit("adapter1"), n), F.concat(F.lit("ACGT"), n)), entry(F.concat(F.lit("mergeoverlap"), n), (n == 1).cast("string")))))
+    plain = F.array(entry(F.lit("adapter1"), F.lit("plain")))
+    some = F.map_from_entries(F.concat(F.array(entry(F.lit("runid"), F.col("run_id")), entry(F.lit("adapter2"), F.lit("TTTT"))), F.when(u % 4 != 0, numbered).otherwise(plain)))
+    texts = runs_of.select("run_id", F.to_json(some).alias("j"), F.to_json(F.concat(F.array(head), F.col("rows"))).alias("i")).select(
+        F.concat("run_id", F.lit(".json")).alias("file"), F.encode(F.concat(F.substr("j", F.lit(1), F.length("j") - 1), F.lit(',\n"indicesraw":'), "i", F.lit("}")), "UTF-8").alias("content")
+    )
+    shared.write_files(texts, path)
+    found = tables.read_requests(spark, path)
+    done = runs.resolve_request(found.select("runid", "indicesraw").distinct(), view(spark, sf_dir, "index_dict")).select("runid", F.inline(F.slice("indicesseq", F.lit(2), F.size("indicesseq"))))
+    rows = found.select("runid", "processing", "adapter1", "adapter2", "mergeoverlap").join(done, "runid")
+    return longs(rows.withColumnsRenamed({"p7": "p7_seq", "p5": "p5_seq"}), "processing")
+
+
 SHEET_LINES = "SELECT row_number() OVER (ORDER BY name, p7, p5) AS line, concat_ws(chr(9), name, p7, p5) AS value, CASE WHEN p5 IS NULL THEN 2 ELSE 3 END AS n FROM index_sheet"
 
 

@@ -44,10 +44,15 @@ def flag_reads(reads: DataFrame, max_error: float | None = 0.01, entropy: float
     return out.withColumn("failed_qc", F.col("failed_before") | F.col("fails_length") | F.col("fails_entropy") | F.col("fails_frequency") | F.col("fails_error"))
 
 
+def report_counters() -> list[Column]:
+    """A1: totals per reason, as aggregates over flagged reads."""
+    n = lambda c: F.count_if(F.col(c)).alias(c.replace("fails_", "n_").replace("failed_", "n_failed_"))
+    return [F.count(F.lit(1)).alias("n_total"), *[n(c) for c in ("failed_before", "fails_length", "fails_entropy", "fails_frequency", "fails_error", "failed_qc")]]
+
+
 def filter_report(flagged: DataFrame) -> DataFrame:
     """A1: totals per reason, one aggregate over the flagged reads."""
-    n = lambda c: F.count_if(F.col(c)).alias(c.replace("fails_", "n_").replace("failed_", "n_failed_"))
-    return flagged.agg(F.count("*").alias("n_total"), *[n(c) for c in ("failed_before", "fails_length", "fails_entropy", "fails_frequency", "fails_error", "failed_qc")])
+    return flagged.agg(*report_counters())
 
 
 #: Values that are sorted on the driver at most.

@@ -48,12 +48,12 @@ FREQUENCY = f"greatest({N['A']}, {N['C']}, {N['G']}, {N['T']}) / {RESOLVED}"
 SUM_Q = "list_sum(list_transform(range(1, length(qual) + 1), lambda i: ascii(substr(qual, i, 1)) - 33))"
 
 
-@query(
-    f"""SELECT count(*) AS n_total, count(*) FILTER (WHERE failed_qc) AS n_failed_before, CAST(0 AS BIGINT) AS n_length,
+REPORT_SQL = f"""SELECT count(*) AS n_total, count(*) FILTER (WHERE failed_qc) AS n_failed_before, CAST(0 AS BIGINT) AS n_length,
  count(*) FILTER (WHERE coalesce(({ENTROPY}) < 1.0, true)) AS n_entropy, CAST(0 AS BIGINT) AS n_frequency, count(*) FILTER (WHERE {ERR} > 0.01) AS n_error,
- count(*) FILTER (WHERE failed_qc OR coalesce(({ENTROPY}) < 1.0, true) OR {ERR} > 0.01) AS n_failed_qc FROM reads""",
-    "reads",
-)
+ count(*) FILTER (WHERE failed_qc OR coalesce(({ENTROPY}) < 1.0, true) OR {ERR} > 0.01) AS n_failed_qc FROM reads"""
+
+
+@query(REPORT_SQL, "reads")
 def filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_reads.filter_reads(view(spark, sf_dir, "reads"), entropy=1.0, min_length=20, max_length=40)[1]
 

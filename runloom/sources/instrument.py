@@ -7,38 +7,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import records
+
 CALLS = "lane int, tile int, cycle int, cluster int, base string, qual int"
+BASES = np.frombuffer(b"ACGT", np.uint8)
 
 
-def read_bcl(spark: SparkSession, path: str) -> DataFrame:
+def read_bcl(spark: SparkSession, path: str, lanes: list[int] | None = None, tiles: list[int] | None = None, cycles: list[int] | None = None) -> DataFrame:
     """Base calls of L00x/Cy.1/s_x_t.bcl files: a count, then a byte per cluster: base c % 4, quality c / 4 % 64.
 
-    One task reads a file; tiles whose cycles differ in their number of clusters raise.
+    Only files of the lanes, tiles and cycles wanted (None: all) are opened, and each in ranges of bytes, many small ones to a task.  Tiles whose cycles
+    differ in their number of clusters raise, as does a file whose count is not that of its bytes.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.bcl").load(path).select("path", "content")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bases = np.array(list("ACGT"), dtype=object)
-        for f in frames:
-            for p, data in zip(f["path"], f["content"], strict=True):
-                lane, cycle, tile = (int(x) for x in _place(p))
-                n = struct.unpack_from("<I", data)[0]
-                c = np.frombuffer(data, np.uint8, count=n, offset=4)
-                yield pd.DataFrame({"lane": lane, "tile": tile, "cycle": cycle, "cluster": np.arange(n), "base": bases[c % 4], "qual": c // 4 % 64})
-
-    return files.mapInPandas(run, CALLS)
-
-
-def _place(path: str) -> tuple[str, str, str]:
-    import re
-
-    m = re.search(r"L00(\d)/C(\d+)\.1/s_\d_(\d+)\.bcl", path)
-    if not m:
-        raise ValueError(f"not a base-call file: {path}")
-    return m.groups()
+    spark.dataSource.register(records.BaseCalls)
+    wanted = {k: ",".join(map(str, v)) for k, v in (("lanes", lanes), ("tiles", tiles), ("cycles", cycles)) if v is not None}
+    return spark.read.format("runloom_base_calls").options(**wanted).load(path)
 
 
 def check_clusters(calls: DataFrame) -> DataFrame:
@@ -78,22 +64,9 @@ def count_positions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _metrics(spark: SparkSession, path: str, version: int, fields: list[tuple], schema: str) -> DataFrame:
-    """Records of a metrics file: a version byte, the record length, then the records, whose further bytes are skipped."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    names = [f[0] for f in fields]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for data in f["content"]:
-                if data[0] != version:
-                    raise ValueError(f"metrics of version {data[0]}, not {version}")
-                length = data[1]
-                offsets = np.cumsum([0, *(np.dtype(t).itemsize for _, t in fields)])[:-1].tolist()
-                kind = np.dtype({"names": names, "formats": [t for _, t in fields], "offsets": offsets, "itemsize": length})
-                rows = np.frombuffer(data, kind, count=(len(data) - 2) // length, offset=2)
-                yield pd.DataFrame({n: rows[n].astype(np.float64 if rows[n].dtype.kind == "f" else np.int64) for n in names})
-
-    return files.mapInPandas(run, schema)
+    """Records of metrics files: a version byte, the record length, then the records, whose further bytes are skipped; read in ranges of records."""
+    spark.dataSource.register(records.Metrics)
+    return spark.read.format("runloom_metrics").schema(schema).options(version=version, kinds=",".join(t for _, t in fields)).load(path)
 
 
 KEYS = [("lane", "<u2"), ("tile", "<u2")]
@@ -126,20 +99,54 @@ def read_run_info(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tile_errors_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Per-tile values of a lane summary or error document: TL elements keyed lane_tile."""
-    rows = spark.read.format("xml").option("rowTag", "TL").schema("_Key string, _Value double").load(path)
+    """Per-tile values of an error document: TL elements with Key lane_tile and Val."""
+    rows = spark.read.format("xml").option("rowTag", "TL").schema("_Key string, _Val double").load(path)
     parts = F.split("_Key", "_")
-    return rows.select(F.get(parts, F.lit(0)).cast("int").alias("lane"), F.get(parts, F.lit(1)).cast("int").alias("tile"), F.col("_Value").alias("value"))
+    return rows.select(F.get(parts, F.lit(0)).cast("int").alias("lane"), F.get(parts, F.lit(1)).cast("int").alias("tile"), F.col("_Val").alias("value"))
+
+
+#: The attributes of a lane in a lane summary.
+LANE_VALUES = [
+    "ClustersRaw", "ClustersRawSD", "ClustersPF", "ClustersPFSD", "PrcPFClusters", "PrcPFClustersSD", "Phasing", "Prephasing", "PrcAlign", "PrcAlignSD",
+    "FirstCycleIntPF", "FirstCycleIntPFSD", "PrcIntensityAfter20CyclesPF", "PrcIntensityAfter20CyclesPFSD",
+]
+
+
+def read_lane_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Lane summaries: density_ratio of the document, and the lanes with their values; a value that is missing is null."""
+    lane = "struct<_key:int," + ",".join(f"_{v}:double" for v in LANE_VALUES) + ">"
+    rows = spark.read.format("xml").option("rowTag", "Summary").schema(f"_densityRatio double, Lane array<{lane}>").load(path)
+    one = rows.select(F.col("_densityRatio").alias("density_ratio"), F.explode("Lane").alias("l"))
+    return one.select("density_ratio", F.col("l._key").alias("lane"), *[F.col(f"l._{v}").alias(v) for v in LANE_VALUES])
 
 
 #: Colour digits of the tables: intensities count lanes and colours from 0, focus from 1.
 COLOURS = {"intensity": ("0123", 1), "focus": ("1234", 0)}
 
 
+def _behind_header(spark: SparkSession, path: str, header: str, n_fields: int) -> DataFrame:
+    """f: the fields of the lines with so many, behind the first line of their file that starts with the header; further headers are no rows."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"), "value")
+    is_header = F.col("value").startswith(header)
+    heads = lines.where(is_header).groupBy("file").agg(F.min("place").alias("head")).withColumnRenamed("file", "of")
+    rows = lines.where(~is_header).join(heads, F.col("file") == F.col("of")).where(F.col("place") > F.col("head"))
+    return rows.select(F.split(F.trim(F.translate("value", "\t\r", "  ")), " +").alias("f")).where(F.size("f") == n_fields)
+
+
+def _value(c: Column) -> Column:
+    return F.when(F.lower(c) != "nan", c.cast("double"))
+
+
 def read_tile_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """A tabular dump (lane, tile, cycle, colour, value): comments and lines before the header are skipped; nan is missing."""
+    """An intensity or focus dump: colour, cycle, lane, tile and value behind a header that starts so; nan is missing."""
     digits, shift = COLOURS[kind]
-    parts = spark.read.text(path).select(F.split(F.trim("value"), "\t").alias("f")).where((F.size("f") >= 5) & F.get("f", F.lit(0)).rlike("^[0-9]+$"))
     f = lambda i: F.get("f", F.lit(i))
-    value = F.when(F.lower(f(4)) != "nan", f(4).try_cast("double"))
-    return parts.select((f(0).cast("int") + shift).alias("lane"), f(1).cast("int").alias("tile"), f(2).cast("int").alias("cycle"), F.translate(f(3), digits, "ACGT").alias("base"), value.alias("value"))
+    rows = _behind_header(spark, path, "Color\tCycle\tLane\tTile\t", 5)
+    return rows.select((f(2).cast("int") + shift).alias("lane"), f(3).cast("int").alias("tile"), f(1).cast("int").alias("cycle"), F.translate(f(0), digits, "ACGT").alias("base"), _value(f(4)).alias("value"))
+
+
+def read_cluster_table(spark: SparkSession, path: str) -> DataFrame:
+    """A cluster dump: lane (from 0), tile and clusters behind their header."""
+    f = lambda i: F.get("f", F.lit(i))
+    rows = _behind_header(spark, path, "Lane\tTile\tCluster", 3)
+    return rows.select((f(0).cast("int") + 1).alias("lane"), f(1).cast("int").alias("tile"), _value(f(2)).alias("clusters"))

@@ -35,6 +35,31 @@ def read_request(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REQUEST).option("multiLine", "true").json(path)
 
 
+#: Keys that a request gives for each processing, the processing's number behind them; and how their values are read.
+PROCESSING = {
+    "adapter1": "string", "adapter2": "string", "chimeras": "string", "key1": "string", "key2": "string", "mergeoverlap": "boolean", "filterseqexp": "boolean", "filterentropy": "boolean", "filterfrequency": "boolean",
+    "seqNormExpcutoff": "double", "entropycutoff": "double", "frequencycutoff": "double", "rgnofail": "boolean", "usebwa": "boolean", "genomebwa": "string", "parambwa": "string",
+}
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Run request documents, a row for each of their processings: runid, processing, PROCESSING's keys, indicesraw, and the document's other keys in `rest`.
+
+    A key with a number behind it (adapter11: adapter1 of processing 1) holds for that processing, one without for all that have none of
+    their own.  A document without numbered keys is one row with processing null.  Quotes around a value are taken off; a value that is not of its type is null.
+    """
+    docs = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("doc"))
+    keys = F.map_keys("doc")
+    number = lambda name: F.transform(F.filter(keys, lambda k: k.rlike(f"^{name}[0-9]+$")), lambda k: F.substr(k, F.lit(len(name) + 1)).cast("int"))
+    numbers = F.array_sort(F.array_distinct(F.concat(*map(number, PROCESSING))))
+    each = docs.select("doc", F.explode_outer(numbers).alias("processing"))
+    said = lambda name: F.coalesce(F.try_element_at("doc", F.concat(F.lit(name), F.col("processing").cast("string"))), F.try_element_at("doc", F.lit(name)))
+    value = lambda name, kind: F.regexp_replace(said(name), "^'(.*)'$", "$1").try_cast(kind).alias(name)
+    ours = "^(" + "|".join(PROCESSING) + ")[0-9]*$"
+    rest = F.map_filter("doc", lambda k, v: ~k.rlike(ours) & ~k.isin("runid", "indicesraw"))
+    return each.select(F.try_element_at("doc", F.lit("runid")).alias("runid"), "processing", *[value(*x) for x in PROCESSING.items()], F.from_json(F.try_element_at("doc", F.lit("indicesraw")), INDEX).alias("indicesraw"), rest.alias("rest"))
+
+
 def write_status(result: DataFrame, path: str) -> None:
     """K4: OK/ERROR rows as JSON."""
     result.write.json(path)

@@ -92,14 +92,77 @@ def test_run_documents(spark, tmp_path):
     assert (row["run"], row["instrument"], row["lanes"], row["tiles"], [(r["read"], r["length"]) for r in row["reads"]]) == ("120101_M1_X", "M1", 8, 96, [(1, 76), (2, 7)])
     (tmp_path / "old.xml").write_text('<RunInfo><Run Id="r"><FlowcellLayout LaneCount="1" TileCount="2"/><Reads><Read FirstCycle="1" LastCycle="50"/><Read FirstCycle="51" LastCycle="60"/></Reads></Run></RunInfo>')
     assert [r["length"] for r in instrument.read_run_info(spark, str(tmp_path / "old.xml")).first()["reads"]] == [50, 10]
-    (tmp_path / "tl.xml").write_text('<Data><TL Key="1_1101" Value="0.5"/><TL Key="2_1102" Value="1.5"/></Data>')
+    (tmp_path / "tl.xml").write_text('<Data><TL Key="1_1101" Val="0.5"/><TL Key="2_1102" Val="1.5"/></Data>')
     assert sorted(tuple(r) for r in instrument.read_tile_errors_xml(spark, str(tmp_path / "tl.xml")).collect()) == [(1, 1101, 0.5), (2, 1102, 1.5)]
-    (tmp_path / "int.tsv").write_text("# made by\nLane\tTile\tCycle\tColour\tValue\n0\t1101\t1\t0\t12.5\n0\t1101\t1\t3\tNaN\n")
-    assert [tuple(r) for r in instrument.read_tile_table(spark, str(tmp_path / "int.tsv"), "intensity").collect()] == [(1, 1101, 1, "A", 12.5), (1, 1101, 1, "T", None)]
-    (tmp_path / "foc.tsv").write_text("1\t1101\t1\t4\t2.5\n")
+    (tmp_path / "int.tsv").write_text("# made by\n9\t9\t9\t9\t9\nColor\tCycle\tLane\tTile\tIntensity\n0\t1\t0\t1101\t12.5\n3\t1\t0\t1101\tNaN\n2\t5\t0\t1101\t12.5\n")
+    assert sorted((tuple(r) for r in instrument.read_tile_table(spark, str(tmp_path / "int.tsv"), "intensity").collect()), key=str) == [(1, 1101, 1, "A", 12.5), (1, 1101, 1, "T", None), (1, 1101, 5, "G", 12.5)]
+    (tmp_path / "foc.tsv").write_text("Color\tCycle\tLane\tTile\tFocus\n4\t1\t1\t1101\t2.5\n")
     assert tuple(instrument.read_tile_table(spark, str(tmp_path / "foc.tsv"), "focus").first()) == (1, 1101, 1, "T", 2.5)
 
 
+def test_lane_summary_and_cluster_table(spark, tmp_path):
+    values = " ".join(f'{v}="{i}.5"' for i, v in enumerate(instrument.LANE_VALUES))
+    (tmp_path / "lanes.xml").write_text(f'<?xml version="1.0"?><Summary densityRatio="0.7"><Lane key="1" {values}/><Lane key="2" ClustersRaw="3"/></Summary>')
+    rows = {r["lane"]: r for r in instrument.read_lane_summary(spark, str(tmp_path / "lanes.xml")).collect()}
+    assert rows[1]["density_ratio"] == 0.7 and [rows[1][v] for v in instrument.LANE_VALUES] == [i + 0.5 for i in range(14)] and rows[2]["Phasing"] is None
+    (tmp_path / "clusters.tsv").write_text("1\t2\t3\nLane\tTile\tCluster\n0\t1101\t250.5\n7\t1102\tnan\nshort\t1\n")
+    assert sorted((tuple(r) for r in instrument.read_cluster_table(spark, str(tmp_path / "clusters.tsv")).collect()), key=str) == [(1, 1101, 250.5), (8, 1102, None)]
+
+
+def _bcl(folder, lane, tile, cycle, data, said=None):
+    place = folder / f"L00{lane}" / f"C{cycle}.1"
+    place.mkdir(parents=True, exist_ok=True)
+    (place / f"s_{lane}_{tile}.bcl").write_bytes((len(data) if said is None else said).to_bytes(4, "little") + bytes(data))
+
+
+def test_base_calls_are_pruned_and_read_in_ranges(spark, tmp_path, monkeypatch):
+    from runloom.sources import records
+
+    for cycle in (1, 2, 3):
+        _bcl(tmp_path, 1, 1101, cycle, [4 * k % 256 + cycle for k in range(10)])
+        _bcl(tmp_path, 1, 1102, cycle, [0, 255])
+        _bcl(tmp_path, 2, 1101, cycle, [7], said=9)  # broken: opening it raises
+    some = instrument.read_bcl(spark, str(tmp_path), lanes=[1], tiles=[1101], cycles=[2, 3])
+    made = {(r["cycle"], r["cluster"]): (r["base"], r["qual"]) for r in some.collect()}
+    want = {(c, k): ("ACGT"[(4 * k + c) % 4], (4 * k + c) // 4 % 64) for c in (2, 3) for k in range(10)}
+    assert made == want and {(r["lane"], r["tile"]) for r in some.collect()} == {(1, 1101)}
+    opened = []
+    reader = records._BaseCallReader({"path": str(tmp_path), "lanes": "1", "tiles": "1102"})
+    monkeypatch.setattr(records, "TASK_BYTES", 3)
+    parts = reader.partitions()
+    assert all(r.stop - r.start <= 3 for p in parts for r in p.ranges) and {r.key[1] for p in parts for r in p.ranges} == {1102}
+    assert [(b.num_rows) for p in parts for b in reader.read(p)] == [2, 2, 2] and not opened
+    wide = records._BaseCallReader({"path": str(tmp_path), "lanes": "1", "tiles": "1101", "cycles": "1"})
+    assert [b.column(3).to_pylist() for p in wide.partitions() for b in wide.read(p)] == [[0, 1, 2], [3, 4, 5], [6, 7, 8], [9]]
+    with pytest.raises(Exception, match="as many clusters"):
+        instrument.read_bcl(spark, str(tmp_path), lanes=[2]).collect()
+    _bcl(tmp_path, 1, 1102, 3, [1, 2, 3])
+    with pytest.raises(Exception, match="other cycles"):
+        instrument.read_bcl(spark, str(tmp_path), lanes=[1]).collect()
+    assert instrument.read_bcl(spark, str(tmp_path), lanes=[5]).collect() == []
+
+
+def test_nothing_is_cut_short(spark, tmp_path):
+    (tmp_path / "long.sam").write_text("a\t0\tr\t5\t9\t4M\t*\t0\t0\tACGT\tIIII\tXX:Z:" + "x" * 1_000_005 + "\n")
+    assert len(sam.read_sam(spark, str(tmp_path / "long.sam")).first()["tags"]["XX"]) == 1_000_005
+    (tmp_path / "many.sam").write_text("a\t0\tr\t5\t9\t4M\t*\t0\t0\tACGT\tIIII\t" + "\t".join(f"{a}{b}{c}".replace("", "")[:2] + ":Z:1" for a in "ABCDEFGHIJ" for b in "ABCDEFGHIJ" for c in "0") + "\n")
+    assert len(sam.read_sam(spark, str(tmp_path / "many.sam")).first()["tags"]) == 100
+    (tmp_path / "long.fq").write_text("@" + "n" * 1_000_002 + "\nAC\n+\nII\n")
+    assert len(fastq.read_fastq(spark, str(tmp_path / "long.fq")).first()["id"]) == 1_000_002
+    from pyspark.sql import functions as F
+
+    fields = spark.createDataFrame([("120101_" + "_".join("ab" for _ in range(1500)),)], "run_id string").select(runs.run_fields(F.col("run_id"))["experiment"].alias("e"))
+    assert fields.first()["e"] == "_".join("ab" for _ in range(1500))
+
+
+def test_duplicates_of_several_insert_sizes(spark):
+    from runloom.operators import profiles
+
+    rows = [(n, True, "IIII", "RG1", "chr1", 10, False, size) for n, size in (("a", 100), ("b", 200), ("c", 100))]
+    df = spark.createDataFrame(rows, "name string, mapped boolean, qual string, rg string, ref string, pos int, reverse boolean, insert_size int")
+    assert sorted((r["name"], r["n_at_place"], r["duplicate"]) for r in profiles.mark_duplicates(df).collect()) == [("a", 2, False), ("b", 1, False), ("c", 2, True)]
+
+
 def test_tables(spark, tmp_path):
     (tmp_path / "index.txt").write_text("#p7\tp5\tname\nACGTACG\tTTTTTTT\tS1\n")
     assert [tuple(r) for r in tables.read_index_sheet(spark, str(tmp_path / "index.txt")).collect()] == [("ACGTACG", "TTTTTTT", "S1")]
@@ -145,3 +208,36 @@ def test_sheet_problems(spark):
     lines = spark.createDataFrame([(0, "#index\tp7\tp5"), (1, "a\tb\tc"), (2, "a\tb")], "line long, value string")
     assert [tuple(r) for r in indices.sheet_problems(lines, True).collect()] == [(2, "not 3 fields")]
     assert sorted(tuple(r) for r in indices.sheet_problems(lines, False).collect()) == [(0, "not 2 fields"), (1, "not 2 fields")]
+
+
+def test_requests_with_numbered_processings(spark, tmp_path):
+    plain = {"runid": "r1", "expname": "e", "lanes": [1, 2], "adapter1": "'ACGTIII'", "key1": "", "mergeoverlap": False, "entropycutoff": "0.85", "indicesraw": [{"name": "#index", "p7": "p7", "p5": "p5"}, {"name": "S", "p7": "1"}]}
+    many = {"runid": "r2", "adapter1": "AAA", "adapter12": "CCC", "key12": "TG", "key21": "GT", "mergeoverlap2": True, "entropycutoff2": "high", "indicesraw": []}
+    for d in (plain, many):
+        (tmp_path / f"{d['runid']}.json").write_text(json.dumps(d, indent=1))
+    rows = {(r["runid"], r["processing"]): r for r in tables.read_requests(spark, str(tmp_path)).collect()}
+    assert set(rows) == {("r1", None), ("r2", 1), ("r2", 2)}
+    r = rows["r1", None]
+    assert (r["adapter1"], r["key1"], r["mergeoverlap"], r["entropycutoff"], r["rest"]) == ("ACGTIII", "", False, 0.85, {"expname": "e", "lanes": "[1,2]"})
+    assert [tuple(x) for x in r["indicesraw"]] == [("#index", "p7", "p5"), ("S", "1", None)]
+    assert [(rows["r2", k]["adapter1"], rows["r2", k]["key1"], rows["r2", k]["key2"], rows["r2", k]["mergeoverlap"], rows["r2", k]["entropycutoff"]) for k in (1, 2)] == [("AAA", None, "GT", None, None), ("CCC", "TG", None, True, None)]
+
+
+def test_report_comes_from_the_writing_job(spark, tmp_path):
+    """Each row passes the flags once: an accumulator counts the rows that the scan gives."""
+    from runloom.operators import flags
+    from runloom.plans import filter_reads
+
+    n, seen = 200, spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(f"r{i}", "ACGT" * 5 if i % 3 else "A" * 20, "I" * 20, i % 7 == 0) for i in range(n)]
+    reads = spark.createDataFrame(rows, "name string, seq string, qual string, failed_qc boolean")
+    reads = reads.mapInArrow(count, reads.schema)
+    report = filter_reads.write_flagged(reads, str(tmp_path / "out"), entropy=1.0).first()
+    assert seen.value == n and spark.read.parquet(str(tmp_path / "out")).count() == n
+    assert report == filter_reads.filter_reads(reads, entropy=1.0)[1].first() and report["n_total"] == n
