@@ -23,7 +23,9 @@ LIKELY_HASHES = 4_000_000
 HELD_HASHES = 1_500_000
 #: Words of a range of hashes, on average.
 RANGE_HASHES = 4_000_000
-#: Candidates whose counts a task sends as one row.
+#: A task collects so many phrases before it drops the repeated ones.
+HELD_PHRASES = 200_000
+#: Candidates that a task sends as one row.
 COUNT_RANGE = 4096
 #: Phrases are hashed to so many bits for the upper bounds.
 HASH_BITS = 48
@@ -304,16 +306,27 @@ def _observed(encoded: DataFrame, places, size: int, likely: DataFrame) -> DataF
         told = encoded.sparkSession.sparkContext.broadcast(np.sort(table["hash"].to_numpy().astype(np.uint64)))
 
         def run(batches, told=told):
-            good = told.value
+            good, kept, held = told.value, [np.zeros((0, size + 1), np.int64)], 0
             for h, codes in _rows(batches):
                 at = places(h, codes)
                 keys = _keys(h, codes, at, size)
-                at = at[good[np.minimum(np.searchsorted(good, keys), len(good) - 1)] == keys]
-                if len(at):
-                    grams = np.unique(np.stack([codes[at + j] for j in range(size)], 1), axis=0)
-                    yield pa.RecordBatch.from_arrays([_lists(h[grams - 1])], names=["phrase"])
+                number = np.minimum(np.searchsorted(good, keys), len(good) - 1)
+                hit = np.flatnonzero(good[number] == keys)
+                found = np.concatenate([number[hit, None], h[codes[at[hit, None] + np.arange(size)] - 1]], 1)
+                kept.append(np.unique(found, axis=0))
+                held += len(kept[-1])
+                if held > HELD_PHRASES:
+                    kept = [np.unique(np.concatenate(kept), axis=0)]
+                    held = 0
+            rows = np.unique(np.concatenate(kept), axis=0)
+            buckets, first = np.unique(rows[:, 0] // COUNT_RANGE, return_index=True)
+            packed = [x[:, 1:].tobytes() for x in np.split(rows, first[1:])] if len(rows) else []
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(packed, pa.binary())], names=["bucket", "packed"])
+
+        def distinct(key, t):
+            return pa.table({"phrase": _lists(np.unique(np.concatenate([np.frombuffer(x, np.int64).reshape(-1, size) for x in t["packed"].to_pylist()]), axis=0))})
 
-        part = common.table(encoded.select("hashes", "codes").mapInArrow(run, "phrase array<long>").distinct())
+        part = common.table(encoded.select("hashes", "codes").mapInArrow(run, "bucket long, packed binary").groupBy("bucket").applyInArrow(distinct, "phrase array<long>"))
         told.destroy()
         out = part if out is None else out.unionByName(part)
     return out if out is not None else encoded.sparkSession.createDataFrame([], "phrase array<long>")
