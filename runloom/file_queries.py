@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .operators import alignment, flags, groups, indices, profiles, runs
 from .plans import filter_reads
-from .queries import BOTH_M, COUNTS, REPORT_SQL, WALK, _counters, longs, query, rounded
+from .queries import BOTH_M, COUNTS, HEADER_SQL, REPORT_SQL, WALK, _counters, header, longs, query, rounded
 from .sources import fastq, instrument, sam, shared, tables
 from .views import view
 
@@ -247,7 +247,7 @@ def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_by_rg_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1, K2: reads with their marks, one folder per read group, and read back."""
     path = shared.folder(spark, "groups")
-    groups.split_by_group(view(spark, sf_dir, "reads").select("name", "rg", "failed_qc"), path)
+    groups.split_by_group(view(spark, sf_dir, "reads").select("name", "rg", "failed_qc"), path, header(spark))
     return spark.read.schema("name string, failed_qc boolean, rg string").parquet(path).select("rg", "name", "failed_qc")
 
 
@@ -341,14 +341,47 @@ def run_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(rows.withColumnsRenamed({"p7": "p7_seq", "p5": "p5_seq"}), "processing")
 
 
-SHEET_LINES = "SELECT row_number() OVER (ORDER BY name, p7, p5) AS line, concat_ws(chr(9), name, p7, p5) AS value, CASE WHEN p5 IS NULL THEN 2 ELSE 3 END AS n FROM index_sheet"
+SHEET_LINES = "SELECT 1 + CAST(regexp_extract(name, '[0-9]+') AS BIGINT) AS line, CASE WHEN p5 IS NULL THEN 2 ELSE 3 END AS n FROM index_sheet"
 
 
 @query(f", l AS ({SHEET_LINES})\nSELECT line, 'not 3 fields' AS problem FROM l WHERE n <> 3 UNION ALL SELECT 0, 'not 3 fields' UNION ALL SELECT 0, 'header field 1 is not #index' UNION ALL SELECT 0, 'header field 3 is not p5'", "index_sheet")
 def sheet_line_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sheet as lines for double indices, behind a wrong header; lines without a second index are short."""
-    # The sheet is a lab table of some hundred rows.
+    """The sheet as lines for double indices, numbered as its names are, behind a wrong header; lines without a second index are short."""
     sheet = view(spark, sf_dir, "index_sheet")
-    lines = sheet.select(F.row_number().over(Window.orderBy("name", "p7", "p5")).cast("long").alias("line"), F.concat_ws("\t", "name", "p7", "p5").alias("value"))
+    lines = sheet.select((1 + F.regexp_extract("name", "[0-9]+", 0).cast("long")).alias("line"), F.concat_ws("\t", "name", "p7", "p5").alias("value"))
     head = sheet.select(F.lit(0).cast("long").alias("line"), F.lit("#Index\tp7").alias("value")).distinct()
     return indices.sheet_problems(lines.unionByName(head), double=True)
+
+
+@query(f"SELECT rg, count(r.name) AS n FROM (SELECT rg FROM {HEADER_SQL} UNION SELECT coalesce(rg, 'unknown') FROM reads) h LEFT JOIN (SELECT coalesce(rg, 'unknown') AS rg, name FROM reads) r USING (rg) GROUP BY rg", "reads")
+def group_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the outputs of a split by group and their reads; a group of the header without reads has an output of none."""
+    path = shared.folder(spark, "groups")
+    groups.split_by_group(view(spark, sf_dir, "reads").select("name", "rg"), path, header(spark))
+    folders = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select(F.regexp_extract("path", "/rg=([^/]+)/", 1).alias("rg")).distinct()
+    found = spark.read.schema("name string, rg string").parquet(path).groupBy("rg").agg(F.count("*").alias("n"))
+    return folders.join(found, "rg", "left").select("rg", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("SELECT CAST(side AS BIGINT) AS side, concat(name, '/', CAST(side AS VARCHAR)) AS id, CASE side WHEN 1 THEN substr(seq, 1, 16) ELSE substr(seq, 17) END AS seq FROM reads, (SELECT unnest([1, 2]) AS side) WHERE side = 1 OR second_mate", "reads")
+def fastq_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: both halves of each read as the sides of a pair, written in one pass; first mates have no second side."""
+    path = shared.folder(spark, "pairs")
+    half = lambda c, k: F.substring(c, 1 + 16 * (k - 1), 16)
+    second = lambda c: F.when(F.col("second_mate"), half(c, 2))
+    fastq.write_fastq_pair(view(spark, sf_dir, "reads").select(F.col("name").alias("id"), half("seq", 1).alias("seq1"), half("qual", 1).alias("qual1"), second("seq").alias("seq2"), second("qual").alias("qual2")), path)
+    sides = [fastq.read_fastq(spark, f"{path}/side={k}").select(F.lit(k).cast("long").alias("side"), "id", "seq") for k in (1, 2)]
+    return sides[0].unionByName(sides[1])
+
+
+@query("SELECT CAST(lane AS BIGINT) AS lane, count(*) AS n_reads, count(*) FILTER (WHERE NOT paired OR first_mate) AS n_fragments FROM reads GROUP BY lane", "reads")
+def many_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An input for each lane, all read as one; the lane is told by the index tag."""
+    reads = view(spark, sf_dir, "reads")
+    paths = []
+    for lane in (1, 2):
+        paths.append(shared.folder(spark, f"lane{lane}"))
+        some = reads.where(F.col("lane") == lane)
+        sam.write_sam(some.withColumn("xi", F.concat(F.lit("L"), F.lit(str(lane)))), paths[-1], some.select("rg").where("rg IS NOT NULL").distinct())
+    made = sam.read_sam(spark, paths).groupBy(F.substr("xi", F.lit(2)).cast("long").alias("lane"))
+    return made.agg(F.count("*").alias("n_reads"), F.count_if(~F.col("paired") | F.col("first_mate")).alias("n_fragments"))

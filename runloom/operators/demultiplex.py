@@ -54,11 +54,11 @@ def candidates(readings: DataFrame, samples: DataFrame, most: int) -> DataFrame:
     each = readings.select("*", F.inline(F.array(*[F.struct(F.lit(a).alias("l7"), F.lit(b).alias("l5")) for a, b in lengths]))).withColumns({"n7": had("xi", "l7"), "n5": had("xj", "l5")})
     asked = each.withColumn("read_blocks", _blocks(part("xi", F.col("n7")), part("xj", F.col("n5")), most + 1))
     shapes = ["l7", "l5", "n7", "n5"]
-    known = samples.withColumns({"l7": F.length("s7"), "l5": F.coalesce(F.length("s5"), F.lit(0))}).join(F.broadcast(each.select(*shapes).distinct()), ["l7", "l5"])
+    known = samples.withColumns({"l7": F.length("s7"), "l5": F.coalesce(F.length("s5"), F.lit(0))}).join(each.select(*shapes).distinct(), ["l7", "l5"])
     known = known.withColumn("sample_blocks", _blocks(part("s7", F.col("n7")), part("s5", F.col("n5")), most + 1))
     left = asked.select("*", F.posexplode("read_blocks").alias("at", "block"))
     right = known.select("*", F.posexplode("sample_blocks").alias("at", "block"))
-    met = left.join(F.broadcast(right), [*shapes, "at", "block"])
+    met = left.join(right, [*shapes, "at", "block"])
     earlier = F.forall(F.slice(F.arrays_zip("read_blocks", "sample_blocks"), F.lit(1), F.col("at")), lambda x: x["read_blocks"] != x["sample_blocks"])
     far = _mismatches("xi", "s7") + F.when(F.col("s5").isNull(), 0).otherwise(_mismatches("xj", "s5"))
     return met.where(earlier & (far <= most)).select(*readings.columns, *samples.columns)
@@ -76,7 +76,8 @@ def assign(reads: DataFrame, sheet: DataFrame, max_mismatches: int = 2, least_qu
     samples = sheet.select(F.col("name").alias("sample"), F.col("p7_seq").alias("s7"), F.col("p5_seq").alias("s5")).where("s7 IS NOT NULL")
     keys = ["xi", "yi", "xj", "yj"]
     distinct = reads.select(*keys).distinct()
-    pairs = candidates(distinct, samples, max_mismatches)
+    # A reading without any base says nothing of its sample.
+    pairs = candidates(distinct.where("coalesce(length(xi), 0) + coalesce(length(xj), 0) > 0"), samples, max_mismatches)
     score = _score("xi", "yi", "s7") + F.when(F.col("s5").isNull(), 0.0).otherwise(_score("xj", "yj", "s5"))
     ranked = pairs.withColumn("score", F.round(score, 9)).groupBy(*keys).agg(F.slice(F.sort_array(F.collect_list(F.struct(F.col("score"), F.col("sample"))), asc=False), 1, 2).alias("top"), F.sum(F.pow(F.lit(10.0), "score")).alias("total"))
     best, second = F.get("top", F.lit(0)), F.get("top", F.lit(1))
@@ -89,6 +90,19 @@ def assign(reads: DataFrame, sheet: DataFrame, max_mismatches: int = 2, least_qu
     return out.withColumn("failed_qc", F.col("failed_qc") | (F.col("assignment") != "assigned")) if fail else out
 
 
+def unassigned(assigned: DataFrame) -> DataFrame:
+    """The tally of index readings whose reads were not assigned, with the reason and the nearest samples."""
+    rest = assigned.where("assignment <> 'assigned'")
+    return rest.groupBy("xi", "xj", "assignment").agg(F.count("*").alias("n"), F.min("sample").alias("sample"), F.min("second_sample").alias("second_sample"))
+
+
+def distributions(assigned: DataFrame, most: float = 80.0) -> DataFrame:
+    """Reads by assignment quality and by ratio of best to second, both rounded down and clipped; kind tells which.  Without a second sample there is no ratio."""
+    whole = lambda c: F.floor(F.least(F.lit(most), F.col(c))).cast("long")
+    each = assigned.where("sample IS NOT NULL").select(F.inline(F.array(F.struct(F.lit("quality").alias("kind"), whole("quality").alias("value")), F.struct(F.lit("ratio").alias("kind"), F.when(F.col("second_sample").isNotNull(), whole("ratio")).alias("value")))))
+    return each.where("value IS NOT NULL").groupBy("kind", "value").agg(F.count("*").alias("n"))
+
+
 def summary(assigned: DataFrame) -> DataFrame:
     """Reads by sample and status."""
     return assigned.groupBy(F.coalesce("sample", F.lit("unknown")).alias("sample"), "assignment").agg(F.count("*").alias("n"))

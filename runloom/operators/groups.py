@@ -21,9 +21,17 @@ def group_counts(reads: DataFrame, header: DataFrame | None = None) -> DataFrame
     return header.select("rg").distinct().join(counted, "rg", "full").select("rg", F.coalesce("n_reads", F.lit(0)).alias("n_reads"))
 
 
-def split_by_group(reads: DataFrame, path: str) -> None:
-    """K2: one folder per read group."""
-    with_group(reads).write.partitionBy("rg").parquet(path)
+def split_by_group(reads: DataFrame, path: str, header: DataFrame | None = None) -> None:
+    """K2: one folder per read group; groups of the header without reads get an empty one.
+
+    The header is as long as a file's list of groups; those without reads are written one by one.
+    """
+    grouped = with_group(reads)
+    grouped.write.partitionBy("rg").parquet(path)
+    if header is not None:
+        made = reads.sparkSession.read.schema(grouped.schema).parquet(path).select("rg").distinct()
+        for row in header.select("rg").distinct().join(made, "rg", "left_anti").collect():
+            grouped.drop("rg").limit(0).write.parquet(f"{path}/rg={row['rg']}")
 
 
 def flag_tally(reads: DataFrame) -> DataFrame:

@@ -73,9 +73,16 @@ def index_tally(reads: DataFrame, top: int | None = None, column: str = "xi") ->
 
 
 def mate_pairs(reads: DataFrame) -> DataFrame:
-    """First mates with their mates; equal lengths, no name with both paired and unpaired reads."""
-    side = lambda c, s: reads.where("paired").where(c).select("name", F.col("seq").alias(f"seq{s}"), F.col("qual").alias(f"qual{s}"))
-    return side("first_mate", 1).join(side("second_mate", 2), "name").withColumn("equal_length", F.length("seq1") == F.length("seq2"))
+    """First mates with their mates, and whether they are equally long; a name with both paired and unpaired reads raises.
+
+    The reads are dealt out by name once, unpaired ones with them: the join of the mates and the check share that exchange.
+    """
+    mixed = F.raise_error(F.concat(F.lit("paired and unpaired reads of one name: "), F.col("name"))).cast("boolean")
+    dealt = reads.select("name", "paired", "first_mate", "second_mate", "seq", "qual").repartition("name")
+    odd = dealt.groupBy("name").agg(F.min("paired").alias("least"), F.max("paired").alias("most")).where("most AND NOT least").select("name", F.lit(True).alias("mixed"))
+    side = lambda c, s: dealt.where("paired").where(c).select("name", F.col("seq").alias(f"seq{s}"), F.col("qual").alias(f"qual{s}"))
+    met = side("first_mate", 1).join(side("second_mate", 2), "name", "full").join(odd, "name", "left")
+    return met.where(F.when(F.col("mixed"), mixed).otherwise(F.col("seq1").isNotNull() & F.col("seq2").isNotNull())).drop("mixed").withColumn("equal_length", F.length("seq1") == F.length("seq2"))
 
 
 def unpaired_mates(reads: DataFrame) -> DataFrame:

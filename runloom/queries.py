@@ -541,20 +541,43 @@ def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCORE = lambda read, q, s: f"list_sum(list_transform(range(1, 8), lambda i: CASE WHEN substr({read}, i, 1) = substr({s}, i, 1) THEN log10(1 - least(0.75, pow(10.0, -greatest(ascii(substr({q}, i, 1)) - 33, 2) / 10.0))) ELSE log10(least(0.75, pow(10.0, -greatest(ascii(substr({q}, i, 1)) - 33, 2) / 10.0)) / 3) END))"
 
 
-@query(
-    f""", s AS (SELECT DISTINCT concat(p7, '+', coalesce(p5, '')) AS sample, p7_seq AS s7, p5_seq AS s5 FROM ({LOOKUP}) WHERE p7_seq IS NOT NULL), k AS (SELECT DISTINCT xi, yi, xj, yj FROM reads),
+ASSIGNED = f""", s AS (SELECT DISTINCT concat(p7, '+', coalesce(p5, '')) AS sample, p7_seq AS s7, p5_seq AS s5 FROM ({LOOKUP}) WHERE p7_seq IS NOT NULL), k AS (SELECT DISTINCT xi, yi, xj, yj FROM reads),
 c AS (SELECT *, round({SCORE('xi', 'yi', 's7')} + CASE WHEN s5 IS NULL THEN 0 ELSE {SCORE('xj', 'yj', 's5')} END, 9) AS score FROM k JOIN s ON hamming(xi, s7) + CASE WHEN s5 IS NULL THEN 0 ELSE hamming(xj, s5) END <= 1),
 r AS (SELECT *, row_number() OVER (w ORDER BY score DESC, sample DESC) AS place, sum(pow(10.0, score)) OVER w AS total, lead(score) OVER (w ORDER BY score DESC, sample DESC) AS second FROM c WINDOW w AS (PARTITION BY xi, yi, xj, yj)),
-b AS (SELECT *, CASE WHEN second IS NULL THEN 80.0 ELSE -10 * log10(greatest(1e-12, 1 - pow(10.0, score) / total)) END AS quality FROM r WHERE place = 1)
-SELECT coalesce(sample, 'unknown') AS sample, CASE WHEN sample IS NULL THEN 'unknown' WHEN score - second < 1 THEN 'conflict' WHEN quality < 10 THEN 'poor' ELSE 'assigned' END AS assignment, count(*) AS n
-FROM reads LEFT JOIN b USING (xi, yi, xj, yj) GROUP BY 1, 2""",
-    "reads", "index_sheet", "index_dict",
-)
-def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+b AS (SELECT *, CASE WHEN second IS NULL THEN 80.0 ELSE -10 * log10(greatest(1e-12, 1 - pow(10.0, score) / total)) END AS quality FROM r WHERE place = 1),
+z AS (SELECT *, CASE WHEN sample IS NULL THEN 'unknown' WHEN score - second < 1 THEN 'conflict' WHEN quality < 10 THEN 'poor' ELSE 'assigned' END AS assignment FROM reads LEFT JOIN b USING (xi, yi, xj, yj))
+"""
+
+
+def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C-1 over all reads; the sheet's pairs of ids are the samples, of which some have no second index."""
     sheet = indices.lookup(view(spark, sf_dir, "index_sheet"), view(spark, sf_dir, "index_dict")).where("p7_seq IS NOT NULL")
     samples = sheet.select(F.concat("p7", F.lit("+"), F.coalesce("p5", F.lit(""))).alias("name"), "p7_seq", "p5_seq").distinct()
-    return demultiplex.summary(demultiplex.assign(view(spark, sf_dir, "reads"), samples, max_mismatches=1))
+    return demultiplex.assign(view(spark, sf_dir, "reads"), samples, max_mismatches=1)
+
+
+@query(
+    ASSIGNED + "SELECT coalesce(sample, 'unknown') AS sample, assignment, count(*) AS n FROM z GROUP BY 1, 2",
+    "reads", "index_sheet", "index_dict",
+)
+def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-1 over all reads: reads by sample and status."""
+    return demultiplex.summary(_assigned(spark, sf_dir))
+
+
+@query(ASSIGNED + "SELECT xi, xj, assignment, count(*) AS n FROM z WHERE assignment <> 'assigned' GROUP BY ALL", "reads", "index_sheet", "index_dict")
+def unassigned_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-1: the tally of the indices whose reads were not assigned."""
+    return demultiplex.unassigned(_assigned(spark, sf_dir)).select("xi", "xj", "assignment", "n")
+
+
+@query(
+    ASSIGNED + "SELECT 'quality' AS kind, CAST(floor(least(80.0, quality)) AS BIGINT) AS value, count(*) AS n FROM z WHERE sample IS NOT NULL GROUP BY 2 UNION ALL SELECT 'ratio', CAST(floor(least(80.0, score - second)) AS BIGINT), count(*) FROM z WHERE second IS NOT NULL GROUP BY 2",
+    "reads", "index_sheet", "index_dict",
+)
+def assignment_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-1: distributions of assignment quality and of the ratio of best to second."""
+    return demultiplex.distributions(_assigned(spark, sf_dir))
 
 
 @query()

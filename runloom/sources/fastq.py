@@ -27,3 +27,9 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 def write_fastq(reads: DataFrame, path: str, suffix: str = "") -> None:
     """K3: one side of a (pair of) FASTQ from id, seq, qual."""
     reads.select(F.concat_ws("\n", F.concat(F.lit("@"), F.col("id"), F.lit(suffix)), "seq", F.lit("+"), "qual").alias("value")).write.text(path)
+
+
+def write_fastq_pair(pairs: DataFrame, path: str) -> None:
+    """K3: both sides of a pair in one pass, from id, seq1, qual1, seq2, qual2: folders side=1 and side=2; a side that is null is left out."""
+    entry = lambda k: F.struct(F.lit(k).alias("side"), F.concat_ws("\n", F.concat(F.lit("@"), F.col("id"), F.lit(f"/{k}")), f"seq{k}", F.lit("+"), f"qual{k}").alias("value"), F.col(f"seq{k}").isNotNull().alias("there"))
+    pairs.select(F.inline(F.array(entry(1), entry(2)))).where("there").select("side", "value").write.partitionBy("side").text(path)

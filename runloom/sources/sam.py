@@ -14,8 +14,8 @@ READS = (
 FLAGS = {"paired": 1, "proper_pair": 2, "unmapped": 4, "reverse": 16, "first_mate": 64, "second_mate": 128, "failed_qc": 512, "is_duplicate": 1024}
 
 
-def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Reads of SAM text: fields, flag bits and tags; positions from 0."""
+def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Reads of SAM text, of one input or of many: fields, flag bits and tags; positions from 0."""
     parts = spark.read.text(path).where(~F.col("value").startswith("@") & (F.col("value") != "")).select(F.split("value", "\t").alias("f"))
     field = lambda i: F.get("f", F.lit(i))
     value = lambda i: F.nullif(field(i), F.lit("*"))

@@ -193,3 +193,27 @@ def test_index_candidates_are_all_pairs_within_the_distance(spark):
         made = demultiplex.candidates(spark.createDataFrame(reads, "xi string, yi string, xj string, yj string"), spark.createDataFrame(samples, "sample string, s7 string, s5 string"), most)
         want = [(*x, *s) for x in reads for s in samples if far(x[0], s[1]) + (0 if s[2] is None else far(x[2], s[2])) <= most]
         assert sorted(map(tuple, made.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_mixed_names_are_refused(spark):
+    rows = [("a", True, True, False, "AC", "II"), ("a", False, False, False, "GT", "II"), ("b", True, True, False, "AC", "II"), ("b", True, False, True, "AC", "II")]
+    df = spark.createDataFrame(rows, "name string, paired boolean, first_mate boolean, second_mate boolean, seq string, qual string")
+    with pytest.raises(Exception, match="paired and unpaired"):
+        profiles.mate_pairs(df).collect()
+    assert profiles.mate_pairs(df.where("name = 'b'")).count() == 1
+
+
+def test_readings_without_index_are_unknown(spark):
+    sheet = spark.createDataFrame([("S1", "ACGTACG", None), ("S2", "TTTTACG", None)], "name string, p7_seq string, p5_seq string")
+    reads = spark.createDataFrame([("none", None, None, None, None, False), ("empty", "", "", None, None, False), ("good", "ACGTACG", "IIIIIII", None, None, False)], "name string, xi string, yi string, xj string, yj string, failed_qc boolean")
+    done = demultiplex.assign(reads, sheet)
+    assert {r["name"]: (r["sample"], r["assignment"]) for r in done.collect()} == {"none": (None, "unknown"), "empty": (None, "unknown"), "good": ("S1", "assigned")}
+    assert {(r["xi"], r["assignment"], r["n"]) for r in demultiplex.unassigned(done).collect()} == {(None, "unknown", 1), ("", "unknown", 1)}
+    assert {(r["kind"], r["value"], r["n"]) for r in demultiplex.distributions(done).collect()} == {("quality", 80, 1)}
+
+
+def test_header_groups_get_an_empty_output(spark, tmp_path):
+    reads = spark.createDataFrame([("a", "RG1"), ("b", None)], "name string, rg string")
+    groups.split_by_group(reads, str(tmp_path / "out"), spark.createDataFrame([("RG1",), ("RG9",)], "rg string"))
+    assert {p.name for p in (tmp_path / "out").glob("rg=*")} == {"rg=RG1", "rg=unknown", "rg=RG9"}
+    assert spark.read.parquet(str(tmp_path / "out" / "rg=RG9")).count() == 0
