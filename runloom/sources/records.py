@@ -83,15 +83,15 @@ class _BaseCallReader(DataSourceReader):
 
     def _listed(self, store, root: str) -> Iterator[tuple[int, int, int, str, int]]:
         for lane in _files(store, root):
-            m = re.fullmatch(r"L00(\d)", lane.base_name)
+            m = re.match(r"L00(\d)$", lane.base_name)
             if not (m and self._in("lanes", int(m[1]))):
                 continue
             for cycle in _files(store, lane.path):
-                c = re.fullmatch(r"C(\d+)\.1", cycle.base_name)
+                c = re.match(r"C(\d+)\.1$", cycle.base_name)
                 if not (c and self._in("cycles", int(c[1]))):
                     continue
                 for file in _files(store, cycle.path):
-                    t = re.fullmatch(rf"s_{m[1]}_(\d+)\.bcl", file.base_name)
+                    t = re.match(rf"s_{m[1]}_(\d+)\.bcl$", file.base_name)
                     if t and self._in("tiles", int(t[1])):
                         yield int(m[1]), int(t[1]), int(c[1]), file.path, file.size
 
