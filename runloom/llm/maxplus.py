@@ -288,8 +288,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     scores = made.select("uid", "k", "g", "matrix")
     groups = scores.groupBy("uid", "g").applyInArrow(product, "uid string, g long, matrix binary")
     before = groups.groupBy("uid").applyInArrow(over_groups, "uid string, g long, enter array<double>")
-    enters = scores.groupBy("uid", "g").cogroup(before.groupBy("uid", "g")).applyInArrow(over_chunks, "uid string, k long, enter array<double>")
-    entered = common.table(made.drop("matrix", "g").join(enters, ["uid", "k"]))
+    enters = common.table(scores.groupBy("uid", "g").cogroup(before.groupBy("uid", "g")).applyInArrow(over_chunks, "uid string, k long, enter array<double>"))
 
     def leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
@@ -306,7 +305,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             leave = come[leave]
         return pa.table({"uid": t["uid"], "k": t["k"], "leave": pa.array(out[::-1], pa.int64())})
 
-    leaves = entered.select("uid", "k", "head", "tail", "rest", "enter").mapInArrow(leads, "uid string, k long, from array<long>").groupBy("uid").applyInArrow(chain, "uid string, k long, leave long")
+    leaves = made.select("uid", "k", "head", "tail", "rest").join(enters, ["uid", "k"]).mapInArrow(leads, "uid string, k long, from array<long>").groupBy("uid").applyInArrow(chain, "uid string, k long, leave long")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
@@ -324,7 +323,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     ids.append(np.array(own, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("uid"), part.column("k"), pa.array(ids, pa.list_(pa.int32())), pa.array([m.total(x) for x in ids], pa.float64())], names=["uid", "k", "ids", "score"])
 
-    traced = entered.join(leaves, ["uid", "k"]).select("uid", "k", "inside", "head", "tail", "rest", "enter", "leave").mapInArrow(trace, "uid string, k long, ids array<int>, score double")
+    traced = made.drop("matrix", "g").join(enters.join(leaves, ["uid", "k"]), ["uid", "k"]).select("uid", "k", "inside", "head", "tail", "rest", "enter", "leave").mapInArrow(trace, "uid string, k long, ids array<int>, score double")
     # A text's pieces are one value of the result, so they meet in one row.
     whole = traced.groupBy("uid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"), F.sum("score").alias("score"))
     large = giant.select(id_col, "uid").join(whole, "uid").select(id_col, "ids", "score")
