@@ -60,6 +60,21 @@ def test_base_calls(spark, tmp_path):
     assert (found["n_control"], found["n_clusters"]) == (2, 3)
 
 
+def test_base_calls_written(spark, tmp_path):
+    """Each base is a byte of a part when it is shuffled, and a tile's clusters stand in one order in all cycles."""
+    reads = [(1, 1101 + i % 2, "".join("ACGTN"[(i + j) % 5] for j in range(3)), chr(33 + i % 40) * 3) for i in range(500)]
+    made = spark.createDataFrame(reads, "lane int, tile int, seq string, qual string").repartition(3)
+    instrument.write_bcl(made, str(tmp_path))
+    calls = instrument.read_bcl(spark, str(tmp_path)).collect()
+    found = {}
+    for r in calls:
+        found.setdefault((r["lane"], r["tile"], r["cluster"]), {})[r["cycle"]] = (r["base"], r["qual"])
+    want = [(lane, tile, tuple(("A", 0) if b == "N" else (b, ord(q) - 33) for b, q in zip(seq, qual, strict=True))) for lane, tile, seq, qual in reads]
+    assert sorted((k[0], k[1], tuple(v[c] for c in (1, 2, 3))) for k, v in found.items()) == sorted(want)
+    with pytest.raises(Exception, match="as many qualities"):
+        instrument.write_bcl(spark.createDataFrame([(1, 1101, "ACG", "II")], "lane int, tile int, seq string, qual string"), str(tmp_path / "bad"))
+
+
 def test_positions(spark, tmp_path):
     for name, data in (("pos", {"s_1_1101_pos.txt": b"1 2\n3 4\n", "s_2_1102_pos.txt": b"1 2\n"}), ("locs", {"s_1_1101.locs": struct.pack("<IfI", 1, 1.0, 7)}), ("clocs", {"s_1_1101.clocs": b"\1" + struct.pack("<I", 3) + b"\2" + b"xxxx" + b"\0" + b"\1" + b"xx"})):
         d = tmp_path / name
