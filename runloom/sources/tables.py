@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import shared
+
 INDEX = "array<struct<name:string,p7:string,p5:string>>"
 REQUEST = (
     "runid string, expname string, email string, sequencer string, protocol string, cyclesread1 string, cyclesread2 string, cyclesindx1 string, cyclesindx2 string, "
@@ -19,6 +21,20 @@ def read_index_sheet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("index1 string, index2 string, name string").option("sep", "\t").option("comment", "#").csv(path)
 
 
+def numbered(rows: DataFrame, name: str, *order: str) -> DataFrame:
+    """Rows with their number from 1 in the order of some columns (nulls last), in many tasks: sorted by ranges, and numbered behind the counts of the ranges before.
+
+    The sorted rows are kept under the checkpoint folder meanwhile, so that both passes see the same ranges.
+    """
+    by, path = [F.asc_nulls_last(c) for c in order], shared.folder(rows.sparkSession, "sorted")
+    rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"__range": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}).write.parquet(path)
+    kept = rows.sparkSession.read.parquet(path)
+    counts = kept.groupBy("__range").agg(F.max("__at").alias("last"))
+    # One row a range.
+    before = counts.select("__range", F.coalesce(F.sum(F.col("last") + 1).over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return kept.join(F.broadcast(before), "__range").withColumn(name, (F.col("__before") + F.col("__at") + 1).cast("long")).drop("__range", "__at", "__before")
+
+
 def read_mask(spark: SparkSession, path: str) -> DataFrame:
     """Masked positions: the second column."""
     return spark.read.schema("ref string, pos int").option("sep", "\t").option("comment", "#").csv(path).select("pos").where("pos IS NOT NULL").distinct()

@@ -75,6 +75,33 @@ def test_base_calls_written(spark, tmp_path):
         instrument.write_bcl(spark.createDataFrame([(1, 1101, "ACG", "II")], "lane int, tile int, seq string, qual string"), str(tmp_path / "bad"))
 
 
+def test_numbered(spark):
+    """Lines are numbered over the whole sheet, by their order and not by what stands in their names."""
+    rows = [(f"S{(i * 37) % 101}", f"I{i % 5}", None if i % 3 == 0 else f"I{i % 7}") for i in range(101)] + [("S1", "I9", None), ("S1", "I9", "I1")]
+    made = tables.numbered(spark.createDataFrame(rows, "name string, p7 string, p5 string").repartition(5), "line", "name", "p7", "p5").orderBy("line").collect()
+    want = sorted(rows, key=lambda r: (r[0], r[1], r[2] is None, r[2] or ""))
+    assert [tuple(r) for r in made] == [(*r, i) for i, r in enumerate(want, 1)]
+
+
+def test_request_rows(spark):
+    """A request's indices meet the dictionary without a shuffle of the lists."""
+    requests = spark.createDataFrame([("r", 1, [("#index", "p7", "p5"), ("a", "I2", "I3"), ("b", "I9", None)]), ("s", None, [("#index", "p7", "p5")])], f"runid string, processing int, indicesraw {tables.INDEX}")
+    dictionary = spark.createDataFrame([("p7", "I2", "ACG"), ("p5", "I3", "TTT"), ("p5", "I2", "CCC")], "kind string, id string, seq string")
+    made = runs.request_rows(requests, dictionary)
+    assert sorted(tuple(r) for r in made.collect()) == [("r", 1, "a", "I2", "I3", "ACG", "TTT"), ("r", 1, "b", "I9", None, None, None)]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "indicesraw" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_parts_of_files(spark, tmp_path):
+    """Rows of a file are written behind each other; a name that says so is compressed."""
+    parts = spark.range(300).select(F.concat(F.lit("f"), (F.col("id") % 7).cast("string"), F.lit(".json.gz")).alias("file"), F.col("id").cast("string").alias("at")).repartition("file").sortWithinPartitions("file", F.col("at").cast("int"))
+    assert shared.write_parts(parts.select("file", F.encode(F.concat("at", F.lit(" ")), "UTF-8").alias("content")), str(tmp_path)) == 7
+    assert (tmp_path / "f3.json.gz").read_bytes()[:2] == b"\x1f\x8b"
+    found = {r["value"] for r in spark.read.text(str(tmp_path), wholetext=True).collect()}
+    assert found == {"".join(f"{i} " for i in range(k, 300, 7)) for k in range(7)}
+
+
 def test_positions(spark, tmp_path):
     for name, data in (("pos", {"s_1_1101_pos.txt": b"1 2\n3 4\n", "s_2_1102_pos.txt": b"1 2\n"}), ("locs", {"s_1_1101.locs": struct.pack("<IfI", 1, 1.0, 7)}), ("clocs", {"s_1_1101.clocs": b"\1" + struct.pack("<I", 3) + b"\2" + b"xxxx" + b"\0" + b"\1" + b"xx"})):
         d = tmp_path / name
