@@ -56,3 +56,14 @@ def resolve_request(requests: DataFrame, dictionary: DataFrame) -> DataFrame:
     row = F.struct("pos", "name", F.when(head, F.col("p7")).otherwise(F.col("p7_seq")).alias("p7"), F.when(head, F.col("p5")).otherwise(F.col("p5_seq")).alias("p5"))
     seqs = done.groupBy("runid").agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: F.struct(r["name"].alias("name"), r["p7"].alias("p7"), r["p5"].alias("p5"))).alias("indicesseq"))
     return requests.drop("indicesseq").join(seqs, "runid", "left")
+
+
+def request_rows(requests: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """J1 on request documents or their processings: a row for each index of indicesraw behind its header, ids as sequences (p7_seq, p5_seq; null if unknown).
+
+    A list stays in the task that read it: its entries meet the dictionary one by one, and no list is shuffled or put together again.
+    """
+    rest = [c for c in requests.columns if c != "indicesraw"]
+    each = requests.select(*rest, F.inline(F.slice("indicesraw", F.lit(2), F.size("indicesraw"))))
+    kind = lambda k: dictionary.where(F.col("kind") == k).groupBy(F.col("id").alias(k)).agg(F.min("seq").alias(f"{k}_seq"))
+    return each.join(kind("p7"), "p7", "left").join(kind("p5"), "p5", "left").select(*rest, "name", "p7", "p5", "p7_seq", "p5_seq")

@@ -4,9 +4,10 @@ import json
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from runloom.operators import indices, runs, tiles
-from runloom.sources import fastq, instrument, sam, tables
+from runloom.sources import fastq, instrument, sam, shared, tables
 
 SAM = """@HD\tVN:1.6
 @SQ\tSN:chr1\tLN:1000
