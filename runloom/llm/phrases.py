@@ -194,6 +194,12 @@ def encode(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFram
     return rows.mapInArrow(run, ENCODED)
 
 
+def _words(encoded: DataFrame) -> DataFrame:
+    """(hashes, lang, word, f): every word once with its number of occurrences, summed from the blocks' own counts; the words of blocks are joined to nothing."""
+    each = encoded.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w")).select("lang", "w.*")
+    return each.groupBy("hashes", "lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f"))
+
+
 def _rows(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(hashes of the block's words, codes of its positions) of encoded rows."""
     for batch in batches:
@@ -437,18 +443,15 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
     for seed in range(8):
         encoded = common.table(encode(rows, "text", "lang", seed))
-        each = encoded.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w")).select("lang", "w.*")
-        check = F.xxhash64("lang", "words")
-        often = each.groupBy("hashes").agg(F.sum("counts").alias("f"), F.min(check).alias("low"), F.max(check).alias("high"))
-        often = common.table(often.where((F.col("f") >= least) | (F.col("low") != F.col("high"))))
-        if often.where("low <> high").isEmpty():
+        counted = common.table(_words(encoded))
+        if counted.groupBy("hashes").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
             break
     else:
         raise RuntimeError("words with equal hashes under every seed")
-    words = common.table(each.select("hashes", "lang", F.col("words").alias("word")).join(often, "hashes", "left_semi").distinct())
+    words = common.table(counted.where(F.col("f") >= least))
     n = encoded.agg(F.sum("n_words")).first()[0] or 0
     bits = int(max(4, np.ceil(np.log2(max(1, n / RANGE_HASHES)))))
-    frequent = {1: often.select(F.array("hashes").alias("phrase"), "f")}
+    frequent = {1: words.select(F.array("hashes").alias("phrase"), "f")}
     for size in range(2, most_words + 1):
         candidates = _pairs(encoded, least, bits) if size == 2 else _longer(encoded, frequent[size - 1], size - 1, least, bits)
         frequent[size] = _count(encoded, candidates, size, least)

@@ -35,6 +35,16 @@ def test_phrases(spark, request, bounds):
     assert sorted(map(tuple, made)) == phrases.brute_force(rows, least=7, top=50)
 
 
+def test_words_of_many_blocks(spark):
+    """However many blocks hold a word, it is one row when the frequent words are chosen, and no join of blocks with words is made."""
+    rows = [("the cat the dog", "en"), ("der Hund the", "de")] * 16
+    encoded = phrases.encode(spark.createDataFrame(rows, "text string, lang string").repartition(16), "text", "lang", 0)
+    assert encoded.count() > 2
+    made = phrases._words(encoded)
+    assert sorted((r["lang"], r["word"], r["f"]) for r in made.collect()) == [("de", "der", 16), ("de", "hund", 16), ("de", "the", 16), ("en", "cat", 16), ("en", "dog", 16), ("en", "the", 32)]
+    assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_phrases_of_nothing(spark):
     schema = "text string, lang string"
     assert phrases.collocations(spark.createDataFrame([], schema)).collect() == []
