@@ -47,6 +47,27 @@ def test_fastq(spark, tmp_path):
         fastq.read_fastq(spark, str(tmp_path / "bad")).collect()
 
 
+def test_fastq_in_splits(spark, tmp_path):
+    """Splits that begin and end anywhere in a record, and shorter ones than a record, give every read once; only shared records are shuffled."""
+    reads = [(f"r{i}", "ACGT" * (i % 9), "@I+#" * (i % 9)) for i in range(300)] + [("long", "A" * 900, "@" * 900)]
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        (tmp_path / "in" / f"{k}.fq").write_text("".join(f"@{a}/{k}\n{b}\n+\n{c}\n" for a, b, c in reads[k::3]))
+    want = sorted((f"{a}/{k}", b, c) for k in range(3) for a, b, c in reads[k::3])
+    for size in ("64", "500", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            made = fastq.read_fastq(spark, str(tmp_path / "in"))
+            assert sorted(tuple(r) for r in made.collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "in" / "4.fq").write_text("@r\nA\n+\n")
+    with pytest.raises(Exception, match="no multiple of four"):
+        fastq.read_fastq(spark, str(tmp_path / "in")).collect()
+    plan = fastq.read_fastq(spark, str(tmp_path / "in"))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "SortMergeJoin" not in plan
+
+
 def test_base_calls(spark, tmp_path):
     data = {1: [0, 5, 255], 2: [4 * 10 + 2, 4 * 20 + 3, 1]}
     for cycle, calls in data.items():
