@@ -217,3 +217,32 @@ def test_header_groups_get_an_empty_output(spark, tmp_path):
     groups.split_by_group(reads, str(tmp_path / "out"), spark.createDataFrame([("RG1",), ("RG9",)], "rg string"))
     assert {p.name for p in (tmp_path / "out").glob("rg=*")} == {"rg=RG1", "rg=unknown", "rg=RG9"}
     assert spark.read.parquet(str(tmp_path / "out" / "rg=RG9")).count() == 0
+
+
+def test_quality_cells(spark, monkeypatch):
+    """Counted by arrays: awkward reads give the cells that a plain walk gives, and no base is a row."""
+    from collections import Counter
+
+    from runloom.operators import profiles
+
+    rows = [("ACGTN", "I5!~I", "AC", "II", "GT", "!I", False), ("ACG", "II", "A", None, None, "I", None), (None, "II", "AC", "I", "", "", True), ("", "", "T", "IÄ", "AÄC", "III", False), ("ÄCG", "IIÄ", "TT", "II", "TT", "II", True), ("A" * 5000, "I" * 5000, None, None, None, None, True)]
+    want = Counter()
+    for seq, qual, xi, yi, xj, yj, second in rows:
+        for s, q, offset in [(seq, qual, 39 if second else 0), *([] if second else [(xi, yi, 32), (xj, yj, 71)])]:
+            want.update((offset + i, b, ord(c) - 33) for i, (b, c) in enumerate(zip(s or "", q or "", strict=False), 1) if b in "ACGT" and 0 <= ord(c) - 33 <= 50)
+    reads = spark.createDataFrame(rows, "seq string, qual string, xi string, yi string, xj string, yj string, second_mate boolean").repartition(2)
+    made = profiles.quality_histogram(reads, 32, 7, 32)
+    assert {(r["cycle"], r["base"], r["q"]): r["n"] for r in made.collect()} == want
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_density_makes_its_values_once(spark):
+    from pyspark.sql import functions as F
+
+    from runloom.operators import profiles
+
+    values = spark.createDataFrame([(None,), (0.001,), (0.5,), (0.01,), (0.0,)], "v double").select(F.aggregate(F.array("v"), F.lit(0.0), lambda s, q: s + q).alias("x"))
+    made = profiles.density(values, "x", 0.01)
+    assert {r["bin"]: (r["n"], round(r["density"], 6)) for r in made.collect()} == {0: (1, 1250.0), 5: (1, 1250.0), 49: (2, 2500.0)}
+    assert profiles.density(values.where("x IS NULL"), "x", 0.01).collect() == []
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("aggregate(array(") == 1
