@@ -195,6 +195,19 @@ def test_index_candidates_are_all_pairs_within_the_distance(spark):
         assert sorted(map(tuple, made.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_samples_are_found_where_the_reads_are(spark):
+    sheet = spark.createDataFrame([("A", "ACGTACG", "TTTTTTT"), ("B", "ACGTACG", None), ("C", "ÄCGTACG", None)], "name string, p7_seq string, p5_seq string")
+    reads = spark.createDataFrame([("1", "ACGTACG", "IIIIIII", "TTTTTTT", "IIIIIII"), ("2", "ÄCGTACT", "IIIIIII", "GGGGGGG", "IIIIIII"), ("3", None, None, "TTTTTTA", "IIIIIII")], "name string, xi string, yi string, xj string, yj string").withColumn("failed_qc", F.lit(False))
+    made = demultiplex.assign(reads, sheet, max_mismatches=1)
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    rows = {r["name"]: r for r in made.collect()}
+    assert (rows["1"]["sample"], rows["1"]["second_sample"], rows["1"]["assignment"]) == ("B", "A", "conflict")
+    assert (rows["2"]["sample"], rows["2"]["second_sample"], rows["2"]["assignment"]) == ("C", None, "assigned")
+    assert rows["3"]["sample"] is not None and set(made.columns) == {*reads.columns, "sample", "second_sample", "quality", "ratio", "assignment"}
+    # Grouped and filtered, the search is made once for each reading.
+    assert demultiplex.unassigned(made)._jdf.queryExecution().optimizedPlan().toString().count("near(") == 1
+
+
 def test_mixed_names_are_refused(spark):
     rows = [("a", True, True, False, "AC", "II"), ("a", False, False, False, "GT", "II"), ("b", True, True, False, "AC", "II"), ("b", True, False, True, "AC", "II")]
     df = spark.createDataFrame(rows, "name string, paired boolean, first_mate boolean, second_mate boolean, seq string, qual string")
