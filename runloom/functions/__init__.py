@@ -1 +1 @@
-"""Column functions on reads: all built from Spark SQL expressions."""
+"""Column functions on reads: Spark SQL expressions, and array functions over whole batches where a read's characters are summed."""

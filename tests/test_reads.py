@@ -208,6 +208,25 @@ def test_samples_are_found_where_the_reads_are(spark):
     assert demultiplex.unassigned(made)._jdf.queryExecution().optimizedPlan().toString().count("near(") == 1
 
 
+def test_sums_over_reads_are_made_by_arrays(spark):
+    import math
+
+    texts = ["", None, "I", "!~Ié", "5" * 40, "+5?I" * 500, *["I5+"[: i % 4] for i in range(40)]]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, seq string, qual string")
+    made = df.select("i", quality.total().alias("t"), quality.expected_error().alias("e"), quality.log10_likelihood().alias("l"))
+    assert "ArrowEvalPython" in made._jdf.queryExecution().executedPlan().toString()
+    e = lambda c: math.pow(10.0, -max(ord(c) - 33, 2) / 10.0)
+    for r in made.collect():
+        t = texts[r["i"]]
+        if t is None:
+            assert (r["t"], r["e"], r["l"]) == (None, None, None)
+            continue
+        total = logs = 0.0
+        for c in t:
+            total, logs = total + e(c), logs + math.log10(1 - e(c))
+        assert r["t"] == sum(ord(c) - 33 for c in t) and r["e"] == (total / len(t) if t else None) and r["l"] == logs
+
+
 def test_mixed_names_are_refused(spark):
     rows = [("a", True, True, False, "AC", "II"), ("a", False, False, False, "GT", "II"), ("b", True, True, False, "AC", "II"), ("b", True, False, True, "AC", "II")]
     df = spark.createDataFrame(rows, "name string, paired boolean, first_mate boolean, second_mate boolean, seq string, qual string")
