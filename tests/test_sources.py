@@ -260,6 +260,23 @@ def test_fastq_over_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
+def test_duplicates_are_dealt_out_once_and_deep_places_are_not(spark, monkeypatch):
+    from runloom.operators import profiles
+
+    rows = [(f"r{i:02d}", i != 5, "IIII"[: i % 5], "RG1" if i % 7 else None, "chr1", 10 if i < 30 else i, i % 2 == 0, 50) for i in range(40)]
+    df = spark.createDataFrame(rows, "name string, mapped boolean, qual string, rg string, ref string, pos int, reverse boolean, insert_size int")
+    want = {}
+    for r in rows:
+        if r[1]:
+            want.setdefault(r[3:], []).append((-sum(ord(c) - 33 for c in r[2]), r[0]))
+    want = sorted((name, -q, len(pile), name != min(pile)[1]) for pile in want.values() for q, name in pile)
+    made = profiles.mark_duplicates(df)
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, made.collect())) == want
+    monkeypatch.setattr(profiles, "DEEP", 3)
+    assert sorted(map(tuple, profiles.mark_duplicates(df).collect())) == want
+
+
 def test_duplicates_of_several_references(spark):
     from runloom.operators import profiles
 
