@@ -96,3 +96,23 @@ def test_first_mates_then_second(spark):
     reads = spark.createDataFrame([("a", True, False, True, False, True, 0, 0, "4M", "4", "ACGT", "IIII"), ("a", True, True, False, True, True, 0, 0, "4M", "4", "ACGT", "IIII")], SCHEMA)
     made = alignment.base_counters(reads, first_read_cycles=10).groupBy("cycle").agg(F.sum("n").alias("n")).collect()
     assert {r["cycle"]: r["n"] for r in made} == {**{c: 1 for c in (1, 2, 3, 4)}, **{c: 1 for c in (11, 12, 13, 14)}}
+
+
+def test_observed_qualities_walk_the_reads_once(spark):
+    counted = alignment.observed_predicted(alignment.base_counters(spark.createDataFrame(made_up(9, 1), SCHEMA)), max_nm=2)
+    assert counted._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [r["q"] for r in counted.orderBy("q").collect()] == list(range(counted.count()))
+
+
+@pytest.mark.parametrize("held", [0, 20, 512])
+def test_bases_beyond_the_array_are_counted_too(spark, monkeypatch, held):
+    monkeypatch.setattr(alignment, "HELD_PLACES", held)
+    odd = [("odd", True, True, True, False, True, 1, 3, "4M", "1R2", "ACXT", "~I~!")]
+    reads = spark.createDataFrame(made_up(200, 5) + odd, SCHEMA).repartition(2)
+    keys = ["cycle", "base", "ref", "q", "few_edits", "paired"]
+    strand = lambda c: F.when(F.col("reverse"), F.translate(c, "ACGT", "TGCA")).otherwise(F.col(c)).alias(c)
+    bases = alignment.explode_alignment(reads).where("op = 'M'").select(alignment.cycle().alias("cycle"), "read_length", strand("base"), strand("ref"), "q", F.coalesce(F.col("nm") <= 2, F.lit(False)).alias("few_edits"), "paired")
+    for by_length in (False, True):
+        by = [*keys, "read_length"] if by_length else keys
+        want = sorted(map(tuple, bases.groupBy(*by).agg(F.count("*").alias("n")).collect()))
+        assert sorted(map(tuple, alignment.base_counters(reads, by_length=by_length).groupBy(*by).agg(F.sum("n").alias("n")).collect())) == want
