@@ -235,6 +235,20 @@ def test_mixed_names_are_refused(spark):
     assert profiles.mate_pairs(df.where("name = 'b'")).count() == 1
 
 
+def test_mates_are_dealt_out_once_and_deep_names_are_joined(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(r.choice([None, "a", "b", "c", "d", "e", "f"]), True, r.random() < 0.6, r.random() < 0.5, r.choice([None, "AC", "ACG"]), f"q{i}") for i in range(60)] + [("u", False, True, False, "AC", "II"), ("g", True, True, False, "AC", "II")]
+    df = spark.createDataFrame(rows, "name string, paired boolean, first_mate boolean, second_mate boolean, seq string, qual string")
+    want = sorted((a[0], a[4], a[5], b[4], b[5], len(a[4]) == len(b[4])) for a in rows for b in rows if a[0] and a[0] == b[0] and a[1] and b[1] and a[2] and b[3] and a[4] and b[4])
+    made = profiles.mate_pairs(df)
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, made.select("name", "seq1", "qual1", "seq2", "qual2", "equal_length").collect())) == want
+    monkeypatch.setattr(profiles, "DEEP", 9)
+    assert sorted(map(tuple, profiles.mate_pairs(df).select("name", "seq1", "qual1", "seq2", "qual2", "equal_length").collect())) == want
+    with pytest.raises(Exception, match="paired and unpaired"):
+        profiles.mate_pairs(df.unionByName(df.where("name = 'a'").withColumn("paired", F.lit(False)))).collect()
+
+
 def test_readings_without_index_are_unknown(spark):
     sheet = spark.createDataFrame([("S1", "ACGTACG", None), ("S2", "TTTTACG", None)], "name string, p7_seq string, p5_seq string")
     reads = spark.createDataFrame([("none", None, None, None, None, False), ("empty", "", "", None, None, False), ("good", "ACGTACG", "IIIIIII", None, None, False)], "name string, xi string, yi string, xj string, yj string, failed_qc boolean")
