@@ -116,3 +116,12 @@ def test_bases_beyond_the_array_are_counted_too(spark, monkeypatch, held):
         by = [*keys, "read_length"] if by_length else keys
         want = sorted(map(tuple, bases.groupBy(*by).agg(F.count("*").alias("n")).collect()))
         assert sorted(map(tuple, alignment.base_counters(reads, by_length=by_length).groupBy(*by).agg(F.sum("n").alias("n")).collect())) == want
+
+
+def test_totals_of_operations_equal_exploded_bases(spark):
+    reads = spark.createDataFrame(made_up(300, 9) + [("short", True, False, True, False, True, 0, 0, "4M", "4", "ACGT", "III"), ("null", True, None, True, False, True, 0, 5, "2S4M", "1A2", "ACGTNN", "IIIIII")], SCHEMA).repartition(3)
+    bases = alignment.explode_alignment(reads)
+    want = bases.groupBy("op").agg(F.count("*"), F.count_if("is_match"), F.count_if(~F.col("is_match")), F.sum(alignment.cycle()), F.sum("ref_pos"), F.sum("q"))
+    made = alignment.operation_totals(reads)
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, want.collect()))
+    assert alignment.operation_totals(reads.where("name = 'short'")).count() == 0
