@@ -44,8 +44,15 @@ def write_reads(flagged: DataFrame, path: str) -> None:
     flagged.write.parquet(path)
 
 
-def write_sam(reads: DataFrame, path: str, groups: DataFrame) -> None:
-    """Reads of the schema above as SAM text, with the header lines of their groups (rg) in a file of their own."""
+#: Reads of a compressed file, which one task reads.
+FILE_READS = 1_000_000
+
+
+def write_sam(reads: DataFrame, path: str, groups: DataFrame, compression: str | None = None) -> None:
+    """Reads of the schema above as SAM text, with the header lines of their groups (rg) in a file of their own.
+
+    Compressed (gzip), which read_sam reads as well, files take FILE_READS reads at most, since they are not read in splits.
+    """
     bit = lambda name: F.when(~F.col("mapped") if name == "unmapped" else F.col(name), FLAGS[name]).otherwise(0)
     flag = sum((bit(k) for k in FLAGS), F.lit(0))
     tag = lambda name, kind: F.concat(F.lit(f"{name}:{kind}:"), F.col(name.lower()).cast("string"))
@@ -54,4 +61,8 @@ def write_sam(reads: DataFrame, path: str, groups: DataFrame) -> None:
     fields = ["name", flag.cast("string"), ref, (F.col("pos") + 1).cast("string"), F.lit("60"), or_star("cigar"), F.lit("*"), F.lit("0"), F.col("insert_size").cast("string"), or_star("seq"), or_star("qual")]
     tags = [tag(*x) for x in (("RG", "Z"), ("XI", "Z"), ("YI", "Z"), ("XJ", "Z"), ("YJ", "Z"), ("NM", "i"), ("MD", "Z"))]
     groups.select(F.concat(F.lit("@RG\tID:"), "rg", F.lit("\tSM:x")).alias("value")).write.mode("append").text(path)
-    reads.select(F.concat_ws("\t", *fields, *tags).alias("value")).write.mode("append").text(path)
+    lines = reads.select(F.concat_ws("\t", *fields, *tags).alias("value")).write.mode("append")
+    if compression is not None:
+        # The fastest level: indices repeat bases and qualities, and the rest is hardly smaller at slower ones.
+        lines = lines.option("compression", compression).option("maxRecordsPerFile", FILE_READS).option("zlib.compress.level", "BEST_SPEED")
+    lines.text(path)

@@ -322,3 +322,19 @@ def test_report_comes_from_the_writing_job(spark, tmp_path):
     report = filter_reads.write_flagged(reads, str(tmp_path / "out"), entropy=1.0).first()
     assert seen.value == n and spark.read.parquet(str(tmp_path / "out")).count() == n
     assert report == filter_reads.filter_reads(reads, entropy=1.0)[1].first() and report["n_total"] == n
+
+
+def test_sam_text_is_compressed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    from runloom.sources import sam
+
+    rows = [(f"r{i}", True, i * 10, "ACGT" * 8, "I" * 32, "RG1") for i in range(2000)]
+    flags = {c: F.lit(False) for c in ("proper_pair", "paired", "reverse", "first_mate", "second_mate", "failed_qc", "is_duplicate")}
+    texts = {c: F.lit("ACGTACG") for c in ("xi", "yi", "xj", "yj")}
+    reads = spark.createDataFrame(rows, "name string, mapped boolean, pos int, seq string, qual string, rg string").withColumns(flags | texts | {"cigar": F.lit("32M"), "md": F.lit("32"), "nm": F.lit(0), "insert_size": F.lit(0)}).coalesce(1)
+    monkeypatch.setattr(sam, "FILE_READS", 500)
+    sam.write_sam(reads, str(tmp_path / "sam"), reads.select("rg").distinct(), "gzip")
+    files = list((tmp_path / "sam").glob("*.gz"))
+    assert len(files) == 4 and sum(f.stat().st_size for f in files) * 2 < 2000 * 100
+    made = sam.read_sam(spark, str(tmp_path / "sam"))
+    assert sorted(map(tuple, made.select("name", "mapped", "pos", "seq", "qual", "rg").collect())) == sorted(rows)
+    assert [r["rg"] for r in sam.read_groups(spark, str(tmp_path / "sam")).collect()] == ["RG1"]
