@@ -125,3 +125,16 @@ def test_totals_of_operations_equal_exploded_bases(spark):
     made = alignment.operation_totals(reads)
     assert sorted(map(tuple, made.collect())) == sorted(map(tuple, want.collect()))
     assert alignment.operation_totals(reads.where("name = 'short'")).count() == 0
+
+
+@pytest.mark.parametrize("bin", [8, 30, 256])
+def test_a_large_mask_is_joined_to_reads(spark, monkeypatch, bin):
+    monkeypatch.setattr(alignment, "MASK_BIN", bin)
+    reads, mask, counters = both_ways(spark, monkeypatch, 3)
+    # Only reads that may be longer than a stretch are exploded: two walks, of which one has no read here.
+    keys = [c.split()[0] for c in alignment.COUNTERS.split(", ")][:-1]
+    rows = lambda df: sorted(map(tuple, df.groupBy(*keys).agg(F.sum("n")).collect()))
+    monkeypatch.setattr(alignment, "MOST_MASKED", 1_000_000)
+    assert rows(counters) == rows(alignment.base_counters(reads, mask, by_length=True))
+    if bin == 256:
+        assert "__masked" in counters._jdf.queryExecution().optimizedPlan().toString()
