@@ -1,8 +1,10 @@
 """Sources and sinks on small files written here."""
 
+import gzip
 import json
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,57 @@ def test_request_rows(spark):
     assert "indicesraw" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
 
 
+def test_request_rows_from_files(spark, tmp_path, monkeypatch):
+    """Lists that are resolved where they are read give the rows that documents, processings and dictionary give when joined; so does a dictionary too large to be sent."""
+    head = {"name": "#index", "p7": "p7", "p5": "p5"}
+    many = [head, *({"name": f"S{i}", "p7": f"I{i % 7}", "p5": f"I{i % 5}"} for i in range(3000))]
+    docs = [
+        {"runid": "r1", "adapter11": "A", "mergeoverlap1": True, "adapter12": "C", "indicesraw": many, "expname": "indicesraw"},
+        {"indicesraw": many, "runid": "r2", "lanes": [1, 2]},
+        {"runid": "r3", "indicesraw": [*many[:-1], {"name": "other"}], "rest": {"indicesraw": [1]}},
+        {"runid": "r4", "indicesraw": [head, {"p7": "I1", "name": 'q"[]\u00fc', "more": [1]}, {"name": 5, "p7": True, "p5": None}, {"name": {"a": 1}}, None]},
+        {"runid": "r5", "indicesraw": []}, {"runid": "r6", "indicesraw": [head]}, {"runid": "r7", "indicesraw": None}, {"runid": "r8"},
+    ]
+    for i, d in enumerate(docs):
+        text = json.dumps(d, indent=i % 3 or None)
+        (tmp_path / f"{i}.json").write_text(text) if i % 2 else (tmp_path / f"{i}.json.gz").write_bytes(gzip.compress(text[:50].encode()) + gzip.compress(text[50:].encode()))
+    book = spark.createDataFrame([("p7", "I1", "ACG"), ("p7", "I1", "AAA"), ("p5", "I3", "TTT"), ("p5", "I2", None), ("p7", None, "GGG"), ("p9", "I2", "CCC")], "kind string, id string, seq string")
+    joined = runs.request_rows(tables.read_requests(spark, str(tmp_path)), book)
+    found = tables.read_request_rows(spark, str(tmp_path), book)
+    some = ["runid", "processing", "adapter1", "mergeoverlap", "name", "p7", "p5", "p7_seq", "p5_seq", F.to_json("rest")]
+    want = sorted(map(repr, joined.select(some).collect()))
+    assert len(want) == 4 * 3000 + 4 and sorted(map(repr, found.select(some).collect())) == want
+    monkeypatch.setattr(tables, "BOOK_ROWS", 2)
+    assert sorted(map(repr, tables.read_request_rows(spark, str(tmp_path), book).select(some).collect())) == want
+
+
+def test_a_list_of_many_requests_is_parsed_once(monkeypatch):
+    """A list is known again only by its whole text, and a document that is none raises."""
+    texts = [json.dumps({"runid": str(i), "indicesraw": [{}, *({"name": f"S{k}", "p7": "I"} for k in range(400)), {"name": f"T{i // 5}"}]}).encode() for i in range(10)]
+    seen, decode = [], tables._json.raw_decode
+    monkeypatch.setattr(tables, "_json", type("J", (), {"raw_decode": staticmethod(lambda s, at: (seen.append(s[at]), decode(s, at))[1])}))
+    batch = lambda x: pa.RecordBatch.from_pydict({"path": [f"{i}.json" for i in range(len(x))], "content": pa.array(x, pa.binary())})
+    made = list(tables._request_parts(iter([batch(texts[:5]), batch(texts[:5])]), {"p7": {"I": "A"}, "p5": {}}, ("name", "p7_seq"), "one"))
+    assert seen.count("[") == 1 and len(made) == 10
+    assert {(e["name"], e["p7_seq"]) for e in made[7]["entries"][0].as_py()} == {(f"S{k}", "A") for k in range(400)} | {("T0", None)}
+    assert json.loads(made[7]["text"][0].as_py()) == {"runid": "2", "indicesraw": None}
+    made = list(tables._request_parts(iter([batch(texts)]), {"p7": {}, "p5": {}}, ("name", "p7_seq"), "two"))
+    assert [(m["entries"][0].as_py()[0]["p7_seq"], m["entries"][0].as_py()[-1]["name"]) for m in made] == [(None, f"T{i // 5}") for i in range(10)]
+    for wrong in (b"", b"[]", b'{"runid": 1', b'{"indicesraw": {"name": "x"}}', b'{"indicesraw": [1]}', b'{"a" 1}'):
+        with pytest.raises(ValueError, match="0.json is no request document"):
+            list(tables._request_parts(iter([batch([wrong])]), {"p7": {}, "p5": {}}, ("name",), "three"))
+
+
+def test_text_that_many_files_hold_is_compressed_once(spark, tmp_path):
+    """Members behind each other are one file for Spark's reader and ours."""
+    rows = spark.createDataFrame([(k, "line " * 1000 + str(k)) for k in range(3)], "k int, text string")
+    packed = shared.gzipped(rows, "text").crossJoin(spark.range(4)).orderBy("id", "k").coalesce(1)
+    assert shared.write_parts(packed.select(F.format_string("f%d.txt.gz", "id").alias("file"), F.col("text").alias("content")), str(tmp_path), compression=None) == 4
+    want = "".join("line " * 1000 + str(k) for k in range(3))
+    assert [r["value"] for r in spark.read.text(str(tmp_path), wholetext=True).collect()] == [want] * 4
+    assert shared.unpacked("f1.txt.gz", pa.py_buffer((tmp_path / "f1.txt.gz").read_bytes())).decode() == want
+
+
 def test_parts_of_files(spark, tmp_path):
     """Rows of a file are written behind each other; a name that says so is compressed."""
     parts = spark.range(300).select(F.concat(F.lit("f"), (F.col("id") % 7).cast("string"), F.lit(".json.gz")).alias("file"), F.col("id").cast("string").alias("at")).repartition("file").sortWithinPartitions("file", F.col("at").cast("int"))
