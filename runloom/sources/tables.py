@@ -91,7 +91,7 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
 #: A dictionary of more ids is joined instead of sent to the tasks.
 BOOK_ROWS = 1_000_000
 #: Entries of a list in one row; characters from which on a list is kept by the worker that read it, and bytes of all that it keeps.
-PART_ENTRIES, KEPT_FROM, KEPT_BYTES = 1024, 4096, 128 << 20
+PART_ENTRIES, KEPT_FROM, KEPT_BYTES = 4096, 4096, 128 << 20
 
 _json = json.JSONDecoder()
 _space = re.compile(r"[ \t\r\n]*")
