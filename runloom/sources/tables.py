@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -89,8 +90,8 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
 
 
 #: A dictionary of more ids is joined instead of sent to the tasks.
-BOOK_ROWS = 1_000_000
-#: Entries of a list in one row; characters from which on a list is kept by the worker that read it, and bytes of all that it keeps.
+BOOK_ROWS = 250_000
+#: Entries of a list in one row; characters from which on a list is kept by the worker that read it, and bytes of all that it keeps for one query.
 PART_ENTRIES, KEPT_FROM, KEPT_BYTES = 4096, 4096, 128 << 20
 
 _json = json.JSONDecoder()
@@ -120,7 +121,7 @@ def _entries(text: str, at: int, book: dict[str, dict[str, str]], columns: tuple
     given |= {f"{k}_seq": [book[k].get(x) for x in given[k]] for k in ("p7", "p5")}
     entries = pa.StructArray.from_arrays([pa.array(given[c], pa.string()) for c in columns], list(columns))
     rows = pa.ListArray.from_arrays(pa.array([*range(0, len(entries), PART_ENTRIES), len(entries)], pa.int32()), entries)
-    size = end - at + entries.nbytes
+    size = sys.getsizeof(text[at:end]) + entries.nbytes
     if end - at >= KEPT_FROM and begin not in _kept["lists"] and _kept["bytes"] + size <= KEPT_BYTES:
         _kept["lists"][begin] = (text[at:end], rows)
         _kept["bytes"] += size
